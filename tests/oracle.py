@@ -1,0 +1,48 @@
+"""Compares a Spark result with DuckDB's, column by column name and order-insensitive."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+from datetime import date, datetime
+from decimal import Decimal
+from pathlib import Path
+
+import duckdb
+from pyspark.sql import DataFrame
+
+
+def connect(sf: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for file in sorted(Path(sf).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    return con
+
+
+def _plain(value):
+    if isinstance(value, Decimal):
+        return float(value)
+    if isinstance(value, float):
+        return "NaN" if math.isnan(value) else value
+    if isinstance(value, date) and not isinstance(value, datetime):
+        return value.isoformat()
+    return value
+
+
+def rows_of(names: list[str], rows) -> Counter:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
+
+
+def assert_same(result: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> int:
+    cursor = con.execute(sql)
+    names = [d[0] for d in cursor.description]
+    expected = rows_of(names, cursor.fetchall())
+    assert sorted(result.columns) == sorted(names)
+    actual = rows_of(result.columns, result.collect())
+    missing, extra = expected - actual, actual - expected
+    assert not missing and not extra, (
+        f"{sum(missing.values())} rows missing, e.g. {list(missing)[:2]}; "
+        f"{sum(extra.values())} rows extra, e.g. {list(extra)[:2]}"
+    )
+    return sum(actual.values())

@@ -125,7 +125,7 @@ class OffsetColumn:
         if self.kind == STRING:
             return text
         if self.kind == DATE:
-            return date.fromisoformat(text.strip())
+            return datetime.fromisoformat(text.strip()).date()
         if self.kind == TIMESTAMP_NTZ:
             return datetime.fromisoformat(text.strip()).replace(tzinfo=None)
         if self.kind == TIMESTAMP:

@@ -6,7 +6,7 @@ import importlib
 from collections.abc import Iterator, Mapping
 from typing import Any, NamedTuple
 
-from tidemark.functions.offset_column import NUMBER, OffsetColumn
+from tidemark.functions.offset_column import OffsetColumn
 from tidemark.operators.ranges import BatchRange, split_range
 
 # How each DB-API parameter style marks one positional parameter.
@@ -53,7 +53,7 @@ class DbApiTable:
         driver = importlib.import_module(self._module)
         mark = _MARKS[driver.paramstyle]
         marks = [mark.format(i) for i in range(1, len(values) + 1)]
-        bound: Any = [self._bindable(v) for v in values]
+        bound: Any = [self._offset.parse(v) for v in values]
         if driver.paramstyle == "named":
             bound = {f"p{i}": v for i, v in enumerate(bound, 1)}
         connection = driver.connect(**self._connect_args)
@@ -65,9 +65,6 @@ class DbApiTable:
         finally:
             connection.close()
 
-    def _bindable(self, text: str) -> Any:
-        return self._offset.parse(text)
-
     def bounds(self, at_least: str | None) -> tuple[str | None, str | None]:
         name = _no_marks(self._quoted(self._offset.name))
         table = _no_marks(self._table)
@@ -81,12 +78,8 @@ class DbApiTable:
         return self._text(least), self._text(most)
 
     def _text(self, value: Any) -> str | None:
-        if value is None:
-            return None
-        # Drivers without a type of their own for an offset hand it over as text.
-        if isinstance(value, str) or self._offset.kind == NUMBER:
-            return self._offset.format(self._offset.parse(str(value)))
-        return self._offset.format(value)
+        # By way of text, since drivers differ in the Python types they hand over.
+        return None if value is None else self._offset.format(self._offset.parse(str(value)))
 
     def slices(self, start: str, end: str, inclusive: bool) -> list[Slice]:
         parts = split_range(self._offset, BatchRange(start, end, inclusive), self._parts)

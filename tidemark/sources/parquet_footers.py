@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import chain
 from typing import Any, NamedTuple
 
 import pyarrow as pa
@@ -30,6 +31,14 @@ class RowGroup(NamedTuple):
     size: int
 
 
+class FileKey(NamedTuple):
+    """A file as long as nobody rewrites it."""
+
+    path: str
+    size: int
+    modified: int | None
+
+
 class Piece(NamedTuple):
     """Row groups of one file, read by one task."""
 
@@ -53,30 +62,40 @@ def arrow_schema(uri: str) -> pa.Schema:
 
 
 class FooterIndex:
-    """Offset bounds per row group of a folder, extended by the files that appear in it."""
+    """Offset bounds per row group of a folder, kept up to date with its files."""
 
     def __init__(self, uri: str, offset: OffsetColumn) -> None:
         self._fs, self._root = open_location(uri)
         self._offset = offset
-        self._files: set[str] = set()
-        self._groups: list[RowGroup] = []
+        self._groups_of: dict[FileKey, list[RowGroup]] = {}
+        self.loaded = False
 
     def refresh(self) -> None:
-        """Read the footers of files not seen before."""
-        fresh = sorted(set(self._list()) - self._files)
+        """Read the footers of new files and drop the files that are gone."""
+        listed = self._list()
+        fresh = sorted(listed - self._groups_of.keys())
+        kept = {key: groups for key, groups in self._groups_of.items() if key in listed}
         with ThreadPoolExecutor(_FOOTER_THREADS) as pool:
-            for groups in pool.map(self._footer, fresh):
-                self._groups.extend(groups)
-        self._files.update(fresh)
-
-    def _list(self) -> Iterator[str]:
-        info = self._fs.get_file_info(self._root)
-        if info.type == fs.FileType.File:
-            return iter([self._root])
-        found = self._fs.get_file_info(
-            fs.FileSelector(self._root, recursive=True, allow_not_found=True)
-        )
-        return (f.path for f in found if f.is_file and f.size and not self._hidden(f.path))
+            kept.update(zip(fresh, pool.map(self._footer, (key.path for key in fresh))))
+        self._groups_of = kept
+        self.loaded = True
+
+    def forget(self, end: str) -> None:
+        """Drop the row groups a stream has left behind for good."""
+        passed = self._offset.parse(end)
+        for key, groups in self._groups_of.items():
+            self._groups_of[key] = [g for g in groups if g.most > passed]
+
+    @property
+    def _groups(self) -> Iterator[RowGroup]:
+        return chain.from_iterable(self._groups_of.values())
+
+    def _list(self) -> set[FileKey]:
+        found = [self._fs.get_file_info(self._root)]
+        if found[0].type != fs.FileType.File:
+            selector = fs.FileSelector(self._root, recursive=True, allow_not_found=True)
+            found = [f for f in self._fs.get_file_info(selector) if not self._hidden(f.path)]
+        return {FileKey(f.path, f.size, f.mtime_ns) for f in found if f.is_file and f.size}
 
     def _hidden(self, path: str) -> bool:
         inner = path[len(self._root) :].strip("/").split("/")
@@ -124,12 +143,10 @@ class FooterIndex:
     def _extreme(self, largest: bool) -> Any:
         """The exact MIN or MAX. Writers may shorten string statistics, so a string is
         looked up in the few row groups that can hold it."""
-        if not self._groups:
-            return None
         if self._offset.kind != STRING:
-            return max(g.most for g in self._groups) if largest else min(
-                g.least for g in self._groups
-            )
+            if largest:
+                return max((g.most for g in self._groups), default=None)
+            return min((g.least for g in self._groups), default=None)
         best = None
         order = sorted(self._groups, key=lambda g: g.most if largest else g.least, reverse=largest)
         for group in order:

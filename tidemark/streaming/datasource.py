@@ -48,10 +48,9 @@ class TidemarkSource(DataSource):
     def schema(self) -> T.StructType:
         if "path" not in self._given:
             raise ValueError("A database table needs its schema declared with .schema(...).")
-        return from_arrow_schema(self._stored_schema(), prefer_timestamp_ntz=True)
+        return _spark_schema(self._kept(arrow_schema(self._given["path"])))
 
-    def _stored_schema(self) -> pa.Schema:
-        schema = arrow_schema(self._given["path"])
+    def _kept(self, schema: pa.Schema) -> pa.Schema:
         wanted = [c.strip() for c in self._given.get("columns", "").split(",") if c.strip()]
         if not wanted:
             return schema
@@ -65,8 +64,9 @@ class TidemarkSource(DataSource):
             raise ValueError("The schema is missing.")
         given = self._given
         if "path" in given:
-            _check_declared(schema, self.schema())
-            return ParquetStreamReader(given, schema)
+            stored = arrow_schema(given["path"])
+            _check_declared(schema, _spark_schema(self._kept(stored)))
+            return ParquetStreamReader(given, schema, stored)
         if "dbapi" in given:
             if not given.get("dbtable"):
                 raise ValueError("Option 'dbtable' is missing.")
@@ -88,6 +88,10 @@ class JdbcNamedSource(TidemarkSource):
         return "jdbc-streaming-v1"
 
 
+def _spark_schema(schema: pa.Schema) -> T.StructType:
+    return from_arrow_schema(schema, prefer_timestamp_ntz=True)
+
+
 def _check_declared(declared: T.StructType, stored: T.StructType) -> None:
     """A declared schema changes nothing, so one that differs is an error."""
     want = [(f.name, f.dataType) for f in declared.fields]
@@ -158,10 +162,9 @@ class OffsetStreamReader(DataSourceStreamReader):
 class ParquetStreamReader(OffsetStreamReader):
     """A Parquet folder: bounds from footers, one task per run of row groups."""
 
-    def __init__(self, given: dict[str, str], schema: T.StructType) -> None:
+    def __init__(self, given: dict[str, str], schema: T.StructType, stored: pa.Schema) -> None:
         self._uri = given["path"]
-        stored = arrow_schema(self._uri)
-        super().__init__(given, schema, from_arrow_schema(stored, prefer_timestamp_ntz=True))
+        super().__init__(given, schema, _spark_schema(stored))
         field_type = stored.field(self._field).type
         if pa.types.is_timestamp(field_type) and field_type.unit == "ns":
             raise ValueError("Spark has no nanosecond timestamps; store the offset in microseconds.")
@@ -181,12 +184,18 @@ class ParquetStreamReader(OffsetStreamReader):
         return self._index.bounds(at_least)
 
     def plan(self, start: str, end: str, inclusive: bool) -> Sequence[InputPartition]:
-        self._index.refresh()
+        if not self._index.loaded:
+            self._index.refresh()
         tasks = self._index.pieces(start, end, inclusive, self._size)
         return [
             InputPartition((tuple(map(tuple, pieces)), start, end, inclusive)) for pieces in tasks
         ]
 
+    def commit(self, end: dict[str, Any]) -> None:
+        span = self._span(end)
+        if span is not None:
+            self._index.forget(span.end)
+
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         pieces, start, end, inclusive = partition.value
         field = ds.field(self._field)
