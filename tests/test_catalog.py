@@ -1,0 +1,25 @@
+"""Every registered query against its SQL counterpart."""
+
+import pytest
+from conftest import SMALL
+from oracle import assert_same, connect
+
+import __spark_entry__ as contract
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SMALL)
+
+
+def test_every_query_has_its_sql():
+    assert contract.queries().keys() == contract.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("key", sorted(contract.queries()))
+def test_query_equals_sql(spark, con, key):
+    assert_same(contract.queries()[key](spark, SMALL), con, contract.oracle_sql()[key])
+
+
+def test_flagship(spark, con):
+    assert assert_same(contract.entry(spark), con, contract.oracle_sql()["stream_daily"]) > 0

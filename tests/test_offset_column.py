@@ -1,0 +1,190 @@
+from datetime import date, datetime, timezone
+from decimal import Decimal
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.offset_column import OffsetColumn, offset_kind
+
+
+def column(data_type, zone="UTC"):
+    schema = T.StructType([T.StructField("Pos", data_type)])
+    return OffsetColumn.of(schema, "pos", zone)
+
+
+@pytest.mark.parametrize(
+    "data_type, kind",
+    [
+        (T.ByteType(), "number"),
+        (T.IntegerType(), "number"),
+        (T.LongType(), "number"),
+        (T.FloatType(), "number"),
+        (T.DoubleType(), "number"),
+        (T.DecimalType(20, 4), "number"),
+        (T.DateType(), "date"),
+        (T.TimestampType(), "timestamp"),
+        (T.TimestampNTZType(), "timestamp_ntz"),
+        (T.StringType(), "string"),
+        (T.VarcharType(10), "string"),
+    ],
+)
+def test_families(data_type, kind):
+    assert offset_kind(data_type) == kind
+
+
+@pytest.mark.parametrize(
+    "data_type",
+    [
+        T.BooleanType(),
+        T.BinaryType(),
+        T.ArrayType(T.LongType()),
+        T.MapType(T.StringType(), T.LongType()),
+        T.StructType([T.StructField("a", T.LongType())]),
+        T.NullType(),
+    ],
+)
+def test_unordered_types_are_rejected(data_type):
+    with pytest.raises(ValueError, match="cannot be an offset"):
+        offset_kind(data_type)
+
+
+def test_field_is_found_whatever_its_case():
+    assert column(T.LongType()).name == "Pos"
+
+
+def test_missing_field_is_an_error():
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    with pytest.raises(ValueError, match="not in the schema"):
+        OffsetColumn.of(schema, "b")
+
+
+def test_ambiguous_field_is_an_error():
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("A", T.LongType())])
+    with pytest.raises(ValueError, match="ambiguous"):
+        OffsetColumn.of(schema, "a")
+
+
+@given(st.integers(-(2**63), 2**63 - 1))
+def test_longs_survive_text(value):
+    c = column(T.LongType())
+    assert c.parse(c.format(value)) == value
+
+
+@given(st.floats(allow_nan=False))
+def test_doubles_survive_text(value):
+    c = column(T.DoubleType())
+    assert c.parse(c.format(value)) == value
+
+
+@given(st.decimals(allow_nan=False, allow_infinity=False, places=4))
+def test_decimals_survive_text(value):
+    c = column(T.DecimalType(38, 4))
+    assert c.parse(c.format(value)) == value
+    assert "E" not in c.format(value)
+
+
+@given(st.datetimes(min_value=datetime(1900, 1, 1)))
+def test_zoneless_timestamps_survive_text(value):
+    c = column(T.TimestampNTZType())
+    assert c.parse(c.format(value)) == value
+
+
+@given(st.datetimes(min_value=datetime(1900, 1, 1), timezones=st.just(timezone.utc)))
+def test_timestamps_survive_text(value):
+    c = column(T.TimestampType(), "America/New_York")
+    assert c.parse(c.format(value)) == value
+
+
+@given(st.dates())
+def test_dates_survive_text(value):
+    c = column(T.DateType())
+    assert c.parse(c.format(value)) == value
+
+
+def test_numbers_are_compared_as_numbers():
+    c = column(T.DoubleType())
+    assert c.parse("10.0") > c.parse("9.5")
+    assert c.parse("2") == c.parse("2.0")
+
+
+@pytest.mark.parametrize("text", ["x", "2.5", ""])
+def test_bad_whole_numbers(text):
+    with pytest.raises(ValueError, match="not a valid offset"):
+        column(T.LongType()).parse(text)
+
+
+def test_nan_is_rejected():
+    with pytest.raises(ValueError, match="not a valid offset"):
+        column(T.DoubleType()).parse("NaN")
+
+
+@pytest.mark.parametrize(
+    "text, pattern, expected",
+    [
+        ("2020-01-05", None, "2020-01-05"),
+        ("2020-01-05", "yyyy-MM-dd", "2020-01-05"),
+        ("05/01/2020", "dd/MM/yyyy", "2020-01-05"),
+        ("2020-05-01", "yyyy-dd-MM", "2020-01-05"),
+        ("20200105", "yyyyMMdd", "2020-01-05"),
+        ("2020-01-05", "YYYY-MM-DD", "2020-01-05"),
+    ],
+)
+def test_date_format(text, pattern, expected):
+    assert column(T.DateType()).parse_option(text, pattern) == expected
+
+
+def test_value_that_breaks_its_date_format():
+    with pytest.raises(ValueError, match="does not follow"):
+        column(T.DateType()).parse_option("2020-01-05", "dd/MM/yyyy")
+
+
+def test_timestamp_format_keeps_the_time():
+    c = column(T.TimestampNTZType())
+    text = c.parse_option("05/01/2020 13:14:15", "dd/MM/yyyy HH:mm:ss")
+    assert text == "2020-01-05 13:14:15"
+
+
+def test_naive_timestamp_option_is_in_the_given_zone():
+    c = column(T.TimestampType(), "Europe/Berlin")
+    assert c.parse("2024-01-01 01:00:00") == datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+@pytest.mark.parametrize(
+    "data_type, value",
+    [
+        (T.IntegerType(), 7),
+        (T.LongType(), 2**62),
+        (T.FloatType(), 0.10000000149011612),
+        (T.DoubleType(), 0.1 + 0.2),
+        (T.DecimalType(20, 4), Decimal("12.3400")),
+        (T.DateType(), date(2020, 2, 29)),
+        (T.TimestampNTZType(), datetime(2024, 1, 1, 0, 0, 7, 179575)),
+        (T.StringType(), "it's `quoted` \"here\" \\ and {there}"),
+    ],
+)
+def test_literal_equals_the_stored_value(spark, data_type, value):
+    c = column(data_type)
+    df = spark.createDataFrame([(value,)], T.StructType([T.StructField("Pos", data_type)]))
+    assert df.where(c.column() == c.literal(c.format(value))).count() == 1
+    assert df.select(c.literal(c.format(value)).alias("v")).schema["v"].dataType == data_type
+
+
+def test_instants_in_the_hour_that_repeats_stay_apart(spark):
+    # 05:30 and 06:30 UTC are both 01:30 in New York on that day.
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        c = column(T.TimestampType(), "America/New_York")
+        micros = [1730611800_000001, 1730615400_000001]
+        df = spark.createDataFrame([(m,) for m in micros], "m long")
+        df = df.select(F.timestamp_micros("m").alias("Pos"))
+        texts = [c.from_carrier(m) for m in micros]
+        assert texts == ["2024-11-03 05:30:00.000001+00:00", "2024-11-03 06:30:00.000001+00:00"]
+        assert df.where(c.column() > c.literal(texts[0])).count() == 1
+        assert df.where(c.column() <= c.literal(texts[1])).count() == 2
+        assert [r[0] for r in df.select(c.carrier(c.column())).collect()] == micros
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

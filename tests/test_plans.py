@@ -1,0 +1,66 @@
+"""What Spark does with the reads: filters and columns reach the scan, probes the footers."""
+
+import pytest
+
+from tidemark.functions.offset_column import OffsetColumn
+from tidemark.operators.bounds import both_bounds, end_bound
+from tidemark.operators.profile import offset_profile
+from tidemark.operators.ranges import BatchRange
+from tidemark.sources.tables import ParquetTable
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().explainString(
+        df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
+@pytest.mark.parametrize(
+    "table, field, start, end",
+    [
+        ("events", "event_id", "10", "90"),
+        ("events", "ts", "2024-01-02 00:00:00", "2024-01-03 00:00:00.000001"),
+        ("customer", "c_name", "Customer#000000010", "Customer#000000090"),
+        ("part", "p_retailprice", "900.5", "950.0"),
+    ],
+)
+def test_range_filter_reaches_the_scan(spark, table, field, start, end):
+    source = ParquetTable(spark, f"{SF}/{table}.parquet")
+    c = OffsetColumn.of(source.schema, field)
+    for inclusive, name in ((True, "GreaterThanOrEqual"), (False, "GreaterThan")):
+        text = plan(source.read(c, BatchRange(start, end, inclusive)))
+        pushed = next(line for line in text.splitlines() if "PushedFilters" in line)
+        assert f"{name}({field}," in pushed and f"LessThanOrEqual({field}," in pushed
+
+
+def test_projection_after_a_batch_read_prunes_the_scan(spark):
+    source = ParquetTable(spark, f"{SF}/lineitem.parquet")
+    c = OffsetColumn.of(source.schema, "l_orderkey")
+    text = plan(source.read(c, BatchRange("1", "9")).select("l_quantity"))
+    schema = next(line for line in text.splitlines() if "ReadSchema" in line)
+    assert schema.count(":") == 1 + 2 and "l_comment" not in schema
+    assert "l_orderkey" in schema and "l_quantity" in schema
+
+
+def test_probe_scans_one_column_with_its_floor_pushed(spark):
+    source = ParquetTable(spark, f"{SF}/events.parquet")
+    c = OffsetColumn.of(source.schema, "ts")
+    text = plan(end_bound(source.frame(), c, "2024-01-20 00:00:00"))
+    assert "ReadSchema: struct<ts:timestamp_ntz>" in text
+    assert "GreaterThanOrEqual(ts," in text
+
+
+def test_probe_of_whole_numbers_reads_footers_only(spark):
+    source = ParquetTable(spark, f"{SF}/lineitem.parquet")
+    c = OffsetColumn.of(source.schema, "l_orderkey")
+    text = plan(both_bounds(source._read(source._footer_session), c))
+    assert "PushedAggregation: [MIN(l_orderkey), MAX(l_orderkey)]" in text
+
+
+def test_profile_combines_before_the_shuffle(spark):
+    df = spark.read.parquet(f"{SF}/lineitem.parquet")
+    text = plan(offset_profile(df, "l_orderkey"))
+    assert "Functions [1]: [partial_count(1)]" in text
+    assert "Window" not in text and "Expand" not in text

@@ -1,0 +1,86 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.offset_json import (
+    offset_bounds,
+    offset_dict,
+    offset_from_json,
+    offset_to_json,
+)
+from tidemark.plans.settings import Settings, source_options
+from tidemark.plans.workspace import shared_folder
+
+SCHEMA = T.StructType().add("a", "integer").add("d", "date").add("e", "string")
+
+
+def test_offset_field_is_mandatory():
+    with pytest.raises(ValueError, match="'offset.field' is missing"):
+        Settings.of({"dbtable": "t"}, SCHEMA)
+
+
+def test_schema_is_mandatory():
+    with pytest.raises(ValueError, match="schema is missing"):
+        Settings.of({"offset.field": "a"}, None)
+
+
+def test_offset_field_must_exist():
+    with pytest.raises(ValueError, match="not in the schema"):
+        Settings.of({"offset.field": "z"}, SCHEMA)
+
+
+def test_date_format_is_optional_and_accepted():
+    assert Settings.of({"offset.field": "d"}, SCHEMA).start is None
+    given = {"offset.field": "d", "offset.field.date.format": "YYYY-MM-DD"}
+    assert Settings.of({**given, "start.offset": "2020-01-03"}, SCHEMA).start == "2020-01-03"
+
+
+def test_keys_ignore_case():
+    settings = Settings.of({"OFFSET.Field": "A", "Start.Offset": "3"}, SCHEMA)
+    assert (settings.offset.name, settings.start) == ("a", "3")
+
+
+def test_misspelt_keys_are_errors():
+    with pytest.raises(ValueError, match="offset.start"):
+        Settings.of({"offset.field": "d", "offset.start": "2020-01-03"}, SCHEMA)
+
+
+def test_own_options_do_not_reach_the_reader():
+    given = {"url": "u", "dbtable": "t", "Offset.Field": "a", "start.offset": "1"}
+    assert source_options(given) == {"url": "u", "dbtable": "t"}
+
+
+# The stored form of an offset.
+SHAPES = [
+    (("key_1", "a", "b"), '{"fieldsOffsets":{"fieldName":"key_1","range":{"start":"a","end":"b"}}}'),
+    (("key_2", "c", None), '{"fieldsOffsets":{"fieldName":"key_2","range":{"start":"c"}}}'),
+    (("key_3", None, "d"), '{"fieldsOffsets":{"fieldName":"key_3","range":{"end":"d"}}}'),
+    (("key_4", None, None), '{"fieldsOffsets":{"fieldName":"key_4","range":{}}}'),
+]
+
+
+@pytest.mark.parametrize("offset, text", SHAPES)
+def test_offset_dict_shape(offset, text):
+    assert json.dumps(offset_dict(*offset), separators=(",", ":")) == text
+    assert offset_bounds(json.loads(text), offset[0]) == offset[1:]
+
+
+def test_offset_columns_shape_both_ways(spark):
+    df = spark.createDataFrame([o for o, _ in SHAPES], "f string, s string, e string")
+    texts = df.select("f", offset_to_json(F.col("f"), F.col("s"), F.col("e")).alias("t"))
+    assert {r.f: r.t for r in texts.collect()} == {o[0]: t for o, t in SHAPES}
+    back = texts.select(offset_from_json(F.col("t")).alias("o")).select("o.*")
+    assert {tuple(r) for r in back.collect()} == {o for o, _ in SHAPES}
+
+
+def test_offsets_of_another_column_are_refused():
+    with pytest.raises(ValueError, match="tracks 'a'"):
+        offset_bounds(offset_dict("a", "1", "2"), "b")
+
+
+def test_shared_folder_is_below_the_session_setting(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert one.startswith(root) and one != two

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -13,6 +14,9 @@ from tidemark.functions.offset_column import DATE, OffsetColumn
 from tidemark.operators.bounds import both_bounds, end_bound, fetch_bound
 from tidemark.operators.ranges import BatchRange, read_range
 
+# Fixed value: how Spark's message begins when a footer holds no bounds.
+_NO_STATISTICS = "No min/max found"
+
 
 class FrameTable:
     """A table given by a function that returns it as a batch DataFrame.
@@ -80,8 +84,10 @@ class ParquetTable(FrameTable):
         if self._footers_usable and (offset.integral or offset.kind == DATE):
             try:
                 return self._footer_bounds(offset, at_least)
-            except PySparkException:
+            except (PySparkException, Py4JJavaError) as failure:
                 # A file without statistics, or with NULL offsets only: scan from now on.
+                if _NO_STATISTICS not in str(failure):
+                    raise
                 self._footers_usable = False
         return super().bounds(offset, at_least)
 
