@@ -47,6 +47,10 @@ class Recorder:
     def load(self):
         return self._result
 
+    def jdbc(self, url, table, predicates, properties):
+        self.loads.append({**properties, "url": url, "dbtable": table, "predicates": predicates})
+        return self._result
+
 
 @pytest.mark.parametrize("missing", ["url", "dbtable"])
 def test_mandatory_options(spark, missing):
@@ -123,44 +127,71 @@ def test_probe_from_a_floor(spark):
     assert recorder.loads[0]["query"].endswith('WHERE "event_id" >= 7')
 
 
-def test_batch_is_split_over_the_offset_range(spark):
-    c = column("event_id", T.LongType())
-    table = JdbcTable(spark, {**OPTIONS, "numPartitions": "8"})
-    options = table.split_options(c, BatchRange("100", "900"))
-    assert options["dbtable"] == EVENTS and "query" not in options
-    assert {k: options[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")} == {
-        "partitionColumn": "event_id", "lowerBound": "100", "upperBound": "900", "numPartitions": "8",
-    }
+@pytest.mark.parametrize(
+    "name, data_type, start, end, parts",
+    [
+        ("event_id", T.LongType(), "100", "900", 8),
+        ("value", T.DoubleType(), "0.5", "99.25", 8),
+        ("ts", T.TimestampNTZType(), "2024-01-02 00:00:00.000001", "2024-01-20 00:00:00", 8),
+        ("event_type", T.StringType(), "click", "signup", 1),
+    ],
+)
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_batch_is_split_over_the_offset_range(spark, name, data_type, start, end, parts, inclusive):
+    """The connections' conditions select every row of the batch, and each row once."""
+    table, c = JdbcTable(spark, {**OPTIONS, "numPartitions": "8"}), column(name, data_type)
+    predicates = table.predicates(c, BatchRange(start, end, inclusive))
+    assert len(predicates) == parts
+    con = duckdb.connect()
+    whole = f"{name} {'>=' if inclusive else '>'} ? AND {name} <= ?"
+    expected = con.execute(
+        f"SELECT event_id FROM {EVENTS} WHERE {whole}", [c.parse(start), c.parse(end)]
+    ).fetchall()
+    found = [
+        row
+        for p in predicates
+        for row in con.execute(f"SELECT event_id FROM {EVENTS} WHERE {p}").fetchall()
+    ]
+    assert expected and sorted(found) == sorted(expected)
 
 
-def test_split_bounds_of_fractions_are_whole(spark):
-    table = JdbcTable(spark, {**OPTIONS, "numPartitions": "8"})
-    options = table.split_options(column("v", T.DoubleType()), BatchRange("0.5", "9.25"))
-    assert (options["lowerBound"], options["upperBound"]) == ("0", "10")
+@pytest.mark.parametrize("data_type", [T.DateType(), T.DecimalType(9, 2), T.TimestampType()])
+def test_other_families_split_too(spark, data_type):
+    bounds = ("1.00", "9.00") if isinstance(data_type, T.DecimalType) else ("2020-01-01", "2020-12-31")
+    table = JdbcTable(spark, {**OPTIONS, "numPartitions": "4"})
+    assert len(table.predicates(column("c", data_type), BatchRange(*bounds))) == 4
 
 
-@pytest.mark.parametrize("data_type, split", [(T.StringType(), False), (T.DateType(), True)])
-def test_strings_are_read_over_one_connection(spark, data_type, split):
-    table = JdbcTable(spark, {**OPTIONS, "numPartitions": "8"})
-    batch = BatchRange("2020-01-01", "2020-12-31")
-    assert ("partitionColumn" in table.split_options(column("c", data_type), batch)) == split
+def rows_of(recorder, options, batch):
+    rows = JdbcTable(recorder, options).read(column("event_id", T.LongType()), batch)
+    return [r.event_id for r in rows.collect()]
 
 
 def test_the_users_own_split_column_wins(spark):
     """For a hot offset value: the batch is split over another column."""
     split = {"partitionColumn": "k", "lowerBound": "0", "upperBound": "9", "numPartitions": "4"}
-    table = JdbcTable(spark, {**OPTIONS, **split})
-    options = table.split_options(column("event_id", T.LongType()), BatchRange("1", "9"))
-    assert {k: options[k] for k in split} == split
-    assert "offset.field" not in options
+    recorder = Recorder(spark, spark.range(0, 10).withColumnRenamed("id", "event_id"))
+    assert rows_of(recorder, {**OPTIONS, **split}, BatchRange("7", "9")) == [8, 9]
+    (asked,) = recorder.loads
+    assert {k: asked[k] for k in split} == split
+    assert "offset.field" not in asked and "predicates" not in asked
+
+
+@pytest.mark.parametrize("parts, split", [("1", False), ("2", True)])
+def test_batch_carries_its_range_filter(spark, parts, split):
+    recorder = Recorder(spark, spark.range(0, 10).withColumnRenamed("id", "event_id"))
+    options = {**OPTIONS, "numPartitions": parts}
+    assert rows_of(recorder, options, BatchRange("3", "6")) == [4, 5, 6]
+    (asked,) = recorder.loads
+    assert ("predicates" in asked) == split
+    assert asked["dbtable"] == EVENTS and asked["fetchsize"] == "10000" and asked["user"] == "u"
+    assert "numPartitions" not in asked
 
 
-def test_batch_carries_its_range_filter(spark):
+def test_a_given_fetch_size_is_kept(spark):
     recorder = Recorder(spark, spark.range(0, 10).withColumnRenamed("id", "event_id"))
-    table = JdbcTable(recorder, {**OPTIONS, "numPartitions": "2"})
-    rows = table.read(column("event_id", T.LongType()), BatchRange("3", "6"))
-    assert [r.event_id for r in rows.collect()] == [4, 5, 6]
-    assert recorder.loads[0]["partitionColumn"] == "event_id"
+    rows_of(recorder, {**OPTIONS, "fetchSize": "77"}, BatchRange("3", "6"))
+    assert recorder.loads[0]["fetchSize"] == "77" and "fetchsize" not in recorder.loads[0]
 
 
 def test_timestamps_with_zone_use_the_jvm_clock(spark):

@@ -479,6 +479,22 @@ def test_db_table_moves_on_from_the_last_end():
     assert sorted(row[0] for row in r.read(piece)) == list(range(500, 701))
 
 
+def test_db_table_is_split_over_another_column():
+    """All rows share one offset value; the users spread them, one user is unknown."""
+    table = (
+        "(SELECT * REPLACE (NULLIF(user_id, 3) AS user_id), 7 AS hot "
+        f"FROM read_parquet('{EVENTS}')) t"
+    )
+    split = {"partitionColumn": "user_id", "lowerBound": "0", "upperBound": "15"}
+    schema = T.StructType().add("event_id", T.LongType()).add("hot", T.IntegerType())
+    given = {"dbapi": "duckdb", "dbtable": table, "offset.field": "hot", "numPartitions": "4", **split}
+    r = TidemarkSource(given).streamReader(schema)
+    parts = r.partitions(r.initialOffset(), r.latestOffset())
+    sizes = [list(r.read(p)) for p in parts]
+    assert len(sizes) == 4 and all(sizes)
+    assert sorted(row[0] for rows in sizes for row in rows) == list(range(1000))
+
+
 def test_db_values_are_bound_not_spliced():
     table = "(SELECT 1 AS n, 'a''b{x}' AS s UNION ALL SELECT 2, 'z') t"
     schema = T.StructType().add("n", T.IntegerType()).add("s", T.StringType())

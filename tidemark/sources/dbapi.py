@@ -17,11 +17,17 @@ _FETCH_ROWS = 10_000
 
 
 class Slice(NamedTuple):
-    """A sub-range of one batch, read over one connection."""
+    """Part of one batch, read over one connection.
+
+    ``above`` and ``upto`` bound the split column where the user named one; the first
+    and the last slice are open, and the first one takes the NULLs.
+    """
 
     start: str
     end: str
     inclusive: bool
+    above: int | None = None
+    upto: int | None = None
 
 
 class DbApiTable:
@@ -30,6 +36,10 @@ class DbApiTable:
     Options ``dbapi.<name>`` become arguments of the module's ``connect``. Values are
     bound as parameters and the column name is quoted, so no user text is run as SQL
     except ``dbtable`` itself, which may be a parenthesised query with an alias.
+
+    ``numPartitions`` splits a batch evenly over the offset column; with
+    ``partitionColumn``, ``lowerBound`` and ``upperBound`` over that whole-number column,
+    for tables where one offset value holds very many rows.
     """
 
     def __init__(self, options: Mapping[str, str], offset: OffsetColumn, columns: list[str]):
@@ -42,20 +52,23 @@ class DbApiTable:
             for k, v in options.items()
             if k.startswith(_CONNECT_PREFIX)
         }
+        self._split_column = options.get("partitioncolumn")
+        if self._split_column:
+            self._split_bounds = int(options["lowerbound"]), int(options["upperbound"])
         self._offset = offset
         self._columns = columns
 
     def _quoted(self, name: str) -> str:
         return self._quote + name.replace(self._quote, self._quote * 2) + self._quote
 
-    def _run(self, sql: str, *values: str) -> Iterator[tuple]:
+    def _run(self, sql: str, *values: Any) -> Iterator[tuple]:
         """Rows of ``sql``, whose ``{}`` places take ``values`` as bound parameters."""
         driver = importlib.import_module(self._module)
         mark = _MARKS[driver.paramstyle]
         marks = [mark.format(i) for i in range(1, len(values) + 1)]
-        bound: Any = [self._offset.parse(v) for v in values]
+        bound: Any = list(values)
         if driver.paramstyle == "named":
-            bound = {f"p{i}": v for i, v in enumerate(bound, 1)}
+            bound = {f"p{i}": v for i, v in enumerate(values, 1)}
         connection = driver.connect(**self._connect_args)
         try:
             cursor = connection.cursor()
@@ -72,7 +85,8 @@ class DbApiTable:
             rows = self._run(f"SELECT MIN({name}), MAX({name}) FROM {table}")
             least, most = next(rows)
         else:
-            rows = self._run(f"SELECT MAX({name}) FROM {table} WHERE {name} >= {{}}", at_least)
+            floor = self._offset.parse(at_least)
+            rows = self._run(f"SELECT MAX({name}) FROM {table} WHERE {name} >= {{}}", floor)
             least, (most,) = None, next(rows)
         rows.close()
         return self._text(least), self._text(most)
@@ -82,8 +96,13 @@ class DbApiTable:
         return None if value is None else self._offset.format(self._offset.parse(str(value)))
 
     def slices(self, start: str, end: str, inclusive: bool) -> list[Slice]:
-        parts = split_range(self._offset, BatchRange(start, end, inclusive), self._parts)
-        return [Slice(p.start, p.end, p.inclusive) for p in parts]
+        if not self._split_column:
+            parts = split_range(self._offset, BatchRange(start, end, inclusive), self._parts)
+            return [Slice(p.start, p.end, p.inclusive) for p in parts]
+        low, high = self._split_bounds
+        cuts = sorted({low + (high - low) * i // self._parts for i in range(1, self._parts)})
+        edges = zip([None, *cuts], [*cuts, None])
+        return [Slice(start, end, inclusive, above, upto) for above, upto in edges]
 
     def read(self, piece: Slice) -> Iterator[tuple]:
         name = _no_marks(self._quoted(self._offset.name))
@@ -91,7 +110,19 @@ class DbApiTable:
         above = ">=" if piece.inclusive else ">"
         sql = f"SELECT {columns} FROM {_no_marks(self._table)} "
         sql += f"WHERE {name} {above} {{}} AND {name} <= {{}}"
-        return self._run(sql, piece.start, piece.end)
+        values = [self._offset.parse(piece.start), self._offset.parse(piece.end)]
+        if piece.above is not None or piece.upto is not None:
+            split = _no_marks(self._quoted(self._split_column))
+            if piece.above is None:
+                sql += f" AND ({split} <= {{}} OR {split} IS NULL)"
+                values.append(piece.upto)
+            else:
+                sql += f" AND {split} > {{}}"
+                values.append(piece.above)
+                if piece.upto is not None:
+                    sql += f" AND {split} <= {{}}"
+                    values.append(piece.upto)
+        return self._run(sql, *values)
 
 
 def _no_marks(text: str) -> str:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
 from datetime import datetime
 from functools import cached_property
@@ -18,17 +17,19 @@ from tidemark.functions.offset_column import (
     OffsetColumn,
 )
 from tidemark.operators.bounds import END_OFFSET, START_OFFSET, fetch_bound
-from tidemark.operators.ranges import BatchRange, read_range
+from tidemark.operators.ranges import BatchRange, read_range, split_range
 from tidemark.plans.settings import source_options
 
 _SPLIT_KEYS = frozenset({"partitioncolumn", "lowerbound", "upperbound", "numpartitions"})
+_PLACE_KEYS = frozenset({"url", "dbtable"})
+_FETCH_ROWS = "10000"
 
 
 class JdbcTable:
     """A JDBC table, with the options of Spark's own JDBC reader.
 
-    ``numPartitions`` alone splits each batch evenly over the offset column. Where
-    one offset value holds very many rows, name another column with
+    ``numPartitions`` alone splits each batch evenly over the offset column, strings
+    excepted. Where one offset value holds very many rows, name another column with
     ``partitionColumn``, ``lowerBound`` and ``upperBound``: the batch is then split
     over that one, and the range filter is pushed down on top.
     """
@@ -72,7 +73,7 @@ class JdbcTable:
 
     def probe_query(self, offset: OffsetColumn, at_least: str | None = None) -> str:
         """MIN and MAX as SQL: Spark does not push these aggregates into its V1 JDBC reader."""
-        dialect = self._spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self._url)
+        dialect = self._dialect
         name = dialect.quoteIdentifier(offset.name)
         most = f"MAX({name}) AS {END_OFFSET}"
         if at_least is None:
@@ -80,6 +81,10 @@ class JdbcTable:
         bound = self._sql_literal(dialect, offset, at_least)
         return f"SELECT {most} FROM {self._table} WHERE {name} >= {bound}"
 
+    @property
+    def _dialect(self):
+        return self._spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self._url)
+
     def _sql_literal(self, dialect, offset: OffsetColumn, text: str) -> str:
         """A literal as Spark's own dialect writes it, quotes escaped."""
         value = offset.parse(text)
@@ -101,29 +106,35 @@ class JdbcTable:
     # -- one batch -----------------------------------------------------------
 
     def read(self, offset: OffsetColumn, batch: BatchRange) -> DataFrame:
-        return read_range(self._load(self.split_options(offset, batch)), offset, batch)
-
-    def split_options(self, offset: OffsetColumn, batch: BatchRange) -> dict[str, str]:
-        """Reader options for ``batch``: the user's split, or one over the offset range."""
-        if "partitioncolumn" in self._given:
-            return self._options
-        parts = int(self._given.get("numpartitions", "1"))
-        if parts <= 1 or offset.kind == STRING:
-            return self._unsplit_options()
-        return {
-            **self._unsplit_options(),
-            "partitionColumn": offset.name,
-            "lowerBound": _split_bound(offset, batch.start, math.floor),
-            "upperBound": _split_bound(offset, batch.end, math.ceil),
-            "numPartitions": str(parts),
-        }
-
-
-def _split_bound(offset: OffsetColumn, text: str, to_whole) -> str:
-    # Spark takes whole numbers as split bounds; rounding moves a cut, never a row.
-    if offset.kind == NUMBER:
-        return str(to_whole(offset.parse(text)))
-    return text
+        options = {**_fetching(self._given), **self._options}
+        if "partitioncolumn" not in self._given:
+            options = {k: v for k, v in options.items() if k.lower() not in _SPLIT_KEYS}
+            predicates = self.predicates(offset, batch)
+            if len(predicates) > 1:
+                rows = self._spark.read.jdbc(
+                    self._url,
+                    self._table,
+                    predicates=predicates,
+                    properties={k: v for k, v in options.items() if k.lower() not in _PLACE_KEYS},
+                )
+                return read_range(rows, offset, batch)
+        return read_range(self._load(options), offset, batch)
+
+    def predicates(self, offset: OffsetColumn, batch: BatchRange) -> list[str]:
+        """One SQL condition per connection: disjoint sub-ranges that cover ``batch``."""
+        dialect = self._dialect
+        name = dialect.quoteIdentifier(offset.name)
+        return [
+            f"{name} {'>=' if part.inclusive else '>'} "
+            f"{self._sql_literal(dialect, offset, part.start)} "
+            f"AND {name} <= {self._sql_literal(dialect, offset, part.end)}"
+            for part in split_range(offset, batch, int(self._given.get("numpartitions", "1")))
+        ]
+
+
+def _fetching(given: Mapping[str, str]) -> dict[str, str]:
+    # Some drivers fetch ten rows per round trip unless told otherwise.
+    return {} if "fetchsize" in given else {"fetchsize": _FETCH_ROWS}
 
 
 def _wall_clock(value: datetime) -> str:

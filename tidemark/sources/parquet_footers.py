@@ -20,6 +20,9 @@ from tidemark.functions.offset_column import STRING, OffsetColumn
 
 _FOOTER_THREADS = 32
 
+# One core and a few batches in memory per task, as Spark accounts for it.
+_BATCH_ROWS = 10_000
+
 
 class RowGroup(NamedTuple):
     """What planning needs of one row group."""
@@ -204,7 +207,14 @@ def read_pieces(
             row_groups=groups,
         )
         full = pa.unify_schemas([fragment.physical_schema, schema], promote_options="permissive")
-        batches = fragment.to_batches(schema=full, columns=schema.names, filter=condition)
+        batches = fragment.to_batches(
+            schema=full,
+            columns=schema.names,
+            filter=condition,
+            batch_size=_BATCH_ROWS,
+            batch_readahead=1,
+            use_threads=False,
+        )
         for batch in batches:
             if batch.num_rows:
                 yield batch.cast(schema)
