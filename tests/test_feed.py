@@ -128,6 +128,13 @@ def test_null_offsets_are_never_delivered(spark, folder):
     assert bench.got == {0: [1, 2], 1: [3]}
 
 
+def test_nan_offsets_are_never_delivered_and_hide_nothing(spark, folder):
+    bench = Bench(spark, folder, "c")
+    bench.run([1.0, float("nan"), 2.0])
+    bench.run([1.0, float("nan"), 2.0, 3.0])
+    assert bench.got == {0: [1.0, 2.0], 1: [3.0]}
+
+
 def test_late_rows_are_never_delivered(spark, folder):
     bench = Bench(spark, folder, "a")
     bench.run([1, 5, 9])

@@ -270,6 +270,14 @@ def test_row_groups_of_nulls_only(tmp_path):
     assert ids(r, r.initialOffset(), end) == [1, 2, 3]
 
 
+def test_nan_offsets_are_never_delivered(tmp_path):
+    write(str(tmp_path), "a", {"id": [0.5, float("nan"), 2.0]}, pa.schema([("id", pa.float64())]))
+    r = reader(str(tmp_path))
+    end = r.latestOffset()
+    assert end == offset_dict("id", "0.5", "2.0")
+    assert ids(r, r.initialOffset(), end) == [0.5, 2.0]
+
+
 def test_string_bounds_are_exact_even_if_statistics_are_not(tmp_path, monkeypatch):
     schema = pa.schema([("s", pa.string())])
     write(str(tmp_path), "a", {"s": ["b" * 40 + "1", "c"]}, schema)

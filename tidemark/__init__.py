@@ -1 +1,22 @@
 """Tidemark: growing tables read incrementally, as batches or as streams, on Spark."""
+
+from tidemark.operators.profile import offset_profile
+from tidemark.sources.jdbc import JdbcTable
+from tidemark.sources.tables import FrameTable, ParquetTable
+from tidemark.streaming.datasource import read_stream, register
+from tidemark.streaming.feed import IncrementalFeed, parquet_sink
+from tidemark.streaming.landing import LandedStream
+from tidemark.streaming.offset_log import read_spans
+
+__all__ = [
+    "FrameTable",
+    "IncrementalFeed",
+    "JdbcTable",
+    "LandedStream",
+    "ParquetTable",
+    "offset_profile",
+    "parquet_sink",
+    "read_spans",
+    "read_stream",
+    "register",
+]

@@ -177,6 +177,12 @@ class OffsetColumn:
         """``text`` as a literal of the column's own type, so the filter can be pushed down."""
         return F.lit(self.format(self.parse(text))).cast(self.data_type)
 
+    def orderable(self) -> Column:
+        """The column as bounds see it: NaN orders after everything, so it counts as NULL."""
+        if isinstance(self.data_type, (T.FloatType, T.DoubleType)):
+            return F.nanvl(self.column(), F.lit(None).cast(self.data_type))
+        return self.column()
+
     def carrier(self, column: Column) -> Column:
         """``column`` in a form the driver receives exactly, whatever its time zone."""
         return F.unix_micros(column) if self.kind == TIMESTAMP else column

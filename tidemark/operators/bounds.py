@@ -15,19 +15,19 @@ def start_bound(df: DataFrame, offset: OffsetColumn, at_most: str | None = None)
     """One row: ``MIN(offset)``, of the rows at or below ``at_most`` if given."""
     if at_most is not None:
         df = df.where(offset.column() <= offset.literal(at_most))
-    return df.agg(F.min(offset.column()).alias(START_OFFSET))
+    return df.agg(F.min(offset.orderable()).alias(START_OFFSET))
 
 
 def end_bound(df: DataFrame, offset: OffsetColumn, at_least: str | None = None) -> DataFrame:
     """One row: ``MAX(offset)``, of the rows at or above ``at_least`` if given."""
     if at_least is not None:
         df = df.where(offset.column() >= offset.literal(at_least))
-    return df.agg(F.max(offset.column()).alias(END_OFFSET))
+    return df.agg(F.max(offset.orderable()).alias(END_OFFSET))
 
 
 def both_bounds(df: DataFrame, offset: OffsetColumn) -> DataFrame:
     """One row with MIN and MAX from a single pass, so they belong to the same table state."""
-    c = offset.column()
+    c = offset.orderable()
     return df.agg(F.min(c).alias(START_OFFSET), F.max(c).alias(END_OFFSET))
 
 
