@@ -14,7 +14,6 @@ from tidemark.operators.profile import offset_profile
 from tidemark.operators.ranges import (
     BatchRange,
     range_predicate,
-    read_nothing,
     read_range,
     split_range,
     start_predicate,
@@ -75,7 +74,11 @@ def _range_upper(spark: SparkSession, sf: str, kind: str) -> DataFrame:
 
 
 def _range_empty(spark: SparkSession, sf: str) -> DataFrame:
-    return read_nothing(TRACKED["number"].frame(spark, sf))
+    """From the last offset, excluded, to itself: what a table without news has to give."""
+    df = TRACKED["number"].frame(spark, sf)
+    offset = TRACKED["number"].offset(df)
+    (last,) = fetch_bound(end_bound(df, offset), offset)
+    return read_range(df, offset, BatchRange(last, last))
 
 
 def _first_range_from_param(spark: SparkSession, sf: str) -> DataFrame:

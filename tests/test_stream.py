@@ -332,6 +332,19 @@ def test_nanoseconds_are_refused(tmp_path):
         reader(str(tmp_path))
 
 
+def test_folder_values_keep_their_type(tmp_path):
+    for name, i in (("n=1/s=x", 1), ("n=__HIVE_DEFAULT_PARTITION__/s=a%3Db", 2)):
+        longs(str(tmp_path / name), "a", [i])
+    r = reader(str(tmp_path))
+    rows = [x for p in r.partitions(r.initialOffset(), r.latestOffset()) for b in r.read(p) for x in b.to_pylist()]
+    assert sorted((x["id"], x["n"], x["s"]) for x in rows) == [(1, 1, "x"), (2, None, "a=b")]
+
+
+def test_an_empty_folder_has_no_schema(tmp_path):
+    with pytest.raises(ValueError, match="no Parquet files"):
+        reader(str(tmp_path))
+
+
 # -- under Structured Streaming --------------------------------------------------
 
 
@@ -439,6 +452,29 @@ def test_columns_are_pruned(spark, folder):
     assert got(spark, folder, df, "user_id") == sorted(r[0] for r in whole.collect())
 
 
+def test_tables_spark_wrote_come_back_as_they_were(spark, folder):
+    ident = F.col("id")
+    df = spark.range(0, 100).select(
+        "id",
+        F.timestamp_micros(ident + 1_700_000_000_000_001).alias("instant"),
+        F.lit("x").cast("binary").alias("bytes"),
+        F.array(ident).alias("list"),
+        F.struct(ident, F.lit("q").alias("n")).alias("record"),
+        F.to_json(F.create_map(F.lit("k"), ident)).alias("text"),
+        ident.cast("decimal(12,3)").alias("amount"),
+        ident.cast("short").alias("small"),
+        (ident % 2 == 0).alias("even"),
+        F.when(ident > 5, ident.cast("float")).alias("ratio"),
+        F.lit(None).cast("date").alias("day"),
+    )
+    df.write.parquet(f"{folder}/table")
+    streamed = stream(spark, f"{folder}/table", "id")
+    assert streamed.schema == spark.read.parquet(f"{folder}/table").schema
+    run(streamed, folder)
+    rows = spark.read.schema(streamed.schema).parquet(f"{folder}/out")
+    assert rows.count() == 100 and rows.exceptAll(df).count() == 0
+
+
 def test_stream_joins_and_aggregates(spark, folder):
     events = stream(spark, EVENTS, "ts")
     users = spark.range(0, 100).withColumnRenamed("id", "user_id")

@@ -6,21 +6,22 @@ Footers are read once per file, in parallel; column data is read only by tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from itertools import chain
 from typing import Any, NamedTuple
+from urllib.parse import unquote
 
 import pyarrow as pa
-import pyarrow.dataset as ds
 import pyarrow.parquet as pq
 from pyarrow import fs
 
 from tidemark.functions.offset_column import STRING, OffsetColumn
 
-_FOOTER_THREADS = 32
+# Fixed value: the folder name that stands for NULL.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
-# One core and a few batches in memory per task, as Spark accounts for it.
+_FOOTER_THREADS = 32
 _BATCH_ROWS = 10_000
 
 
@@ -59,9 +60,63 @@ def open_location(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def list_files(system: fs.FileSystem, root: str) -> list[fs.FileInfo]:
+    """The data files of a folder, or the file itself; hidden names are left out as Spark does."""
+    info = system.get_file_info(root)
+    if info.type == fs.FileType.File:
+        return [info]
+    found = system.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
+    return [f for f in found if f.is_file and f.size and not _hidden(_inner(root, f.path))]
+
+
+def _inner(root: str, path: str) -> list[str]:
+    """The names below ``root`` that lead to a file, its own last."""
+    return path[len(root) :].strip("/").split("/")
+
+
+def _hidden(names: list[str]) -> bool:
+    return any(name.startswith((".", "_")) and "=" not in name for name in names)
+
+
 def arrow_schema(uri: str) -> pa.Schema:
-    system, path = open_location(uri)
-    return ds.dataset(path, filesystem=system, format="parquet", partitioning="hive").schema
+    """The columns of the files and of ``key=value`` folders."""
+    system, root = open_location(uri)
+    files = sorted(f.path for f in list_files(system, root))
+    if not files:
+        raise ValueError(f"{uri} has no Parquet files, so its schema is unknown.")
+    with system.open_input_file(files[0]) as source:
+        footer = pq.read_metadata(source)
+    schema = _with_instants(footer)
+    folders: dict[str, set[str]] = {}
+    for path in files:
+        for key, value in _folder_values(root, path).items():
+            folders.setdefault(key, set()).add(value)
+    for key, values in folders.items():
+        if key not in schema.names:
+            schema = schema.append(pa.field(key, _folder_type(values)))
+    return schema.remove_metadata()
+
+
+def _with_instants(footer: pq.FileMetaData) -> pa.Schema:
+    """The columns of a file; the old INT96 timestamps are instants, though Arrow has them zoneless."""
+    schema = footer.schema.to_arrow_schema()
+    for i in range(footer.num_columns):
+        column = footer.schema.column(i)
+        if column.physical_type == "INT96" and column.path in schema.names:
+            place = schema.get_field_index(column.path)
+            schema = schema.set(place, pa.field(column.path, pa.timestamp("us", "UTC")))
+    return schema
+
+
+def _folder_values(root: str, path: str) -> dict[str, str]:
+    pairs = (name.partition("=") for name in _inner(root, path)[:-1])
+    return {key: unquote(value) for key, mark, value in pairs if mark and value != _NULL_FOLDER}
+
+
+def _folder_type(values: set[str]) -> pa.DataType:
+    if not all(v.isdecimal() for v in values):
+        return pa.string()
+    return pa.int32() if max(map(int, values)) < 2**31 else pa.int64()
 
 
 class FooterIndex:
@@ -94,15 +149,8 @@ class FooterIndex:
         return chain.from_iterable(self._groups_of.values())
 
     def _list(self) -> set[FileKey]:
-        found = [self._fs.get_file_info(self._root)]
-        if found[0].type != fs.FileType.File:
-            selector = fs.FileSelector(self._root, recursive=True, allow_not_found=True)
-            found = [f for f in self._fs.get_file_info(selector) if not self._hidden(f.path)]
-        return {FileKey(f.path, f.size, f.mtime_ns) for f in found if f.is_file and f.size}
-
-    def _hidden(self, path: str) -> bool:
-        inner = path[len(self._root) :].strip("/").split("/")
-        return any(part.startswith((".", "_")) and "=" not in part for part in inner)
+        files = list_files(self._fs, self._root)
+        return {FileKey(f.path, f.size, f.mtime_ns) for f in files}
 
     def _footer(self, path: str) -> list[RowGroup]:
         with self._fs.open_input_file(path) as source:
@@ -121,8 +169,8 @@ class FooterIndex:
                 continue
             if stats is None or not stats.has_min_max:
                 raise ValueError(
-                    f"{path} has no statistics for '{self._offset.name}'; "
-                    "follow this table with an IncrementalFeed instead."
+                    f"{path} has no statistics for '{self._offset.name}' (INT96 timestamps never "
+                    "have any): follow this table with an IncrementalFeed instead."
                 )
             least, most = self._value(stats.min), self._value(stats.max)
             groups.append(RowGroup(path, i, least, most, group.total_byte_size))
@@ -192,29 +240,39 @@ def read_pieces(
     uri: str,
     pieces: list[Piece],
     schema: pa.Schema,
-    condition: ds.Expression,
+    offset: str,
+    inside: Callable[[pa.Array], pa.Array],
 ) -> Iterator[pa.RecordBatch]:
-    """The rows of ``pieces`` that meet ``condition``, with the columns and types of ``schema``."""
+    """The rows of ``pieces`` whose offset is ``inside``, as batches of ``schema``.
+
+    One core and a few batches in memory per task, as Spark accounts for it.
+    """
     system, root = open_location(uri)
-    file_format = ds.ParquetFileFormat()
-    partitioning = ds.HivePartitioning(schema)
     for path, groups in pieces:
-        inner = path[len(root) :].strip("/").rpartition("/")[0]
-        fragment = file_format.make_fragment(
-            path,
-            filesystem=system,
-            partition_expression=partitioning.parse(inner + "/"),
-            row_groups=groups,
-        )
-        full = pa.unify_schemas([fragment.physical_schema, schema], promote_options="permissive")
-        batches = fragment.to_batches(
-            schema=full,
-            columns=schema.names,
-            filter=condition,
-            batch_size=_BATCH_ROWS,
-            batch_readahead=1,
-            use_threads=False,
-        )
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.cast(schema)
+        constants = _folder_values(root, path)
+        with system.open_input_file(path) as source:
+            file = pq.ParquetFile(source)
+            names = [n for n in file.schema_arrow.names if n == offset or n in schema.names]
+            batches = file.iter_batches(_BATCH_ROWS, groups, names, use_threads=False)
+            for batch in batches:
+                kept = batch.filter(inside(batch.column(offset)))
+                if kept.num_rows:
+                    yield _fitted(kept, schema, constants)
+
+
+def _fitted(batch: pa.RecordBatch, schema: pa.Schema, constants: dict[str, str]) -> pa.RecordBatch:
+    """``batch`` with exactly the columns of ``schema``; what a file lacks comes from its
+    folder or is NULL."""
+    columns = []
+    for field in schema:
+        if field.name in batch.schema.names:
+            columns.append(_cast(batch.column(field.name), field.type))
+        else:
+            value = pa.scalar(constants.get(field.name), pa.string()).cast(field.type)
+            columns.append(pa.repeat(value, batch.num_rows))
+    return pa.record_batch(columns, schema=schema)
+
+
+def _cast(column: pa.Array, to: pa.DataType) -> pa.Array:
+    # Spark keeps microseconds, whatever finer unit a file was written with.
+    return column.cast(to, safe=not pa.types.is_timestamp(to))

@@ -11,7 +11,7 @@ from functools import cached_property
 from typing import Any
 
 import pyarrow as pa
-import pyarrow.dataset as ds
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
@@ -89,7 +89,8 @@ class JdbcNamedSource(TidemarkSource):
 
 
 def _spark_schema(schema: pa.Schema) -> T.StructType:
-    return from_arrow_schema(schema, prefer_timestamp_ntz=True)
+    # Another file may hold NULLs where this one has none.
+    return from_arrow_schema(schema, prefer_timestamp_ntz=True).toNullable()
 
 
 def _check_declared(declared: T.StructType, stored: T.StructType) -> None:
@@ -198,10 +199,14 @@ class ParquetStreamReader(OffsetStreamReader):
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         pieces, start, end, inclusive = partition.value
-        field = ds.field(self._field)
         low, high = self._scalar(start), self._scalar(end)
-        condition = (field >= low if inclusive else field > low) & (field <= high)
-        return read_pieces(self._uri, pieces, to_arrow_schema(self._schema), condition)
+        above = pc.greater_equal if inclusive else pc.greater
+
+        def inside(offsets: pa.Array) -> pa.Array:
+            return pc.and_(above(offsets, low), pc.less_equal(offsets, high))
+
+        schema = to_arrow_schema(self._schema)
+        return read_pieces(self._uri, pieces, schema, self._field, inside)
 
     def _scalar(self, text: str) -> pa.Scalar:
         return pa.scalar(self._settings.offset.parse(text), type=self._offset_type)
