@@ -13,18 +13,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from catalog.tables import TRACKED, halves
 from tidemark.plans.workspace import shared_folder
-from tidemark.streaming.datasource import TidemarkSource, register
+from tidemark.streaming.datasource import read_stream
 from tidemark.streaming.offset_log import read_spans
 
 _FAMILIES = ("number", "double", "string", "ts", "ties")
 
 
-def _stream(spark: SparkSession, path: str, field: str, **options: str) -> DataFrame:
-    register(spark)
-    reader = spark.readStream.format(TidemarkSource.name()).option("offset.field", field)
-    return reader.options(path=path, **options).load()
-
-
 def _to_parquet(stream: DataFrame, folder: str) -> StreamingQuery:
     """Run what is available through Spark's exactly-once file sink."""
     query = (
@@ -45,26 +39,26 @@ def _drained(spark: SparkSession, stream: DataFrame) -> DataFrame:
 
 def _whole(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     tracked = TRACKED[kind]
-    return _drained(spark, _stream(spark, f"{sf}/{tracked.table}.parquet", tracked.field))
+    return _drained(spark, read_stream(spark, f"{sf}/{tracked.table}.parquet", tracked.field))
 
 
 def _from_param(spark: SparkSession, sf: str) -> DataFrame:
     table = halves(spark, sf, "ts")
     start = {"start.offset": table.lower.end}
-    return _drained(spark, _stream(spark, f"{sf}/events.parquet", "ts", **start))
+    return _drained(spark, read_stream(spark, f"{sf}/events.parquet", "ts", **start))
 
 
 def _columns(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{sf}/lineitem.parquet"
     kept = {"columns": "l_orderkey,l_linenumber,l_quantity"}
-    return _drained(spark, _stream(spark, path, "l_orderkey", **kept))
+    return _drained(spark, read_stream(spark, path, "l_orderkey", **kept))
 
 
 def stream_daily(spark: SparkSession, sf: str) -> DataFrame:
     """Rows and value per day and event type, kept up to date by a streaming aggregation."""
     folder = shared_folder(spark, "daily")
     totals = (
-        _stream(spark, f"{sf}/events.parquet", "ts", columns="ts,event_type,value")
+        read_stream(spark, f"{sf}/events.parquet", "ts", columns="ts,event_type,value")
         .groupBy(F.to_date("ts").alias("day"), "event_type")
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
@@ -96,7 +90,7 @@ class GrowingFolder:
         rows.write.mode("append").parquet(self.table)
 
     def stream(self) -> DataFrame:
-        return _stream(self._spark, self.table, self._field)
+        return read_stream(self._spark, self.table, self._field)
 
     def run(self) -> None:
         """One run of the query; the next one resumes from its checkpoint."""

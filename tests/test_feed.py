@@ -427,3 +427,18 @@ def test_a_batch_in_place_before_its_commit_is_not_landed_again(spark, folder, m
 def test_schema_comes_from_the_table(spark):
     table = ParquetTable(spark, "/root/testdata/sf0.001/events.parquet")
     assert isinstance(table.schema["ts"].dataType, T.TimestampNTZType)
+
+
+@pytest.mark.parametrize("kind", ["byte", "short", "int", "long", "date"])
+@pytest.mark.parametrize("rows", [[], [3, None, 1, 2]], ids=["empty", "rows"])
+def test_footer_bounds_of_every_type_that_uses_them(spark, folder, kind, rows):
+    from tidemark.functions.offset_column import OffsetColumn
+
+    numbers = spark.createDataFrame([(r,) for r in rows], "n int")
+    value = F.date_add(F.lit("2020-01-01").cast("date"), F.col("n")) if kind == "date" else F.col("n")
+    numbers.select(value.cast(kind).alias("v")).write.parquet(f"{folder}/table")
+    table = ParquetTable(spark, f"{folder}/table")
+    c = OffsetColumn.of(table.schema, "v")
+    expected = ("2020-01-02", "2020-01-04") if kind == "date" else ("1", "3")
+    assert table.bounds(c) == (expected if rows else (None, None))
+    assert table.bounds(c, expected[1]) == (None, expected[1] if rows else None)

@@ -332,6 +332,32 @@ def test_nanoseconds_are_refused(tmp_path):
         reader(str(tmp_path))
 
 
+def test_steps_never_split_ties_nor_stand_still(tmp_path):
+    path = str(tmp_path)
+    longs(path, "a", [1] * 30 + [2] * 5, row_group_size=10)
+    longs(path, "b", [2] * 5 + [3] * 5 + [9], row_group_size=10)
+    r = reader(path, rowsPerBatch="10")
+    start, rows, ends = r.initialOffset(), [], []
+    while (end := r.latestOffset()) != start:
+        rows += [ids(r, start, end)]
+        ends.append(end["fieldsOffsets"]["range"]["end"])
+        start = end
+    assert ends == ["1", "3", "9"]
+    assert rows == [[1] * 30, [2] * 10 + [3] * 5, [9]]
+
+
+@pytest.mark.parametrize("start", ["0", "2", "5"])
+def test_steps_from_a_start_offset(tmp_path, start):
+    path = str(tmp_path)
+    longs(path, "a", list(range(10)), row_group_size=2)
+    r = reader(path, rowsPerBatch="3", **{"start.offset": start})
+    at, rows = r.initialOffset(), []
+    while (end := r.latestOffset()) != at:
+        rows += ids(r, at, end)
+        at = end
+    assert rows == list(range(int(start), 10))
+
+
 def test_folder_values_keep_their_type(tmp_path):
     for name, i in (("n=1/s=x", 1), ("n=__HIVE_DEFAULT_PARTITION__/s=a%3Db", 2)):
         longs(str(tmp_path / name), "a", [i])
@@ -379,6 +405,24 @@ def test_running_query_follows_the_table(spark, folder):
     assert ast.literal_eval(str(end)) == offset_dict("id", "5", "6")
 
 
+def test_backlog_is_taken_in_steps(spark, folder):
+    path = f"{folder}/table"
+    for i in range(4):
+        longs(path, f"f{i}", list(range(i * 100, i * 100 + 100)), row_group_size=25)
+    df = stream(spark, path, "id", rowsPerBatch="50")
+    query = (
+        df.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(processingTime="100 milliseconds").start(f"{folder}/out")
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert got(spark, folder, df, "id") == list(range(400))
+    log = read_spans(spark, f"{folder}/checkpoint/offsets").orderBy("batch_id").collect()
+    assert [int(r.end_offset) for r in log] == [49, 99, 149, 199, 249, 299, 349, 399]
+
+
 def test_query_on_an_empty_table_starts_when_data_comes(spark, folder):
     path = f"{folder}/table"
     longs(path, "a", [])

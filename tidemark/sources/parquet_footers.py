@@ -32,6 +32,7 @@ class RowGroup(NamedTuple):
     index: int
     least: Any
     most: Any
+    rows: int
     size: int
 
 
@@ -173,7 +174,7 @@ class FooterIndex:
                     "have any): follow this table with an IncrementalFeed instead."
                 )
             least, most = self._value(stats.min), self._value(stats.max)
-            groups.append(RowGroup(path, i, least, most, group.total_byte_size))
+            groups.append(RowGroup(path, i, least, most, group.num_rows, group.total_byte_size))
         return groups
 
     def _value(self, value: Any) -> Any:
@@ -215,6 +216,23 @@ class FooterIndex:
         values = column.drop_null().to_pylist()
         return max(values) if largest else min(values)
 
+    def end_after(self, rows: int, floor: str | None) -> str | None:
+        """The offset by which about ``rows`` rows lie above ``floor``, if row groups tell.
+
+        Only a proposal for where to end a batch: ends are inclusive, so ties stay together,
+        and what lies beyond is left to the next batch.
+        """
+        passed = None if floor is None else self._offset.parse(floor)
+        ahead = sorted(
+            (g.most, g.rows) for g in self._groups if passed is None or g.most > passed
+        )
+        seen = 0
+        for most, count in ahead:
+            seen += count
+            if seen >= rows:
+                return self._offset.format(most)
+        return None
+
     # -- scan ----------------------------------------------------------------
 
     def pieces(self, start: str, end: str, inclusive: bool, size: int) -> list[list[Piece]]:

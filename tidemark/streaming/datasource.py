@@ -13,7 +13,7 @@ from typing import Any
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
@@ -35,6 +35,7 @@ class TidemarkSource(DataSource):
     whose schema the user declares with ``.schema(...)``. Tracking is set by
     ``offset.field``, ``start.offset`` and ``offset.field.date.format``; ``columns``
     keeps only the named columns, since a stream reader receives no projection.
+    ``rowsPerBatch`` ends Parquet batches after about that many rows, for a backlog.
     """
 
     @classmethod
@@ -119,17 +120,22 @@ class OffsetStreamReader(DataSourceStreamReader):
     def plan(self, start: str, end: str, inclusive: bool) -> Sequence[InputPartition]:
         raise NotImplementedError
 
+    def shorten(self, span: Span, floor: str | None) -> Span:
+        """Extension: ``span``, or a first part of it."""
+        return span
+
     def initialOffset(self) -> dict[str, Any]:
         return offset_dict(self._field)
 
     def latestOffset(self) -> dict[str, Any]:
         if self._current is None:
-            start = self._settings.start
-            self._current = first_span(start, *self.bounds(start))
+            floor = self._settings.start
+            moved = first_span(floor, *self.bounds(floor))
         else:
-            _, most = self.bounds(self._current.end)
-            moved = next_span(self._settings.offset, self._current, most)
-            self._current = moved or self._current
+            floor = self._current.end
+            moved = next_span(self._settings.offset, self._current, self.bounds(floor)[1])
+        if moved is not None:
+            self._current = self.shorten(moved, floor)
         return offset_dict(self._field, *(self._current or ()))
 
     def partitions(self, start: dict[str, Any], end: dict[str, Any]) -> Sequence[InputPartition]:
@@ -171,6 +177,7 @@ class ParquetStreamReader(OffsetStreamReader):
             raise ValueError("Spark has no nanosecond timestamps; store the offset in microseconds.")
         self._offset_type = field_type
         self._size = int(given.get("taskbytes", _TASK_BYTES))
+        self._rows_per_batch = int(given.get("rowsperbatch", "0"))
 
     @cached_property
     def _index(self) -> FooterIndex:
@@ -192,6 +199,15 @@ class ParquetStreamReader(OffsetStreamReader):
             InputPartition((tuple(map(tuple, pieces)), start, end, inclusive)) for pieces in tasks
         ]
 
+    def shorten(self, span: Span, floor: str | None) -> Span:
+        if not self._rows_per_batch:
+            return span
+        end = self._index.end_after(self._rows_per_batch, floor)
+        parse = self._settings.offset.parse
+        if end is None or parse(end) >= parse(span.end) or parse(end) < parse(span.start):
+            return span
+        return Span(span.start, end)
+
     def commit(self, end: dict[str, Any]) -> None:
         span = self._span(end)
         if span is not None:
@@ -240,8 +256,12 @@ def register(spark: SparkSession) -> None:
         spark.dataSource.register(source)
 
 
-def read_stream(spark: SparkSession, path: str, offset_field: str, **options: str):
-    """A Parquet folder as a streaming DataFrame, for options without dots in their names."""
+def read_stream(
+    spark: SparkSession, path: str, offset_field: str, **options: str
+) -> DataFrame:
+    """A Parquet folder as a streaming DataFrame; ``path`` means what it means to Spark."""
     register(spark)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
     reader = spark.readStream.format(TidemarkSource.name()).option(OFFSET_FIELD, offset_field)
-    return reader.options(path=path, **options).load()
+    return reader.options(path=system.makeQualified(place).toString(), **options).load()
