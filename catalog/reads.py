@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.tables import TRACKED, halves
-from tidemark.functions.offset_column import OffsetColumn
+from tidemark.functions.offset_column import OffsetColumn, offset_kind
 from tidemark.operators.bounds import both_bounds, end_bound, fetch_bound, start_bound
 from tidemark.operators.profile import offset_profile
 from tidemark.operators.ranges import (
@@ -19,6 +19,7 @@ from tidemark.operators.ranges import (
     start_predicate,
 )
 from tidemark.plans.progress import Span, batch_range, first_span, next_span
+from tidemark.streaming.datasource import TidemarkSource
 
 _FAMILIES = ("number", "double", "date", "string", "ts")
 _SPLIT_PARTS = 8
@@ -158,6 +159,34 @@ def _offset_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionAll, map(one, _FAMILIES))
 
 
+def _per_column(df: DataFrame, **described: dict[str, str]) -> DataFrame:
+    """One row per column: what is known of it, and how many values the table holds."""
+    columns = list(next(iter(described.values())))
+    rows = [
+        F.struct(
+            F.lit(c).alias("field"),
+            *(F.lit(texts[c]).alias(name) for name, texts in described.items()),
+            F.count(c).alias("n_values"),
+        )
+        for c in columns
+    ]
+    return df.agg(F.array(rows).alias("rows")).select(F.inline("rows"))
+
+
+def _source_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """The schema the stream source finds, against the values Spark reads."""
+    path = f"{sf}/events.parquet"
+    schema = TidemarkSource({"path": path, "offset.field": "ts"}).schema()
+    types = {f.name: f.dataType.simpleString() for f in schema.fields}
+    return _per_column(spark.read.parquet(path), type=types)
+
+
+def _offset_kind(spark: SparkSession, sf: str) -> DataFrame:
+    """The offset family of every column."""
+    df = TRACKED["ties"].frame(spark, sf)
+    return _per_column(df, kind={f.name: offset_kind(f.dataType) for f in df.schema.fields})
+
+
 # -- registry -------------------------------------------------------------
 
 QUERIES = {
@@ -168,10 +197,34 @@ QUERIES = {
     "range_empty": _range_empty,
     "range_split": _range_split,
     "range_ties": partial(_range_upper, kind="ties"),
+    "source_schema": _source_schema,
+    "offset_kind": _offset_kind,
     "offset_profile": _offset_profile,
     "offset_roundtrip": _offset_roundtrip,
 }
 
+_EVENT_TYPES = {
+    "event_id": "bigint",
+    "ts": "timestamp_ntz",
+    "user_id": "bigint",
+    "event_type": "string",
+    "value": "double",
+    "props": "string",
+}
+_LINEITEM_KINDS = {
+    "l_orderkey": "number",
+    "l_partkey": "number",
+    "l_suppkey": "number",
+    "l_linenumber": "number",
+    "l_quantity": "number",
+    "l_extendedprice": "number",
+    "l_discount": "number",
+    "l_tax": "number",
+    "l_returnflag": "string",
+    "l_linestatus": "string",
+    "l_shipdate": "timestamp_ntz",
+}
+
 SQL = {
     "end_beyond": (
         "SELECT MAX(event_id) AS end_offset FROM events "
@@ -202,6 +255,14 @@ SQL = {
         f"WITH {TRACKED['ties'].sql_bounds} "
         "SELECT * FROM lineitem WHERE l_orderkey > (SELECT mid FROM m)"
     ),
+    "source_schema": " UNION ALL ".join(
+        f"SELECT '{c}' AS field, '{t}' AS type, COUNT({c}) AS n_values FROM events"
+        for c, t in _EVENT_TYPES.items()
+    ),
+    "offset_kind": " UNION ALL ".join(
+        f"SELECT '{c}' AS field, '{k}' AS kind, COUNT({c}) AS n_values FROM lineitem"
+        for c, k in _LINEITEM_KINDS.items()
+    ),
     "offset_profile": " UNION ALL ".join(
         f"SELECT '{field}' AS field, '{kind}' AS kind, COUNT(*) AS n_rows, "
         f"COUNT(*) - COUNT({field}) AS n_nulls, COUNT(DISTINCT {field}) AS n_distinct, "

@@ -368,6 +368,18 @@ def test_a_hot_value_is_one_batch(spark, folder):
     assert sorted(sizes.values())[-1] >= 300 and sorted(sizes.values())[-2] <= 80
 
 
+@pytest.mark.parametrize("first", [2**62, -(2**63), 2**63 - 1001])
+def test_dense_keys_beyond_double_precision(spark, folder, first):
+    sizes, values = delivered(spark, folder, spark.range(first, first + 1000), "id", 100)
+    assert len(values) == 1000 and max(sizes.values()) <= 120
+
+
+def test_keys_over_the_whole_range(spark, folder):
+    df = spark.createDataFrame([(v,) for v in (-(2**63), -5, 0, 5, 2**63 - 1)], "v long")
+    _, values = delivered(spark, folder, df, "v", 2)
+    assert len(values) == 5
+
+
 def test_more_batches_than_one_round_plans(spark, folder, monkeypatch):
     import tidemark.operators.batch_cuts as cuts
 

@@ -38,6 +38,8 @@ def batch_ends(df: DataFrame, offset: OffsetColumn, batch: BatchRange, rows: int
         return [batch.end]
     if offset.kind == STRING:
         cuts = _string_cuts(scoped, batch, shares)
+    elif offset.integral:
+        cuts = _whole_number_cuts(scoped, offset, batch, shares)
     else:
         cuts = scoped.select(
             F.transform(_quantiles(F.col("c"), shares), offset.carrier)
@@ -50,6 +52,18 @@ def _quantiles(column: Column, shares: list[float]) -> Column:
     return F.percentile_approx(column, shares, accuracy)
 
 
+def _whole_number_cuts(
+    scoped: DataFrame, offset: OffsetColumn, batch: BatchRange, shares: list[float]
+) -> list[int]:
+    """Quantiles of the distance from the start: the sketch works on doubles, which hold
+    only 53 bits, and large keys lie closer together than that."""
+    low, high = offset.parse(batch.start), offset.parse(batch.end)
+    base = low if high - low < 2**63 else 0
+    distance = F.col("c").cast("long") - F.lit(base).cast("long")
+    found = scoped.select(_quantiles(distance, shares)).first()[0]
+    return [base + distance for distance in found]
+
+
 def _string_cuts(scoped: DataFrame, batch: BatchRange, shares: list[float]) -> list[str]:
     """Quantiles of a numeric key that orders like the strings, mapped back to real values.
 
