@@ -1,92 +1,126 @@
-"""Extension: where to end batches of about ``rows`` rows, without splitting ties."""
+"""Extension: where to end batches of at most ``rows`` rows, without splitting ties."""
 
 from __future__ import annotations
 
-import math
 import os
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.offset_column import STRING, OffsetColumn
+from tidemark.functions.offset_column import (
+    DATE,
+    STRING,
+    TIMESTAMP,
+    TIMESTAMP_NTZ,
+    OffsetColumn,
+)
 from tidemark.operators.ranges import BatchRange, read_range
 
+BUCKETS = 1000
 CUTS_PER_ROUND = 1000
-STRING_CUTS_PER_ROUND = 100
 
-# Bytes of a string that take part in its numeric key: 48 bits are exact in a double.
+# Bytes of a string that take part in its key: 48 bits are exact in a double.
 _KEY_BYTES = 6
 
 
+class Bucket(NamedTuple):
+    """A run of neighbouring offsets: how many rows, the least and the largest of them."""
+
+    rows: int
+    least: str
+    most: str
+
+
 def batch_ends(df: DataFrame, offset: OffsetColumn, batch: BatchRange, rows: int) -> list[str]:
-    """End offsets that cut ``batch`` into consecutive batches of about ``rows`` rows.
+    """End offsets that cut ``batch`` into consecutive batches of at most ``rows`` rows.
+
+    The offset column is counted into buckets, which combines map-side and spreads over
+    reducers; only the bucket totals reach the driver. A bucket that alone holds more than
+    ``rows`` rows is counted again more finely, until it is a single offset value: its rows
+    stay together in one batch, however many they are.
 
-    One counting and one sketching pass over the offset column serve all cuts of a
-    round; the sketch merges map-side and has a fixed size. A cut is an inclusive
-    end, so rows that share a value stay in one batch, however many they are. The
-    last end is ``batch.end``, unless the range needs more cuts than a round holds:
-    then the caller asks again from the last end.
+    The last end is ``batch.end``, unless there are more cuts than a round plans: then the
+    caller asks again from the last end.
     """
     if rows < 1:
         raise ValueError("A batch needs at least one row.")
-    scoped = read_range(df, offset, batch).select(offset.column().alias("c"))
-    total = scoped.count()
-    needed = math.ceil(total / rows)
-    most = STRING_CUTS_PER_ROUND if offset.kind == STRING else CUTS_PER_ROUND
-    shares = [i * rows / total for i in range(1, min(needed, most + 1))]
-    if not shares:
-        return [batch.end]
+    buckets = _buckets(df, offset, batch)
+    ends: list[str] = []
+    open_rows, open_end = 0, None
+    for bucket in buckets:
+        if open_rows and open_rows + bucket.rows > rows:
+            ends.append(open_end)
+            open_rows = 0
+        if len(ends) >= CUTS_PER_ROUND:
+            return ends
+        if bucket.rows > rows and len(buckets) > 1 and bucket.least != bucket.most:
+            ends += batch_ends(df, offset, BatchRange(bucket.least, bucket.most, True), rows)
+        else:
+            open_rows, open_end = open_rows + bucket.rows, bucket.most
+    if len(ends) >= CUTS_PER_ROUND or (ends and ends[-1] == batch.end):
+        return ends
+    return [*ends, batch.end]
+
+
+def _buckets(df: DataFrame, offset: OffsetColumn, batch: BatchRange) -> list[Bucket]:
+    """The rows of ``batch`` in at most ``BUCKETS`` buckets, in the order of the offsets."""
+    key, span = _key(offset, batch)
+    bucket = F.floor(key / F.lit(max(span / BUCKETS, 1e-300)))
+    c = offset.column()
+    counted = (
+        read_range(df, offset, batch)
+        .groupBy(bucket.alias("bucket"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            offset.carrier(F.min(c)).alias("least"),
+            offset.carrier(F.max(c)).alias("most"),
+        )
+    )
+    found = sorted(counted.collect(), key=lambda r: r["bucket"])
+    carried = offset.from_carrier
+    return [Bucket(r["rows"], carried(r["least"]), carried(r["most"])) for r in found]
+
+
+def _key(offset: OffsetColumn, batch: BatchRange) -> tuple[Column, float]:
+    """A double that grows with the offset, from 0 at the start of ``batch``, and its end.
+
+    It need not tell close offsets apart, only never order two of them the other way round.
+    """
+    c = offset.column()
     if offset.kind == STRING:
-        cuts = _string_cuts(scoped, batch, shares)
-    elif offset.integral:
-        cuts = _whole_number_cuts(scoped, offset, batch, shares)
+        return _string_key(c, batch)
+    low, high = offset.to_point(batch.start), offset.to_point(batch.end)
+    if offset.kind == DATE:
+        points = F.datediff(c, offset.literal(batch.start))
+    elif offset.kind == TIMESTAMP:
+        points = F.unix_micros(c) - F.lit(low)
+    elif offset.kind == TIMESTAMP_NTZ:
+        points = _wall_clock_micros(c) - F.lit(low)
+    elif offset.integral and high - low < 2**63:
+        # Large neighbouring keys are equal as doubles, their distances are not.
+        points = c.cast("long") - F.lit(low).cast("long")
     else:
-        cuts = scoped.select(
-            F.transform(_quantiles(F.col("c"), shares), offset.carrier)
-        ).first()[0]
-    return _increasing(offset, batch, [offset.from_carrier(c) for c in cuts], needed <= most)
-
-
-def _quantiles(column: Column, shares: list[float]) -> Column:
-    accuracy = max(10_000, 10 * len(shares))
-    return F.percentile_approx(column, shares, accuracy)
-
-
-def _whole_number_cuts(
-    scoped: DataFrame, offset: OffsetColumn, batch: BatchRange, shares: list[float]
-) -> list[int]:
-    """Quantiles of the distance from the start: the sketch works on doubles, which hold
-    only 53 bits, and large keys lie closer together than that."""
-    low, high = offset.parse(batch.start), offset.parse(batch.end)
-    base = low if high - low < 2**63 else 0
-    distance = F.col("c").cast("long") - F.lit(base).cast("long")
-    found = scoped.select(_quantiles(distance, shares)).first()[0]
-    return [base + distance for distance in found]
-
-
-def _string_cuts(scoped: DataFrame, batch: BatchRange, shares: list[float]) -> list[str]:
-    """Quantiles of a numeric key that orders like the strings, mapped back to real values.
-
-    All strings of the range share the common prefix of its bounds, so the key is
-    taken from the bytes right after it.
-    """
-    shared = len(os.path.commonprefix([batch.start.encode(), batch.end.encode()]))
-    window = F.substring(F.col("c").cast("binary"), shared + 1, _KEY_BYTES)
-    key = F.conv(F.rpad(F.hex(window), 2 * _KEY_BYTES, "0"), 16, 10).cast("long")
-    keyed = scoped.select("c", key.alias("key"))
-    marks = sorted(set(keyed.select(_quantiles(F.col("key"), shares)).first()[0]))
-    bucket = F.size(F.filter(F.lit(marks), lambda mark: mark < F.col("key")))
-    tops = keyed.groupBy(bucket.alias("bucket")).agg(F.max("c").alias("top"))
-    return [r["top"] for r in tops.where(F.col("bucket") < len(marks)).collect()]
-
-
-def _increasing(
-    offset: OffsetColumn, batch: BatchRange, cuts: list[str], complete: bool
-) -> list[str]:
-    """Distinct cuts inside the range in order, closed by its end if nothing is left over."""
-    last = offset.parse(batch.end)
-    first = offset.parse(batch.start)
-    inside = {offset.parse(c) for c in cuts}
-    kept = sorted(c for c in inside if c < last and (c > first or (batch.inclusive and c == first)))
-    ends = [offset.format(c) for c in kept]
-    return [*ends, batch.end] if complete or not ends else ends
+        # Halved, since the distance of two doubles may not fit in one.
+        points = c.cast("double") / 2 - F.lit(float(low) / 2)
+        return points, float(high) / 2 - float(low) / 2
+    return points.cast("double"), float(high - low)
+
+
+def _wall_clock_micros(c: Column) -> Column:
+    """Microseconds of a zoneless timestamp, without a detour through the session's zone."""
+    minutes = (F.unix_date(F.to_date(c)).cast("long") * 24 + F.hour(c)) * 60 + F.minute(c)
+    return minutes * 60_000_000 + (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long")
+
+
+def _string_key(c: Column, batch: BatchRange) -> tuple[Column, float]:
+    """The bytes after the common prefix of the bounds, which all strings between them share."""
+    low, high = batch.start.encode(), batch.end.encode()
+    shared = len(os.path.commonprefix([low, high]))
+    window = F.substring(c.cast("binary"), shared + 1, _KEY_BYTES)
+    number = F.conv(F.rpad(F.hex(window), 2 * _KEY_BYTES, "0"), 16, 10).cast("long")
+    first, last = (
+        int.from_bytes(b[shared : shared + _KEY_BYTES].ljust(_KEY_BYTES, b"\0"), "big")
+        for b in (low, high)
+    )
+    return (number - F.lit(first)).cast("double"), float(last - first)
