@@ -379,6 +379,23 @@ def test_keys_over_the_whole_range(spark, folder):
     assert len(values) == 5
 
 
+def test_a_start_offset_far_below_the_data(spark, folder):
+    df = spark.range(10**12, 10**12 + 1000)
+    feed = IncrementalFeed(
+        spark, FrameTable(lambda: df), {"offset.field": "id", "start.offset": "0"},
+        f"{folder}/log", rows_per_batch=100,
+    )
+    sizes = []
+    feed.run_available(lambda batch, _: sizes.append(batch.count()))
+    assert sum(sizes) == 1000 and max(sizes) <= 100
+
+
+def test_infinite_offsets_are_one_batch(spark, folder):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),)], "v double")
+    sizes, values = delivered(spark, folder, df, "v", 1)
+    assert sizes == {0: 3}
+
+
 def test_more_batches_than_one_round_plans(spark, folder, monkeypatch):
     import tidemark.operators.batch_cuts as cuts
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 from typing import NamedTuple
 
@@ -45,7 +46,10 @@ def batch_ends(df: DataFrame, offset: OffsetColumn, batch: BatchRange, rows: int
     """
     if rows < 1:
         raise ValueError("A batch needs at least one row.")
-    buckets = _buckets(df, offset, batch)
+    key, span = _key(offset, batch)
+    if not math.isfinite(span):
+        return [batch.end]
+    buckets = _buckets(read_range(df, offset, batch), offset, key, span)
     ends: list[str] = []
     open_rows, open_end = 0, None
     for bucket in buckets:
@@ -54,8 +58,10 @@ def batch_ends(df: DataFrame, offset: OffsetColumn, batch: BatchRange, rows: int
             open_rows = 0
         if len(ends) >= CUTS_PER_ROUND:
             return ends
-        if bucket.rows > rows and len(buckets) > 1 and bucket.least != bucket.most:
-            ends += batch_ends(df, offset, BatchRange(bucket.least, bucket.most, True), rows)
+        inner = BatchRange(bucket.least, bucket.most, True)
+        divisible = bucket.least != bucket.most and (len(buckets) > 1 or inner != batch)
+        if bucket.rows > rows and divisible:
+            ends += batch_ends(df, offset, inner, rows)
         else:
             open_rows, open_end = open_rows + bucket.rows, bucket.most
     if len(ends) >= CUTS_PER_ROUND or (ends and ends[-1] == batch.end):
@@ -63,23 +69,20 @@ def batch_ends(df: DataFrame, offset: OffsetColumn, batch: BatchRange, rows: int
     return [*ends, batch.end]
 
 
-def _buckets(df: DataFrame, offset: OffsetColumn, batch: BatchRange) -> list[Bucket]:
-    """The rows of ``batch`` in at most ``BUCKETS`` buckets, in the order of the offsets."""
-    key, span = _key(offset, batch)
+def _buckets(rows: DataFrame, offset: OffsetColumn, key: Column, span: float) -> list[Bucket]:
+    """The rows in some ``BUCKETS`` buckets of equal width, in the order of the offsets."""
     bucket = F.floor(key / F.lit(max(span / BUCKETS, 1e-300)))
     c = offset.column()
-    counted = (
-        read_range(df, offset, batch)
-        .groupBy(bucket.alias("bucket"))
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            offset.carrier(F.min(c)).alias("least"),
-            offset.carrier(F.max(c)).alias("most"),
-        )
+    counted = rows.groupBy(bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        offset.carrier(F.min(c)).alias("least"),
+        offset.carrier(F.max(c)).alias("most"),
     )
-    found = sorted(counted.collect(), key=lambda r: r["bucket"])
     carried = offset.from_carrier
-    return [Bucket(r["rows"], carried(r["least"]), carried(r["most"])) for r in found]
+    return [
+        Bucket(r["rows"], carried(r["least"]), carried(r["most"]))
+        for r in sorted(counted.collect(), key=lambda r: r["bucket"])
+    ]
 
 
 def _key(offset: OffsetColumn, batch: BatchRange) -> tuple[Column, float]:
