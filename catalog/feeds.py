@@ -261,7 +261,7 @@ QUERIES = {
 }
 
 _LOG_SQL = (
-    "SELECT 0 AS batch_id, 'event_id' AS field, CAST(lo AS VARCHAR) AS start_offset, "
+    "SELECT CAST(0 AS BIGINT) AS batch_id, 'event_id' AS field, CAST(lo AS VARCHAR) AS start_offset, "
     "CAST(s3 AS VARCHAR) AS end_offset FROM s UNION ALL "
     "SELECT 1, 'event_id', CAST(s3 AS VARCHAR), CAST(s7 AS VARCHAR) FROM s UNION ALL "
     "SELECT 2, 'event_id', CAST(s7 AS VARCHAR), CAST(hi AS VARCHAR) FROM s"

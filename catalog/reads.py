@@ -278,7 +278,7 @@ SQL = {
     ),
     "offset_roundtrip": " UNION ALL ".join(
         f"SELECT '{kind}' AS kind, '{TRACKED[family].field}' AS field, "
-        f"COUNT({TRACKED[family].field}) AS n_values, 0 AS n_changed "
+        f"COUNT({TRACKED[family].field}) AS n_values, CAST(0 AS BIGINT) AS n_changed "
         f"FROM {TRACKED[family].sql_table}"
         for family, kind in (
             ("number", "number"),

@@ -236,7 +236,7 @@ SQL = {
     "stream_restart_date": "SELECT *, CAST(o_orderdate AS DATE) AS o_date FROM orders",
     "stream_restart_string": "SELECT * FROM customer",
     "stream_checkpoint": (
-        f"{_NUMBER_BOUNDS} SELECT 0 AS batch_id, 'event_id' AS field, "
+        f"{_NUMBER_BOUNDS} SELECT CAST(0 AS BIGINT) AS batch_id, 'event_id' AS field, "
         "CAST(lo AS VARCHAR) AS start_offset, CAST(mid AS VARCHAR) AS end_offset FROM m "
         "UNION ALL SELECT 1, 'event_id', CAST(mid AS VARCHAR), CAST(hi AS VARCHAR) FROM m"
     ),

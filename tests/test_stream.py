@@ -225,12 +225,50 @@ def test_tasks_are_runs_of_row_groups_that_can_match(tmp_path):
     longs(path, "b", list(range(100, 200)), row_group_size=10)
     r = reader(path, taskBytes="1")
     parts = r.partitions(offset_dict("id", "0", "44"), offset_dict("id", "44", "121"))
-    groups = [(Path(p).stem, g) for part in parts for p, gs in part.value[0] for g in gs]
+    groups = [(Path(p).stem, g) for part in parts for p, gs, _ in part.value[0] for g in gs]
     assert sorted(groups) == [("a", i) for i in range(4, 10)] + [("b", i) for i in range(3)]
     assert len(parts) == len(groups)
     assert ids(r, offset_dict("id", "0", "44"), offset_dict("id", "44", "121")) == list(range(45, 122))
 
 
+def test_tasks_grow_with_the_batch_but_not_without_end():
+    from tidemark.sources.parquet_footers import _task_size
+
+    mega = 1024 * 1024
+    assert _task_size(0) == _task_size(300_000 * mega) == 32 * mega
+    assert _task_size(640_000 * mega) == 64 * mega
+    assert _task_size(100_000_000 * mega) == 128 * mega
+
+
+def test_wide_rows_come_in_small_batches(tmp_path):
+    import random
+
+    words = random.Random(1)
+    wide = ["".join(words.choices("abcdefghij", k=100_000)) for _ in range(400)]
+    write(str(tmp_path), "a", {"id": list(range(400)), "v": wide}, LONGS, use_dictionary=False)
+    r = reader(str(tmp_path))
+    (part,) = r.partitions(r.initialOffset(), r.latestOffset())
+    sizes = [(b.num_rows, b.nbytes) for b in r.read(part)]
+    assert sum(n for n, _ in sizes) == 400 and max(size for _, size in sizes) < 20_000_000
+
+
+def test_only_row_groups_inside_the_range_skip_the_filter(tmp_path):
+    path = str(tmp_path)
+    longs(path, "a", list(range(0, 40)), row_group_size=10)
+    write(path, "b", {"id": [15, None, 16], "v": ["x", "y", "z"]}, LONGS)
+    r = reader(path)
+    start, end = offset_dict("id", "0", "9"), offset_dict("id", "9", "34")
+    whole = {(Path(p).stem, g): w for part in r.partitions(start, end) for p, gs, w in part.value[0] for g in gs}
+    assert whole == {("a", 1): True, ("a", 2): True, ("a", 3): False, ("b", 0): False}
+    assert ids(r, start, end) == sorted([*range(10, 35), 15, 16])
+    first = offset_dict("id", "0", "9")
+    (part,) = r.partitions(r.initialOffset(), first)
+    assert [w for _, _, w in part.value[0]] == [True]
+    shifted = reader(path)
+    (part,) = shifted.partitions(offset_dict("id", "-5", "0"), first)
+    assert [w for _, _, w in part.value[0]] == [False] and ids(shifted, offset_dict("id", "-5", "0"), first) == list(range(1, 10))
+
+
 def test_partition_folders_become_columns(tmp_path):
     for day in ("2024-01-01", "2024-01-02"):
         longs(str(tmp_path / f"region=eu/day={day}"), "a", [int(day[-1])])

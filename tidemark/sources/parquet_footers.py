@@ -15,6 +15,7 @@ from urllib.parse import unquote
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
+from pyspark.sql import types as T
 
 from tidemark.functions.offset_column import STRING, OffsetColumn
 
@@ -22,11 +23,15 @@ from tidemark.functions.offset_column import STRING, OffsetColumn
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 _FOOTER_THREADS = 32
-_BATCH_ROWS = 10_000
+_BATCH_ROWS = 32_768
+_BATCH_BYTES = 16 * 1024 * 1024
+_SMALLEST_TASK = 32 * 1024 * 1024
+_LARGEST_TASK = 128 * 1024 * 1024
+_MANY_TASKS = 10_000
 
 
 class RowGroup(NamedTuple):
-    """What planning needs of one row group."""
+    """What planning needs of one row group; ``complete`` if its bounds speak for every row."""
 
     path: str
     index: int
@@ -34,6 +39,7 @@ class RowGroup(NamedTuple):
     most: Any
     rows: int
     size: int
+    complete: bool
 
 
 class FileKey(NamedTuple):
@@ -45,10 +51,11 @@ class FileKey(NamedTuple):
 
 
 class Piece(NamedTuple):
-    """Row groups of one file, read by one task."""
+    """Row groups of one file, read by one task; ``whole`` if every row is wanted."""
 
     path: str
     groups: list[int]
+    whole: bool
 
 
 def open_location(uri: str) -> tuple[fs.FileSystem, str]:
@@ -126,6 +133,7 @@ class FooterIndex:
     def __init__(self, uri: str, offset: OffsetColumn) -> None:
         self._fs, self._root = open_location(uri)
         self._offset = offset
+        self._floating = isinstance(offset.data_type, (T.FloatType, T.DoubleType))
         self._groups_of: dict[FileKey, list[RowGroup]] = {}
         self.loaded = False
 
@@ -174,7 +182,10 @@ class FooterIndex:
                     "have any): follow this table with an IncrementalFeed instead."
                 )
             least, most = self._value(stats.min), self._value(stats.max)
-            groups.append(RowGroup(path, i, least, most, group.num_rows, group.total_byte_size))
+            # A missing NULL count may hide NULLs, and statistics pass over NaN.
+            complete = stats.has_null_count and stats.null_count == 0 and not self._floating
+            size = group.total_byte_size
+            groups.append(RowGroup(path, i, least, most, group.num_rows, size, complete))
         return groups
 
     def _value(self, value: Any) -> Any:
@@ -235,25 +246,39 @@ class FooterIndex:
 
     # -- scan ----------------------------------------------------------------
 
-    def pieces(self, start: str, end: str, inclusive: bool, size: int) -> list[list[Piece]]:
+    def pieces(
+        self, start: str, end: str, inclusive: bool, size: int | None = None
+    ) -> list[list[Piece]]:
         """The row groups that can hold the range, packed into tasks of about ``size`` bytes."""
         low, high = self._offset.parse(start), self._offset.parse(end)
+        wanted = [
+            g for g in self._groups
+            if g.least <= high and (g.most > low or (inclusive and g.most == low))
+        ]
+        if size is None:
+            size = _task_size(sum(g.size for g in wanted))
         tasks: list[list[Piece]] = []
         filled = size
-        for group in self._groups:
-            if group.least > high or group.most < low or (group.most == low and not inclusive):
-                continue
+        for group in wanted:
             if filled >= size:
                 tasks.append([])
                 filled = 0
-            if tasks[-1] and tasks[-1][-1].path == group.path:
-                tasks[-1][-1].groups.append(group.index)
+            above = group.least >= low if inclusive else group.least > low
+            whole = group.complete and above and group.most <= high
+            last = tasks[-1][-1] if tasks[-1] else None
+            if last and (last.path, last.whole) == (group.path, whole):
+                last.groups.append(group.index)
             else:
-                tasks[-1].append(Piece(group.path, [group.index]))
+                tasks[-1].append(Piece(group.path, [group.index], whole))
             filled += group.size
         return tasks
 
 
+def _task_size(total: int) -> int:
+    """Small tasks keep all cores busy; a large batch takes larger ones, to bound their number."""
+    return min(_LARGEST_TASK, max(_SMALLEST_TASK, total // _MANY_TASKS))
+
+
 def read_pieces(
     uri: str,
     pieces: list[Piece],
@@ -266,18 +291,25 @@ def read_pieces(
     One core and a few batches in memory per task, as Spark accounts for it.
     """
     system, root = open_location(uri)
-    for path, groups in pieces:
+    for path, groups, whole in pieces:
         constants = _folder_values(root, path)
         with system.open_input_file(path) as source:
             file = pq.ParquetFile(source)
             names = [n for n in file.schema_arrow.names if n == offset or n in schema.names]
-            batches = file.iter_batches(_BATCH_ROWS, groups, names, use_threads=False)
-            for batch in batches:
-                kept = batch.filter(inside(batch.column(offset)))
+            step = _batch_rows(file.metadata, groups)
+            for batch in file.iter_batches(step, groups, names, use_threads=False):
+                kept = batch if whole else batch.filter(inside(batch.column(offset)))
                 if kept.num_rows:
                     yield _fitted(kept, schema, constants)
 
 
+def _batch_rows(footer: pq.FileMetaData, groups: list[int]) -> int:
+    """Fewer rows per batch where they are wide, so that a batch stays small in memory."""
+    found = [footer.row_group(i) for i in groups]
+    width = max(g.total_byte_size // max(g.num_rows, 1) for g in found)
+    return max(1, min(_BATCH_ROWS, _BATCH_BYTES // max(width, 1)))
+
+
 def _fitted(batch: pa.RecordBatch, schema: pa.Schema, constants: dict[str, str]) -> pa.RecordBatch:
     """``batch`` with exactly the columns of ``schema``; what a file lacks comes from its
     folder or is NULL."""

@@ -25,8 +25,6 @@ from tidemark.plans.settings import OFFSET_FIELD, Settings
 from tidemark.sources.dbapi import DbApiTable, Slice
 from tidemark.sources.parquet_footers import FooterIndex, arrow_schema, read_pieces
 
-_TASK_BYTES = 128 * 1024 * 1024
-
 
 class TidemarkSource(DataSource):
     """A growing table as a stream, tracked by one increasing column.
@@ -176,7 +174,7 @@ class ParquetStreamReader(OffsetStreamReader):
         if pa.types.is_timestamp(field_type) and field_type.unit == "ns":
             raise ValueError("Spark has no nanosecond timestamps; store the offset in microseconds.")
         self._offset_type = field_type
-        self._size = int(given.get("taskbytes", _TASK_BYTES))
+        self._size = int(given["taskbytes"]) if "taskbytes" in given else None
         self._rows_per_batch = int(given.get("rowsperbatch", "0"))
 
     @cached_property
