@@ -12,6 +12,7 @@ import sys
 import tempfile
 import time
 from collections.abc import Callable
+from functools import partial
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,7 +102,7 @@ def cases(spark: SparkSession) -> dict[str, Callable[[], object]]:
         "drain_one_batch": lambda: drain(lineitem, "l_orderkey"),
         "drain_one_batch_split_files": lambda: drain(split, "l_orderkey"),
         "drain_ten_batches": lambda: drain(split, "l_orderkey", rows // 10),
-        "plan_ten_batches": lambda: batch_ends(split.frame(), key, whole, rows // 10),
+        "plan_ten_batches": lambda: batch_ends(partial(split.read, key), key, whole, rows // 10),
         "no_new_data": lambda: idle.run_available(parquet_sink(idle_out)),
         "offset_profile": lambda: offset_profile(lineitem.frame(), "l_orderkey").collect(),
         "stream_events": lambda: stream(f"{SF}/events.parquet", "event_id"),

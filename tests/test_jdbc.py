@@ -1,6 +1,7 @@
 """The JDBC table without a database: what it asks of Spark's reader, and whether the SQL is right."""
 
 from datetime import datetime
+from functools import reduce
 
 import duckdb
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import types as T
 from tidemark.functions.offset_column import OffsetColumn
 from tidemark.operators.ranges import BatchRange
 from tidemark.sources.jdbc import JdbcTable
+from tidemark.streaming.feed import IncrementalFeed
 
 EVENTS = "read_parquet('/root/testdata/sf0.001/events.parquet')"
 OPTIONS = {
@@ -204,3 +206,87 @@ def test_timestamps_with_zone_use_the_jvm_clock(spark):
 
     wall = datetime.fromisoformat(text).astimezone(ZoneInfo(zone))
     assert sql.endswith(f"'{wall:%Y-%m-%d %H:%M:%S.%f}'")
+
+
+# -- a whole feed ------------------------------------------------------------
+
+
+class DuckReader:
+    """Spark's JDBC reader, with DuckDB answering the SQL that a database would get."""
+
+    def __init__(self, spark, con):
+        self._spark, self._con, self._jvm = spark, con, spark._jvm
+        self.asked = []
+
+    @property
+    def read(self):
+        return self
+
+    def format(self, name):
+        assert name == "jdbc"
+        return self
+
+    def options(self, **options):
+        self._given = options
+        return self
+
+    def _run(self, sql):
+        self.asked.append(sql)
+        return self._spark.createDataFrame(self._con.execute(sql).to_arrow_table())
+
+    def load(self):
+        return self._run(self._given.get("query") or f"SELECT * FROM {self._given['dbtable']}")
+
+    def jdbc(self, url, table, predicates, properties):
+        parts = [self._run(f"SELECT * FROM {table} WHERE {p}") for p in predicates]
+        return reduce(lambda a, b: a.unionAll(b), parts)
+
+
+@pytest.mark.parametrize("field", ["event_id", "ts", "value", "event_type"])
+@pytest.mark.parametrize("parts", ["1", "4"])
+def test_feed_follows_a_growing_table(spark, folder, field, parts):
+    con = duckdb.connect()
+
+    def show(share):
+        con.execute(
+            f"CREATE OR REPLACE VIEW shown AS SELECT * FROM {EVENTS} WHERE {field} <= "
+            f"(SELECT quantile_disc({field}, {share}) FROM {EVENTS})"
+        )
+
+    got = {}
+
+    def sink(batch, batch_id):
+        got[batch_id] = [r.event_id for r in batch.collect()]
+
+    for share in (0.3, 0.3, 0.7, 1.0):
+        show(share)
+        reader = DuckReader(spark, con)
+        table = JdbcTable(reader, {**OPTIONS, "dbtable": "shown", "numPartitions": parts})
+        feed = IncrementalFeed(spark, table, {"offset.field": field}, f"{folder}/log")
+        feed.run_available(sink)
+        assert [q for q in reader.asked if "MAX(" in q][0].count("MAX(") == 1
+    delivered = [i for ids in got.values() for i in ids]
+    assert len(got) == 3 and sorted(delivered) == list(range(1000))
+
+
+def test_strings_over_jdbc_are_not_cut(spark, folder):
+    table = JdbcTable(DuckReader(spark, duckdb.connect()), OPTIONS)
+    with pytest.raises(ValueError, match="cannot be cut"):
+        IncrementalFeed(
+            spark, table, {"offset.field": "event_type"}, f"{folder}/log", rows_per_batch=9
+        )
+
+
+def test_capped_feed_over_jdbc(spark, folder):
+    reader = DuckReader(spark, duckdb.connect())
+    table = JdbcTable(reader, {**OPTIONS, "numPartitions": "3"})
+    got = []
+    feed = IncrementalFeed(
+        spark, table, {"offset.field": "ts"}, f"{folder}/log", rows_per_batch=300
+    )
+    feed.run_available(lambda batch, _: got.append([r.event_id for r in batch.collect()]))
+    assert max(map(len, got)) <= 300 and sorted(sum(got, [])) == list(range(1000))
+    # Planning the cuts reads over all connections too: only the schema is taken from the whole.
+    assert [q for q in reader.asked if "WHERE" not in q and "MIN(" not in q] == [
+        f"SELECT * FROM {EVENTS}"
+    ]

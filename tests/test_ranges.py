@@ -180,6 +180,13 @@ def test_next_span_moves_only_up_and_by_value():
     assert next_span(c, Span("1", "9"), None) is None
 
 
+def test_strings_move_in_the_order_of_their_source():
+    """In a case-blind collation 'B' comes after 'a', though its byte is smaller."""
+    c = column(T.StringType())
+    assert next_span(c, Span("A", "a"), "B") == Span("a", "B")
+    assert next_span(c, Span("A", "a"), "a") is None
+
+
 def test_equal_offsets_in_other_words_are_no_movement():
     c = column(T.DoubleType())
     assert next_span(c, Span("0.5", "2"), "2.0") is None

@@ -28,6 +28,9 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 _TEXT = (T.StringType, T.CharType, T.VarcharType)
 
+# Fixed value: Spark's name for the order of bytes.
+_BINARY = "UTF8_BINARY"
+
 _EPOCH = datetime(1970, 1, 1)
 _MICROSECOND = timedelta(microseconds=1)
 
@@ -106,6 +109,11 @@ class OffsetColumn:
     def integral(self) -> bool:
         return isinstance(self.data_type, _INTEGRAL)
 
+    @property
+    def ordered_by_bytes(self) -> bool:
+        """Whether Spark orders the column as its bytes do; collated strings it does not."""
+        return getattr(self.data_type, "collation", _BINARY) == _BINARY
+
     def column(self) -> Column:
         return F.col("`" + self.name.replace("`", "``") + "`")
 

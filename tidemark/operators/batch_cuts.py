@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from tidemark.functions.offset_column import (
     TIMESTAMP_NTZ,
     OffsetColumn,
 )
-from tidemark.operators.ranges import BatchRange, read_range
+from tidemark.operators.ranges import BatchRange
 
 BUCKETS = 1000
 CUTS_PER_ROUND = 1000
@@ -33,13 +34,16 @@ class Bucket(NamedTuple):
     most: str
 
 
-def batch_ends(df: DataFrame, offset: OffsetColumn, batch: BatchRange, rows: int) -> list[str]:
+def batch_ends(
+    read: Callable[[BatchRange], DataFrame], offset: OffsetColumn, batch: BatchRange, rows: int
+) -> list[str]:
     """End offsets that cut ``batch`` into consecutive batches of at most ``rows`` rows.
 
-    The offset column is counted into buckets, which combines map-side and spreads over
-    reducers; only the bucket totals reach the driver. A bucket that alone holds more than
-    ``rows`` rows is counted again more finely, until it is a single offset value: its rows
-    stay together in one batch, however many they are.
+    ``read`` gives the rows of a range, so that the table decides how a read is spread. The
+    offset column is counted into buckets, which combines map-side and spreads over reducers;
+    only the bucket totals reach the driver. A bucket that alone holds more than ``rows`` rows
+    is counted again more finely, until it is a single offset value: its rows stay together in
+    one batch, however many they are.
 
     The last end is ``batch.end``, unless there are more cuts than a round plans: then the
     caller asks again from the last end.
@@ -49,7 +53,7 @@ def batch_ends(df: DataFrame, offset: OffsetColumn, batch: BatchRange, rows: int
     key, span = _key(offset, batch)
     if not math.isfinite(span):
         return [batch.end]
-    buckets = _buckets(read_range(df, offset, batch), offset, key, span)
+    buckets = _buckets(read(batch), offset, key, span)
     ends: list[str] = []
     open_rows, open_end = 0, None
     for bucket in buckets:
@@ -61,7 +65,7 @@ def batch_ends(df: DataFrame, offset: OffsetColumn, batch: BatchRange, rows: int
         inner = BatchRange(bucket.least, bucket.most, True)
         divisible = bucket.least != bucket.most and (len(buckets) > 1 or inner != batch)
         if bucket.rows > rows and divisible:
-            ends += batch_ends(df, offset, inner, rows)
+            ends += batch_ends(read, offset, inner, rows)
         else:
             open_rows, open_end = open_rows + bucket.rows, bucket.most
     if len(ends) >= CUTS_PER_ROUND or (ends and ends[-1] == batch.end):

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from tidemark.functions.offset_column import OffsetColumn
+from tidemark.functions.offset_column import STRING, OffsetColumn
 from tidemark.operators.ranges import BatchRange
 
 
@@ -28,10 +28,14 @@ def first_span(given_start: str | None, least: str | None, most: str | None) ->
 def next_span(offset: OffsetColumn, current: Span, most: str | None) -> Span | None:
     """The span after ``current``, or None if the table's end has not moved up.
 
-    The end never goes back: a table that shrank offers nothing new, and rows that
-    arrive at or below the end are not delivered any more.
+    ``most`` is the maximum of the rows from ``current.end`` on, so the end never goes
+    back: a table that shrank offers nothing new, and rows that arrive at or below the
+    end are not delivered any more. Strings are in the order of their source, which may
+    not be Python's: there any other value has moved up.
     """
-    if most is None or offset.parse(most) <= offset.parse(current.end):
+    if most is None or offset.parse(most) == offset.parse(current.end):
+        return None
+    if offset.kind != STRING and offset.parse(most) < offset.parse(current.end):
         return None
     return Span(current.end, most)
 

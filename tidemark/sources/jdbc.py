@@ -34,6 +34,9 @@ class JdbcTable:
     over that one, and the range filter is pushed down on top.
     """
 
+    # The database compares strings in a collation of its own.
+    strings_ordered_by_bytes = False
+
     def __init__(self, spark: SparkSession, options: Mapping[str, str]) -> None:
         self._spark = spark
         self._options = source_options(options)

@@ -25,6 +25,8 @@ class FrameTable:
     remembers the files it saw when it was made. The schema is taken once.
     """
 
+    strings_ordered_by_bytes = True
+
     def __init__(self, load: Callable[[], DataFrame]) -> None:
         self._load = load
 

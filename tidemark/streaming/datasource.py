@@ -143,7 +143,8 @@ class OffsetStreamReader(DataSourceStreamReader):
             if previous is not None:
                 raise ValueError(f"Invalid range: from {start} to {end}.")
             return []
-        self._remember(span)
+        # After a restart Spark asks for the checkpointed span first: go on from there.
+        self._current = span
         if previous == span:
             return []
         batch = batch_range(previous, span)
@@ -157,12 +158,6 @@ class OffsetStreamReader(DataSourceStreamReader):
             raise ValueError(f"Invalid range: {offset} needs both bounds.")
         return Span(start, end)
 
-    def _remember(self, span: Span) -> None:
-        """After a restart Spark asks for the checkpointed span first: go on from there."""
-        parse = self._settings.offset.parse
-        if self._current is None or parse(self._current.end) < parse(span.end):
-            self._current = span
-
 
 class ParquetStreamReader(OffsetStreamReader):
     """A Parquet folder: bounds from footers, one task per run of row groups."""

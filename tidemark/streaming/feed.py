@@ -7,12 +7,13 @@ plans the scan, pushes filters down and spreads the read over executors.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 from typing import NamedTuple, Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.functions.offset_column import OffsetColumn
+from tidemark.functions.offset_column import STRING, OffsetColumn
 from tidemark.operators.batch_cuts import batch_ends
 from tidemark.operators.ranges import BatchRange
 from tidemark.plans.progress import Span, batch_range, first_span, next_span
@@ -25,11 +26,11 @@ Sink = Callable[[DataFrame, int], None]
 class Table(Protocol):
     """What a feed asks of a table."""
 
+    strings_ordered_by_bytes: bool
+
     @property
     def schema(self) -> T.StructType: ...
 
-    def frame(self) -> DataFrame: ...
-
     def bounds(
         self, offset: OffsetColumn, at_least: str | None = None
     ) -> tuple[str | None, str | None]: ...
@@ -66,8 +67,19 @@ class IncrementalFeed:
         self._offset = self._settings.offset
         self._table = table
         self._rows_per_batch = rows_per_batch
+        if rows_per_batch and not self._cuttable:
+            raise ValueError(
+                f"'{self._offset.name}' cannot be cut into batches: its strings may not be in the "
+                "order of their bytes."
+            )
         self.log = OffsetLog(spark, log_folder, self._offset.name, retain)
 
+    @property
+    def _cuttable(self) -> bool:
+        if self._offset.kind != STRING:
+            return True
+        return self._table.strings_ordered_by_bytes and self._offset.ordered_by_bytes
+
     @property
     def last_offset(self) -> Span | None:
         """The last span written to the log, finished or not."""
@@ -104,7 +116,8 @@ class IncrementalFeed:
         if self._rows_per_batch is None:
             return [target.end]
         whole = batch_range(current, target)
-        return batch_ends(self._table.frame(), self._offset, whole, self._rows_per_batch)
+        read = partial(self._table.read, self._offset)
+        return batch_ends(read, self._offset, whole, self._rows_per_batch)
 
     def _deliver(self, sink: Sink, batch_id: int, span: Span) -> Delivered:
         # Every batch but the first continues where another one ended.
