@@ -239,7 +239,8 @@ def _landed_stream(spark: SparkSession, sf: str) -> DataFrame:
             .start()
         )
         query.awaitTermination()
-    return spark.read.schema("day date, event_type string, n_rows long").parquet(f"{folder}/counts")
+    schema = "day date, event_type string, n_rows long"
+    return spark.read.schema(schema).parquet(f"{folder}/counts")
 
 
 QUERIES = {

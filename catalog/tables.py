@@ -43,8 +43,9 @@ class Tracked(NamedTuple):
     @property
     def sql_bounds(self) -> str:
         """A CTE list that ends in ``m(lo, mid, hi)``."""
+        bounds = f"MIN({self.field}) AS lo, MAX({self.field}) AS hi"
         return (
-            f"b AS (SELECT MIN({self.field}) AS lo, MAX({self.field}) AS hi FROM {self.sql_table}), "
+            f"b AS (SELECT {bounds} FROM {self.sql_table}), "
             f"m AS (SELECT lo, hi, {self.midpoint} AS mid FROM b)"
         )
 

@@ -1,5 +1,8 @@
+import os
+import time
 from collections import Counter
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from conftest import days
@@ -489,6 +492,31 @@ def test_landed_batches_are_a_stream_once_each(spark, folder):
     assert drain() == list(range(12))
 
 
+def test_a_batch_that_landed_long_ago_is_still_streamed(spark, folder):
+    shown = [5]
+    landed = LandedStream(
+        spark, FrameTable(lambda: spark.range(0, shown[0])), {"offset.field": "id"}, folder
+    )
+
+    def drain():
+        query = (
+            landed.load().writeStream.format("parquet")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True).start(f"{folder}/out")
+        )
+        query.awaitTermination()
+        return spark.read.parquet(f"{folder}/out").count()
+
+    landed.land_available()
+    assert drain() == 5
+    for shown[0] in (9, 12):
+        landed.land_available()
+    month_ago = time.time() - 30 * 86400
+    for file in Path(folder).glob("landed/batch-1/*.parquet"):
+        os.utime(file, (month_ago, month_ago))
+    assert drain() == 12
+
+
 def test_a_batch_in_place_before_its_commit_is_not_landed_again(spark, folder, monkeypatch):
     table = FrameTable(lambda: spark.range(0, 5))
     landed = LandedStream(spark, table, {"offset.field": "id"}, folder)
@@ -517,7 +545,8 @@ def test_footer_bounds_of_every_type_that_uses_them(spark, folder, kind, rows):
     from tidemark.functions.offset_column import OffsetColumn
 
     numbers = spark.createDataFrame([(r,) for r in rows], "n int")
-    value = F.date_add(F.lit("2020-01-01").cast("date"), F.col("n")) if kind == "date" else F.col("n")
+    first = F.lit("2020-01-01").cast("date")
+    value = F.date_add(first, F.col("n")) if kind == "date" else F.col("n")
     numbers.select(value.cast(kind).alias("v")).write.parquet(f"{folder}/table")
     table = ParquetTable(spark, f"{folder}/table")
     c = OffsetColumn.of(table.schema, "v")

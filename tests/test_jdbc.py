@@ -1,4 +1,4 @@
-"""The JDBC table without a database: what it asks of Spark's reader, and whether the SQL is right."""
+"""The JDBC table without a database: what it asks of Spark's reader, and if the SQL is right."""
 
 from datetime import datetime
 from functools import reduce
@@ -159,7 +159,8 @@ def test_batch_is_split_over_the_offset_range(spark, name, data_type, start, end
 
 @pytest.mark.parametrize("data_type", [T.DateType(), T.DecimalType(9, 2), T.TimestampType()])
 def test_other_families_split_too(spark, data_type):
-    bounds = ("1.00", "9.00") if isinstance(data_type, T.DecimalType) else ("2020-01-01", "2020-12-31")
+    decimal = isinstance(data_type, T.DecimalType)
+    bounds = ("1.00", "9.00") if decimal else ("2020-01-01", "2020-12-31")
     table = JdbcTable(spark, {**OPTIONS, "numPartitions": "4"})
     assert len(table.predicates(column("c", data_type), BatchRange(*bounds))) == 4
 

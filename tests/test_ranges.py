@@ -4,7 +4,6 @@ from decimal import Decimal
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.offset_column import OffsetColumn

@@ -106,7 +106,7 @@ def arrow_schema(uri: str) -> pa.Schema:
 
 
 def _with_instants(footer: pq.FileMetaData) -> pa.Schema:
-    """The columns of a file; the old INT96 timestamps are instants, though Arrow has them zoneless."""
+    """The columns of a file; INT96 timestamps are instants, though Arrow has them zoneless."""
     schema = footer.schema.to_arrow_schema()
     for i in range(footer.num_columns):
         column = footer.schema.column(i)

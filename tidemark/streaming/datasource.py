@@ -167,7 +167,7 @@ class ParquetStreamReader(OffsetStreamReader):
         super().__init__(given, schema, _spark_schema(stored))
         field_type = stored.field(self._field).type
         if pa.types.is_timestamp(field_type) and field_type.unit == "ns":
-            raise ValueError("Spark has no nanosecond timestamps; store the offset in microseconds.")
+            raise ValueError("Spark has no nanosecond timestamps: store microseconds.")
         self._offset_type = field_type
         self._size = int(given["taskbytes"]) if "taskbytes" in given else None
         self._rows_per_batch = int(given.get("rowsperbatch", "0"))

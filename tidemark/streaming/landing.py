@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.streaming.feed import Delivered, IncrementalFeed, Table
 
+_ANY_AGE = "36500d"
+
 
 class LandedStream:
     """Lands a table below ``folder`` and reads it back as a stream.
@@ -56,6 +58,11 @@ class LandedStream:
             raise RuntimeError(f"Batch {batch_id} could not be moved into {landed}.")
 
     def load(self, **options: str) -> DataFrame:
-        """The streaming DataFrame; ``options`` go to Spark's file source."""
-        reader = self._spark.readStream.schema(self._schema).options(**options)
+        """The streaming DataFrame; ``options`` go to Spark's file source.
+
+        Left alone, that source passes over files a week older than the newest one: a query
+        that was down for long would lose batches, so age is no reason here.
+        """
+        reader = self._spark.readStream.schema(self._schema)
+        reader = reader.options(**{"maxFileAge": _ANY_AGE, **options})
         return reader.option("recursiveFileLookup", "true").parquet(f"{self._folder}/landed")
