@@ -404,6 +404,14 @@ def test_folder_values_keep_their_type(tmp_path):
     assert sorted((x["id"], x["n"], x["s"]) for x in rows) == [(1, 1, "x"), (2, None, "a=b")]
 
 
+@pytest.mark.parametrize("log", ["_spark_metadata", "_delta_log", ".hoodie"])
+def test_folders_with_a_log_of_their_own_are_refused(tmp_path, log):
+    longs(str(tmp_path), "a", [1])
+    (tmp_path / log).mkdir()
+    with pytest.raises(ValueError, match="log"):
+        reader(str(tmp_path))
+
+
 def test_an_empty_folder_has_no_schema(tmp_path):
     with pytest.raises(ValueError, match="no Parquet files"):
         reader(str(tmp_path))

@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 
 from tidemark.functions.offset_column import STRING, OffsetColumn
 
+# Logs that say which files of a folder belong to the table.
+_TABLE_LOGS = ("_spark_metadata", "_delta_log", ".hoodie")
+
 # Fixed value: the folder name that stands for NULL.
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -89,6 +92,12 @@ def _hidden(names: list[str]) -> bool:
 def arrow_schema(uri: str) -> pa.Schema:
     """The columns of the files and of ``key=value`` folders."""
     system, root = open_location(uri)
+    logs = [f"{root.rstrip('/')}/{name}" for name in _TABLE_LOGS]
+    if any(found.type != fs.FileType.NotFound for found in system.get_file_info(logs)):
+        raise ValueError(
+            f"The files of {uri} count only as far as its own log says: "
+            "follow it with an IncrementalFeed over the reader that knows the log."
+        )
     files = sorted(f.path for f in list_files(system, root))
     if not files:
         raise ValueError(f"{uri} has no Parquet files, so its schema is unknown.")
