@@ -11,6 +11,7 @@ from tidemark.functions.offset_column import OffsetColumn
 from tidemark.operators.ranges import BatchRange
 from tidemark.sources.jdbc import JdbcTable
 from tidemark.streaming.feed import IncrementalFeed
+from tidemark.streaming.landing import LandedStream
 
 EVENTS = "read_parquet('/root/testdata/sf0.001/events.parquet')"
 OPTIONS = {
@@ -270,6 +271,27 @@ def test_feed_follows_a_growing_table(spark, folder, field, parts):
     assert len(got) == 3 and sorted(delivered) == list(range(1000))
 
 
+def test_a_jdbc_table_becomes_a_stream(spark, folder):
+    """Landed batches feed a running aggregation, as the table grows."""
+    con = duckdb.connect()
+    for last in (400, 999):
+        con.execute(f"CREATE OR REPLACE VIEW t AS SELECT * FROM {EVENTS} WHERE event_id <= {last}")
+        table = JdbcTable(DuckReader(spark, con), {**OPTIONS, "dbtable": "t", "numPartitions": "2"})
+        landed = LandedStream(spark, table, {"offset.field": "ts"}, folder)
+        landed.land_available()
+        query = (
+            landed.load().groupBy("event_type").count().writeStream.outputMode("complete")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .foreachBatch(lambda full, _: full.write.mode("overwrite").parquet(f"{folder}/out"))
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    counts = sorted(map(tuple, spark.read.parquet(f"{folder}/out").collect()))
+    assert counts == con.execute(
+        f"SELECT event_type, COUNT(*) FROM {EVENTS} GROUP BY 1 ORDER BY 1"
+    ).fetchall()
+
+
 def test_strings_over_jdbc_are_not_cut(spark, folder):
     table = JdbcTable(DuckReader(spark, duckdb.connect()), OPTIONS)
     with pytest.raises(ValueError, match="cannot be cut"):

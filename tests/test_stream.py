@@ -355,6 +355,26 @@ def test_every_family_is_read_whole(tmp_path, arrow_type, values):
     assert ids(r, r.initialOffset(), end) == values
 
 
+def test_types_come_as_spark_reads_them(spark, tmp_path):
+    schema = pa.schema([
+        ("id", pa.uint32()), ("big", pa.uint64()), ("tiny", pa.uint8()),
+        ("word", pa.dictionary(pa.int32(), pa.string())), ("long", pa.large_string()),
+    ])
+    values = {
+        "id": [1, 2**32 - 1], "big": [0, 2**64 - 1], "tiny": [0, 255],
+        "word": pa.array(["x", "y"]).dictionary_encode(), "long": ["p", "q"],
+    }
+    path = str(tmp_path / "table")
+    write(path, "a", values, schema)
+    source = TidemarkSource({"path": path, "offset.field": "id"})
+    native = spark.read.parquet(path)
+    assert source.schema() == native.schema
+    df = stream(spark, path, "id")
+    run(df, str(tmp_path / "run"))
+    rows = spark.read.schema(df.schema).parquet(str(tmp_path / "run/out"))
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, native.collect()))
+
+
 def test_timestamps_with_zone(tmp_path):
     kind = pa.timestamp("us", tz="UTC")
     write(str(tmp_path), "a", {"id": [0, 1_000_001]}, pa.schema([("id", kind)]))

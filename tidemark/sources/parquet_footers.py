@@ -22,6 +22,14 @@ from tidemark.functions.offset_column import STRING, OffsetColumn
 # Logs that say which files of a folder belong to the table.
 _TABLE_LOGS = ("_spark_metadata", "_delta_log", ".hoodie")
 
+# The types Spark reads unsigned numbers as.
+_UNSIGNED = {
+    pa.uint8(): pa.int16(),
+    pa.uint16(): pa.int32(),
+    pa.uint32(): pa.int64(),
+    pa.uint64(): pa.decimal128(20, 0),
+}
+
 # Fixed value: the folder name that stands for NULL.
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -103,7 +111,7 @@ def arrow_schema(uri: str) -> pa.Schema:
         raise ValueError(f"{uri} has no Parquet files, so its schema is unknown.")
     with system.open_input_file(files[0]) as source:
         footer = pq.read_metadata(source)
-    schema = _with_instants(footer)
+    schema = _as_spark_reads(footer)
     folders: dict[str, set[str]] = {}
     for path in files:
         for key, value in _folder_values(root, path).items():
@@ -111,18 +119,23 @@ def arrow_schema(uri: str) -> pa.Schema:
     for key, values in folders.items():
         if key not in schema.names:
             schema = schema.append(pa.field(key, _folder_type(values)))
-    return schema.remove_metadata()
+    return schema
 
 
-def _with_instants(footer: pq.FileMetaData) -> pa.Schema:
-    """The columns of a file; INT96 timestamps are instants, though Arrow has them zoneless."""
-    schema = footer.schema.to_arrow_schema()
-    for i in range(footer.num_columns):
-        column = footer.schema.column(i)
-        if column.physical_type == "INT96" and column.path in schema.names:
-            place = schema.get_field_index(column.path)
-            schema = schema.set(place, pa.field(column.path, pa.timestamp("us", "UTC")))
-    return schema
+def _as_spark_reads(footer: pq.FileMetaData) -> pa.Schema:
+    """The columns of a file with the types Spark's own reader gives them."""
+    leaves = [footer.schema.column(i) for i in range(footer.num_columns)]
+    # INT96 timestamps are instants, though Arrow has them zoneless.
+    instants = {leaf.path for leaf in leaves if leaf.physical_type == "INT96"}
+
+    def read_as(field: pa.Field) -> pa.DataType:
+        if field.name in instants:
+            return pa.timestamp("us", "UTC")
+        if pa.types.is_dictionary(field.type):
+            return field.type.value_type
+        return _UNSIGNED.get(field.type, field.type)
+
+    return pa.schema([pa.field(f.name, read_as(f)) for f in footer.schema.to_arrow_schema()])
 
 
 def _folder_values(root: str, path: str) -> dict[str, str]:

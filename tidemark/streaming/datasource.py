@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from functools import cached_property
 from typing import Any
+from weakref import WeakSet
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -239,11 +240,17 @@ class DbApiStreamReader(OffsetStreamReader):
         return self._db.read(Slice(*partition.value))
 
 
+_REGISTERED: WeakSet[SparkSession] = WeakSet()
+
+
 def register(spark: SparkSession) -> None:
     """Make the source known to ``spark`` under its names.
 
     Its classes travel to the executors with the query, so nothing needs installing there.
     """
+    if spark in _REGISTERED:
+        return
+    _REGISTERED.add(spark)
     cloudpickle.register_pickle_by_value(tidemark)
     for source in (TidemarkSource, JdbcNamedSource):
         spark.dataSource.register(source)
