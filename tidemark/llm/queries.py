@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, line_dedup, line_quality, mixing, simhash
+from tidemark.llm import byte_bpe, line_dedup, line_quality, mixing, multi_index, secret_scan, simhash
 from tidemark.llm.common import table
 
 #: Rank file and pattern of the tokenizer; a path that every node has.
@@ -51,15 +51,37 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
     return mixed.select("doc_id", "source", "size", "source_size", "target", taken)
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secret_scan.RULES[:3]]
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select(
+        "doc_id",
+        *(F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in base),
+        F.sha2(listed(of(*base)), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op3_byte_bpe, op4_line_quality, op5_simhash, op6_line_dedup, op9_mix_sources)
+    for f in (op3_byte_bpe, op4_line_quality, op5_simhash, op6_line_dedup, op7_multi_index, op9_mix_sources, op10_secret_scan)
 }
 
 _MIX = """
