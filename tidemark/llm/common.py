@@ -31,17 +31,23 @@ _VALUES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) |
 _SHIPPED: set[str] = set()
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand the code of this package to the executors, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp()) / "tidemark-code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` by code of this package, which Spark hands to its executors once per application."""
-    context = df.sparkSession.sparkContext
-    if context.applicationId not in _SHIPPED:
-        package = Path(__file__).resolve().parent.parent
-        archive = Path(tempfile.mkdtemp()) / "tidemark-code.zip"
-        with zipfile.ZipFile(archive, "w") as out:
-            for file in sorted(package.rglob("*.py")):
-                out.write(file, file.relative_to(package.parent))
-        context.addPyFile(str(archive))
-        _SHIPPED.add(context.applicationId)
+    """``df.mapInArrow`` by code of this package."""
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

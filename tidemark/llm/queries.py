@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, line_dedup, line_quality, mixing, multi_index, secret_scan, simhash
+from tidemark.llm import byte_bpe, line_dedup, line_quality, mixing, multi_index, secret_scan, simhash, suffix_tree
 from tidemark.llm.common import table
 
 #: Rank file and pattern of the tokenizer; a path that every node has.
@@ -14,6 +14,11 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return suffix_tree.score(table(spark, sf_dir, "documents"), held_out)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), RANKS, PATTERN)
     decoded = byte_bpe.decode(encoded, RANKS, PATTERN)
@@ -81,7 +86,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_byte_bpe, op4_line_quality, op5_simhash, op6_line_dedup, op7_multi_index, op9_mix_sources, op10_secret_scan)
+    for f in (op2_suffix_tree, op3_byte_bpe, op4_line_quality, op5_simhash, op6_line_dedup, op7_multi_index, op9_mix_sources, op10_secret_scan)
 }
 
 _MIX = """
