@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, line_dedup, line_quality, mixing, multi_index, secret_scan, simhash, suffix_tree
+from tidemark.llm import byte_bpe, html_paths, license_scan, line_dedup, line_quality, mixing, multi_index, secret_scan, simhash, suffix_tree
 from tidemark.llm.common import table
 
 #: Rank file and pattern of the tokenizer; a path that every node has.
@@ -14,6 +14,10 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
     return suffix_tree.score(table(spark, sf_dir, "documents"), held_out)
@@ -60,6 +64,11 @@ def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op8_html_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_paths.extract_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
@@ -86,9 +95,43 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_suffix_tree, op3_byte_bpe, op4_line_quality, op5_simhash, op6_line_dedup, op7_multi_index, op9_mix_sources, op10_secret_scan)
+    for f in (
+        op1_license_scan,
+        op2_suffix_tree,
+        op3_byte_bpe,
+        op4_line_quality,
+        op5_simhash,
+        op6_line_dedup,
+        op7_multi_index,
+        op8_html_paths,
+        op9_mix_sources,
+        op10_secret_scan,
+    )
 }
 
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_LICENSES = f"""
+WITH t(license, text) AS (VALUES {", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in license_scan.TEMPLATES.items())}),
+tw AS (SELECT license, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM t),
+ts AS (SELECT DISTINCT license, array_to_string(w[i + 1:i + 5], ' ') AS s FROM tw, unnest(range(0, len(w) - 4)) AS u(i)),
+tn AS (SELECT license, count(*) AS n FROM ts GROUP BY license),
+dw AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w
+    FROM documents
+),
+ds AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 5], ' ') AS s FROM dw, unnest(range(0, len(w) - 4)) AS u(i)),
+m AS (
+    SELECT doc_id, license, count(DISTINCT s) AS n_found, min(i) AS first_word
+    FROM ds JOIN ts USING (s) GROUP BY doc_id, license
+)
+SELECT doc_id, license, CAST(n_found AS DOUBLE) / n AS containment, CAST(first_word AS BIGINT) AS first_word
+FROM m JOIN tn USING (license) WHERE CAST(n_found AS DOUBLE) / n >= 0.8
+"""
+
 _MIX = """
 WITH d AS (
     SELECT doc_id, source,
@@ -120,4 +163,4 @@ SELECT doc_id, source, size, source_size, target,
 FROM c
 """
 
-SQL = {"op9_mix_sources": _MIX}
+SQL = {"op1_license_scan": _LICENSES, "op9_mix_sources": _MIX}
