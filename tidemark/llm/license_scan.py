@@ -1,16 +1,17 @@
 """License scans: MinHash bands over overlapping text windows retrieve templates, shingle containment verifies.
 
-Everything on the data is DataFrame functions on one row at a time: no shuffle and no Python. Templates are
-cut into pieces of 1, 4 or 16 shingles. Texts are cut into windows of twice as many that overlap by half
-(single shingles for pieces of one), so any copy of a piece lies whole in some window and has a Jaccard
-similarity of a half or more with it. Each of ``BANDS`` bands is one MinHash: a copied piece is missed with
-a probability of 2 ** -BANDS, and a template of several pieces only if all of them are.
+Everything on the data is DataFrame functions on one row at a time: no shuffle and no Python. Texts are cut
+into windows of four shingles that overlap by three, templates into pieces of four shingles side by side
+(single shingles for templates of fewer). Each of ``BANDS`` bands is one MinHash of a window. A window that
+holds a piece of a template whole has a Jaccard similarity of 1 with it and collides in every band; one that
+lacks a shingle at its edge has 3/5 and is missed with a probability of 0.4 ** BANDS. A text that holds at
+least 0.8 of the shingles of a template holds a piece whole, as there are more pieces (a quarter of the
+shingles) than shingles that may lack.
 """
 
 from __future__ import annotations
 
 import random
-from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,16 +19,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.license_texts import TEMPLATES
 
-SHINGLE, LEAST, BANDS = 5, 0.8, 12
-#: Shingles of a piece, by the shingles that a template has at least.
-PIECES = ((16, 16), (4, 4), (1, 1))
+SHINGLE, LEAST, BANDS = 5, 0.8, 2
+#: Shingles of a piece, and of a window.
+PIECE = 4
 _NOT_A_WORD = r"[^\p{L}\p{N}]+"
 #: MinHash permutes 64-bit hashes by exclusive or with these.
 _SEEDS = [random.Random(11 + i).getrandbits(64) - (1 << 63) for i in range(BANDS)]
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), _NOT_A_WORD), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _NOT_A_WORD), "")
 
 
 def shingles(w: Column) -> Column:
@@ -39,20 +40,14 @@ def shingles(w: Column) -> Column:
     return F.slice(F.transform(w, from_here), F.lit(1), F.greatest(F.size(w) - (SHINGLE - 1), F.lit(0)))
 
 
-def _blocks(values: Column, size: int, of_block: Callable[[Column], Column]) -> Column:
-    """``of_block`` of each run of ``size`` values, the last one shorter."""
-    starts = F.sequence(F.lit(1), F.size(values), F.lit(size))
-    each = F.transform(starts, lambda at: of_block(F.slice(values, at, size)))
-    return F.when(F.size(values) > 0, each).otherwise(F.array().cast("array<bigint>"))
+def _permuted(values: Column, seed: int) -> Column:
+    return F.transform(values, lambda x: x.bitwiseXOR(F.lit(seed)))
 
 
-def _least(values: Column, seed: int) -> Column:
-    return F.array_min(F.transform(values, lambda x: x.bitwiseXOR(F.lit(seed))))
-
-
-def _windows(mins: Column) -> Column:
-    """Minima of windows of two neighbouring blocks; the last block stands alone too."""
-    return F.zip_with(mins, F.slice(mins, 2, F.greatest(F.size(mins), F.lit(1))), lambda a, b: F.least(a, b))
+def _with_next(values: Column, step: int) -> Column:
+    """The lesser of each value and that ``step`` places on, where there is one."""
+    later = F.slice(values, step + 1, F.greatest(F.size(values), F.lit(1)))
+    return F.zip_with(values, later, lambda a, b: F.least(a, b))
 
 
 def _computed(df: DataFrame, keep: list[str], **column: Column) -> DataFrame:
@@ -68,8 +63,12 @@ def _computed(df: DataFrame, keep: list[str], **column: Column) -> DataFrame:
 class Template(NamedTuple):
     license: str
     shingles: list[int]
-    #: For each size of piece, the MinHash of every piece, bands in order.
-    keys: dict[int, list[list[int]]]
+    #: The MinHash of every piece, by band; of a template of fewer shingles than a piece has, of each shingle.
+    keys: list[list[int]]
+
+    @property
+    def short(self) -> bool:
+        return len(self.shingles) < PIECE
 
 
 def compile_templates(spark: SparkSession, templates: dict[str, str]) -> list[Template]:
@@ -80,11 +79,10 @@ def compile_templates(spark: SparkSession, templates: dict[str, str]) -> list[Te
     for name, hashes in rows.collect():
         if not hashes:
             raise ValueError(f"Template '{name}' has fewer than {SHINGLE} words.")
-        size = next(m for least, m in PIECES if len(hashes) >= least)
+        size = PIECE if len(set(hashes)) >= PIECE else 1
         starts = sorted({*range(0, len(hashes) - size + 1, size), len(hashes) - size})
-        bands = _SEEDS[:1] if size == 1 else _SEEDS
-        keys = [[min(h ^ seed for h in hashes[a : a + size]) for a in starts] for seed in bands]
-        out.append(Template(name, sorted(set(hashes)), {size: keys}))
+        keys = [[min(h ^ seed for h in hashes[a : a + size]) for a in starts] for seed in _SEEDS]
+        out.append(Template(name, sorted(set(hashes)), keys))
     return out
 
 
@@ -106,24 +104,16 @@ def scan_licenses(df: DataFrame, templates: dict[str, str] = TEMPLATES, text: st
     if not compiled:
         return df.limit(0).select(key, F.lit("").alias("license"), F.lit(0.0).alias("containment"), F.lit(0).cast("long").alias("first_word"))
 
-    def wanted(size: int, band: int) -> Column:
-        return _longs(k for t in compiled if size in t.keys for k in t.keys[size][band])
+    def wanted(short: bool, band: int) -> Column:
+        return _longs(k for t in compiled if t.short == short for k in t.keys[band])
 
-    sizes = {size for t in compiled for size in t.keys}
     rows = _computed(df.select(F.col(key), F.col(text).alias("_text")), [key], w=words(F.col("_text")))
     rows = _computed(rows, [key], s=shingles(F.col("w")))
-    hits = []
-    if 1 in sizes:
-        hits.append(F.array_intersect(F.transform("s", lambda x: x.bitwiseXOR(F.lit(_SEEDS[0]))), wanted(1, 0)))
-    if sizes & {4, 16}:
-        blocks = F.struct(*(_blocks(F.col("s"), 4, lambda b, seed=seed: _least(b, seed)).alias(f"b{i}") for i, seed in enumerate(_SEEDS)))
-        rows = _computed(rows, [key, "s"], blocks=blocks)
-        for i in range(BANDS):
-            own = F.col(f"blocks.b{i}")
-            if 4 in sizes:
-                hits.append(F.array_intersect(_windows(own), wanted(4, i)))
-            if 16 in sizes:
-                hits.append(F.array_intersect(_windows(_blocks(own, 4, F.array_min)), wanted(16, i)))
+    permuted = F.struct(*(_permuted(F.col("s"), seed).alias(f"b{i}") for i, seed in enumerate(_SEEDS)))
+    rows = _computed(rows, [key, "s"], one=permuted)
+    rows = _computed(rows, [key, "s", "one"], two=F.struct(*(_with_next(F.col(f"one.b{i}"), 1).alias(f"b{i}") for i in range(BANDS))))
+    hits = [F.array_intersect(_with_next(F.col(f"two.b{i}"), 2), wanted(False, i)) for i in range(BANDS)]
+    hits.append(F.array_intersect(F.col("one.b0"), wanted(True, 0)))
     found = _computed(rows, [key, "s"], hits=F.flatten(F.array(*hits))).where(F.size("hits") > 0)
 
     known = F.array(
@@ -131,13 +121,13 @@ def scan_licenses(df: DataFrame, templates: dict[str, str] = TEMPLATES, text: st
             F.struct(
                 F.lit(t.license).alias("license"),
                 _longs(t.shingles).alias("shingles"),
-                _longs(k for bands in t.keys.values() for band in bands for k in band).alias("keys"),
+                _longs(k for band in t.keys for k in band).alias("keys"),
             )
             for t in compiled
         )
     )
     candidates = found.select(key, "s", F.explode(F.filter(known, lambda t: F.arrays_overlap(t["keys"], F.col("hits")))).alias("t"))
     held = _computed(candidates, [key, "s", "t"], both=F.array_intersect("s", F.col("t.shingles")))
-    told = held.select(key, "s", F.col("t.license").alias("license"), F.col("t.shingles").alias("own"), "both").withColumn("containment", F.size("both") / F.size("own")).where(F.col("containment") >= least)
+    told = held.withColumn("containment", F.size("both") / F.size("t.shingles")).where(F.col("containment") >= least)
     # array_intersect keeps the order of the text, so its first element is the first shingle found.
-    return told.select(key, "license", "containment", (F.array_position("s", F.col("both")[0]) - 1).alias("first_word"))
+    return told.select(key, "t.license", "containment", (F.array_position("s", F.col("both")[0]) - 1).alias("first_word"))
