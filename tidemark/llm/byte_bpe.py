@@ -10,6 +10,7 @@ steps back over positions known to lead nowhere; no position is tried twice. Com
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,20 +25,24 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import map_arrow, slices
 
-#: Entries a task remembers before it starts anew; the results do not depend on it.
-MEMO = 1 << 19
+#: Half the entries that a worker process remembers; the results do not depend on it.
+MEMO = 300_000
 
 
 class _Memo(dict):
-    """Computes what it lacks with ``make``; starts anew when full."""
+    """Computes what it lacks with ``make``; holds up to twice ``limit`` entries, those used last."""
 
     def __init__(self, make, limit: int = MEMO):
-        self._make, self._limit = make, limit
+        self._make, self._limit, self._older = make, limit, {}
 
     def __missing__(self, key):
+        value = self._older.pop(key, None)
+        if value is None:
+            value = self._make(key)
         if len(self) >= self._limit:
+            self._older = self.copy()
             self.clear()
-        value = self[key] = self._make(key)
+        self[key] = value
         return value
 
 
@@ -75,8 +80,8 @@ class BytePairCodec:
         self._shorter = _Memo(self._next_shorter, top)
         self._ends = _Memo(lambda i: self._chain(i, 1), top)
         self._begins = _Memo(lambda i: self._chain(i, 0), top)
-        self._fits = _Memo(lambda pair: self._compatible(*pair), 2 * MEMO)
-        self._known = _Memo(lambda piece: np.array(self.encode_piece(piece.encode()), np.int32).tobytes())
+        self._fits = _Memo(lambda pair: self._compatible(*pair))
+        self._known = _Memo(lambda piece: array("i", self.encode_piece(piece.encode())).tobytes())
 
     def _merge(self, data: bytes, least: int = 1) -> list[int]:
         """The definition: join the neighbours of the lowest rank until none, or ``least`` parts, are left."""
@@ -176,27 +181,41 @@ def load_codec(path: str, pattern: str) -> BytePairCodec:
         return BytePairCodec({base64.b64decode(a): int(b) for a, b in pairs}, pattern)
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode(
+    df: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_decoded: bool = False
+) -> DataFrame:
     """The columns ``keep`` and ``token_ids`` (array of int) of every whole text; no shuffle.
 
-    NULL and empty texts have no ids. Other columns are left out, also one that is called
-    ``token_ids``; equal rows give equal rows, an empty table an empty one.
+    ``with_decoded`` adds ``decoded``, the bytes that the ids decode to, in the same pass. NULL and empty
+    texts have no ids. Other columns are left out, also ones that are called like the new ones; equal rows
+    give equal rows, an empty table an empty one.
     """
     source = df.select(*keep, F.col(text).alias("_text"))
-    schema = T.StructType([*source.schema.fields[:-1], T.StructField("token_ids", T.ArrayType(T.IntegerType(), False), False)])
+    new = [T.StructField("token_ids", T.ArrayType(T.IntegerType(), False), False)]
+    if with_decoded:
+        new.append(T.StructField("decoded", T.BinaryType(), False))
+    schema = T.StructType([*source.schema.fields[:-1], *new])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = load_codec(path, pattern)
-        names = schema.names
         for batch in slices(batches, "_text"):
-            raw = [codec.encode_raw(t) if t else b"" for t in batch.column(len(names) - 1).to_pylist()]
+            raw = [codec.encode_raw(t) if t else b"" for t in batch.column(batch.num_columns - 1).to_pylist()]
             ends = np.cumsum([0, *map(len, raw)]) // 4
-            lists = pa.ListArray.from_arrays(ends.astype(np.int32), np.frombuffer(b"".join(raw), np.int32))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names)
+            ids = np.frombuffer(b"".join(raw), np.int32)
+            columns = [pa.ListArray.from_arrays(ends.astype(np.int32), ids)]
+            if with_decoded:
+                columns.append(_decoded(codec, ids, ends))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], schema.names)
 
     return map_arrow(source, run, schema)
 
 
+def _decoded(codec: BytePairCodec, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of each run of ids between two of ``ends``."""
+    data, bounds = codec.decode_all(ids).tobytes(), codec.offsets(ids)[ends].tolist()
+    return pa.array([data[a:b] for a, b in zip(bounds, bounds[1:])], pa.binary())
+
+
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids") -> DataFrame:
     """All columns and ``decoded`` (binary), the bytes the ids stand for; NULL ids give no bytes."""
     source = df.drop("decoded")
@@ -208,9 +227,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids") -> Da
             lists = batch.column(batch.schema.get_field_index(ids))
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
             flat = lists.flatten().to_numpy(zero_copy_only=False)  # without those of NULL lists
-            data = codec.decode_all(flat).tobytes()
-            bounds = codec.offsets(flat)[np.cumsum([0, *sizes])].tolist()
-            out = [data[a:b] for a, b in zip(bounds, bounds[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], schema.names)
+            decoded = _decoded(codec, flat, np.cumsum([0, *sizes]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], schema.names)
 
     return map_arrow(source, run, schema)

@@ -24,9 +24,8 @@ def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), RANKS, PATTERN)
-    decoded = byte_bpe.decode(encoded, RANKS, PATTERN)
-    return decoded.select("doc_id", *bpe_digests())
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), RANKS, PATTERN, with_decoded=True)
+    return encoded.select("doc_id", *bpe_digests())
 
 
 def bpe_digests() -> list[Column]:
