@@ -34,9 +34,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with their digest and that of the decoded bytes."""
-    encoded = byte_bpe.encode(docs, RANKS, PATTERN, keep=("doc_id", "lang", "source"))
-    decoded = byte_bpe.decode(encoded, RANKS, PATTERN)
-    return decoded.select("doc_id", "lang", "source", *bpe_digests(), "token_ids")
+    encoded = byte_bpe.encode(docs, RANKS, PATTERN, keep=("doc_id", "lang", "source"), with_decoded=True)
+    return encoded.select("doc_id", "lang", "source", *bpe_digests(), "token_ids")
 
 
 STAGES = [
