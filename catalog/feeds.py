@@ -6,22 +6,29 @@ A table grows by raising the offset up to which its rows are visible.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.tables import TRACKED, halves
+from catalog.tables import DERIVED, TRACKED, halves
 from tidemark.functions.offset_column import OffsetColumn
 from tidemark.functions.offset_json import offset_to_json
 from tidemark.operators.bounds import both_bounds, fetch_bound
-from tidemark.operators.ranges import BatchRange, read_nothing, split_range
+from tidemark.operators.ranges import BatchRange, split_range
+from tidemark.plans.progress import Span
 from tidemark.plans.workspace import shared_folder
 from tidemark.sources.tables import FrameTable
 from tidemark.streaming.feed import IncrementalFeed, parquet_sink
 from tidemark.streaming.landing import LandedStream
+from tidemark.streaming.offset_log import OffsetLog
 
-_FAMILIES = ("double", "date", "string", "ts", "ties")
+_FAMILIES = ("double", "date", "string", "ts", "ties", *DERIVED)
+
+
+#: Spans of the long log.
+_LONG = 1200
 
 
 class SinkDown(RuntimeError):
@@ -136,11 +143,103 @@ def _drain_parquet(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _drain_capped(spark: SparkSession, sf: str, kind: str) -> DataFrame:
-    """Batches of about a tenth of the table each; all rows arrive, each once."""
+    """Batches of at most a fiftieth of the table: rows and offsets that came, and what broke the cap.
+
+    A batch over the cap must be a single value, and two neighbours must not fit into half a batch.
+    """
     df = TRACKED[kind].frame(spark, sf)
-    growing = Growing(spark, df, TRACKED[kind].field, rows_per_batch=max(df.count() // 10, 1))
+    field = TRACKED[kind].field
+    cap = max(df.count() // 50, 1)
+    growing = Growing(spark, df, field, rows_per_batch=cap)
     growing.run(F.lit(True))
-    return growing.delivered().drop("batch_id")
+    batches = growing.delivered().groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct(field).alias("n_values")
+    )
+    over = F.col("n_rows") > cap
+    return batches.agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("n_values").alias("n_values"),
+        F.count_if(over & (F.col("n_values") > 1)).alias("n_split_over"),
+        (F.count(F.lit(1)) >= F.least(F.sum("n_values"), F.lit(25))).alias("many_batches"),
+    )
+
+
+def zoned_events(spark: SparkSession, sf: str) -> tuple[SparkSession, str, str]:
+    """A session in Tokyo, a copy of events whose time is an instant, and the middle of its range as
+    clocks there tell it."""
+    tokyo = spark.newSession()
+    tokyo.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    table = halves(spark, sf, "ts")
+    path = shared_folder(spark, "instants")
+    # Wall-clock times of UTC, as instants.
+    utc = spark.newSession()
+    utc.conf.set("spark.sql.session.timeZone", "UTC")
+    rows = utc.read.parquet(f"{sf}/events.parquet")
+    rows.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(path)
+    there = table.offset.parse(table.lower.end) + timedelta(hours=9)
+    return tokyo, path, there.isoformat(sep=" ")
+
+
+def zoneless(df: DataFrame) -> DataFrame:
+    """Instants as the wall-clock times of UTC that they were made of."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return df.withColumn("ts", F.timestamp_add("MICROSECOND", F.unix_micros("ts"), epoch))
+
+
+def _start_from_param_zoned(spark: SparkSession, sf: str) -> DataFrame:
+    """A start given in the session's zone, which is not UTC."""
+    tokyo, path, start = zoned_events(spark, sf)
+    growing = Growing(tokyo, tokyo.read.parquet(path), "ts", **{"start.offset": start})
+    growing.run(F.lit(True))
+    return zoneless(growing.delivered().drop("batch_id"))
+
+
+def _drain_instants(spark: SparkSession, sf: str) -> DataFrame:
+    tokyo, path, _ = zoned_events(spark, sf)
+    df = tokyo.read.parquet(path)
+    growing = Growing(tokyo, df, "ts", rows_per_batch=max(df.count() // 5, 1))
+    growing.run(F.lit(True))
+    return zoneless(growing.delivered().drop("batch_id"))
+
+
+def _offset_log_long(spark: SparkSession, sf: str) -> DataFrame:
+    """More spans than a log keeps as loose files, planned over the table and told in full."""
+    df = TRACKED["number"].frame(spark, sf)
+    offset = TRACKED["number"].offset(df)
+    whole = BatchRange(*fetch_bound(both_bounds(df, offset), offset), True)
+    log = OffsetLog(spark, f"{shared_folder(spark, 'feed')}/log", offset.name)
+    log.gather_at = 400
+    for i, part in enumerate(split_range(offset, whole, _LONG)):
+        log.plan(i, Span(part.start, part.end))
+        log.commit(i)
+    return log.frame()
+
+
+def _landed_polled(spark: SparkSession, sf: str) -> DataFrame:
+    """A table pulled in the background on a trigger, while it grows twice; a stream of what landed."""
+    df = TRACKED["number"].frame(spark, sf)
+    offset = TRACKED["number"].offset(df)
+    s3, s7 = _stages(df, offset)
+    shown: list[Column] = [F.lit(False)]
+    table = FrameTable(lambda: df.where(shown[0]))
+    folder = shared_folder(spark, "landed")
+    landed = LandedStream(spark, table, {"offset.field": "event_id"}, folder)
+    landing = landed.start(seconds=0.2)
+    try:
+        for visible in (offset.column() <= offset.literal(s3), offset.column() <= offset.literal(s7), F.lit(True)):
+            shown[0] = visible
+            landing.poll()
+            query = (
+                landed.load()
+                .writeStream.format("parquet")
+                .option("checkpointLocation", f"{folder}/checkpoint")
+                .trigger(availableNow=True)
+                .start(f"{folder}/out")
+            )
+            query.awaitTermination()
+    finally:
+        landing.stop()
+    return spark.read.schema(df.schema).parquet(f"{folder}/out")
 
 
 def _start_from_param(spark: SparkSession, sf: str) -> DataFrame:
@@ -197,13 +296,14 @@ def _shrunk_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _no_new_data(spark: SparkSession, sf: str) -> DataFrame:
-    """What a second run over the same table delivers."""
-    growing, _, _ = _events(spark, sf)
-    growing.run(F.lit(True))
-    again = f"{growing.folder}/again"
-    if growing.feed().run_available(parquet_sink(again)):
-        return spark.read.parquet(again).drop("batch_id")
-    return read_nothing(growing.table.frame())
+    """Batches and rows of each of three runs; nothing is new to the second, something to the third."""
+    growing, s3, _ = _events(spark, sf)
+    runs: list[tuple[int, int, int]] = []
+    for i, visible in enumerate((growing.upto(s3), growing.upto(s3), F.lit(True))):
+        rows: list[int] = []
+        growing.run(visible, lambda batch, _, rows=rows: rows.append(batch.count()))
+        runs.append((i, len(rows), sum(rows)))
+    return spark.createDataFrame(runs, "run int, n_batches long, n_rows long")
 
 
 def _offset_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -248,7 +348,15 @@ QUERIES = {
     "drain_counts": _drain_counts,
     "drain_parquet": _drain_parquet,
     "drain_capped": partial(_drain_capped, kind="ties"),
+    "drain_capped_number": partial(_drain_capped, kind="number"),
+    "drain_capped_double": partial(_drain_capped, kind="double"),
+    "drain_capped_decimal": partial(_drain_capped, kind="decimal"),
+    "drain_capped_ts": partial(_drain_capped, kind="ts"),
     "drain_capped_string": partial(_drain_capped, kind="string"),
+    "drain_instants": _drain_instants,
+    "start_from_param_zoned": _start_from_param_zoned,
+    "offset_log_long": _offset_log_long,
+    "landed_polled": _landed_polled,
     "start_from_param": _start_from_param,
     "restart_resume": _restart_resume,
     "replay_uncommitted": _replay_uncommitted,
@@ -272,8 +380,36 @@ SQL = {
     "drain_batches": f"{_STAGES_SQL} SELECT *, {_BATCH_SQL} FROM events",
     "drain_counts": f"{_STAGES_SQL} SELECT {_BATCH_SQL}, COUNT(*) AS n_rows FROM events GROUP BY 1",
     "drain_parquet": "SELECT * FROM lineitem",
-    "drain_capped": "SELECT * FROM lineitem",
-    "drain_capped_string": "SELECT * FROM customer",
+    **{
+        name: (
+            f"SELECT COUNT(*) AS n_rows, COUNT(DISTINCT {TRACKED[kind].field}) AS n_values, "
+            f"CAST(0 AS BIGINT) AS n_split_over, TRUE AS many_batches FROM {TRACKED[kind].sql_table}"
+        )
+        for name, kind in (
+            ("drain_capped", "ties"),
+            ("drain_capped_number", "number"),
+            ("drain_capped_double", "double"),
+            ("drain_capped_decimal", "decimal"),
+            ("drain_capped_ts", "ts"),
+            ("drain_capped_string", "string"),
+        )
+    },
+    "drain_instants": "SELECT * FROM events",
+    "start_from_param_zoned": (
+        f"WITH {TRACKED['ts'].sql_bounds} SELECT * FROM events WHERE ts >= (SELECT mid FROM m)"
+    ),
+    "offset_log_long": (
+        "WITH b AS (SELECT MIN(event_id) AS lo, MAX(event_id) AS hi FROM events), "
+        f"c AS (SELECT DISTINCT lo + (hi - lo) * i // {_LONG} AS cut FROM b, range(1, {_LONG}) r(i) "
+        f"WHERE lo + (hi - lo) * i // {_LONG} > lo AND lo + (hi - lo) * i // {_LONG} < hi "
+        "UNION SELECT lo FROM b UNION SELECT hi FROM b), "
+        "p AS (SELECT cut, LEAD(cut) OVER (ORDER BY cut) AS upto, "
+        "row_number() OVER (ORDER BY cut) - 1 AS batch_id FROM c) "
+        "SELECT CAST(batch_id AS BIGINT) AS batch_id, 'event_id' AS field, "
+        "CAST(cut AS VARCHAR) AS start_offset, CAST(upto AS VARCHAR) AS end_offset "
+        "FROM p WHERE upto IS NOT NULL"
+    ),
+    "landed_polled": "SELECT * FROM events",
     "start_from_param": (
         f"{_STAGES_SQL} SELECT *, CASE WHEN event_id <= (SELECT s7 FROM s) THEN 0 ELSE 1 END "
         "AS batch_id FROM events WHERE event_id >= (SELECT s3 FROM s)"
@@ -289,7 +425,11 @@ SQL = {
         f"{_STAGES_SQL} SELECT *, CASE WHEN event_id <= (SELECT s7 FROM s) THEN 0 ELSE 1 END "
         "AS batch_id FROM events"
     ),
-    "no_new_data": "SELECT * FROM events WHERE 1 = 0",
+    "no_new_data": (
+        f"{_STAGES_SQL} SELECT 0 AS run, CAST(1 AS BIGINT) AS n_batches, COUNT(*) AS n_rows FROM events "
+        "WHERE event_id <= (SELECT s3 FROM s) UNION ALL SELECT 1, 0, 0 UNION ALL "
+        "SELECT 2, 1, COUNT(*) FROM events WHERE event_id > (SELECT s3 FROM s)"
+    ),
     "offset_log": f"{_STAGES_SQL} {_LOG_SQL}",
     "offset_log_json": (
         f"{_STAGES_SQL} SELECT batch_id, "

@@ -7,8 +7,9 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.tables import TRACKED, halves
+from catalog.tables import DERIVED, TRACKED, halves
 from tidemark.functions.offset_column import OffsetColumn, offset_kind
+from tidemark.operators.batch_cuts import batch_ends
 from tidemark.operators.bounds import both_bounds, end_bound, fetch_bound, start_bound
 from tidemark.operators.profile import offset_profile
 from tidemark.operators.ranges import (
@@ -100,22 +101,14 @@ def _next_range(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _range_split(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows per sub-range; every row falls into exactly one, in a single scan."""
+    """Every row with the sub-range that delivers it: each is read as a batch of its own."""
     tracked = TRACKED["ties"]
-    df = tracked.frame(spark, sf)
-    offset = tracked.offset(df)
-    whole = BatchRange(*fetch_bound(both_bounds(df, offset), offset), True)
+    source = tracked.source(spark, sf)
+    offset = OffsetColumn.of(source.schema, tracked.field)
+    whole = BatchRange(*source.bounds(offset), True)
     parts = split_range(offset, whole, _SPLIT_PARTS)
-    hits = [range_predicate(offset, p).cast("int") for p in parts]
-    part = reduce(
-        lambda chain, i: chain.when(range_predicate(offset, parts[i]), i),
-        range(1, len(parts)),
-        F.when(range_predicate(offset, parts[0]), 0),
-    )
-    tagged = df.select(part.alias("part"), reduce(lambda a, b: a + b, hits).alias("n_hits"))
-    return tagged.groupBy("part").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.max("n_hits").alias("max_hits")
-    )
+    reads = (source.read(offset, p).withColumn("part", F.lit(i)) for i, p in enumerate(parts))
+    return reduce(DataFrame.unionAll, reads)
 
 
 def _range_covers(spark: SparkSession, sf: str, kind: str) -> DataFrame:
@@ -135,28 +128,45 @@ def _range_covers(spark: SparkSession, sf: str, kind: str) -> DataFrame:
 
 
 def _offset_profile(spark: SparkSession, sf: str) -> DataFrame:
-    events = TRACKED["number"].frame(spark, sf)
+    measured = F.when(F.col("event_type") == "error", F.lit(float("nan")))
+    measured = measured.when(F.col("event_type") != "click", F.col("value"))
+    events = TRACKED["number"].frame(spark, sf).withColumn("measured", measured)
     lineitem = TRACKED["ties"].frame(spark, sf)
-    return offset_profile(events, "event_id", "ts", "event_type").unionAll(
+    named = offset_profile(events, "event_id", "ts", "event_type")
+    # Texts of doubles differ between engines: their bounds are compared as numbers.
+    bounds = {c: F.col(c).cast("double").cast("decimal(18,6)").cast("string") for c in ("start_offset", "end_offset")}
+    return named.unionAll(offset_profile(events, "measured").withColumns(bounds)).unionAll(
         offset_profile(lineitem, "l_orderkey")
     )
 
 
 def _offset_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Offsets survive the trip through text: values per family, and those that changed."""
+    """Every stored offset finds the rows it came from: text, value and literal of each family.
+
+    All values are carried to a task as a probe carries them, written as text, parsed and written
+    again there; the texts of a sample of bounds then serve as literals that count their rows.
+    """
 
     def one(kind: str) -> DataFrame:
-        df = TRACKED[kind].frame(spark, sf)
-        offset = OffsetColumn.of(df.schema, TRACKED[kind].field)
-        back = offset.column().cast("string").cast(offset.data_type)
-        return df.agg(
+        tracked = TRACKED[kind]
+        df = tracked.frame(spark, sf)
+        offset = OffsetColumn.of(df.schema, tracked.field)
+        whole = BatchRange(*fetch_bound(both_bounds(df, offset), offset), True)
+        c = offset.column()
+        # What a run meets: the bounds, and the ends of batches in between.
+        texts = [whole.start, *batch_ends(lambda b: read_range(df, offset, b), offset, whole, max(df.count() // 20, 1))]
+        again = {offset.format(offset.parse(t)) for t in texts}
+        equal = [F.count_if(c == offset.literal(t)).alias(f"n{i}") for i, t in enumerate(sorted(again))]
+        counts = df.agg(*equal, F.count(c).alias("n_values"))
+        lost = reduce(lambda a, b: a + b, (F.when(F.col(f"n{i}") == 0, 1).otherwise(0) for i in range(len(again))))
+        return counts.select(
             F.lit(offset.kind).alias("kind"),
             F.lit(offset.name).alias("field"),
-            F.count(offset.column()).alias("n_values"),
-            F.count_if(~back.eqNullSafe(offset.column())).alias("n_changed"),
+            "n_values",
+            (lost + F.lit(len(again ^ set(texts)))).cast("long").alias("n_lost"),
         )
 
-    return reduce(DataFrame.unionAll, map(one, _FAMILIES))
+    return reduce(DataFrame.unionAll, map(one, (*_FAMILIES, *DERIVED)))
 
 
 def _per_column(df: DataFrame, **described: dict[str, str]) -> DataFrame:
@@ -246,10 +256,8 @@ SQL = {
         "WITH b AS (SELECT MIN(l_orderkey) AS lo, MAX(l_orderkey) AS hi FROM lineitem), "
         "parts AS (SELECT i AS part, lo + (hi - lo) * i // 8 AS above, "
         "lo + (hi - lo) * (i + 1) // 8 AS upto FROM b, range(8) r(i)) "
-        "SELECT CAST(part AS INTEGER) AS part, COUNT(*) AS n_rows, 1 AS max_hits "
-        "FROM lineitem JOIN parts "
-        "ON l_orderkey <= upto AND (l_orderkey > above OR (part = 0 AND l_orderkey = above)) "
-        "GROUP BY part"
+        "SELECT lineitem.*, CAST(part AS INTEGER) AS part FROM lineitem JOIN parts "
+        "ON l_orderkey <= upto AND (l_orderkey > above OR (part = 0 AND l_orderkey = above))"
     ),
     "range_ties": (
         f"WITH {TRACKED['ties'].sql_bounds} "
@@ -265,7 +273,8 @@ SQL = {
     ),
     "offset_profile": " UNION ALL ".join(
         f"SELECT '{field}' AS field, '{kind}' AS kind, COUNT(*) AS n_rows, "
-        f"COUNT(*) - COUNT({field}) AS n_nulls, COUNT(DISTINCT {field}) AS n_distinct, "
+        f"COUNT(*) - COUNT({field}) AS n_nulls, CAST(0 AS BIGINT) AS n_nans, "
+        f"COUNT(DISTINCT {field}) AS n_distinct, "
         f"(SELECT MAX(n) FROM (SELECT COUNT(*) AS n FROM {table} GROUP BY {field}) g) AS max_ties, "
         f"CAST(MIN({field}) AS VARCHAR) AS start_offset, "
         f"CAST(MAX({field}) AS VARCHAR) AS end_offset FROM {table}"
@@ -275,10 +284,18 @@ SQL = {
             ("events", "event_type", "string"),
             ("lineitem", "l_orderkey", "number"),
         )
-    ),
+    )
+    + " UNION ALL SELECT 'measured', 'number', COUNT(*), COUNT(*) FILTER (event_type = 'click'), "
+    "COUNT(*) FILTER (event_type = 'error'), "
+    "COUNT(DISTINCT value) FILTER (event_type NOT IN ('click', 'error')), "
+    "(SELECT MAX(n) FROM (SELECT COUNT(*) AS n FROM events "
+    "WHERE event_type NOT IN ('click', 'error') GROUP BY value) g), "
+    "CAST(CAST(MIN(value) FILTER (event_type NOT IN ('click', 'error')) AS DECIMAL(18,6)) AS VARCHAR), "
+    "CAST(CAST(MAX(value) FILTER (event_type NOT IN ('click', 'error')) AS DECIMAL(18,6)) AS VARCHAR) "
+    "FROM events",
     "offset_roundtrip": " UNION ALL ".join(
         f"SELECT '{kind}' AS kind, '{TRACKED[family].field}' AS field, "
-        f"COUNT({TRACKED[family].field}) AS n_values, CAST(0 AS BIGINT) AS n_changed "
+        f"COUNT({TRACKED[family].field}) AS n_values, CAST(0 AS BIGINT) AS n_lost "
         f"FROM {TRACKED[family].sql_table}"
         for family, kind in (
             ("number", "number"),
@@ -286,11 +303,12 @@ SQL = {
             ("date", "date"),
             ("string", "string"),
             ("ts", "timestamp_ntz"),
+            *((family, "number") for family in DERIVED),
         )
     ),
 }
 
-for _family in _FAMILIES:
+for _family in (*_FAMILIES, *DERIVED):
     _tracked = TRACKED[_family]
     _f, _t, _with = _tracked.field, _tracked.sql_table, f"WITH {_tracked.sql_bounds}"
     QUERIES |= {

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from catalog.feeds import zoned_events, zoneless
 from catalog.tables import TRACKED, halves
 from tidemark.plans.workspace import shared_folder
-from tidemark.streaming.datasource import read_stream
+from tidemark.streaming.datasource import drain_stream, read_stream
 from tidemark.streaming.offset_log import read_spans
 
 _FAMILIES = ("number", "double", "string", "ts", "ties")
@@ -48,6 +49,65 @@ def _from_param(spark: SparkSession, sf: str) -> DataFrame:
     return _drained(spark, read_stream(spark, f"{sf}/events.parquet", "ts", **start))
 
 
+def _from_param_zoned(spark: SparkSession, sf: str) -> DataFrame:
+    """A start given in the session's zone, which is not UTC."""
+    tokyo, path, start = zoned_events(spark, sf)
+    return zoneless(_drained(tokyo, read_stream(tokyo, path, "ts", **{"start.offset": start})))
+
+
+def _instants(spark: SparkSession, sf: str) -> DataFrame:
+    tokyo, path, _ = zoned_events(spark, sf)
+    return zoneless(_drained(tokyo, read_stream(tokyo, path, "ts")))
+
+
+def _derived(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """A whole table tracked by a column of a type that the given files lack."""
+    path = shared_folder(spark, "table")
+    TRACKED[kind].frame(spark, sf).write.parquet(path)
+    return _drained(spark, read_stream(spark, path, TRACKED[kind].field))
+
+
+def _stepped(spark: SparkSession, sf: str) -> DataFrame:
+    """A backlog of several files in steps, by runs that each end after one; all rows, each once."""
+    df = TRACKED["ties"].frame(spark, sf)
+    folder = shared_folder(spark, "stepped")
+    df.repartitionByRange(6, "l_orderkey").write.option("parquet.block.size", 1 << 18).parquet(f"{folder}/table")
+    rows = str(max(df.count() // 4, 1))
+
+    def start() -> StreamingQuery:
+        stream = read_stream(spark, f"{folder}/table", "l_orderkey", rowsPerBatch=rows, stepping="true")
+        return (
+            stream.writeStream.format("parquet")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start(f"{folder}/out")
+        )
+
+    drain_stream(start)
+    return spark.read.schema(df.schema).parquet(f"{folder}/out")
+
+
+def _partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """A table in folders by month and by a negative number; their types are Spark's."""
+    df = TRACKED["date"].frame(spark, sf)
+    path = shared_folder(spark, "table")
+    month, k = F.trunc("o_date", "year").alias("o_year"), (-(F.col("o_orderkey") % 2)).cast("int").alias("k")
+    df.select("o_orderkey", "o_date", "o_totalprice", month, k).repartition("o_year", "k").write.partitionBy("o_year", "k").parquet(path)
+    stream = read_stream(spark, path, "o_orderkey")
+    rows = _drained(spark, stream)
+    kinds = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in stream.schema if f.name in ("o_year", "k"))
+    return rows.withColumn("folder_types", F.lit(kinds))
+
+
+def _nan(spark: SparkSession, sf: str) -> DataFrame:
+    """Offsets that are NaN are never delivered, and do not hide the others."""
+    path = shared_folder(spark, "table")
+    df = TRACKED["number"].frame(spark, sf)
+    tracked = F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("event_id").cast("double"))
+    df.withColumn("tracked", tracked).write.parquet(path)
+    return _drained(spark, read_stream(spark, path, "tracked"))
+
+
 def _columns(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{sf}/lineitem.parquet"
     kept = {"columns": "l_orderkey,l_linenumber,l_quantity"}
@@ -142,10 +202,9 @@ def _nulls(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _windowed(spark: SparkSession, sf: str) -> DataFrame:
-    """Hourly counts with a watermark: an hour is written once no row can reach it any more.
+    """Hourly counts with a watermark: every hour as of its last change, the open ones included.
 
-    The watermark moves after a batch, so the second half's batch writes the hours
-    that the first half closed.
+    In update mode each batch tells the hours it changed; the latest word on an hour counts.
     """
     table = halves(spark, sf, "ts")
     growing = GrowingFolder(spark, "ts")
@@ -160,8 +219,21 @@ def _windowed(spark: SparkSession, sf: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows"))
             .select(F.col("window.start").cast("timestamp_ntz").alias("hour"), "n_rows")
         )
-        _to_parquet(hours, growing.folder)
-    return spark.read.schema(hours.schema).parquet(f"{growing.folder}/out")
+        query = (
+            hours.writeStream.outputMode("update")
+            .option("checkpointLocation", f"{growing.folder}/checkpoint")
+            .foreachBatch(
+                lambda changed, batch_id: changed.write.mode("overwrite").parquet(
+                    f"{growing.folder}/out/batch_id={batch_id}"
+                )
+            )
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    changes = spark.read.schema(T.StructType(hours.schema.fields).add("batch_id", T.IntegerType()))
+    latest = F.max_by("n_rows", "batch_id").alias("n_rows")
+    return changes.parquet(f"{growing.folder}/out").groupBy("hour").agg(latest)
 
 
 def _replay(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,6 +276,15 @@ QUERIES = {
     "stream_daily": stream_daily,
     "stream_windowed": _windowed,
     "stream_from_param": _from_param,
+    "stream_from_param_zoned": _from_param_zoned,
+    "stream_instants": _instants,
+    "stream_decimal": partial(_derived, kind="decimal"),
+    "stream_float": partial(_derived, kind="float"),
+    "stream_int": partial(_derived, kind="int"),
+    "stream_date": partial(_derived, kind="date"),
+    "stream_stepped": _stepped,
+    "stream_partitioned": _partitioned,
+    "stream_nan": _nan,
     "stream_columns": _columns,
     "stream_restart": partial(_restart, kind="number"),
     "stream_restart_date": partial(_restart, kind="date"),
@@ -223,14 +304,25 @@ SQL = {
         "FROM events GROUP BY 1, 2"
     ),
     "stream_windowed": (
-        f"WITH {TRACKED['ts'].sql_bounds} "
-        "SELECT date_trunc('hour', ts) AS hour, COUNT(*) AS n_rows FROM events GROUP BY 1 "
-        "HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR "
-        "<= (SELECT MAX(ts) FROM events, m WHERE ts <= mid)"
+        "SELECT date_trunc('hour', ts) AS hour, COUNT(*) AS n_rows FROM events GROUP BY 1"
     ),
     "stream_from_param": (
         f"WITH {TRACKED['ts'].sql_bounds} SELECT * FROM events WHERE ts >= (SELECT mid FROM m)"
     ),
+    "stream_from_param_zoned": (
+        f"WITH {TRACKED['ts'].sql_bounds} SELECT * FROM events WHERE ts >= (SELECT mid FROM m)"
+    ),
+    "stream_instants": "SELECT * FROM events",
+    **{f"stream_{kind}": f"SELECT * FROM {TRACKED[kind].sql_table}" for kind in ("decimal", "float", "int", "date")},
+    "stream_stepped": "SELECT * FROM lineitem",
+    "stream_partitioned": (
+        "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_date, o_totalprice, "
+        "CAST(date_trunc('year', o_orderdate) AS DATE) AS o_year, CAST(-(o_orderkey % 2) AS INTEGER) AS k, "
+        "'o_year:date,k:int' AS folder_types FROM orders"
+    ),
+    "stream_nan": (
+        "SELECT *, CAST(event_id AS DOUBLE) AS tracked FROM events WHERE event_type <> 'error'"
+    ),
     "stream_columns": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
     "stream_restart": "SELECT * FROM events",
     "stream_restart_date": "SELECT *, CAST(o_orderdate AS DATE) AS o_date FROM orders",

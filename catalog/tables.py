@@ -67,8 +67,24 @@ TRACKED = {
     ),
     "ts": Tracked("events", "ts", "lo + to_microseconds(date_diff('microsecond', lo, hi) // 2)"),
     "ties": Tracked("lineitem", "l_orderkey", "lo + (hi - lo) // 2"),
+    "int": Tracked("lineitem", "l_line", "lo + (hi - lo) // 2", "CAST(l_linenumber AS INTEGER)"),
+    "float": Tracked(
+        "part",
+        "p_price",
+        "CAST(CAST(lo AS DOUBLE) + (CAST(hi AS DOUBLE) - CAST(lo AS DOUBLE)) * 0.5 AS FLOAT)",
+        "CAST(p_retailprice AS FLOAT)",
+    ),
+    "decimal": Tracked(
+        "orders",
+        "o_amount",
+        "CAST(lo + (hi - lo) * 0.5 AS DECIMAL(18,3))",
+        "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(18,3))",
+    ),
 }
 
+#: Families that are tracked by a column the files lack, in addition to those of the given files.
+DERIVED = ("int", "float", "decimal")
+
 
 class Halves(NamedTuple):
     """A table with its offset range cut in two: ``[lo, mid]`` and ``(mid, hi]``."""

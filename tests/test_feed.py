@@ -1,5 +1,6 @@
 import os
 import time
+from bisect import bisect_left
 from collections import Counter
 from datetime import date, datetime
 from pathlib import Path
@@ -9,11 +10,14 @@ from conftest import days
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.offset_column import OffsetColumn
+from tidemark.operators.bounds import both_bounds, fetch_bound
 from tidemark.operators.ranges import BatchRange
 from tidemark.plans.progress import Span
 from tidemark.sources.tables import FrameTable, ParquetTable
 from tidemark.streaming.feed import IncrementalFeed, parquet_sink
 from tidemark.streaming.landing import LandedStream
+from tidemark.streaming.lease import LeaseTaken
 
 SCHEMA = "a int, b long, c double, d date, e string, t timestamp_ntz"
 
@@ -257,7 +261,76 @@ def test_log_of_another_column_is_refused(spark, folder):
         bench.run()
 
 
-def test_old_log_entries_are_dropped(spark, folder):
+def test_old_log_entries_are_kept_and_gathered(spark, folder):
+    bench = Bench(spark, folder, "a")
+    for last in range(1, 9):
+        bench.run(list(range(1, last + 1)))
+        if last == 5:
+            log = bench.feed().log
+            log.leave = 1
+            log.gather()
+    log = bench.feed().log
+    assert [tuple(r) for r in log.frame().orderBy("batch_id").collect()] == [
+        (0, "a", "1", "1"),
+        *((i, "a", str(i), str(i + 1)) for i in range(1, 8)),
+    ]
+    assert sorted(log._ids("offsets")) == [4, 5, 6, 7]
+    bench.run(list(range(1, 10)))
+    assert bench.got[8] == [9]
+
+
+def test_a_second_runner_is_refused_before_it_delivers(spark, folder):
+    bench = Bench(spark, folder, "a")
+    delivered = []
+
+    def sink(batch, batch_id):
+        bench.sink(batch, batch_id)
+        with pytest.raises(LeaseTaken):
+            bench.run(sink=lambda *_: delivered.append(1))
+
+    bench.run([1, 2], sink)
+    assert delivered == [] and bench.got == {0: [1, 2]}
+    bench.run([1, 2, 3])
+    assert bench.got[1] == [3]
+
+
+def test_the_lease_of_a_dead_runner_expires_and_stops_it_should_it_wake(spark, folder):
+    bench = Bench(spark, folder, "a", lease_seconds=2.0)
+    dead = bench.feed()._lease
+    dead.__enter__()
+    dead._stop.set()
+    with pytest.raises(LeaseTaken):
+        bench.run([1])
+    time.sleep(2.2)
+    bench.run([1])
+    assert bench.got == {0: [1]}
+    with pytest.raises(LeaseTaken):
+        dead.check()
+
+
+def test_a_failed_run_gives_its_lease_back(spark, folder):
+    bench = Bench(spark, folder, "a")
+    with pytest.raises(ZeroDivisionError):
+        bench.run([1], lambda *_: 1 / 0)
+    bench.run([1])
+    assert bench.got == {0: [1]}
+
+
+def test_a_run_loads_the_table_as_often_for_many_batches_as_for_one(spark, folder):
+    loads = []
+
+    def load():
+        loads.append(1)
+        return spark.range(0, 1000)
+
+    for i, cap in enumerate((None, 50)):
+        loads.clear()
+        feed = IncrementalFeed(spark, FrameTable(load), {"offset.field": "id"}, f"{folder}/{i}", cap)
+        done = feed.run_available(lambda batch, _: batch.count())
+        assert len(done) == (1 if cap is None else 20) and len(loads) == 3
+
+
+def test_old_log_entries_are_dropped_if_asked(spark, folder):
     bench = Bench(spark, folder, "a", retain=3)
     for last in range(1, 8):
         bench.run(list(range(1, last + 1)))
@@ -409,18 +482,52 @@ def test_a_start_offset_far_below_the_data(spark, folder):
     assert sum(sizes) == 1000 and max(sizes) <= 100
 
 
-def test_infinite_offsets_are_one_batch(spark, folder):
-    df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),)], "v double")
-    sizes, values = delivered(spark, folder, df, "v", 1)
-    assert sizes == {0: 3}
+def test_infinite_offsets_are_batches_of_their_own(spark, folder):
+    inf = float("inf")
+    df = spark.createDataFrame([(1.0,), (2.0,), (inf,), (inf,), (-inf,)], "v double")
+    sizes, _ = delivered(spark, folder, df, "v", 1)
+    assert sizes == {0: 1, 1: 1, 2: 1, 3: 2}
+
 
+@pytest.mark.parametrize(
+    "values, kind",
+    [
+        ([10**20 + i for i in range(2000)], "decimal(38,0)"),
+        ([-(10**37) * 9, *range(500), 10**37 * 9], "decimal(38,0)"),
+        ([i * 1e-300 for i in range(1000)], "double"),
+        ([-1.7e308, *map(float, range(500)), 1.7e308], "double"),
+        ([-(2**63), *range(500), 2**63 - 1], "bigint"),
+    ],
+)
+def test_the_cap_holds_for_far_and_close_offsets(spark, folder, values, kind):
+    from decimal import Decimal
 
-def test_more_batches_than_one_round_plans(spark, folder, monkeypatch):
+    cast = Decimal if kind.startswith("decimal") else lambda v: v
+    df = spark.createDataFrame([(cast(v),) for v in values], f"v {kind}")
+    sizes, got = delivered(spark, folder, df, "v", 100)
+    assert sum(sizes.values()) == len(values) and max(sizes.values()) <= 100
+
+
+def test_a_thousand_cuts_over_skewed_keys_take_three_reads(spark, folder, monkeypatch):
     import tidemark.operators.batch_cuts as cuts
+    from tidemark.operators.ranges import BatchRange, read_range
 
-    monkeypatch.setattr(cuts, "CUTS_PER_ROUND", 3)
-    sizes, values = delivered(spark, folder, spark.range(0, 100), "id", 10)
-    assert len(values) == 100 and max(sizes.values()) <= 10
+    reads, counted = [], cuts._counted
+    monkeypatch.setattr(cuts, "_counted", lambda *a: reads.append(1) or counted(*a))
+    # A third on one key, most of the rest close together, and a long thin tail.
+    df = spark.range(0, 300_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 777 WHEN id % 1000 = 1 THEN id * 1000 ELSE id END AS v"
+    )
+    offset = OffsetColumn.of(df.schema, "v")
+    whole = BatchRange(*fetch_bound(both_bounds(df, offset), offset), True)
+    ends = cuts.batch_ends(lambda b: read_range(df, offset, b), offset, whole, 200)
+    assert len(ends) > 1000 and len(reads) <= 3
+    bounds, sizes, values = [int(e) for e in ends], Counter(), Counter()
+    for row in df.groupBy("v").count().collect():
+        batch = bisect_left(bounds, row["v"])
+        sizes[batch] += row["count"]
+        values[batch] += 1
+    assert all(n <= 200 or values[batch] == 1 for batch, n in sizes.items())
 
 
 @pytest.mark.parametrize(

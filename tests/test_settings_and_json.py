@@ -84,3 +84,14 @@ def test_shared_folder_is_below_the_session_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert one.startswith(root) and one != two
+
+
+@pytest.mark.parametrize("start", ["2024-01-10 12:00:00", "2024-01-10"])
+def test_a_zoneless_start_needs_a_zone_for_an_instant(start):
+    schema = T.StructType().add("ts", T.TimestampType())
+    options = {"offset.field": "ts", "start.offset": start}
+    with pytest.raises(ValueError, match="timeZone"):
+        Settings.of(options, schema)
+    there = Settings.of({**options, "timeZone": "Asia/Tokyo"}, schema).start
+    assert there.startswith("2024-01-10 03:00:00" if ":" in start else "2024-01-09 15:00:00")
+    assert Settings.of({**options, "start.offset": "2024-01-10 12:00:00+00:00"}, schema).start

@@ -235,9 +235,9 @@ def test_tasks_grow_with_the_batch_but_not_without_end():
     from tidemark.sources.parquet_footers import _task_size
 
     mega = 1024 * 1024
-    assert _task_size(0) == _task_size(300_000 * mega) == 32 * mega
-    assert _task_size(640_000 * mega) == 64 * mega
-    assert _task_size(100_000_000 * mega) == 128 * mega
+    assert _task_size(0, 8) == _task_size(60 * mega, 8) == 4 * mega
+    assert _task_size(640 * mega, 8) == 40 * mega
+    assert _task_size(100_000_000 * mega, 8) == 128 * mega
 
 
 def test_wide_rows_come_in_small_batches(tmp_path):
@@ -274,14 +274,34 @@ def test_partition_folders_become_columns(tmp_path):
         longs(str(tmp_path / f"region=eu/day={day}"), "a", [int(day[-1])])
     (tmp_path / "_temporary").mkdir()
     longs(str(tmp_path / "_temporary"), "x", [99])
-    r = reader(str(tmp_path))
+    declared = T.StructType().add("id", T.LongType()).add("v", T.StringType())
+    declared = declared.add("region", T.StringType()).add("day", T.DateType())
+    r = TidemarkSource({"path": str(tmp_path), "offset.field": "id"}).streamReader(declared)
     end = r.latestOffset()
     rows = [row for p in r.partitions(r.initialOffset(), end) for b in r.read(p) for row in b.to_pylist()]
-    assert sorted((x["id"], x["region"], x["day"]) for x in rows) == [
+    assert sorted((x["id"], x["region"], x["day"].isoformat()) for x in rows) == [
         (1, "eu", "2024-01-01"), (2, "eu", "2024-01-02"),
     ]
 
 
+def test_steps_are_refused_where_a_run_would_end_after_one(tmp_path):
+    longs(str(tmp_path), "a", [1])
+    with pytest.raises(ValueError, match="drain_stream"):
+        reader(str(tmp_path), rowsPerBatch="1")
+
+
+def test_nan_in_the_statistics_spark_writes(spark, tmp_path):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan,), (1.0,), (5.0,), (None,)], "d double")
+    df.coalesce(1).write.parquet(f"{tmp_path}/t")
+    spark.createDataFrame([(nan,)], "d double").write.mode("append").parquet(f"{tmp_path}/t")
+    r = reader(f"{tmp_path}/t", "d")
+    end = r.latestOffset()
+    assert end == offset_dict("d", "1.0", "5.0")
+    rows = [x["d"] for p in r.partitions(r.initialOffset(), end) for b in r.read(p) for x in b.to_pylist()]
+    assert sorted(rows) == [1.0, 5.0]
+
+
 def test_files_that_lack_a_later_column_give_nulls(tmp_path):
     longs(str(tmp_path), "a", [1])
     wide = pa.schema([*LONGS, pa.field("w", pa.int32())])
@@ -394,7 +414,7 @@ def test_steps_never_split_ties_nor_stand_still(tmp_path):
     path = str(tmp_path)
     longs(path, "a", [1] * 30 + [2] * 5, row_group_size=10)
     longs(path, "b", [2] * 5 + [3] * 5 + [9], row_group_size=10)
-    r = reader(path, rowsPerBatch="10")
+    r = reader(path, rowsPerBatch="10", stepping="true")
     start, rows, ends = r.initialOffset(), [], []
     while (end := r.latestOffset()) != start:
         rows += [ids(r, start, end)]
@@ -408,7 +428,7 @@ def test_steps_never_split_ties_nor_stand_still(tmp_path):
 def test_steps_from_a_start_offset(tmp_path, start):
     path = str(tmp_path)
     longs(path, "a", list(range(10)), row_group_size=2)
-    r = reader(path, rowsPerBatch="3", **{"start.offset": start})
+    r = reader(path, rowsPerBatch="3", stepping="true", **{"start.offset": start})
     at, rows = r.initialOffset(), []
     while (end := r.latestOffset()) != at:
         rows += ids(r, at, end)
@@ -419,7 +439,11 @@ def test_steps_from_a_start_offset(tmp_path, start):
 def test_folder_values_keep_their_type(tmp_path):
     for name, i in (("n=1/s=x", 1), ("n=__HIVE_DEFAULT_PARTITION__/s=a%3Db", 2)):
         longs(str(tmp_path / name), "a", [i])
-    r = reader(str(tmp_path))
+    source = TidemarkSource({"path": str(tmp_path), "offset.field": "id"})
+    with pytest.raises(ValueError, match="partitioned by"):
+        source.schema()
+    declared = T.StructType().add("id", T.LongType()).add("v", T.StringType()).add("n", T.IntegerType()).add("s", T.StringType())
+    r = source.streamReader(declared)
     rows = [x for p in r.partitions(r.initialOffset(), r.latestOffset()) for b in r.read(p) for x in b.to_pylist()]
     assert sorted((x["id"], x["n"], x["s"]) for x in rows) == [(1, 1, "x"), (2, None, "a=b")]
 
@@ -475,7 +499,7 @@ def test_backlog_is_taken_in_steps(spark, folder):
     path = f"{folder}/table"
     for i in range(4):
         longs(path, f"f{i}", list(range(i * 100, i * 100 + 100)), row_group_size=25)
-    df = stream(spark, path, "id", rowsPerBatch="50")
+    df = stream(spark, path, "id", rowsPerBatch="50", stepping="true")
     query = (
         df.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(processingTime="100 milliseconds").start(f"{folder}/out")
@@ -605,6 +629,10 @@ def test_stream_joins_and_aggregates(spark, folder):
 TABLE = f"(SELECT * FROM read_parquet('{EVENTS}')) t"
 
 
+def db_rows(r, piece):
+    return [tuple(row.values()) for batch in r.read(piece) for row in batch.to_pylist()]
+
+
 def db_reader(field, table=TABLE, **options):
     schema = TidemarkSource({"path": EVENTS}).schema()
     given = {"dbapi": "duckdb", "dbtable": table, "offset.field": field, **options}
@@ -620,7 +648,7 @@ def test_db_table_is_read_in_disjoint_slices(field, parts):
     assert r.latestOffset() == end
     slices = r.partitions(r.initialOffset(), end)
     assert len(slices) == max(parts, 1 if field == "event_type" else 2)
-    rows = [row for s in slices for row in r.read(s)]
+    rows = [row for s in slices for row in db_rows(r, s)]
     assert sorted(row[0] for row in rows) == list(range(1000))
 
 
@@ -630,7 +658,7 @@ def test_db_table_moves_on_from_the_last_end():
     assert r.partitions(start, start) == []
     assert r.latestOffset() == offset_dict("event_id", "499", "999")
     (piece,) = r.partitions(start, end)
-    assert sorted(row[0] for row in r.read(piece)) == list(range(500, 701))
+    assert sorted(row[0] for row in db_rows(r, piece)) == list(range(500, 701))
 
 
 def test_db_table_is_split_over_another_column():
@@ -644,7 +672,7 @@ def test_db_table_is_split_over_another_column():
     given = {"dbapi": "duckdb", "dbtable": table, "offset.field": "hot", "numPartitions": "4", **split}
     r = TidemarkSource(given).streamReader(schema)
     parts = r.partitions(r.initialOffset(), r.latestOffset())
-    sizes = [list(r.read(p)) for p in parts]
+    sizes = [db_rows(r, p) for p in parts]
     assert len(sizes) == 4 and all(sizes)
     assert sorted(row[0] for rows in sizes for row in rows) == list(range(1000))
 
@@ -657,7 +685,43 @@ def test_db_values_are_bound_not_spliced():
     end = r.latestOffset()
     assert end == offset_dict("s", "a'b", "z")
     (piece,) = r.partitions(r.initialOffset(), end)
-    assert sorted(r.read(piece)) == [(1, "a'b{x}"), (2, "z")]
+    assert sorted(db_rows(r, piece)) == [(1, "a'b{x}"), (2, "z")]
+
+
+def test_db_percent_signs_and_typed_arguments(monkeypatch):
+    """A driver that marks parameters by %s, and whose connect tells types and case apart."""
+    import sys
+    import types
+
+    import duckdb
+
+    calls = []
+
+    def connect(**given):
+        calls.append(given)
+        own = duckdb.connect()
+
+        class Cursor:
+            def execute(self, sql, bound=None):
+                # As such drivers do: with parameters, %% is a percent sign.
+                self.result = own.execute(sql if bound is None else sql.replace("%s", "?").replace("%%", "%"), bound or [])
+
+            def fetchmany(self, n):
+                return self.result.fetchmany(n)
+
+        return types.SimpleNamespace(cursor=Cursor, close=own.close)
+
+    driver = types.ModuleType("percent_driver")
+    driver.paramstyle, driver.connect = "pyformat", connect
+    monkeypatch.setitem(sys.modules, "percent_driver", driver)
+    table = f"(SELECT * FROM read_parquet('{EVENTS}') WHERE event_type LIKE 'c%') t"
+    schema = T.StructType().add("event_id", T.LongType()).add("event_type", T.StringType())
+    given = {"dbapi": "percent_driver", "dbtable": table, "offset.field": "event_id", "dbapi.connect": '{"Port": 1, "readOnly": true}'}
+    r = TidemarkSource(given).streamReader(schema)
+    (piece,) = r.partitions(r.initialOffset(), r.latestOffset())
+    rows = db_rows(r, piece)
+    assert rows and all(row[1].startswith("c") for row in rows)
+    assert calls[0] == {"Port": 1, "readOnly": True}
 
 
 def test_db_stream_under_spark(spark, folder):

@@ -3,7 +3,7 @@
 from tidemark.operators.profile import offset_profile
 from tidemark.sources.jdbc import JdbcTable
 from tidemark.sources.tables import FrameTable, ParquetTable
-from tidemark.streaming.datasource import read_stream, register
+from tidemark.streaming.datasource import drain_stream, read_stream, register
 from tidemark.streaming.feed import IncrementalFeed, parquet_sink
 from tidemark.streaming.landing import LandedStream
 from tidemark.streaming.offset_log import read_spans
@@ -14,6 +14,7 @@ __all__ = [
     "JdbcTable",
     "LandedStream",
     "ParquetTable",
+    "drain_stream",
     "offset_profile",
     "parquet_sink",
     "read_spans",

@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 import os
 from collections.abc import Callable
-from typing import NamedTuple
+from decimal import Decimal
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.offset_column import (
     DATE,
@@ -19,11 +21,14 @@ from tidemark.functions.offset_column import (
 )
 from tidemark.operators.ranges import BatchRange
 
-BUCKETS = 1000
-CUTS_PER_ROUND = 1000
+#: Buckets of the first count; and how many of a later one for each batch that a bucket holds.
+FIRST_BUCKETS = 1 << 14
+FINER = 8
+_FEWEST, _MOST = 16, 1 << 14
 
-# Bytes of a string that take part in its key: 48 bits are exact in a double.
+# Bytes of a string that take part in its key: with their number, 51 bits are exact in a double.
 _KEY_BYTES = 6
+_LARGEST = 1.7976931348623157e308
 
 
 class Bucket(NamedTuple):
@@ -34,84 +39,187 @@ class Bucket(NamedTuple):
     most: str
 
 
+class _Ruler(NamedTuple):
+    """Divides the offsets between two bounds into ``parts`` of equal width."""
+
+    low: Any
+    scale: float
+    parts: int
+    skip: int
+
+
 def batch_ends(
     read: Callable[[BatchRange], DataFrame], offset: OffsetColumn, batch: BatchRange, rows: int
 ) -> list[str]:
     """End offsets that cut ``batch`` into consecutive batches of at most ``rows`` rows.
 
-    ``read`` gives the rows of a range, so that the table decides how a read is spread. The
-    offset column is counted into buckets, which combines map-side and spreads over reducers;
-    only the bucket totals reach the driver. A bucket that alone holds more than ``rows`` rows
-    is counted again more finely, until it is a single offset value: its rows stay together in
-    one batch, however many they are.
-
-    The last end is ``batch.end``, unless there are more cuts than a round plans: then the
-    caller asks again from the last end.
+    ``read`` gives the rows of a range, so that the table decides how a read is spread. Each round
+    reads the offset column once and counts it into buckets, which combines map-side; only bucket
+    totals reach the driver, a few for each batch. All buckets that hold more than ``rows`` rows are
+    counted again in the next round, together and each between its own least and largest offset,
+    until they are single offset values: rows of one value stay together, however many they are.
     """
     if rows < 1:
         raise ValueError("A batch needs at least one row.")
-    key, span = _key(offset, batch)
-    if not math.isfinite(span):
-        return [batch.end]
-    buckets = _buckets(read(batch), offset, key, span)
+    frame = read(batch).select(offset.column()).withColumn("_cut", F.lit(0).cast("long"))
+    line = [Bucket(rows + 1, batch.start, batch.end)]
+    heavy = [0] if batch.start != batch.end else []
+    while heavy:
+        rulers = []
+        for at in heavy:
+            bucket = line[at]
+            parts = math.ceil(FINER * bucket.rows / rows)
+            parts = FIRST_BUCKETS if len(line) == 1 else min(_MOST, max(_FEWEST, parts))
+            rulers.append(_ruler(offset, bucket.least, bucket.most, parts))
+        frame = _divided(frame, offset, rulers, heavy)
+        found = _counted(frame, offset)
+        # Buckets are told by the ruler and their place on it, in order.
+        finer: list[list[tuple[int, Bucket]]] = [[] for _ in heavy]
+        for cut, bucket in found:
+            finer[cut >> 16].append((cut, bucket))
+        line, keys, heavy = _replaced(line, heavy, finer, rows)
+        frame = _renumbered(frame, keys)
+    return _packed(line, batch.end, rows)
+
+
+def _replaced(line: list[Bucket], heavy: list[int], finer: list, rows: int):
+    """``line`` with its heavy buckets divided; which of the new ones are heavy, and their keys."""
+    out: list[Bucket] = []
+    again, keys = [], {}
+    parts = dict(zip(heavy, finer))
+    for at, bucket in enumerate(line):
+        for key, part in parts.get(at, [(None, bucket)]):
+            if key is not None and part.rows > rows and part.least != part.most:
+                keys[key] = len(out)
+                again.append(len(out))
+            out.append(part)
+    return out, keys, again
+
+
+def _packed(line: list[Bucket], end: str, rows: int) -> list[str]:
+    """Ends of batches of neighbouring buckets, each as full as may be."""
     ends: list[str] = []
     open_rows, open_end = 0, None
-    for bucket in buckets:
+    for bucket in line:
         if open_rows and open_rows + bucket.rows > rows:
             ends.append(open_end)
             open_rows = 0
-        if len(ends) >= CUTS_PER_ROUND:
-            return ends
-        inner = BatchRange(bucket.least, bucket.most, True)
-        divisible = bucket.least != bucket.most and (len(buckets) > 1 or inner != batch)
-        if bucket.rows > rows and divisible:
-            ends += batch_ends(read, offset, inner, rows)
-        else:
-            open_rows, open_end = open_rows + bucket.rows, bucket.most
-    if len(ends) >= CUTS_PER_ROUND or (ends and ends[-1] == batch.end):
-        return ends
-    return [*ends, batch.end]
+        open_rows, open_end = open_rows + bucket.rows, bucket.most
+    return [*ends, end]
+
+
+# -- counting ---------------------------------------------------------------------
 
 
-def _buckets(rows: DataFrame, offset: OffsetColumn, key: Column, span: float) -> list[Bucket]:
-    """The rows in some ``BUCKETS`` buckets of equal width, in the order of the offsets."""
-    bucket = F.floor(key / F.lit(max(span / BUCKETS, 1e-300)))
+def _divided(frame: DataFrame, offset: OffsetColumn, rulers: list[_Ruler], keys: list[int]) -> DataFrame:
+    """The rows of the buckets ``keys`` with the finer bucket each falls into.
+
+    There are as many rulers as heavy buckets, a few for each batch planned, so they are broadcast.
+    """
+    fields = [
+        T.StructField("_cut", T.LongType()),
+        T.StructField("_ruler", T.LongType()),
+        T.StructField("_low", _point_type(offset)),
+        T.StructField("_scale", T.DoubleType()),
+        T.StructField("_parts", T.LongType()),
+        T.StructField("_skip", T.IntegerType()),
+    ]
+    values = [(k, n, r.low, r.scale, r.parts, r.skip) for n, (k, r) in enumerate(zip(keys, rulers))]
+    known = frame.sparkSession.createDataFrame(values, T.StructType(fields))
+    joined = frame.join(F.broadcast(known), "_cut")
+    position = _position(offset) * F.col("_scale")
+    place = F.least(F.greatest(F.floor(position), F.lit(0)), F.col("_parts") - 1)
+    if _floating(offset):  # what is infinite stands apart
+        c = offset.column().cast("double")
+        place = F.when(c == math.inf, F.col("_parts")).when(c == -math.inf, -1).otherwise(place)
+    cut = F.shiftleft(F.col("_ruler"), 16) + place + 1
+    return joined.select(offset.column(), cut.cast("long").alias("_cut"))
+
+
+def _counted(frame: DataFrame, offset: OffsetColumn) -> list[tuple[int, Bucket]]:
     c = offset.column()
-    counted = rows.groupBy(bucket.alias("bucket")).agg(
+    counted = frame.groupBy("_cut").agg(
         F.count(F.lit(1)).alias("rows"),
         offset.carrier(F.min(c)).alias("least"),
         offset.carrier(F.max(c)).alias("most"),
     )
     carried = offset.from_carrier
     return [
-        Bucket(r["rows"], carried(r["least"]), carried(r["most"]))
-        for r in sorted(counted.collect(), key=lambda r: r["bucket"])
+        (r["_cut"], Bucket(r["rows"], carried(r["least"]), carried(r["most"])))
+        for r in sorted(counted.collect(), key=lambda r: r["_cut"])
     ]
 
 
-def _key(offset: OffsetColumn, batch: BatchRange) -> tuple[Column, float]:
-    """A double that grows with the offset, from 0 at the start of ``batch``, and its end.
+def _renumbered(frame: DataFrame, keys: dict[int, int]) -> DataFrame:
+    """The rows of the buckets that are divided next, numbered by their place in the line."""
+    if not keys:
+        return frame
+    known = frame.sparkSession.createDataFrame(list(keys.items()), "_cut long, _next long")
+    return frame.join(F.broadcast(known), "_cut").drop("_cut").withColumnRenamed("_next", "_cut")
 
-    It need not tell close offsets apart, only never order two of them the other way round.
-    """
-    c = offset.column()
+
+# -- positions --------------------------------------------------------------------
+#
+# A double that grows with the offset, from 0 at the low bound. It need not tell close offsets
+# apart, only never order two of them the other way round, and tell the bounds apart.
+
+
+def _floating(offset: OffsetColumn) -> bool:
+    return isinstance(offset.data_type, (T.FloatType, T.DoubleType))
+
+
+def _point_type(offset: OffsetColumn) -> T.DataType:
+    if offset.kind == DATE:
+        return T.DateType()
+    if isinstance(offset.data_type, T.DecimalType):
+        return offset.data_type
+    if offset.integral:
+        return T.DecimalType(20, 0)
+    return T.DoubleType() if _floating(offset) else T.LongType()
+
+
+def _position(offset: OffsetColumn) -> Column:
+    c, low = offset.column(), F.col("_low")
     if offset.kind == STRING:
-        return _string_key(c, batch)
-    low, high = offset.to_point(batch.start), offset.to_point(batch.end)
+        return (_string_number(c) - low).cast("double")
     if offset.kind == DATE:
-        points = F.datediff(c, offset.literal(batch.start))
-    elif offset.kind == TIMESTAMP:
-        points = F.unix_micros(c) - F.lit(low)
-    elif offset.kind == TIMESTAMP_NTZ:
-        points = _wall_clock_micros(c) - F.lit(low)
-    elif offset.integral and high - low < 2**63:
-        # Large neighbouring keys are equal as doubles, their distances are not.
-        points = c.cast("long") - F.lit(low).cast("long")
+        return F.datediff(c, low).cast("double")
+    if offset.kind == TIMESTAMP:
+        return (F.unix_micros(c) - low).cast("double")
+    if offset.kind == TIMESTAMP_NTZ:
+        return (_wall_clock_micros(c) - low).cast("double")
+    if offset.integral:
+        return (c.cast("decimal(20,0)") - low).cast("double")
+    if isinstance(offset.data_type, T.DecimalType):
+        # In the column's own type; only bounds too far apart for it go through doubles.
+        return F.coalesce(F.try_subtract(c, low).cast("double"), c.cast("double") - low.cast("double"))
+    # Halved, since the distance of two doubles may not fit in one.
+    return c.cast("double") / 2 - low / 2
+
+
+def _ruler(offset: OffsetColumn, least: str, most: str, parts: int) -> _Ruler:
+    skip = 0
+    if offset.kind == STRING:
+        low_bytes, high_bytes = least.encode(), most.encode()
+        skip = len(os.path.commonprefix([low_bytes, high_bytes]))
+        low, high = _number_of(low_bytes[skip:]), _number_of(high_bytes[skip:])
+        span = float(high - low)
     else:
-        # Halved, since the distance of two doubles may not fit in one.
-        points = c.cast("double") / 2 - F.lit(float(low) / 2)
-        return points, float(high) / 2 - float(low) / 2
-    return points.cast("double"), float(high - low)
+        low, high = offset.to_point(least), offset.to_point(most)
+        if _floating(offset):
+            low, high = max(low, -_LARGEST), min(high, _LARGEST)
+            span = high / 2 - low / 2
+        else:
+            span = float(high - low)
+        if offset.kind == DATE:
+            low = offset.parse(least)
+    return _Ruler(_carried(offset, low), parts / span if span > parts / _LARGEST else 1.0, parts, skip)
+
+
+def _carried(offset: OffsetColumn, low: Any) -> Any:
+    if offset.integral:
+        return Decimal(low)
+    return low
 
 
 def _wall_clock_micros(c: Column) -> Column:
@@ -120,14 +228,14 @@ def _wall_clock_micros(c: Column) -> Column:
     return minutes * 60_000_000 + (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long")
 
 
-def _string_key(c: Column, batch: BatchRange) -> tuple[Column, float]:
-    """The bytes after the common prefix of the bounds, which all strings between them share."""
-    low, high = batch.start.encode(), batch.end.encode()
-    shared = len(os.path.commonprefix([low, high]))
-    window = F.substring(c.cast("binary"), shared + 1, _KEY_BYTES)
+def _string_number(c: Column) -> Column:
+    """The bytes after the prefix that all strings between the bounds share, then their number, so
+    that a string comes before its own continuation by zero bytes."""
+    window = F.substring(c.cast("binary"), F.col("_skip") + 1, F.lit(_KEY_BYTES))
     number = F.conv(F.rpad(F.hex(window), 2 * _KEY_BYTES, "0"), 16, 10).cast("long")
-    first, last = (
-        int.from_bytes(b[shared : shared + _KEY_BYTES].ljust(_KEY_BYTES, b"\0"), "big")
-        for b in (low, high)
-    )
-    return (number - F.lit(first)).cast("double"), float(last - first)
+    return number * (_KEY_BYTES + 1) + F.octet_length(window)
+
+
+def _number_of(data: bytes) -> int:
+    window = data[:_KEY_BYTES]
+    return int.from_bytes(window.ljust(_KEY_BYTES, b"\0"), "big") * (_KEY_BYTES + 1) + len(window)

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.offset_column import OffsetColumn
 
 
 def offset_profile(df: DataFrame, *names: str) -> DataFrame:
-    """One row per column: kind, rows, NULLs, distinct values, most rows on one value.
+    """One row per column: kind, rows, NULLs, NaNs, distinct values, most rows on one value.
 
     Rows are counted per value first, which combines map-side: a value that holds a
     third of the table reaches the shuffle as one row per task.
@@ -20,13 +20,20 @@ def offset_profile(df: DataFrame, *names: str) -> DataFrame:
 
 
 def _profile(df: DataFrame, offset: OffsetColumn) -> DataFrame:
-    per_value = df.groupBy(offset.column().alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    # NaN counts for itself: a probe passes over it, as it does over NULL.
+    kept = df.select(offset.orderable().alias("v"), offset.column().isNull().alias("missing"))
+    per_value = kept.groupBy("v", "missing").agg(F.count(F.lit(1)).alias("n"))
     present = F.col("v").isNotNull()
+
+    def rows_where(condition) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
     return per_value.agg(
         F.lit(offset.name).alias("field"),
         F.lit(offset.kind).alias("kind"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("n_nulls"),
+        rows_where(F.col("missing")).alias("n_nulls"),
+        rows_where(~present & ~F.col("missing")).alias("n_nans"),
         F.count("v").alias("n_distinct"),
         F.max(F.when(present, F.col("n"))).alias("max_ties"),
         F.min("v").cast("string").alias("start_offset"),

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import types as T
 
-from tidemark.functions.offset_column import OffsetColumn
+from tidemark.functions.offset_column import TIMESTAMP, OffsetColumn
 
 # Option keys.
 OFFSET_FIELD = "offset.field"
@@ -36,13 +37,26 @@ class Settings:
             raise ValueError(f"Unknown options {unknown}; known are {sorted(OWN_KEYS)}.")
         if not given.get(OFFSET_FIELD):
             raise ValueError(f"Option '{OFFSET_FIELD}' is missing.")
-        offset = OffsetColumn.of(schema, given[OFFSET_FIELD], given.get(TIME_ZONE.lower(), "UTC"))
-        start = given.get(START_OFFSET)
+        zone = given.get(TIME_ZONE.lower())
+        offset = OffsetColumn.of(schema, given[OFFSET_FIELD], zone or "UTC")
+        start, pattern = given.get(START_OFFSET), given.get(OFFSET_FIELD_DATE_FORMAT)
         if start is not None:
-            start = offset.parse_option(start, given.get(OFFSET_FIELD_DATE_FORMAT))
+            if offset.kind == TIMESTAMP and zone is None and (pattern or _zoneless(start)):
+                raise ValueError(
+                    f"'{start}' means another instant in every time zone: give it with its offset "
+                    f"from UTC, or set '{TIME_ZONE}'."
+                )
+            start = offset.parse_option(start, pattern)
         return cls(offset, start)
 
 
+def _zoneless(text: str) -> bool:
+    try:
+        return datetime.fromisoformat(text.strip()).tzinfo is None
+    except ValueError:  # reported when it is parsed
+        return False
+
+
 def source_options(options: Mapping[str, str]) -> dict[str, str]:
     """The options meant for the table's own reader: everything but ours."""
     return {k: v for k, v in options.items() if k.lower() not in OWN_KEYS}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import json
 from collections.abc import Iterator, Mapping
 from typing import Any, NamedTuple
 
@@ -13,6 +14,7 @@ from tidemark.operators.ranges import BatchRange, split_range
 _MARKS = {"qmark": "?", "format": "%s", "pyformat": "%s", "numeric": ":{}", "named": ":p{}"}
 
 _CONNECT_PREFIX = "dbapi."
+_CONNECT_JSON = "dbapi.connect"
 _FETCH_ROWS = 10_000
 
 
@@ -33,7 +35,9 @@ class Slice(NamedTuple):
 class DbApiTable:
     """``dbtable`` in a database that the driver module ``dbapi`` connects to.
 
-    Options ``dbapi.<name>`` become arguments of the module's ``connect``. Values are
+    Options ``dbapi.<name>`` become arguments of the module's ``connect``; Spark lower-cases their
+    names, and they are texts. ``dbapi.connect`` takes a JSON object instead, whose names and types
+    (numbers, booleans, camel case) arrive as they are. Values are
     bound as parameters and the column name is quoted, so no user text is run as SQL
     except ``dbtable`` itself, which may be a parenthesised query with an alias.
 
@@ -50,8 +54,9 @@ class DbApiTable:
         self._connect_args = {
             k[len(_CONNECT_PREFIX) :]: v
             for k, v in options.items()
-            if k.startswith(_CONNECT_PREFIX)
+            if k.startswith(_CONNECT_PREFIX) and k != _CONNECT_JSON
         }
+        self._connect_args |= json.loads(options.get(_CONNECT_JSON, "{}"))
         self._split_column = options.get("partitioncolumn")
         if self._split_column:
             self._split_bounds = int(options["lowerbound"]), int(options["upperbound"])
@@ -61,20 +66,23 @@ class DbApiTable:
     def _quoted(self, name: str) -> str:
         return self._quote + name.replace(self._quote, self._quote * 2) + self._quote
 
-    def _run(self, sql: str, *values: Any) -> Iterator[tuple]:
-        """Rows of ``sql``, whose ``{}`` places take ``values`` as bound parameters."""
+    def _run(self, sql: str, *values: Any) -> Iterator[list[tuple]]:
+        """Rows of ``sql``, some thousand at a time; its ``{}`` places take ``values`` as parameters."""
         driver = importlib.import_module(self._module)
         mark = _MARKS[driver.paramstyle]
         marks = [mark.format(i) for i in range(1, len(values) + 1)]
+        if mark == "%s" and values:
+            sql = sql.replace("%", "%%")  # elsewhere the sign stands for itself
         bound: Any = list(values)
         if driver.paramstyle == "named":
             bound = {f"p{i}": v for i, v in enumerate(values, 1)}
         connection = driver.connect(**self._connect_args)
         try:
             cursor = connection.cursor()
-            cursor.execute(sql.format(*marks), bound)
+            # Without parameters some drivers leave the text alone, so none are passed.
+            cursor.execute(sql.format(*marks), *([bound] if values else []))
             while rows := cursor.fetchmany(_FETCH_ROWS):
-                yield from rows
+                yield rows
         finally:
             connection.close()
 
@@ -83,11 +91,11 @@ class DbApiTable:
         table = _no_marks(self._table)
         if at_least is None:
             rows = self._run(f"SELECT MIN({name}), MAX({name}) FROM {table}")
-            least, most = next(rows)
+            ((least, most),) = next(rows)
         else:
             floor = self._offset.parse(at_least)
             rows = self._run(f"SELECT MAX({name}) FROM {table} WHERE {name} >= {{}}", floor)
-            least, (most,) = None, next(rows)
+            least, ((most,),) = None, next(rows)
         rows.close()
         return self._text(least), self._text(most)
 
@@ -104,7 +112,7 @@ class DbApiTable:
         edges = zip([None, *cuts], [*cuts, None])
         return [Slice(start, end, inclusive, above, upto) for above, upto in edges]
 
-    def read(self, piece: Slice) -> Iterator[tuple]:
+    def read(self, piece: Slice) -> Iterator[list[tuple]]:
         name = _no_marks(self._quoted(self._offset.name))
         columns = _no_marks(", ".join(self._quoted(c) for c in self._columns))
         above = ">=" if piece.inclusive else ">"

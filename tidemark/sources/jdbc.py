@@ -60,6 +60,9 @@ class JdbcTable:
     def frame(self) -> DataFrame:
         return self._load(self._unsplit_options())
 
+    def pinned(self) -> JdbcTable:
+        return self
+
     @cached_property
     def schema(self) -> T.StructType:
         return self.frame().schema

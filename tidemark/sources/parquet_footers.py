@@ -6,6 +6,8 @@ Footers are read once per file, in parallel; column data is read only by tasks.
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from itertools import chain
@@ -13,6 +15,7 @@ from typing import Any, NamedTuple
 from urllib.parse import unquote
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import types as T
@@ -36,9 +39,9 @@ _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 _FOOTER_THREADS = 32
 _BATCH_ROWS = 32_768
 _BATCH_BYTES = 16 * 1024 * 1024
-_SMALLEST_TASK = 32 * 1024 * 1024
+_SMALLEST_TASK = 4 * 1024 * 1024
 _LARGEST_TASK = 128 * 1024 * 1024
-_MANY_TASKS = 10_000
+_TASKS_PER_CORE = 2
 
 
 class RowGroup(NamedTuple):
@@ -97,8 +100,8 @@ def _hidden(names: list[str]) -> bool:
     return any(name.startswith((".", "_")) and "=" not in name for name in names)
 
 
-def arrow_schema(uri: str) -> pa.Schema:
-    """The columns of the files and of ``key=value`` folders."""
+def check_table(uri: str) -> None:
+    """Refuse a folder whose files count only as far as a log in it says."""
     system, root = open_location(uri)
     logs = [f"{root.rstrip('/')}/{name}" for name in _TABLE_LOGS]
     if any(found.type != fs.FileType.NotFound for found in system.get_file_info(logs)):
@@ -106,20 +109,22 @@ def arrow_schema(uri: str) -> pa.Schema:
             f"The files of {uri} count only as far as its own log says: "
             "follow it with an IncrementalFeed over the reader that knows the log."
         )
+
+
+def table_shape(uri: str) -> tuple[pa.Schema, set[str]]:
+    """The columns of the files, with Spark's types, and the names of ``key=value`` folders.
+
+    The types of the latter are for Spark to tell.
+    """
+    check_table(uri)
+    system, root = open_location(uri)
     files = sorted(f.path for f in list_files(system, root))
     if not files:
         raise ValueError(f"{uri} has no Parquet files, so its schema is unknown.")
     with system.open_input_file(files[0]) as source:
         footer = pq.read_metadata(source)
-    schema = _as_spark_reads(footer)
-    folders: dict[str, set[str]] = {}
-    for path in files:
-        for key, value in _folder_values(root, path).items():
-            folders.setdefault(key, set()).add(value)
-    for key, values in folders.items():
-        if key not in schema.names:
-            schema = schema.append(pa.field(key, _folder_type(values)))
-    return schema
+    names = (name.partition("=") for path in files for name in _inner(root, path)[:-1])
+    return _as_spark_reads(footer), {key for key, mark, _ in names if mark}
 
 
 def _as_spark_reads(footer: pq.FileMetaData) -> pa.Schema:
@@ -143,12 +148,6 @@ def _folder_values(root: str, path: str) -> dict[str, str]:
     return {key: unquote(value) for key, mark, value in pairs if mark and value != _NULL_FOLDER}
 
 
-def _folder_type(values: set[str]) -> pa.DataType:
-    if not all(v.isdecimal() for v in values):
-        return pa.string()
-    return pa.int32() if max(map(int, values)) < 2**31 else pa.int64()
-
-
 class FooterIndex:
     """Offset bounds per row group of a folder, kept up to date with its files."""
 
@@ -203,13 +202,26 @@ class FooterIndex:
                     f"{path} has no statistics for '{self._offset.name}' (INT96 timestamps never "
                     "have any): follow this table with an IncrementalFeed instead."
                 )
-            least, most = self._value(stats.min), self._value(stats.max)
+            if _nan(stats.min) or _nan(stats.max):  # Spark's writer counts NaN
+                found = self._finite_bounds(path, i)
+                if found is None:
+                    continue  # nothing but NaN and NULL, which are never delivered
+                least, most = found
+            else:
+                least, most = self._value(stats.min), self._value(stats.max)
             # A missing NULL count may hide NULLs, and statistics pass over NaN.
             complete = stats.has_null_count and stats.null_count == 0 and not self._floating
             size = group.total_byte_size
             groups.append(RowGroup(path, i, least, most, group.num_rows, size, complete))
         return groups
 
+    def _finite_bounds(self, path: str, group: int) -> tuple[Any, Any] | None:
+        """The bounds of a row group whose statistics NaN has taken over, from its column."""
+        with self._fs.open_input_file(path) as source:
+            column = pq.ParquetFile(source).read_row_group(group, [self._offset.name])[0]
+        bounds = pc.min_max(pc.filter(column, pc.invert(pc.is_nan(column)))).as_py()
+        return None if bounds["min"] is None else (self._value(bounds["min"]), self._value(bounds["max"]))
+
     def _value(self, value: Any) -> Any:
         return self._offset.parse(self._offset.format(value))
 
@@ -269,7 +281,7 @@ class FooterIndex:
     # -- scan ----------------------------------------------------------------
 
     def pieces(
-        self, start: str, end: str, inclusive: bool, size: int | None = None
+        self, start: str, end: str, inclusive: bool, size: int | None = None, cores: int = 1
     ) -> list[list[Piece]]:
         """The row groups that can hold the range, packed into tasks of about ``size`` bytes."""
         low, high = self._offset.parse(start), self._offset.parse(end)
@@ -278,7 +290,7 @@ class FooterIndex:
             if g.least <= high and (g.most > low or (inclusive and g.most == low))
         ]
         if size is None:
-            size = _task_size(sum(g.size for g in wanted))
+            size = _task_size(sum(g.size for g in wanted), cores)
         tasks: list[list[Piece]] = []
         filled = size
         for group in wanted:
@@ -296,9 +308,13 @@ class FooterIndex:
         return tasks
 
 
-def _task_size(total: int) -> int:
-    """Small tasks keep all cores busy; a large batch takes larger ones, to bound their number."""
-    return min(_LARGEST_TASK, max(_SMALLEST_TASK, total // _MANY_TASKS))
+def _task_size(total: int, cores: int) -> int:
+    """A few tasks for each core, neither so small that they cost more than they read nor too large."""
+    return min(_LARGEST_TASK, max(_SMALLEST_TASK, total // (cores * _TASKS_PER_CORE)))
+
+
+def _nan(value: Any) -> bool:
+    return isinstance(value, float) and math.isnan(value)
 
 
 def read_pieces(
@@ -306,6 +322,7 @@ def read_pieces(
     pieces: list[Piece],
     schema: pa.Schema,
     offset: str,
+    offset_type: pa.DataType,
     inside: Callable[[pa.Array], pa.Array],
 ) -> Iterator[pa.RecordBatch]:
     """The rows of ``pieces`` whose offset is ``inside``, as batches of ``schema``.
@@ -320,7 +337,9 @@ def read_pieces(
             names = [n for n in file.schema_arrow.names if n == offset or n in schema.names]
             step = _batch_rows(file.metadata, groups)
             for batch in file.iter_batches(step, groups, names, use_threads=False):
-                kept = batch if whole else batch.filter(inside(batch.column(offset)))
+                kept = batch
+                if not whole:
+                    kept = batch.filter(inside(_cast(batch.column(offset), offset_type)))
                 if kept.num_rows:
                     yield _fitted(kept, schema, constants)
 

@@ -33,6 +33,11 @@ class FrameTable:
     def frame(self) -> DataFrame:
         return self._load()
 
+    def pinned(self) -> FrameTable:
+        """This table as it is now; its files are listed once for all reads."""
+        frame = self.frame()
+        return FrameTable(lambda: frame)
+
     @cached_property
     def schema(self) -> T.StructType:
         return self.frame().schema

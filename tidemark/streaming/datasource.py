@@ -6,7 +6,8 @@ only finds the table's end and turns a pair of offsets into tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import os
+from collections.abc import Callable, Iterator, Sequence
 from functools import cached_property
 from typing import Any
 from weakref import WeakSet
@@ -14,17 +15,22 @@ from weakref import WeakSet
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
+from pyspark.sql.streaming import StreamingQuery
 
 import tidemark
 from tidemark.functions.offset_json import offset_bounds, offset_dict
 from tidemark.plans.progress import Span, batch_range, first_span, next_span
-from tidemark.plans.settings import OFFSET_FIELD, Settings
+from tidemark.plans.settings import OFFSET_FIELD, TIME_ZONE, Settings
 from tidemark.sources.dbapi import DbApiTable, Slice
-from tidemark.sources.parquet_footers import FooterIndex, arrow_schema, read_pieces
+from tidemark.sources.parquet_footers import FooterIndex, read_pieces, table_shape
+
+#: Option that says a query runs on a trigger that comes again, so that steps add up.
+STEPPING = "stepping"
 
 
 class TidemarkSource(DataSource):
@@ -34,7 +40,10 @@ class TidemarkSource(DataSource):
     whose schema the user declares with ``.schema(...)``. Tracking is set by
     ``offset.field``, ``start.offset`` and ``offset.field.date.format``; ``columns``
     keeps only the named columns, since a stream reader receives no projection.
-    ``rowsPerBatch`` ends Parquet batches after about that many rows, for a backlog.
+    A declared schema must be the table's; ``read_stream`` declares the one Spark's own
+    Parquet reader finds, which a table partitioned by folders needs. ``rowsPerBatch`` ends Parquet batches after about that many
+    rows: one step for each trigger, so it must come with ``stepping``, which says that
+    triggers follow (``drain_stream`` sees to it for runs that end by themselves).
     """
 
     @classmethod
@@ -48,25 +57,44 @@ class TidemarkSource(DataSource):
     def schema(self) -> T.StructType:
         if "path" not in self._given:
             raise ValueError("A database table needs its schema declared with .schema(...).")
-        return _spark_schema(self._kept(arrow_schema(self._given["path"])))
+        stored, folders = table_shape(self._given["path"])
+        if folders:
+            raise ValueError(
+                f"The table is partitioned by {sorted(folders)}: use read_stream, or declare the "
+                "schema that spark.read.parquet finds."
+            )
+        for field in stored:
+            nano = pa.types.is_timestamp(field.type) and field.type.unit == "ns"
+            if nano and field.name.lower() == self._given.get(OFFSET_FIELD, "").lower():
+                raise ValueError("Spark has no nanosecond timestamps: store microseconds.")
+        return _spark_schema(self._kept(stored))
 
-    def _kept(self, schema: pa.Schema) -> pa.Schema:
+    def _check_steps(self) -> None:
+        given = self._given
+        if "rowsperbatch" in given and given.get(STEPPING, "").lower() != "true":
+            raise ValueError(
+                "With 'rowsPerBatch' a run that ends by itself ends after one step. Start it through "
+                f"drain_stream, or set '{STEPPING}' to 'true' for a trigger that comes again."
+            )
+
+    def _kept(self, schema: pa.Schema, folders: set[str] = frozenset()) -> pa.Schema:
         wanted = [c.strip() for c in self._given.get("columns", "").split(",") if c.strip()]
         if not wanted:
             return schema
-        missing = sorted(set(wanted) - set(schema.names))
+        missing = sorted(set(wanted) - set(schema.names) - folders)
         if missing:
             raise ValueError(f"Columns {missing} are not in the table: {schema.names}.")
-        return pa.schema([schema.field(c) for c in wanted])
+        return pa.schema([schema.field(c) for c in wanted if c in schema.names])
 
     def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
         if schema is None:
             raise ValueError("The schema is missing.")
         given = self._given
         if "path" in given:
-            stored = arrow_schema(given["path"])
-            _check_declared(schema, _spark_schema(self._kept(stored)))
-            return ParquetStreamReader(given, schema, stored)
+            self._check_steps()
+            stored, folders = table_shape(given["path"])
+            _check_declared(schema, _spark_schema(self._kept(stored, folders)), folders)
+            return ParquetStreamReader(given, schema, _spark_schema(stored))
         if "dbapi" in given:
             if not given.get("dbtable"):
                 raise ValueError("Option 'dbtable' is missing.")
@@ -93,9 +121,9 @@ def _spark_schema(schema: pa.Schema) -> T.StructType:
     return from_arrow_schema(schema, prefer_timestamp_ntz=True).toNullable()
 
 
-def _check_declared(declared: T.StructType, stored: T.StructType) -> None:
-    """A declared schema changes nothing, so one that differs is an error."""
-    want = [(f.name, f.dataType) for f in declared.fields]
+def _check_declared(declared: T.StructType, stored: T.StructType, folders: set[str]) -> None:
+    """A declared schema changes nothing but the types of folders, so one that differs is an error."""
+    want = [(f.name, f.dataType) for f in declared.toNullable() if f.name not in folders - set(stored.names)]
     have = [(f.name, f.dataType) for f in stored.fields]
     if want != have:
         raise ValueError(
@@ -163,14 +191,12 @@ class OffsetStreamReader(DataSourceStreamReader):
 class ParquetStreamReader(OffsetStreamReader):
     """A Parquet folder: bounds from footers, one task per run of row groups."""
 
-    def __init__(self, given: dict[str, str], schema: T.StructType, stored: pa.Schema) -> None:
+    def __init__(self, given: dict[str, str], schema: T.StructType, stored: T.StructType) -> None:
         self._uri = given["path"]
-        super().__init__(given, schema, _spark_schema(stored))
-        field_type = stored.field(self._field).type
-        if pa.types.is_timestamp(field_type) and field_type.unit == "ns":
-            raise ValueError("Spark has no nanosecond timestamps: store microseconds.")
-        self._offset_type = field_type
+        super().__init__(given, schema, stored)
+        self._offset_type = to_arrow_schema(T.StructType([_field_of(self._settings)])).field(0).type
         self._size = int(given["taskbytes"]) if "taskbytes" in given else None
+        self._cores = int(given.get("cores", os.cpu_count() or 1))
         self._rows_per_batch = int(given.get("rowsperbatch", "0"))
 
     @cached_property
@@ -188,7 +214,7 @@ class ParquetStreamReader(OffsetStreamReader):
     def plan(self, start: str, end: str, inclusive: bool) -> Sequence[InputPartition]:
         if not self._index.loaded:
             self._index.refresh()
-        tasks = self._index.pieces(start, end, inclusive, self._size)
+        tasks = self._index.pieces(start, end, inclusive, self._size, self._cores)
         return [
             InputPartition((tuple(map(tuple, pieces)), start, end, inclusive)) for pieces in tasks
         ]
@@ -216,17 +242,21 @@ class ParquetStreamReader(OffsetStreamReader):
             return pc.and_(above(offsets, low), pc.less_equal(offsets, high))
 
         schema = to_arrow_schema(self._schema)
-        return read_pieces(self._uri, pieces, schema, self._field, inside)
+        return read_pieces(self._uri, pieces, schema, self._field, self._offset_type, inside)
 
     def _scalar(self, text: str) -> pa.Scalar:
         return pa.scalar(self._settings.offset.parse(text), type=self._offset_type)
 
 
+def _field_of(settings: Settings) -> T.StructField:
+    return T.StructField(settings.offset.name, settings.offset.data_type)
+
+
 class DbApiStreamReader(OffsetStreamReader):
     """A database table: bounds by query, one connection per sub-range."""
 
     def __init__(self, given: dict[str, str], schema: T.StructType) -> None:
-        connect = {k: v for k, v in given.items() if k.startswith("dbapi.")}
+        connect = {k for k in given if k.startswith("dbapi.")}
         super().__init__({k: v for k, v in given.items() if k not in connect}, schema, schema)
         self._db = DbApiTable(given, self._settings.offset, schema.names)
 
@@ -236,8 +266,11 @@ class DbApiStreamReader(OffsetStreamReader):
     def plan(self, start: str, end: str, inclusive: bool) -> Sequence[InputPartition]:
         return [InputPartition(tuple(s)) for s in self._db.slices(start, end, inclusive)]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        return self._db.read(Slice(*partition.value))
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        schema = to_arrow_schema(self._schema)
+        for rows in self._db.read(Slice(*partition.value)):
+            columns = [pa.array(values, field.type) for values, field in zip(zip(*rows), schema)]
+            yield pa.record_batch(columns, schema=schema)
 
 
 _REGISTERED: WeakSet[SparkSession] = WeakSet()
@@ -252,16 +285,56 @@ def register(spark: SparkSession) -> None:
         return
     _REGISTERED.add(spark)
     cloudpickle.register_pickle_by_value(tidemark)
-    for source in (TidemarkSource, JdbcNamedSource):
-        spark.dataSource.register(source)
+    try:
+        for source in (TidemarkSource, JdbcNamedSource):
+            spark.dataSource.register(source)
+    except AnalysisException as known:
+        # Sessions of one application share the names.
+        if known.getCondition() != "DATA_SOURCE_ALREADY_EXISTS":
+            raise
+    finally:
+        cloudpickle.unregister_pickle_by_value(tidemark)
 
 
 def read_stream(
     spark: SparkSession, path: str, offset_field: str, **options: str
 ) -> DataFrame:
-    """A Parquet folder as a streaming DataFrame; ``path`` means what it means to Spark."""
+    """A Parquet folder as a streaming DataFrame; ``path`` means what it means to Spark.
+
+    The schema is that of Spark's own reader, folders included, a zoneless ``start.offset`` is
+    in the session's time zone, and tasks follow the session's cores.
+    """
     register(spark)
+    schema = spark.read.parquet(path).schema
+    given = {k.lower(): v for k, v in options.items()}
+    wanted = [c.strip() for c in given.get("columns", "").split(",") if c.strip()]
+    missing = sorted(set(wanted) - set(schema.names))
+    if missing:
+        raise ValueError(f"Columns {missing} are not in the table: {schema.names}.")
+    kept = T.StructType([schema[c] for c in wanted]) if wanted else schema
+    own = {
+        "cores": str(spark.sparkContext.defaultParallelism),
+        TIME_ZONE: spark.conf.get("spark.sql.session.timeZone"),
+    }
+    own = {k: v for k, v in own.items() if k.lower() not in given}
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
     reader = spark.readStream.format(TidemarkSource.name()).option(OFFSET_FIELD, offset_field)
-    return reader.options(path=system.makeQualified(place).toString(), **options).load()
+    reader = reader.schema(kept).options(**{**own, **options})
+    return reader.option("path", system.makeQualified(place).toString()).load()
+
+
+def drain_stream(start: Callable[[], StreamingQuery]) -> int:
+    """Run a query that ends by itself until a run finds nothing new; how many runs that took.
+
+    ``start`` starts it, always with the same checkpoint, on an ``availableNow`` trigger. Each run takes
+    one step of ``rowsPerBatch``, so together they take everything, in batches of that size.
+    """
+    runs = 0
+    while True:
+        query = start()
+        query.awaitTermination()
+        runs += 1
+        steps = [s for p in query.recentProgress for s in p.sources]
+        if all(s.startOffset == s.endOffset for s in steps):
+            return runs

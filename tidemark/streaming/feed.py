@@ -18,6 +18,7 @@ from tidemark.operators.batch_cuts import batch_ends
 from tidemark.operators.ranges import BatchRange
 from tidemark.plans.progress import Span, batch_range, first_span, next_span
 from tidemark.plans.settings import TIME_ZONE, Settings
+from tidemark.streaming.lease import Lease
 from tidemark.streaming.offset_log import OffsetLog
 
 Sink = Callable[[DataFrame, int], None]
@@ -37,6 +38,10 @@ class Table(Protocol):
 
     def read(self, offset: OffsetColumn, batch: BatchRange) -> DataFrame: ...
 
+    def pinned(self) -> Table:
+        """The same table for many reads, as it is now: what it lists it lists once."""
+        ...
+
 
 class Delivered(NamedTuple):
     """One batch handed to the sink."""
@@ -50,7 +55,9 @@ class IncrementalFeed:
 
     A batch is delivered at least once: after a crash the unfinished one runs again
     with the same id and bounds, so a sink that overwrites by ``batch_id`` (such as
-    ``parquet_sink``) ends up with every row exactly once.
+    ``parquet_sink``) ends up with every row exactly once. While a feed runs it holds
+    the log's lease: a second one is refused, and one that lost its lease stops before
+    it delivers or commits.
     """
 
     def __init__(
@@ -60,7 +67,8 @@ class IncrementalFeed:
         options: Mapping[str, str],
         log_folder: str,
         rows_per_batch: int | None = None,
-        retain: int = 1000,
+        retain: int | None = None,
+        lease_seconds: float = 120.0,
     ) -> None:
         zone = {TIME_ZONE: spark.conf.get("spark.sql.session.timeZone")}
         self._settings = Settings.of({**zone, **options}, table.schema)
@@ -73,6 +81,7 @@ class IncrementalFeed:
                 "order of their bytes."
             )
         self.log = OffsetLog(spark, log_folder, self._offset.name, retain)
+        self._lease = Lease(spark, log_folder, lease_seconds)
 
     @property
     def _cuttable(self) -> bool:
@@ -88,21 +97,28 @@ class IncrementalFeed:
 
     def run_available(self, sink: Sink) -> list[Delivered]:
         """Deliver what an interrupted run left, then all that is there now."""
+        with self._lease:
+            return self._run(sink)
+
+    def _run(self, sink: Sink) -> list[Delivered]:
         done: list[Delivered] = []
         latest = self.log.latest()
         batch_id, current = -1, None
         if latest:
             batch_id, current, finished = latest
             if not finished:
-                done.append(self._deliver(sink, batch_id, current))
+                done.append(self._deliver(self._table, sink, batch_id, current))
         target = self._movement(current)
-        while target is not None:
-            for end in self._ends(current, target):
-                start = target.start if current is None else current.end
-                batch_id, current = batch_id + 1, Span(start, end)
-                self.log.plan(batch_id, current)
-                done.append(self._deliver(sink, batch_id, current))
-            target = next_span(self._offset, current, target.end)
+        if target is None:
+            return done
+        # What the target covers is there already: one listing serves the plan and every batch.
+        table = self._table.pinned()
+        for end in self._ends(table, current, target):
+            start = target.start if current is None else current.end
+            batch_id, current = batch_id + 1, Span(start, end)
+            self._lease.check()
+            self.log.plan(batch_id, current)
+            done.append(self._deliver(table, sink, batch_id, current))
         return done
 
     def _movement(self, current: Span | None) -> Span | None:
@@ -112,17 +128,19 @@ class IncrementalFeed:
         _, most = self._table.bounds(self._offset, current.end)
         return next_span(self._offset, current, most)
 
-    def _ends(self, current: Span | None, target: Span) -> list[str]:
+    def _ends(self, table: Table, current: Span | None, target: Span) -> list[str]:
         if self._rows_per_batch is None:
             return [target.end]
         whole = batch_range(current, target)
-        read = partial(self._table.read, self._offset)
+        read = partial(table.read, self._offset)
         return batch_ends(read, self._offset, whole, self._rows_per_batch)
 
-    def _deliver(self, sink: Sink, batch_id: int, span: Span) -> Delivered:
+    def _deliver(self, table: Table, sink: Sink, batch_id: int, span: Span) -> Delivered:
         # Every batch but the first continues where another one ended.
         batch = BatchRange(span.start, span.end, inclusive=batch_id == 0)
-        sink(self._table.read(self._offset, batch), batch_id)
+        self._lease.check()
+        sink(table.read(self._offset, batch), batch_id)
+        self._lease.check()
         self.log.commit(batch_id)
         return Delivered(batch_id, batch)
 

@@ -7,6 +7,7 @@ source turns the folder into a stream for watermarks, windows and joins.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,56 @@ from tidemark.streaming.feed import Delivered, IncrementalFeed, Table
 _ANY_AGE = "36500d"
 
 
+class Landing:
+    """A table being landed on every trigger, in the background, until ``stop``."""
+
+    def __init__(self, land, seconds: float) -> None:
+        self._land, self._seconds = land, seconds
+        self._wake, self._over = threading.Event(), False
+        self._done = threading.Condition()
+        self.polls, self.error = 0, None
+        self._thread = threading.Thread(target=self._run, daemon=True)
+        self._thread.start()
+
+    def _run(self) -> None:
+        while not self._over:
+            try:
+                self._land()
+            except Exception as failure:  # noqa: BLE001  told to whoever waits
+                self.error = failure
+                self._over = True
+            with self._done:
+                self.polls += 1
+                self._done.notify_all()
+            self._wake.wait(self._seconds)
+            self._wake.clear()
+
+    def poll(self, timeout: float = 600.0) -> None:
+        """Trigger now, and wait until a poll that began afterwards is over."""
+        with self._done:
+            # One that is under way may have looked before the call.
+            wanted = self.polls + 2
+        while self.polls < wanted and not self._over:
+            self._wake.set()
+            with self._done:
+                if self.polls < wanted and not self._done.wait(min(timeout, 1.0)):
+                    timeout -= 1.0
+                    if timeout <= 0:
+                        raise TimeoutError("The table was not polled in time.")
+        self._raise()
+
+    def stop(self) -> None:
+        """End after the poll under way; raises what ended it before."""
+        self._over = True
+        self._wake.set()
+        self._thread.join()
+        self._raise()
+
+    def _raise(self) -> None:
+        if self.error is not None:
+            raise self.error
+
+
 class LandedStream:
     """Lands a table below ``folder`` and reads it back as a stream.
 
@@ -48,6 +99,11 @@ class LandedStream:
         """Land what is there now; call it again, on any schedule, as the table grows."""
         return self.feed.run_available(self._land)
 
+    def start(self, seconds: float = 10.0) -> Landing:
+        """Pull the table every ``seconds`` in the background, so that it is one running stream with
+        ``load``; ``stop`` of the result ends it."""
+        return Landing(self.land_available, seconds)
+
     def _land(self, batch: DataFrame, batch_id: int) -> None:
         landed = self._path(f"landed/batch-{batch_id}")
         if self._fs.exists(landed):
