@@ -82,9 +82,14 @@ def cases(spark: SparkSession) -> dict[str, Callable[[], object]]:
     idle.run_available(parquet_sink(idle_out))
 
     def stream(path: str, field: str) -> None:
+        drain_noop(read_stream(spark, path, field))
+
+    def native_stream(path: str) -> None:
+        drain_noop(spark.readStream.schema(lineitem.schema).parquet(path))
+
+    def drain_noop(rows: DataFrame) -> None:
         query = (
-            read_stream(spark, path, field)
-            .writeStream.format("noop")
+            rows.writeStream.format("noop")
             .option("checkpointLocation", shared_folder(spark, "stream"))
             .trigger(availableNow=True)
             .start()
@@ -103,11 +108,14 @@ def cases(spark: SparkSession) -> dict[str, Callable[[], object]]:
         "drain_one_batch_split_files": lambda: drain(split, "l_orderkey"),
         "drain_ten_batches": lambda: drain(split, "l_orderkey", rows // 10),
         "plan_ten_batches": lambda: batch_ends(partial(split.read, key), key, whole, rows // 10),
+        "plan_thousand_batches": lambda: batch_ends(partial(split.read, key), key, whole, rows // 1000),
+        "native_write_split_files": lambda: split.frame().write.parquet(shared_folder(spark, "native")),
         "no_new_data": lambda: idle.run_available(parquet_sink(idle_out)),
         "offset_profile": lambda: offset_profile(lineitem.frame(), "l_orderkey").collect(),
         "stream_events": lambda: stream(f"{SF}/events.parquet", "event_id"),
         "stream_lineitem": lambda: stream(f"{SF}/lineitem.parquet", "l_orderkey"),
         "stream_lineitem_split_files": lambda: stream(parts, "l_orderkey"),
+        "native_stream_split_files": lambda: native_stream(parts),
         "stream_daily": lambda: stream_daily(spark, SF).collect(),
     }
 

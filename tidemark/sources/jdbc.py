@@ -23,13 +23,15 @@ from tidemark.plans.settings import source_options
 _SPLIT_KEYS = frozenset({"partitioncolumn", "lowerbound", "upperbound", "numpartitions"})
 _PLACE_KEYS = frozenset({"url", "dbtable"})
 _FETCH_ROWS = "10000"
+#: Connections of a batch unless 'numPartitions' says otherwise.
+CONNECTIONS = 8
 
 
 class JdbcTable:
     """A JDBC table, with the options of Spark's own JDBC reader.
 
-    ``numPartitions`` alone splits each batch evenly over the offset column, strings
-    excepted. Where one offset value holds very many rows, name another column with
+    ``numPartitions`` (8 unless given) splits each batch over the offset column, by row
+    counts that the database tells in one query, strings included. Where one offset value holds very many rows, name another column with
     ``partitionColumn``, ``lowerBound`` and ``upperBound``: the batch is then split
     over that one, and the range filter is pushed down on top.
     """
@@ -115,7 +117,10 @@ class JdbcTable:
         options = {**_fetching(self._given), **self._options}
         if "partitioncolumn" not in self._given:
             options = {k: v for k, v in options.items() if k.lower() not in _SPLIT_KEYS}
-            predicates = self.predicates(offset, batch)
+            parts = int(self._given.get("numpartitions", CONNECTIONS))
+            predicates = []
+            if parts > 1:
+                predicates = self.predicates(offset, batch, self._ends(offset, batch, parts))
             if len(predicates) > 1:
                 rows = self._spark.read.jdbc(
                     self._url,
@@ -126,15 +131,43 @@ class JdbcTable:
                 return read_range(rows, offset, batch)
         return read_range(self._load(options), offset, batch)
 
-    def predicates(self, offset: OffsetColumn, batch: BatchRange) -> list[str]:
-        """One SQL condition per connection: disjoint sub-ranges that cover ``batch``."""
+    def ends_query(self, offset: OffsetColumn, batch: BatchRange, parts: int) -> str:
+        """Where to end ``parts`` sub-ranges of equally many rows, in the database's own order."""
+        name = self._dialect.quoteIdentifier(offset.name)
+        (inside,) = self.predicates(offset, batch, [batch.end])
+        return (
+            f"SELECT part, MAX({name}) AS {END_OFFSET} FROM (SELECT {name}, "
+            f"NTILE({parts}) OVER (ORDER BY {name}) AS part FROM {self._table} WHERE {inside}) tiles GROUP BY part"
+        )
+
+    def _ends(self, offset: OffsetColumn, batch: BatchRange, parts: int) -> list[str]:
+        options = {k: v for k, v in self._unsplit_options().items() if k.lower() != "dbtable"}
+        tiles = self._load({**options, "query": self.ends_query(offset, batch, parts)})
+        # Names come back in the case the database prefers.
+        part, end = (tiles[c] for c in sorted(tiles.columns, key=lambda c: c.lower() != "part"))
+        rows = tiles.select(part.alias("part"), offset.carrier(end).alias("end")).collect()
+        ends = [offset.from_carrier(r["end"]) for r in sorted(rows, key=lambda r: r["part"])]
+        # A value that fills several tiles ends one sub-range; what lies beyond belongs to the last.
+        kept = [e for e, later in zip(ends, ends[1:]) if e != later]
+        return [*(e for e in kept if e != batch.end), batch.end]
+
+    def predicates(self, offset: OffsetColumn, batch: BatchRange, ends: list[str] | None = None) -> list[str]:
+        """One SQL condition per connection: disjoint sub-ranges that cover ``batch``.
+
+        They end at ``ends``; without, they are equally wide.
+        """
         dialect = self._dialect
         name = dialect.quoteIdentifier(offset.name)
+        if ends is None:
+            split = split_range(offset, batch, int(self._given.get("numpartitions", "1")))
+        else:
+            starts = [batch.start, *ends[:-1]]
+            split = [BatchRange(a, b, batch.inclusive and i == 0) for i, (a, b) in enumerate(zip(starts, ends))]
         return [
             f"{name} {'>=' if part.inclusive else '>'} "
             f"{self._sql_literal(dialect, offset, part.start)} "
             f"AND {name} <= {self._sql_literal(dialect, offset, part.end)}"
-            for part in split_range(offset, batch, int(self._given.get("numpartitions", "1")))
+            for part in split
         ]
 
 
