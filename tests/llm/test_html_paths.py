@@ -1,0 +1,105 @@
+"""Main text of hand-written pages, and of the given ones against their articles."""
+
+import html
+import re
+
+import pytest
+
+from llm_tables import SMALL
+
+import __spark_entry__ as contract
+from tidemark.llm.html_paths import extract_text, main_text
+
+STORY = (
+    "<h2>A title</h2><p>The first paragraph, which is long enough. It has two sentences, and commas.</p><p>Short.</p>"
+    "<ul><li>One item, a point.</li><li>Another item, also a point.</li></ul>"
+    "<p>The last &amp; final one: caf&eacute;,&#x20;done.</p>"
+)
+TEXT = (
+    "A title The first paragraph, which is long enough. It has two sentences, and commas. Short. One item, a point. "
+    "Another item, also a point. The last & final one: café, done."
+)
+CLUTTER = {
+    "menu": '<nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News, all of it.</a></li></ul></nav>',
+    "header": '<header><h1>The Site</h1><p>News, views, and more. Every day, all day.</p></header>',
+    "menu of divs": '<div class="top-menu"><a href="/">Home</a> <a href="/x">Sport</a></div>',
+    "sidebar": '<aside><h3>More</h3><p>Another story, which is long too. It has commas, and more commas.</p></aside>',
+    "sidebar by class": '<div id="sidebar-left"><p>Another story, which is long too. It has commas, and more.</p></div>',
+    "notice": '<div class="cookie-notice"><p>We use cookies, as all do. You may accept, or not.</p></div>',
+    "advert": '<div class="ad"><p>Buy now, it is cheap. Buy two, and save. Really, do.</p></div>',
+    "form": '<form><p>Your name, please. Your mail, too.</p><input name="x"><button>Send</button></form>',
+    "comments": '<section id="comments"><p>I think, that this is wrong. Or right, who knows.</p></section>',
+    "footer": "<footer><p>Copyright, all rights reserved. No part may be used, ever.</p></footer>",
+    "script": '<script>var t = "</p><p>Not a text, surely. Not at all."; if (a < b) run();</script>',
+    "style": "<style>p > a { margin: 0 }</style>",
+    "comment": "<!-- <p>Hidden text, for nobody. Really.</p> -->",
+    "hidden": '<div style="display: none"><p>Hidden text, for nobody. Really, no one.</p></div>',
+}
+
+
+@pytest.mark.parametrize("box", ["<article>{}</article>", "<main>{}</main>", '<div class="x1"><div class="story">{}</div></div>'])
+@pytest.mark.parametrize("kind", sorted(CLUTTER))
+@pytest.mark.parametrize("before", [True, False])
+def test_clutter_goes(box, kind, before):
+    body = box.format(STORY)
+    body = CLUTTER[kind] + body if before else body + CLUTTER[kind]
+    page = f"<!DOCTYPE html><html><head><title>T</title></head><body>{body}</body></html>"
+    assert main_text(page) == TEXT
+
+
+def test_clutter_of_all_kinds():
+    parts = list(CLUTTER.values())
+    page = f"<html><body>{''.join(parts[:7])}<article>{STORY}</article>{''.join(parts[7:])}</body></html>"
+    assert main_text(page) == TEXT
+
+
+def test_advert_between_paragraphs():
+    assert main_text(f"<article>{STORY.replace('<p>Short', CLUTTER['advert'] + '<p>Short')}</article>") == TEXT
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("", ""),
+        ("plain text only", "plain text only"),
+        ("<p>one<p>two<b>bold</b>ly <i>set", "one twobold ly set".replace("twobold ly", "twoboldly")),
+        ("<p>a<br>b", "a b"),
+        ("<p>x &lt;b&gt; &am y", "x <b> &am y"),
+        ("<p>1 < 2 and a <b", "1 < 2 and a"),
+        ("<!-- never ends <p>x", ""),
+        ("<script>never ends <p>x", ""),
+        ("<p title='a > b'>t", "t"),
+        ("</div></p><p>t</section></article>", "t"),
+        ("<table><tr><td>a, one.<td>b, two.</table>", "a, one. b, two."),
+    ],
+)
+def test_broken_markup(page, text):
+    assert main_text(page) == text
+
+
+def test_all_ruled_out_by_class_is_read_by_elements():
+    assert main_text(f'<body><div class="comments">{STORY}</div><nav><a href="/">Home</a></nav></body>') == TEXT
+
+
+@pytest.mark.parametrize("page", ["<" * 50_000, '<a "' * 20_000, "<div>" * 10_000 + "x", "<p>y" * 30_000, "<div><p>z" * 10_000])
+def test_odd_pages_end(page):
+    main_text(page)
+
+
+def test_edge_rows(spark):
+    rows = [(1, "u", None), (2, None, ""), (3, "u", f"<article>{STORY}</article>"), (3, "u", f"<article>{STORY}</article>"), (None, "u", "<p>" + "a, b. " * 90_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS text", "1 AS _html")
+    got = extract_text(df.drop("_html")).collect()
+    assert sorted((r.page_id or 0, len(r.text)) for r in got) == [(0, 540_000 - 1), (1, 0), (2, 0), (3, len(TEXT)), (3, len(TEXT))]
+    assert extract_text(df.limit(0)).count() == 0
+
+
+def test_query(spark):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
+    rows = contract.queries()["op8_html_paths"](spark, SMALL).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        article = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.S)[1]
+        plain = re.sub(r"</?b>", "", re.sub(r"<br>|</?p>|</?h1>", " ", article))
+        assert r.text == " ".join(html.unescape(plain).split())
+        assert r.n_chars == len(r.text)
