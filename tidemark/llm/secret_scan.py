@@ -64,8 +64,10 @@ class _Nfa:
     def add(self, tree, start: int, any_case: bool, backwards: bool) -> int:
         """Append the expression behind ``start``; the state it ends in."""
         for op, arg in reversed(list(tree)) if backwards else tree:
-            if op in (ops.LITERAL, ops.IN):
-                mask = _mask([(op, arg)] if op is ops.LITERAL else arg, any_case)
+            if op in (ops.LITERAL, ops.NOT_LITERAL, ops.IN):
+                mask = _mask(arg if op is ops.IN else [(ops.LITERAL, arg)], any_case)
+                if op is ops.NOT_LITERAL:
+                    mask ^= (1 << 256) - 1
                 end = self.state()
                 self.edges[start].append((mask, end))
             elif op is ops.SUBPATTERN:
