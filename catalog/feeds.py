@@ -5,7 +5,8 @@ A table grows by raising the offset up to which its rows are visible.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import timedelta
 from functools import partial
 
@@ -164,20 +165,29 @@ def _drain_capped(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     )
 
 
-def zoned_events(spark: SparkSession, sf: str) -> tuple[SparkSession, str, str]:
-    """A session in Tokyo, a copy of events whose time is an instant, and the middle of its range as
-    clocks there tell it."""
-    tokyo = spark.newSession()
-    tokyo.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+@contextmanager
+def clocks_of(spark: SparkSession, zone: str) -> Iterator[None]:
+    """The session's time zone is ``zone`` for a while."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def zoned_events(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """A copy of events whose time is an instant (wall-clock times of UTC), and the middle of its range
+    as clocks in Tokyo tell it."""
     table = halves(spark, sf, "ts")
     path = shared_folder(spark, "instants")
-    # Wall-clock times of UTC, as instants.
     utc = spark.newSession()
     utc.conf.set("spark.sql.session.timeZone", "UTC")
+    utc.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     rows = utc.read.parquet(f"{sf}/events.parquet")
     rows.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(path)
     there = table.offset.parse(table.lower.end) + timedelta(hours=9)
-    return tokyo, path, there.isoformat(sep=" ")
+    return path, there.isoformat(sep=" ")
 
 
 def zoneless(df: DataFrame) -> DataFrame:
@@ -188,17 +198,19 @@ def zoneless(df: DataFrame) -> DataFrame:
 
 def _start_from_param_zoned(spark: SparkSession, sf: str) -> DataFrame:
     """A start given in the session's zone, which is not UTC."""
-    tokyo, path, start = zoned_events(spark, sf)
-    growing = Growing(tokyo, tokyo.read.parquet(path), "ts", **{"start.offset": start})
-    growing.run(F.lit(True))
+    path, start = zoned_events(spark, sf)
+    with clocks_of(spark, "Asia/Tokyo"):
+        growing = Growing(spark, spark.read.parquet(path), "ts", **{"start.offset": start})
+        growing.run(F.lit(True))
     return zoneless(growing.delivered().drop("batch_id"))
 
 
 def _drain_instants(spark: SparkSession, sf: str) -> DataFrame:
-    tokyo, path, _ = zoned_events(spark, sf)
-    df = tokyo.read.parquet(path)
-    growing = Growing(tokyo, df, "ts", rows_per_batch=max(df.count() // 5, 1))
-    growing.run(F.lit(True))
+    path, _ = zoned_events(spark, sf)
+    with clocks_of(spark, "Asia/Tokyo"):
+        df = spark.read.parquet(path)
+        growing = Growing(spark, df, "ts", rows_per_batch=max(df.count() // 5, 1))
+        growing.run(F.lit(True))
     return zoneless(growing.delivered().drop("batch_id"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from catalog.feeds import zoned_events, zoneless
+from catalog.feeds import clocks_of, zoned_events, zoneless
 from catalog.tables import TRACKED, halves
 from tidemark.plans.workspace import shared_folder
 from tidemark.streaming.datasource import drain_stream, read_stream
@@ -51,13 +51,15 @@ def _from_param(spark: SparkSession, sf: str) -> DataFrame:
 
 def _from_param_zoned(spark: SparkSession, sf: str) -> DataFrame:
     """A start given in the session's zone, which is not UTC."""
-    tokyo, path, start = zoned_events(spark, sf)
-    return zoneless(_drained(tokyo, read_stream(tokyo, path, "ts", **{"start.offset": start})))
+    path, start = zoned_events(spark, sf)
+    with clocks_of(spark, "Asia/Tokyo"):
+        return zoneless(_drained(spark, read_stream(spark, path, "ts", **{"start.offset": start})))
 
 
 def _instants(spark: SparkSession, sf: str) -> DataFrame:
-    tokyo, path, _ = zoned_events(spark, sf)
-    return zoneless(_drained(tokyo, read_stream(tokyo, path, "ts")))
+    path, _ = zoned_events(spark, sf)
+    with clocks_of(spark, "Asia/Tokyo"):
+        return zoneless(_drained(spark, read_stream(spark, path, "ts")))
 
 
 def _derived(spark: SparkSession, sf: str, kind: str) -> DataFrame:

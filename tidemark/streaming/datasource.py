@@ -15,7 +15,6 @@ from weakref import WeakSet
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
@@ -288,10 +287,6 @@ def register(spark: SparkSession) -> None:
     try:
         for source in (TidemarkSource, JdbcNamedSource):
             spark.dataSource.register(source)
-    except AnalysisException as known:
-        # Sessions of one application share the names.
-        if known.getCondition() != "DATA_SOURCE_ALREADY_EXISTS":
-            raise
     finally:
         cloudpickle.unregister_pickle_by_value(tidemark)
 
