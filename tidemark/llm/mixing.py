@@ -123,7 +123,8 @@ def take(
     most: float = 2.0,
 ) -> DataFrame:
     """All columns of every row, as many times as the mix takes it."""
-    plan = thresholds(_sized(df, text, key, source), weights, share, most)
+    # Written, so that its size is known: a row for each source need not make the texts move.
+    plan = materialize(thresholds(_sized(df, text, key, source), weights, share, most), "thresholds")
     plan = plan.select(F.col("source").alias("_source"), F.col("whole").alias("_whole"), F.col("limit").alias("_limit"))
     mixed = df.join(plan, df[source].eqNullSafe(F.col("_source")))
     copies = F.col("_whole") + F.when(row_hash(key, text) < F.col("_limit"), 1).otherwise(0)
