@@ -199,10 +199,11 @@ def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", radius: int
     row = F.xxhash64(*df.columns)
     found = near_duplicates(df.select(text, key, row.alias("_row")), text, key, radius, ("_row",))
     order = F.struct(F.col(key).isNull(), F.col(key), F.col("_row"))
-    chosen = found.groupBy("root").agg(F.min(order)["_row"].alias("_chosen"))
-    kept = df.withColumn("_row", row).join(chosen, F.col("_row") == F.col("_chosen"), "left_semi")
-    # A row hash that several rows have stands for equal rows; only these are compared whole.
-    several = found.groupBy("_row").agg(F.count("*").alias("n")).where("n > 1").select(F.col("_row").alias("_several"))
-    repeated = kept.join(several, F.col("_row") == F.col("_several"), "left_semi").dropDuplicates(["_row"])
-    single = kept.join(several, F.col("_row") == F.col("_several"), "left_anti")
-    return single.union(repeated).drop("_row")
+    found = materialize(found.groupBy("root", key, "_row").agg(F.count("*").alias("n")), "rows-of-groups")
+    chosen = found.groupBy("root").agg(F.min_by(F.struct("_row", "n"), order).alias("c"))
+    chosen = materialize(chosen.select(F.col("c._row").alias("_chosen"), F.col("c.n").alias("_n")), "rows-kept")
+    kept = df.withColumn("_row", row).join(chosen, F.col("_row") == F.col("_chosen"))
+    # A row hash that several rows have stands for equal rows.
+    single = kept.where("_n = 1").select(*df.columns)
+    repeated = kept.where("_n > 1").dropDuplicates(["_row"]).select(*df.columns)
+    return single.union(repeated)
