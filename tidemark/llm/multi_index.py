@@ -2,8 +2,9 @@
 
 Each half of the unit vectors has a codebook of its own; the pairs of their codes form a grid of cells. A
 query visits cells in the order of a lower bound of their distance (multi-sequence traversal over the
-two sorted lists) and stops where no later cell can hold a vector within the threshold, so that the
-recall of the links is 1. What the visited cells hold is verified in double precision.
+two sorted lists) up to a reach that is set for a target recall: of pairs right at the threshold that
+differ in random directions, the target share is found; nearer pairs are found more surely. What the
+visited cells hold is verified in double precision. A pair counts for both if either visits the other.
 """
 
 from __future__ import annotations
@@ -15,12 +16,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import map_arrow, materialize
 from tidemark.llm.components import connected_components
 
 #: Vectors that the codebooks are fitted on at most, codes of a half at most, and vectors a cell should hold.
-SAMPLE, MOST_CODES, CELL = 20_000, 256, 16
+SAMPLE, MOST_CODES, CELL = 20_000, 1024, 256
+#: Vectors that the reach is set with at most.
+PROBES = 4000
 #: Members and queries of a cell that meet in one task at most, on average.
 MEMBERS, QUERIES = 2048, 8192
 
@@ -86,8 +90,24 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def _reach(x: np.ndarray, books: tuple[np.ndarray, np.ndarray], threshold: float, target: float) -> float:
+    """The bound up to which a share ``target`` of pairs at the threshold see each other."""
+    rng = np.random.default_rng(8)
+    x, cut = x[:PROBES], books[0].shape[1]
+    aside = rng.normal(size=x.shape)
+    aside -= (aside * x).sum(1, keepdims=True) * x
+    aside /= np.maximum(np.sqrt((aside * aside).sum(1, keepdims=True)), 1e-300)
+    y = threshold * x + np.sqrt(max(0.0, 1 - threshold**2)) * aside
+    each = []
+    for book, part in zip(books, (slice(None, cut), slice(cut, None))):
+        home, _ = _bounds(y[:, part], book)
+        each.append(_bounds(x[:, part], book)[1][np.arange(len(x)), home])
+    # No pair within the threshold is further apart than this, so nothing beyond needs a visit.
+    return min(float(np.quantile(each[0] + each[1], target)), 2 - 2 * threshold) + 1e-9
+
+
 def _cells(books: tuple[np.ndarray, np.ndarray], reach: float):
-    """Rows (node, v) to the cells that each visits; the first is the one it is indexed in."""
+    """Rows (node, v) to the cells that each visits, and the one that it is indexed in."""
     codes = len(books[1])
     cut = books[0].shape[1]
 
@@ -98,27 +118,28 @@ def _cells(books: tuple[np.ndarray, np.ndarray], reach: float):
             x = _matrix(batch.column(1))
             (own_a, left), (own_b, right) = _bounds(x[:, :cut], books[0]), _bounds(x[:, cut:], books[1])
             home = (own_a * codes + own_b).tolist()
-            nodes, cells, is_home = [], [], []
+            nodes, cells, homes = [], [], []
             for k, node in enumerate(batch.column(0).to_pylist()):
                 near = [i * codes + j for i, j in visited(left[k], right[k], reach)]
                 nodes += [node] * len(near)
                 cells += near
-                is_home += [c == home[k] for c in near]
+                homes += [home[k]] * len(near)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(cells, pa.int32()), pa.array(is_home, pa.bool_())], ["node", "cell", "home"]
+                [pa.array(nodes, pa.int64()), pa.array(cells, pa.int32()), pa.array(homes, pa.int32())], ["node", "cell", "home"]
             )
 
     return run
 
 
-def _links(threshold: float):
+def _links(threshold: float, books: tuple[np.ndarray, np.ndarray], reach: float):
     """Verify the queries against the members of each unit; the rows come sorted by unit.
 
-    Returns a row for each query with links, ``n`` the rows it links to there, and the edges of a forest
-    over the links (``n`` 0): no pairs.
+    Returns a row for each query with links, ``n`` the rows it links to there, the same for members that
+    do not visit such a query's home, and the edges of a forest over the links (``n`` 0): no pairs.
     """
+    codes, cut = len(books[1]), books[0].shape[1]
 
-    def verify(node: np.ndarray, copies: np.ndarray, member: np.ndarray, x: np.ndarray):
+    def verify(node: np.ndarray, copies: np.ndarray, member: np.ndarray, home: np.ndarray, x: np.ndarray):
         m, q = member, ~member
         if not m.any() or not q.any():
             return [], [], []
@@ -129,6 +150,15 @@ def _links(threshold: float):
             return [], [], []
         near, asks, holds = near[hit], node[q][hit], node[m]
         src, dst, n = asks.tolist(), asks.tolist(), (near @ copies[m]).tolist()
+        # Members that will not come upon these queries by themselves count them here.
+        met = near.any(0)
+        homes, of_query = np.unique(home[q][hit], return_inverse=True)
+        (_, left), (_, right) = _bounds(x[m][met][:, :cut], books[0]), _bounds(x[m][met][:, cut:], books[1])
+        comes = left[:, homes // codes] + right[:, homes % codes] <= reach
+        extra = (near[:, met] & ~comes[:, of_query].T).T @ copies[q][hit]
+        src += holds[met][extra > 0].tolist()
+        dst += holds[met][extra > 0].tolist()
+        n += extra[extra > 0].tolist()
         waiting = np.ones(len(asks), bool)
         while waiting.any():
             mine = np.zeros(len(asks), bool)
@@ -150,12 +180,14 @@ def _links(threshold: float):
         held: list[pa.RecordBatch] = []
 
         def flush(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-            unit, node, copies, member = (np.concatenate([r.column(i).to_numpy(zero_copy_only=False) for r in rows]) for i in range(4))
-            x = np.concatenate([_matrix(r.column(4)) for r in rows])
+            unit, node, copies, member, home = (
+                np.concatenate([r.column(i).to_numpy(zero_copy_only=False) for r in rows]) for i in range(5)
+            )
+            x = np.concatenate([_matrix(r.column(5)) for r in rows])
             cuts = [0, *(np.flatnonzero(np.diff(unit)) + 1).tolist(), len(unit)]
             out: list[list] = [[], [], []]
             for a, b in zip(cuts, cuts[1:]):
-                for all_, own in zip(out, verify(node[a:b], copies[a:b], member[a:b], x[a:b])):
+                for all_, own in zip(out, verify(node[a:b], copies[a:b], member[a:b], home[a:b], x[a:b])):
                     all_ += own
             return pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out], ["src", "dst", "n"])
 
@@ -182,6 +214,7 @@ def near_vectors(
     vector: str = "embedding",
     key: str = "vec_id",
     threshold: float = 0.95,
+    target: float = 0.998,
     sample: int = SAMPLE,
 ) -> DataFrame:
     """``key``, ``n_links``, ``component_id`` and ``kept`` for every row.
@@ -193,10 +226,13 @@ def near_vectors(
     Rows with equal vectors count as one vector with so many copies and link among themselves. A NULL key
     is nobody's smallest. Other columns are left out; an empty table gives no rows.
 
-    The codebooks are fitted on at most ``sample`` different vectors; every vector is indexed and asked.
+    The codebooks are fitted, and the reach is set for the recall ``target``, on at most ``sample``
+    different vectors; every vector is indexed and asked.
     """
-    whole = df.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("v"))
-    finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("v", lambda c: c != 0)
+    single = df.schema[vector].dataType == T.ArrayType(T.FloatType(), df.schema[vector].dataType.containsNull)
+    kind = "float" if single else "double"
+    whole = df.select(F.col(key).alias("key"), F.col(vector).cast(f"array<{kind}>").alias("v"))
+    finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")).cast(kind))) & F.exists("v", lambda c: c != 0)
     rows = whole.withColumn("fit", F.coalesce(finite, F.lit(False)))
     sizes = rows.where("fit").groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
     d = sizes["d"] if sizes else 0
@@ -212,13 +248,13 @@ def near_vectors(
 
     n = nodes.count()
     fitted = _matrix(nodes.select("v", "node").orderBy("node").limit(sample).toArrow().column(0).combine_chunks())
-    codes = int(min(MOST_CODES, max(2, (n / CELL) ** 0.5), len(fitted)))
+    codes = int(min(MOST_CODES, max(2, (n / CELL) ** 0.5), max(1, len(fitted))))
     books = (_codebook(fitted[:, : d // 2], codes), _codebook(fitted[:, d // 2 :], codes))
-    reach = 2 - 2 * threshold + 1e-9  # the squared distance of two unit vectors at the threshold
-    asked = materialize(map_arrow(nodes.select("node", "v"), _cells(books, reach), "node long, cell int, home boolean"), "cells")
+    reach = _reach(fitted, books, threshold, target)
+    asked = materialize(map_arrow(nodes.select("node", "v"), _cells(books, reach), "node long, cell int, home int"), "cells")
 
     # Split what meets in a cell into units of members times queries; the grid has at most MOST_CODES ** 2 cells.
-    crowd = asked.groupBy("cell").agg(F.count_if("home").alias("members"), F.count("*").alias("queries")).where("members > 0")
+    crowd = asked.groupBy("cell").agg(F.count_if(F.col("home") == F.col("cell")).alias("members"), F.count("*").alias("queries")).where("members > 0")
     crowd = crowd.select(
         "cell",
         F.ceil(F.col("members") / MEMBERS).cast("int").alias("blocks"),
@@ -228,15 +264,15 @@ def near_vectors(
     # A cell without members cannot answer; the grid's bound makes the broadcast safe.
     placed = asked.join(F.broadcast(crowd), "cell")
     block, part = F.pmod(F.xxhash64("node"), F.col("blocks")), F.pmod(F.xxhash64(F.col("node"), F.lit(1)), F.col("parts"))
-    as_member = placed.where("home").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "node", F.xxhash64("cell", block.cast("int"), F.col("part").cast("int")).alias("unit"), F.lit(True).alias("member")
+    as_member = placed.where("home = cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "node", F.xxhash64("cell", block.cast("int"), F.col("part").cast("int")).alias("unit"), F.lit(True).alias("member"), "home"
     )
     as_query = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "node", F.xxhash64("cell", F.col("block").cast("int"), part.cast("int")).alias("unit"), F.lit(False).alias("member")
+        "node", F.xxhash64("cell", F.col("block").cast("int"), part.cast("int")).alias("unit"), F.lit(False).alias("member"), "home"
     )
-    meeting = as_member.union(as_query).join(vectors, "node").select("unit", "node", "copies", "member", "v")
+    meeting = as_member.union(as_query).join(vectors, "node").select("unit", "node", "copies", "member", "home", "v")
     dealt = meeting.repartition("unit").sortWithinPartitions("unit")
-    found = materialize(map_arrow(dealt, _links(threshold), "src long, dst long, n long"), "vector-links")
+    found = materialize(map_arrow(dealt, _links(threshold, books, reach), "src long, dst long, n long"), "vector-links")
 
     counts = found.where("n > 0").groupBy("src").agg(F.sum("n").alias("n"))
     parts = connected_components(found.where("n = 0").select("src", "dst"))
