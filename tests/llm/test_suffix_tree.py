@@ -16,7 +16,10 @@ import __spark_entry__ as contract
 from tidemark.llm.suffix_tree import score, tokens, train, word_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-HELD_OUT = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+
+
+def held_out():
+    return F.crc32(F.col("doc_id").cast("string")) % 5 == 1
 
 
 def plain_tokens(text):
@@ -90,9 +93,9 @@ def test_longer_contexts_help(docs_of):
 def test_edge_rows(docs_of):
     long = "lorem ipsum dolor " * 40_000
     rows = [(1, None), (2, ""), (3, "one two"), (3, "one two"), (None, "one three"), (4, long)]
-    got = score(docs_of(rows, ["key", "c", "chunk", "score"]), HELD_OUT, chunk_bytes=1000).collect()
+    got = score(docs_of(rows, ["key", "c", "chunk", "score"]), held_out(), chunk_bytes=1000).collect()
     assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [(0, 3), (1, 1), (2, 1), (3, 3), (3, 3), (4, 120_001)]
     assert len({(r.doc_id, r.score) for r in got if r.doc_id == 3}) == 1
-    assert score(docs_of([]), HELD_OUT).count() == 0
+    assert score(docs_of([]), held_out()).count() == 0
     alone = score(docs_of([(1, "a b")]), F.lit(True)).collect()  # nothing to learn from
     assert alone[0].train_tokens == 0 and alone[0].n_known == 0 and alone[0].base_score == alone[0].score == 0
