@@ -32,7 +32,10 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand the code of this package to the executors, once per application."""
+    """Hand the code of this package to the executors, once per application.
+
+    The archive is made where the driver runs; Spark's file server passes it on.
+    """
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
@@ -51,11 +54,21 @@ def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the files of finished shuffles deleted: Spark does so once the driver's garbage collection
+    has met their owners, which in a driver with little to do comes late."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` and read it again: a cut lineage that outlives executors."""
+    """Write ``df`` below ``spark.checkpoint.dir`` and read it again: a cut lineage that outlives executors.
+
+    What was shuffled for it is not needed any more and is released.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
     df.write.parquet(path)
+    release_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -164,7 +164,9 @@ def duplicate_lines(df: DataFrame, text: str = "text", key: str = "doc_id", leas
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
     near = halves.join(shared, "half", "left_semi").select("h").distinct()
     wanted = distinct.join(near, "h").select("first.*", "h").groupBy("id", "text_hash").agg(F.collect_list(F.struct("line", "h")).alias("lines"))
-    source = docs.join(wanted, ["id", "text_hash"]).select("id", "_text", "lines")
+    # Written before the texts are shuffled; as many as documents with such lines, so never to be broadcast.
+    wanted = materialize(wanted, "wanted-lines")
+    source = docs.join(wanted.hint("merge"), ["id", "text_hash"]).select("id", "_text", "lines")
     named = materialize(map_arrow(source, _named_lines, "id long, line int, h long, words binary").dropDuplicates(["h"]), "named-lines")
 
     variants = materialize(map_arrow(named, _variants, "variant long, place int, id long, line int, h long"), "variants")
@@ -181,6 +183,7 @@ def duplicate_lines(df: DataFrame, text: str = "text", key: str = "doc_id", leas
     pairs = changed.union(dropped).union(added).distinct()
     mine, theirs = named.select("h", F.col("words").alias("a")), named.select(F.col("h").alias("by"), F.col("words").alias("b"))
     checked = map_arrow(pairs.join(mine, "h").join(theirs, "by").select("h", "a", "b"), _verified, "h long").distinct()
+    checked = materialize(checked, "near-lines")
     told = distinct.select("h", "first").join(checked.withColumn("near", F.lit(True)), "h", "left")
 
     repeated = lines.select("id", "text_hash", "line", "h").join(told, "h").withColumn("near", F.coalesce("near", F.lit(False)))
@@ -204,6 +207,7 @@ def dedup_lines(df: DataFrame, text: str = "text", key: str = "doc_id", least_wo
         F.sort_array(F.collect_set(F.when(~F.col("near"), F.col("line")))).alias("_same"),
         F.sort_array(F.collect_set(F.when(F.col("near"), F.col("line")))).alias("_near"),
     )
+    listed = materialize(listed, "lines-gone").hint("merge")  # as many as documents: never to be broadcast
     columns = [c for c in df.columns if c not in ("same_lines", "near_lines")]
     ids = F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("_dedup_id"), F.xxhash64(text).alias("_dedup_hash")
     own = df.select(*columns, *ids)
