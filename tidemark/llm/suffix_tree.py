@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Texts, lower_ascii, map_arrow, materialize, ship, slices, span_hashes, texts, words
+from tidemark.llm.common import Texts, lower_ascii, map_arrow, materialize, release_shuffles, ship, slices, span_hashes, texts, words
 
 #: Least share of the training tokens that a symbol, context or listed transition has.
 LEAST_SHARE = 5e-7
@@ -191,6 +191,7 @@ def _states(tree: SuffixTree, level: int, context: np.ndarray, symbol: np.ndarra
 def _collected(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys and counts of at least ``least``, by key as an unsigned number."""
     found = counts.where(F.col("c") >= least).select("key", "c").toArrow()
+    release_shuffles(counts.sparkSession)
     keys, c = (found.column(i).to_numpy() for i in range(2))
     order = np.argsort(keys.view(np.uint64))
     return keys[order].view(np.uint64), c[order]
