@@ -99,3 +99,12 @@ def test_edge_rows(docs_of):
     assert score(docs_of([]), held_out()).count() == 0
     alone = score(docs_of([(1, "a b")]), F.lit(True)).collect()  # nothing to learn from
     assert alone[0].train_tokens == 0 and alone[0].n_known == 0 and alone[0].base_score == alone[0].score == 0
+
+
+def test_a_context_seen_twice_counts_at_any_size(docs_of):
+    """Of some five million tokens, "rare pair here" stands in two texts; what follows it is told by the context alone."""
+    filler = " ".join(f"w{i % 997}" for i in range(50_000))
+    rows = [*((i, filler) for i in range(100)), (100, "rare pair here"), (101, "rare pair here"), (102, "pair other"), (103, "here other")]
+    got = {r.doc_id: r for r in score(docs_of(rows), F.lit(False)).collect()}
+    assert got[100].train_tokens > 5_000_000
+    assert got[100].score > got[100].base_score + 15  # log10: each of the last two words and the end is nearly certain

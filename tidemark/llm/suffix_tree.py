@@ -1,36 +1,40 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
-The root knows every word of the training texts. A context of one or more words is a state if it is
-frequent, and if a divergence test tells its next-symbol distribution from that of its longest proper
-suffix. A state lists frequent next symbols with discounted counts; the mass left over goes to all
-others in proportion to the suffix's distribution, so every state's distribution sums to 1. A word is
-scored by the longest suffix of what stands before it that is a state.
-
-Counts cover the whole corpus. Thresholds are shares of the training tokens, as the minimum probability
-of a context is in the literature: a share q bounds contexts, symbols and listed transitions of a level
-by 1 / q, which is what makes them small enough to hand to every task. Word counts have no such bound;
-chunks of documents fetch those of their own words by a join.
+The root knows every word of the training texts. A context of one or more words is a state if a
+divergence test tells its next-symbol distribution from that of its longest proper suffix. A state lists
+the next symbols it was seen with at least ``LEAST`` times, with discounted counts; the mass left over
+goes to all others in proportion to the suffix's distribution, so every state's distribution sums to 1. A
+word is scored by the longest suffix of what stands before it that is a state.
+
+Counts cover the whole corpus, and ``LEAST`` is the same at every size, so the tree grows with the
+corpus: it is a written table of nodes, of which chunks of documents fetch their own by a join. A node
+is a run of words by its key, which joins the keys of the runs without its last and without its first
+word; it has a count and, if it is a state, the share that goes to its suffix. Texts are counted and
+scored in ``PARTS`` turns, so that only a part of what is shuffled lies on disk at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Texts, lower_ascii, map_arrow, materialize, release_shuffles, ship, slices, span_hashes, texts, words
+from tidemark.llm.common import Texts, lower_ascii, map_arrow, materialize, mix, ship, slices, span_hashes, texts, words
 
-#: Least share of the training tokens that a symbol, context or listed transition has.
-LEAST_SHARE = 5e-7
+#: Least occurrences of a listed transition, at every size.
+LEAST = 2
 #: Counts are lessened by this before what is left goes to unlisted symbols.
 DISCOUNT = 0.75
-#: Tokens counted at once, and bytes of text whose words are looked up together.
-TOKENS_AT_ONCE, CHUNK_BYTES = 1 << 22, 8 << 20
-_END = 1
+#: Tokens counted at once, and bytes of text whose nodes are looked up together.
+TOKENS_AT_ONCE, CHUNK_BYTES = 1 << 21, 8 << 20
+#: Turns in which runs are counted and texts are scored.
+PARTS = 4
+_END, _START = 1, 2
 
 
 class Tokens(NamedTuple):
@@ -51,201 +55,215 @@ def tokens(column: pa.Array) -> Tokens:
     return Tokens(out, np.repeat(np.arange(n), sizes))
 
 
-def _summed(parts: list[np.ndarray]) -> pa.RecordBatch:
-    keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "c"])
+class Runs(NamedTuple):
+    """``keys[m]`` at each place: of the run of m + 1 tokens that ends there, if ``place`` is at least m.
+
+    A start stands before each text, at place 0.
+    """
+
+    keys: list[np.ndarray]
+    place: np.ndarray
+
+
+def _joined(head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """The key of a run, from that without its last and that without its first token."""
+    return mix(mix(head) * np.uint64(0x9E3779B97F4A7C15) + tail)
+
+
+def runs(t: Tokens, depth: int) -> Runs:
+    first = np.flatnonzero(np.diff(t.rows, prepend=-1))
+    hashes = np.insert(t.hashes, first, np.uint64(_START))
+    starts = first + np.arange(len(first))
+    place = np.arange(len(hashes)) - np.repeat(starts, np.diff(np.append(starts, len(hashes))))
+    keys = [hashes]
+    for _ in range(depth):
+        key = np.zeros(len(hashes), np.uint64)
+        key[1:] = _joined(keys[-1][:-1], keys[-1][1:])
+        keys.append(key)
+    return Runs(keys, place)
 
 
-def _counted(of_batch):
-    """Keys of many batches with their counts, summed within each run of ``TOKENS_AT_ONCE``."""
+def _batch(**columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns.values()], list(columns))
+
+
+def _in_runs(of_batch, summed):
+    """What ``of_batch`` finds in many batches, summed within each run of ``TOKENS_AT_ONCE``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in slices(batches, "text"):
             held.append(of_batch(batch))
-            size += len(held[-1])
+            size += held[-1].shape[-1]
             if size >= TOKENS_AT_ONCE:
-                yield _summed(held)
+                yield summed(np.concatenate(held, -1))
                 held, size = [], 0
         if size:
-            yield _summed(held)
+            yield summed(np.concatenate(held, -1))
 
     return run
 
 
-class Level(NamedTuple):
-    """States of one length. ``contexts``: sorted keys; ``listed``: sorted context number * symbols + symbol."""
+def _counted_words(hashes: np.ndarray) -> pa.RecordBatch:
+    keys, c = np.unique(hashes, return_counts=True)
+    return _batch(key=keys, c=c)
 
-    contexts: np.ndarray
-    backoff: np.ndarray
-    listed: np.ndarray
-    chance: np.ndarray
 
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``(key, c)`` for every token of the texts, by hash."""
+    run = _in_runs(lambda batch: tokens(batch.column(0)).hashes, _counted_words)
+    return map_arrow(docs.select("text"), run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+
+
+def _counted_runs(found: np.ndarray) -> pa.RecordBatch:
+    _, at, c = np.unique(found[0], return_index=True, return_counts=True)
+    return _batch(size=found[3, at].astype(np.int32), head=found[1, at], tail=found[2, at], c=c)
+
+
+def _run_counts(docs: DataFrame, depth: int, least: int, parts: int) -> DataFrame:
+    """``(size, key, head, tail, c)`` of every run of 2 to ``depth + 1`` tokens seen at least ``least`` times."""
+
+    def counts(part: int) -> DataFrame:
+        def of_batch(batch: pa.RecordBatch) -> np.ndarray:
+            r = runs(tokens(batch.column(0)), depth)
+            out = []
+            for m in range(1, depth + 1):
+                at = np.flatnonzero((r.place >= m) & (r.keys[m] % np.uint64(parts) == part))
+                out.append(np.stack([r.keys[m][at], r.keys[m - 1][at - 1], r.keys[m - 1][at], np.full(len(at), m + 1, np.uint64)]))
+            return np.concatenate(out, -1)
+
+        def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                head, tail = (b.column(i).to_numpy().view(np.uint64) for i in (1, 2))
+                key = pa.array(_joined(head, tail).view(np.int64))
+                yield pa.RecordBatch.from_arrays([b.column(0), key, *b.columns[1:]], ["size", "key", "head", "tail", "c"])
+
+        seen = map_arrow(docs.select("text"), _in_runs(of_batch, _counted_runs), "size int, head long, tail long, c long")
+        seen = seen.groupBy("size", "head", "tail").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
+        return map_arrow(seen, keyed, "size int, key long, head long, tail long, c long")
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each wanted key stands in the sorted keys, and whether it does."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return at, keys[at] == wanted
+    return reduce(DataFrame.unionAll, [materialize(counts(p), "run-counts") for p in range(parts)])
+
+
+def _states(listed: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``(head, n, backoff)`` of the contexts that are states, given their transitions ``(head, c, parent)``.
+
+    ``contexts``: ``(key, c)``, how often each occurs. ``parent``: log of the chance by the longest suffix that
+    is a state. A context is kept if its divergence from its suffix, times its occurrences, exceeds what its
+    listed transitions cost to describe: half the log of the occurrences each. Sums by context are all it takes.
+    """
+    c, parent = F.col("c"), F.col("parent")
+    sums = listed.groupBy("head").agg(
+        F.count("*").alias("k"),
+        F.sum("c").alias("seen"),
+        F.sum(c * (F.log(c - F.lit(DISCOUNT)) - parent)).alias("gained"),
+        F.sum(F.exp("parent")).alias("covered"),
+    )
+    n, k, seen = F.col("n"), F.col("k"), F.col("seen")
+    left = F.greatest(1 - (seen - k * F.lit(DISCOUNT)) / n, F.lit(1e-12))
+    backoff = F.log(left) - F.log(F.greatest(1 - F.col("covered"), F.lit(1e-12)))
+    divergence = F.col("gained") - seen * F.log(n) + (n - seen) * F.col("backoff")
+    joined = sums.join(contexts.select(F.col("key").alias("head"), F.col("c").alias("n")), "head")
+    return joined.withColumn("backoff", backoff).where(divergence > 0.5 * (k + 1) * F.log(n)).select("head", "n", "backoff")
+
+
+def grow(
+    docs: DataFrame, counts: DataFrame, n_tokens: int, n_words: int, depth: int = 2, least_share: float = 0.0, parts: int = PARTS
+) -> DataFrame:
+    """The nodes ``(size, key, c, backoff)`` of the tree of the texts of ``docs``, as a written table, given the
+    counts of their tokens. ``backoff`` is the log of the factor on what the suffix says of unlisted symbols;
+    NULL if the node is no state. ``least_share`` raises ``LEAST`` to a share of the tokens.
+    """
+    least = max(LEAST, int(np.ceil(least_share * n_tokens)))
+    scale = float(np.log(n_tokens + 0.5 * (n_words + 1)))
+    found = _run_counts(docs, depth, least, parts)
+    no_state = F.lit(None).cast("double").alias("backoff")
+    # A text starts as often as one ends.
+    start = counts.where(F.col("key") == _END).select(F.lit(_START).cast("long").alias("key"), "c")
+    contexts = counts.unionAll(start)
+    # For each run, the log of the chance of its last token by the longest suffix of the others that is a state.
+    chance = counts.select(F.col("key").alias("tail"), (F.log(F.col("c") + 0.5) - F.lit(scale)).alias("parent"))
+    nodes = []
+    for size in range(1, depth + 1):
+        # A frequent run's tail is frequent, so every one finds the chance its suffix gives.
+        listed = materialize(found.where(F.col("size") == size + 1).join(chance, "tail").drop("size"), "transitions")
+        states = materialize(_states(listed, contexts), "states")
+        of_context = states.select(F.col("head").alias("key"), "backoff")
+        nodes.append(contexts.join(of_context, "key", "left").select(F.lit(size).alias("size"), "key", "c", "backoff"))
+        contexts = listed.select("key", "c")
+        if size < depth:
+            own: Column = F.log((F.col("c") - F.lit(DISCOUNT)) / F.col("n"))
+            chance = listed.join(states, "head", "left").select(F.col("key").alias("tail"), F.coalesce(own, "parent").alias("parent"))
+    nodes.append(contexts.select(F.lit(depth + 1).alias("size"), "key", "c", no_state))
+    return materialize(reduce(DataFrame.unionAll, nodes), "nodes")
+
+
+class Level(NamedTuple):
+    """States of one length: their keys."""
+
+    contexts: np.ndarray
 
 
 class SuffixTree(NamedTuple):
-    """Natural logarithms throughout. Symbols are numbered by place in ``symbols``; the start is numbered after them."""
+    """Nodes by sorted key: all, or all that some texts meet. Natural logarithms throughout."""
 
-    symbols: np.ndarray
-    root: np.ndarray
-    #: For each length k, the sorted (k + 1)-grams that are frequent; contexts of length k + 1 are numbered so.
-    grams: list[np.ndarray]
-    levels: list[Level]
+    keys: np.ndarray
+    sizes: np.ndarray
+    counts: np.ndarray
+    #: NaN if the node is no state.
+    backoff: np.ndarray
+    depth: int
+    #: Log of what the counts of words, half an occurrence added to each, sum to.
+    scale: float
+
+    @classmethod
+    def of(cls, nodes: pa.Table, depth: int, scale: float) -> SuffixTree:
+        keys = nodes.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        backoff = nodes.column("backoff").to_numpy().astype(float)
+        return cls(keys[order], nodes.column("size").to_numpy()[order], nodes.column("c").to_numpy()[order], backoff[order], depth, scale)
 
     @property
-    def base(self) -> int:
-        return len(self.symbols) + 2
-
-    def numbered(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
-        """The symbol of each token, or -1, and that before it."""
-        at, known = _find(self.symbols, t.hashes)
-        symbol = np.where(known, at, -1)
-        before = np.roll(symbol, 1)
-        before[np.flatnonzero(np.diff(t.rows, prepend=-1))] = len(self.symbols)
-        return symbol, before
-
-    def contexts(self, t: Tokens, symbol: np.ndarray, before: np.ndarray, depth: int) -> list[np.ndarray]:
-        """For each length up to ``depth``, the number of the context before each token, or -1.
-
-        Length 1: the symbol. Length k: the place in ``grams`` of the k symbols before.
-        """
-        out = [before]
-        for k in range(1, depth):
-            # The gram that ends in the token before is that token after its own context of length k.
-            key = np.where((out[-1] >= 0) & (symbol >= 0), out[-1] * self.base + symbol, -1)
-            at, known = _find(self.grams[k - 1], key)
-            gram = np.roll(np.where(known, at, -1), 1)
-            gram[np.flatnonzero(np.diff(t.rows, prepend=-1))] = -1
-            out.append(gram)
-        return out
+    def levels(self) -> list[Level]:
+        state = ~np.isnan(self.backoff)
+        return [Level(self.keys[state & (self.sizes == m)]) for m in range(1, self.depth + 1)]
+
+    def found(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often each run was seen, 0 if it is no node, and its backoff, NaN if it is no state."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.full(len(keys), np.nan)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        known = self.keys[at] == keys
+        return np.where(known, self.counts[at], 0), np.where(known, self.backoff[at], np.nan)
 
     def gain(self, t: Tokens) -> np.ndarray:
         """For each token, the log of its probability by the tree over that by the root."""
-        symbol, before = self.numbered(t)
-        out = np.zeros(len(symbol))
-        if not self.levels:
-            return out
-        contexts = self.contexts(t, symbol, before, len(self.levels))
-        open_ = np.ones(len(symbol), bool)
-        for level, context in zip(reversed(self.levels), reversed(contexts)):
-            live = np.flatnonzero(open_ & (context >= 0))
-            state, is_state = _find(level.contexts, context[live])
-            live, state = live[is_state], state[is_state]
-            at, listed = _find(level.listed, state * self.base + symbol[live])
-            listed &= symbol[live] >= 0
+        return self.words_and_gain(t)[1]
+
+    def words_and_gain(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """For each token, how often it was seen, and its gain."""
+        r = runs(t, self.depth)
+        seen = [self.found(keys) for keys in r.keys]
+        out, open_ = np.zeros(len(r.place)), r.place > 0
+        for m in range(self.depth, 0, -1):
+            live = np.flatnonzero(open_ & (r.place >= m))
+            n, backoff = (x[live - 1] for x in seen[m - 1])
+            state = ~np.isnan(backoff)
+            live, n, backoff = live[state], n[state], backoff[state]
+            c = seen[m][0][live]
+            listed = c > 0
             hit = live[listed]
-            out[hit] += level.chance[at[listed]] - self.root[symbol[hit]]
+            out[hit] += np.log((c[listed] - DISCOUNT) / n[listed]) - (np.log(seen[0][0][hit] + 0.5) - self.scale)
             open_[hit] = False
-            out[live[~listed]] += level.backoff[state[~listed]]
-        return out
-
-    def log_chance(self, level: int, parent: np.ndarray, symbol: np.ndarray, suffixes: list[np.ndarray]) -> np.ndarray:
-        """log P(symbol | longest state among the first ``level`` lengths), for contexts given by ``suffixes``."""
-        out, open_ = self.root[symbol].copy(), np.ones(len(symbol), bool)
-        extra = np.zeros(len(symbol))
-        for k in range(level - 1, -1, -1):
-            states = self.levels[k]
-            live = np.flatnonzero(open_)
-            state, is_state = _find(states.contexts, suffixes[k][live])
-            live, state = live[is_state], state[is_state]
-            at, listed = _find(states.listed, state * self.base + symbol[live])
-            hit = live[listed]
-            out[hit] = states.chance[at[listed]] + extra[hit]
-            open_[hit] = False
-            extra[live[~listed]] += states.backoff[state[~listed]]
-        out[open_] += extra[open_]
-        return out
+            out[live[~listed]] += backoff[~listed]
+        real = r.place > 0
+        return seen[0][0][real], out[real]
 
 
-def _states(tree: SuffixTree, level: int, context: np.ndarray, symbol: np.ndarray, c: np.ndarray, total: np.ndarray, suffixes: list[np.ndarray]) -> Level:
-    """The states of one length, of transitions sorted by context. ``total``: how often the context of each occurs.
-
-    A context is kept if its divergence from its suffix, times its occurrences, exceeds what its listed
-    transitions cost to describe: half the log of the occurrences each.
-    """
-    if not len(context):
-        return Level(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0))
-    first = np.flatnonzero(np.diff(context, prepend=-1))
-    sizes = np.diff(np.append(first, len(context)))
-    parent = tree.log_chance(level, context, symbol, suffixes)
-    own = np.log((c - DISCOUNT) / total)
-    n = total[first].astype(float)
-    sums = lambda x: np.add.reduceat(x, first)
-    left = np.maximum(1 - sums(np.exp(own)), 1e-12)
-    backoff = np.log(left) - np.log(np.maximum(1 - sums(np.exp(parent)), 1e-12))
-    divergence = sums(c * (own - parent)) + (n - sums(c.astype(float))) * backoff
-    keep = divergence > 0.5 * (sizes + 1) * np.log(n)
-    numbers = np.cumsum(keep) - 1
-    mine = np.repeat(keep, sizes)
-    listed = np.repeat(numbers, sizes)[mine] * tree.base + symbol[mine]
-    return Level(context[first][keep], backoff[keep], listed, own[mine])
-
-
-def _collected(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of at least ``least``, by key as an unsigned number."""
-    found = counts.where(F.col("c") >= least).select("key", "c").toArrow()
-    release_shuffles(counts.sparkSession)
-    keys, c = (found.column(i).to_numpy() for i in range(2))
-    order = np.argsort(keys.view(np.uint64))
-    return keys[order].view(np.uint64), c[order]
-
-
-def train(docs: DataFrame, counts: DataFrame, n_tokens: int, n_words: int, depth: int = 2, least_share: float = LEAST_SHARE) -> SuffixTree:
-    """The tree of the texts of ``docs``, given the counts of their tokens.
-
-    Longer contexts are counted only where the shorter gram was frequent, one pass for each length.
-    """
-    least = max(2, int(np.ceil(least_share * n_tokens)))
-    symbols, c = _collected(counts, least)
-    scale = np.log(n_tokens + 0.5 * (n_words + 1))
-    tree = SuffixTree(symbols, np.log(c + 0.5) - scale, [], [])
-    n_docs = c[np.searchsorted(symbols, np.uint64(_END))] if np.uint64(_END) in symbols else 0
-    totals = np.append(c, n_docs)  # how often each context of the length before occurs; the start: once a text
-    suffix_of: list[np.ndarray] = []
-    for length in range(1, depth + 1):
-        so_far = tree
-
-        def grams(batch: pa.RecordBatch, tree: SuffixTree = so_far, length: int = length) -> np.ndarray:
-            t = tokens(batch.column(0))
-            symbol, before = tree.numbered(t)
-            context = tree.contexts(t, symbol, before, length)[-1]
-            good = (context >= 0) & (symbol >= 0)
-            return context[good] * tree.base + symbol[good]
-
-        seen = map_arrow(docs.select("text"), _counted(grams), "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-        keys, c = _collected(seen, least)
-        keys = keys.view(np.int64)
-        context, symbol = np.divmod(keys, tree.base)
-        # The suffixes of each context, longest first shortened: its own number at every length below.
-        suffixes = [s[context] for s in suffix_of]
-        level = _states(tree, length - 1, context, symbol, c, totals[context], suffixes)
-        tree = tree._replace(grams=[*tree.grams, keys], levels=[*tree.levels, level])
-        # For contexts one longer (these grams): their suffix of each length up to this one.
-        lower = [symbol]
-        for k in range(1, length):
-            at, known = _find(tree.grams[k - 1], suffix_of_gram(tree, k, suffixes, symbol))
-            lower.append(np.where(known, at, -1))
-        suffix_of = lower
-        totals = c
-    return tree
-
-
-def suffix_of_gram(tree: SuffixTree, k: int, suffixes: list[np.ndarray], symbol: np.ndarray) -> np.ndarray:
-    """The key of the last k + 1 symbols of grams, given the suffixes of their contexts."""
-    context = suffixes[k - 1]
-    return np.where(context >= 0, context * tree.base + symbol, -1)
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``(key, c)`` for every token of the texts, by hash."""
-    return map_arrow(docs.select("text"), _counted(lambda batch: tokens(batch.column(0)).hashes), "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+def train(docs: DataFrame, counts: DataFrame, n_tokens: int, n_words: int, depth: int = 2, least_share: float = 0.0) -> SuffixTree:
+    """The whole tree of the texts of ``docs`` in the driver: for a small corpus. ``score`` never gathers it."""
+    nodes = grow(docs, counts, n_tokens, n_words, depth, least_share, parts=1).toArrow()
+    return SuffixTree.of(nodes, depth, float(np.log(n_tokens + 0.5 * (n_words + 1))))
 
 
 def score(
@@ -254,8 +272,9 @@ def score(
     text: str = "text",
     key: str = "doc_id",
     depth: int = 2,
-    least_share: float = LEAST_SHARE,
+    least_share: float = 0.0,
     chunk_bytes: int = CHUNK_BYTES,
+    parts: int = PARTS,
 ) -> DataFrame:
     """``key``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of every row.
 
@@ -269,35 +288,34 @@ def score(
     learn = docs.where(~F.col("held_out"))
     counts = materialize(word_counts(learn), "word-counts")
     n_tokens, n_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    tree = train(learn, counts, n_tokens, n_words, depth, least_share)
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
-    scale = np.log10(n_tokens + 0.5 * (n_words + 1))
-
-    # Each chunk of documents asks for the counts of its own words.
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     chunks = int(total // chunk_bytes) + 1
+    parts = min(parts, chunks)
+    nodes = grow(learn, counts, n_tokens, n_words, depth, least_share, parts)
+    scale, base_scale = (float(log(n_tokens + 0.5 * (n_words + 1))) for log in (np.log, np.log10))
+
+    # Each chunk of documents asks for the nodes of its own runs of words.
     dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(chunks)).cast("int"))
 
     def asked(chunk: pa.Table) -> pa.Table:
-        parts = [np.unique(tokens(b.column(0)).hashes) for b in slices(iter(chunk.select(["text"]).to_batches()), "text")]
-        hashes = np.unique(np.concatenate(parts))
+        found = [np.zeros(0, np.uint64)]
+        for b in slices(iter(chunk.select(["text"]).to_batches()), "text"):
+            r = runs(tokens(b.column(0)), depth)
+            found.append(np.unique(np.concatenate([keys[r.place >= m] for m, keys in enumerate(r.keys)])))
+        keys = np.unique(np.concatenate(found))
         number = chunk.column("chunk")[0].as_py()
-        return pa.table({"chunk": pa.array(np.full(len(hashes), number, np.int32)), "key": pa.array(hashes.view(np.int64))})
+        return pa.table({"chunk": pa.array(np.full(len(keys), number, np.int32)), "key": pa.array(keys.view(np.int64))})
 
     def scored(chunk: pa.Table, known: pa.Table) -> pa.Table:
-        tree = shared.value
-        keys, c = known.column("key").to_numpy().view(np.uint64), known.column("c").to_numpy()
-        order = np.argsort(keys)
-        keys, c = keys[order], c[order]
-        base_of = np.log10(c + 0.5) - scale
+        tree = SuffixTree.of(known, depth, scale)
         out: list[list] = [[], [], [], []]
         for batch in slices(iter(chunk.select(["text"]).to_batches()), "text"):
             t = tokens(batch.column(0))
-            at = np.searchsorted(keys, t.hashes)
             n = batch.num_rows
-            base = np.bincount(t.rows, base_of[at], n)
-            gain = np.bincount(t.rows, tree.gain(t), n) / np.log(10)
-            for o, x in zip(out, (np.bincount(t.rows, minlength=n), np.bincount(t.rows[c[at] > 0], minlength=n), base, base + gain)):
+            c, gain = tree.words_and_gain(t)
+            base = np.bincount(t.rows, np.log10(c + 0.5) - base_scale, n)
+            full = base + np.bincount(t.rows, gain, n) / np.log(10)
+            for o, x in zip(out, (np.bincount(t.rows, minlength=n), np.bincount(t.rows[c > 0], minlength=n), base, full)):
                 o.append(x)
         n_all, n_known, base, full = (np.concatenate(o) for o in out) if out[0] else [np.zeros(0)] * 4
         return pa.table(
@@ -312,12 +330,17 @@ def score(
         )
 
     ship(docs.sparkSession)
-    asks = dealt.groupBy("chunk").applyInArrow(asked, "chunk int, key long")
-    known = asks.join(counts, "key", "left").select("chunk", "key", F.coalesce("c", F.lit(0)).alias("c"))
     kind = df.schema[key].dataType.simpleString()
-    done = dealt.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
-        scored, f"key {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    )
-    return done.select(
+
+    def done(part: int) -> DataFrame:
+        mine = dealt.where(F.col("chunk") % parts == part)
+        asks = mine.groupBy("chunk").applyInArrow(asked, "chunk int, key long")
+        known = asks.join(nodes, "key").select("chunk", "key", "size", "c", "backoff")
+        return mine.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
+            scored, f"key {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+        )
+
+    whole = reduce(DataFrame.unionAll, [materialize(done(p), "scores") for p in range(parts)])
+    return whole.select(
         F.col("key").alias(key), "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
