@@ -103,3 +103,36 @@ def test_query(spark):
         plain = re.sub(r"</?b>", "", re.sub(r"<br>|</?p>|</?h1>", " ", article))
         assert r.text == " ".join(html.unescape(plain).split())
         assert r.n_chars == len(r.text)
+
+
+PROSE = "The committee met on Tuesday, and it spoke of rivers, bridges and roads. Nothing was settled, as before. " * 4
+PARAGRAPHS = "".join(f"<p>{PROSE}</p>" for _ in range(10))
+INSIDE = {
+    "list": "<ul>" + "".join(f"<li>a point without a mark {i:02}</li>" for i in range(20)) + "</ul>",
+    "small table": "<table>" + "".join(f"<tr><td>cell {i:02}</td><td>100{i:02}</td></tr>" for i in range(6)) + "</table>",
+    "table": "<table>" + "".join("<tr>" + "".join(f"<td>c{i:02}{j:02}x</td>" for j in range(5)) + "</tr>" for i in range(6)) + "</table>",
+    "code": "<pre><code>" + "\n".join(f"x{i} = f(y{i})" for i in range(12)) + "</code></pre>",
+    "words": "<dl>" + "".join(f"<dt>term {i}</dt><dd>meaning {i}</dd>" for i in range(15)) + "</dl>",
+    "long list": "<ul>" + f"<li>{PROSE}</li>" * 30 + "</ul>",
+    "long table": "<table>" + f"<tr><td>{PROSE}</td><td>{PROSE}</td></tr>" * 15 + "</table>",
+    "section": f'<div class="part">{PARAGRAPHS * 3}</div>',
+}
+
+
+def plain(markup):
+    return " ".join(html.unescape(re.sub(r"<[^>]*>", " ", markup)).split())
+
+
+@pytest.mark.parametrize("box", ["<article>{}</article>", "<main><div>{}</div></main>", '<div class="x1">{}</div>'])
+@pytest.mark.parametrize("kind", sorted(INSIDE))
+def test_nothing_unmarked_in_the_article_goes(box, kind):
+    if kind == "section" and "x1" in box:
+        pytest.skip("nothing but the article's element tells what its parts are")
+    story = PARAGRAPHS + INSIDE[kind] + "<p>The end, at last.</p>"
+    page = f"<html><body>{CLUTTER['menu']}{CLUTTER['menu of divs']}{box.format(story)}{CLUTTER['sidebar']}{CLUTTER['footer']}</body></html>"
+    assert main_text(page) == plain(story)
+
+
+def test_links_in_the_article_go():
+    links = "<ul>" + '<li><a href="/x">Another story of ours, to read</a></li>' * 5 + "</ul>"
+    assert main_text(f"<article>{PARAGRAPHS}{links}</article>") == plain(PARAGRAPHS)

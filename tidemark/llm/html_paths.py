@@ -3,8 +3,10 @@
 Every piece of text hangs on the path of block elements from the root to it. Over all pieces of a path,
 text length and punctuation for each piece, and the share of linked text, tell prose from menus. These
 ratios are fused with what the names along the path say, smoothed over neighbouring pieces in page
-order, and averaged by path again; paths above a threshold, within the part of the page that holds most
-of what scores, are content. Paths decide, so a short paragraph stands or falls with its long siblings.
+order, and averaged by path again. The scores choose the container, the part of the page that holds most
+of what scores: the whole article or main part, if it lies in one. In it every path is content unless its
+names or its elements mark it as clutter, or most of its text is links. Paths decide, so a linked paragraph
+stands or falls with its siblings.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import map_arrow, slices
 
-#: Share of the best path's score that a content path has at least; share of the score that leads to its container.
-LEAST_SCORE, MOST_OF = 0.25, 0.6
+#: Share of a content path's text that is no links, at least; share of the score that leads to its container.
+LEAST_FREE, MOST_OF = 0.5, 0.6
 #: Weights of a piece and its neighbours in page order.
 KERNEL = (0.1, 0.2, 0.4, 0.2, 0.1)
 
@@ -77,7 +79,8 @@ _TURNS = _set("has with no without")
 _HEADINGS = _set("h1 h2 h3 h4 h5 h6")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 #: Elements that hold blocks rather than text of their own; only these can be the container of the content.
-_CONTAINERS = _set("html body main article section div center table tbody tr td blockquote ul ol dl figure")
+_CONTAINERS = _set("html body main article section div center table tbody tr td")
+_WHOLE, _CELLS = ("article", "main"), _set("table tbody tr td")
 
 
 class Element(NamedTuple):
@@ -133,7 +136,7 @@ class _Paths:
         if number == len(self.names):
             self.above.append(parent.path)
             self.names.append(name)
-        return Element(name, number, prior, parent.inside or name in ("article", "main"))
+        return Element(name, number, prior, parent.inside or name in _WHOLE)
 
 
 def parse(page: str, by_words: bool = True) -> Page:
@@ -248,11 +251,22 @@ def _content(page: Page) -> list[str]:
         if page.names[best] not in _CONTAINERS or mass[best] < MOST_OF * mass[box]:
             break
         box = best
+    if page.names[box] in _CELLS and 2 * score[box] * total[box] > mass[box]:
+        while page.names[box] in _CELLS:  # a table of data, not of the page's layout: what stands around it counts
+            box = page.above[box]
+    # An article or main part counts as a whole.
+    up = [box]
+    while up[-1]:
+        up.append(page.above[up[-1]])
+    for name in _WHOLE:
+        if name in (here := [page.names[i] for i in up]):
+            box = up[len(here) - 1 - here[::-1].index(name)]
+            break
     within = np.zeros(n, bool)
     within[box] = True
     for i in range(box + 1, n):
         within[i] = within[page.above[i]]
-    chosen = within & (score > 0) & (score >= LEAST_SCORE * score[within].max())
+    chosen = within & (free >= LEAST_FREE)
     taken = np.flatnonzero(chosen[which] & (prior > 0))
     if not len(taken):
         return []
