@@ -136,3 +136,28 @@ def test_nothing_unmarked_in_the_article_goes(box, kind):
 def test_links_in_the_article_go():
     links = "<ul>" + '<li><a href="/x">Another story of ours, to read</a></li>' * 5 + "</ul>"
     assert main_text(f"<article>{PARAGRAPHS}{links}</article>") == plain(PARAGRAPHS)
+
+
+WEBFORMS = (
+    '<html><body><form method="post" action="./x.aspx" id="aspnetForm"><input type="hidden" name="__VIEWSTATE" value="x"/>{}'
+    '<input name="q"><button>Search</button></form><div>Powered by a system.</div></body></html>'
+)
+
+
+@pytest.mark.parametrize("box", ["<article>{}</article>", '<div class="x1"><div class="story">{}</div></div>'])
+def test_page_in_a_form(box):
+    parts = [v for k, v in CLUTTER.items() if k != "form"]
+    body = "".join(parts[:6]) + box.format(STORY + PARAGRAPHS) + "".join(parts[6:])
+    assert main_text(WEBFORMS.format(body)) == f"{TEXT} {plain(PARAGRAPHS)}"
+
+
+@pytest.mark.parametrize("name", ["aside", "fieldset", "header", "footer", "dialog", "label", "menu", "nav"])
+def test_page_in_an_element_that_is_never_content(name):
+    assert main_text(f"<body><{name}>{CLUTTER['menu of divs']}<article>{STORY}</article></{name}></body>") == TEXT
+    assert main_text(f"<body><{name}><form>{CLUTTER['sidebar']}<div>{STORY}</div></form></{name}></body>") == TEXT
+
+
+def test_a_form_to_fill_in_is_no_content():
+    fields = "<p>Your name, please. Your mail, too.</p><input name='x'><textarea>t</textarea><button>Send</button>"
+    assert main_text(f"<body><form>{fields}</form></body>") == ""
+    assert main_text(f"<body><p>One line here.</p><form>{fields * 9}</form></body>") == "One line here."

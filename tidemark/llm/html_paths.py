@@ -79,8 +79,10 @@ _TURNS = _set("has with no without")
 _HEADINGS = _set("h1 h2 h3 h4 h5 h6")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 #: Elements that hold blocks rather than text of their own; only these can be the container of the content.
-_CONTAINERS = _set("html body main article section div center table tbody tr td")
+_CONTAINERS = _set("html body main article section div center form table tbody tr td")
 _WHOLE, _CELLS = ("article", "main"), _set("table tbody tr td")
+_HIDDEN_INPUT = re.compile(r"""(?:^|\s)type\s*=\s*["']?hidden""", re.I)
+_SENTENCE_END = re.compile(r"[.!?…](?=\s|$)|[。！？]")
 
 
 class Element(NamedTuple):
@@ -91,6 +93,8 @@ class Element(NamedTuple):
     prior: float
     #: Whether it lies in an article or the main part.
     inside: bool
+    #: Number of the outermost element that rules text in it out by its name, or 0.
+    ruled: int
 
 
 class Piece(NamedTuple):
@@ -100,6 +104,7 @@ class Piece(NamedTuple):
     prior: float
     text: str
     linked: int
+    ruled: int
 
 
 class Page(NamedTuple):
@@ -108,17 +113,20 @@ class Page(NamedTuple):
     pieces: list[Piece]
     above: list[int]
     names: list[str]
+    #: The name of each element that rules text out by its name, from 1, and the visible controls in each outermost one.
+    ruling: list[str]
+    controls: dict[int, int]
 
 
 class _Paths:
-    def __init__(self, by_words: bool):
-        self.above, self.names = [0], [""]
+    def __init__(self, by_words: bool, lifted: frozenset[int]):
+        self.above, self.names, self.ruling = [0], [""], [""]
         self._numbers: dict[tuple[int, str], int] = {}
-        self._by_words = by_words
+        self._by_words, self._lifted = by_words, lifted
 
     def element(self, name: str, rest: str, parent: Element) -> Element:
         words: set[str] = set()
-        prior, label = parent.prior, name
+        prior, label, ruled = parent.prior, name, parent.ruled
         if "=" in rest or "hidden" in rest:
             for found in _NAMES.findall(rest):
                 words.update(w.lower() for w in _WORD.findall("".join(found)))
@@ -128,25 +136,31 @@ class _Paths:
                 label = f"{name}.{'.'.join(sorted(words))}"
         if name not in ("html", "body"):
             told = words if self._by_words and not words & _TURNS else set()
-            if name in _NEVER or told & _WORDS or any(w.startswith(_STARTS) for w in told):
-                prior = 0.0
-            if (name in _HEADER or told & _HEADER) and not parent.inside:
+            if name == "form":
+                told = told - {"form"}  # told by the element
+            if told & _WORDS or any(w.startswith(_STARTS) for w in told) or (told & _HEADER and not parent.inside):
                 prior = 0.0
+            if name in _NEVER or name in _HEADER and not parent.inside:
+                self.ruling.append(name)
+                if len(self.ruling) - 1 not in self._lifted:
+                    prior, ruled = 0.0, ruled or len(self.ruling) - 1
         number = self._numbers.setdefault((parent.path, label), len(self.names))
         if number == len(self.names):
             self.above.append(parent.path)
             self.names.append(name)
-        return Element(name, number, prior, parent.inside or name in _WHOLE)
+        return Element(name, number, prior, parent.inside or name in _WHOLE, ruled)
 
 
-def parse(page: str, by_words: bool = True) -> Page:
+def parse(page: str, by_words: bool = True, lifted: frozenset[int] = frozenset()) -> Page:
     """The texts of a page with their paths. Markup may be broken anywhere.
 
     ``by_words``: whether classes, ids and roles count, besides elements, in what is never content.
+    ``lifted``: numbers of elements that do not rule text out although others of their name do.
     """
     out: list[Piece] = []
-    paths = _Paths(by_words)
-    stack = [Element("", 0, 1.0, False)]
+    paths = _Paths(by_words, lifted)
+    stack = [Element("", 0, 1.0, False, 0)]
+    controls: dict[int, int] = {}
     held: list[str] = []
     linked, in_link, at = 0, False, 0
 
@@ -155,7 +169,7 @@ def parse(page: str, by_words: bool = True) -> Page:
         if held:
             text = " ".join(html_lib.unescape("".join(held)).split())
             if text:
-                out.append(Piece(stack[-1].path, stack[-1].prior, text, min(linked, len(text))))
+                out.append(Piece(stack[-1].path, stack[-1].prior, text, min(linked, len(text)), stack[-1].ruled))
             held.clear()
         linked = 0
 
@@ -173,6 +187,8 @@ def parse(page: str, by_words: bool = True) -> Page:
         at = end
         raw = _RAW_NAME.match(page, start)
         if raw:
+            if raw[1].lower() in ("select", "textarea"):
+                controls[stack[-1].ruled] = controls.get(stack[-1].ruled, 0) + 1
             close = re.compile(rf"</{raw[1]}(?=[\s/>])[^>]*>?", re.I).search(page, end)
             at = close.end() if close else n
             continue
@@ -180,6 +196,8 @@ def parse(page: str, by_words: bool = True) -> Page:
         if not name:
             continue
         rest = tag[2] or tag[4] or ""
+        if page[start + 1] != "/" and (name == "button" or name == "input" and not _HIDDEN_INPUT.search(rest)):
+            controls[stack[-1].ruled] = controls.get(stack[-1].ruled, 0) + 1
         if page[start + 1] == "/":
             if name == "a":
                 in_link = False
@@ -222,7 +240,7 @@ def parse(page: str, by_words: bool = True) -> Page:
                 stack.pop()
             stack.append(paths.element(name, rest, stack[-1]))
     flush()
-    return Page(out, paths.above, paths.names)
+    return Page(out, paths.above, paths.names, paths.ruling, controls)
 
 
 def _content(page: Page) -> list[str]:
@@ -280,14 +298,36 @@ def _content(page: Page) -> list[str]:
     return [found[i].text for i in [*range(first, int(taken[0])), *taken.tolist()]]
 
 
+def _wrapper(page: Page, forms_only: bool) -> int:
+    """The number of the element that rules out most of the page's text by its name, or 0.
+
+    A form of more controls than sentences is one to fill in, not a wrapper.
+    """
+    sizes = np.bincount([p.ruled for p in page.pieces], [len(p.text) for p in page.pieces], len(page.ruling))
+    if not sizes[1:].size or sizes[1:].max() < MOST_OF * sizes.sum():
+        return 0
+    k = int(sizes[1:].argmax()) + 1
+    if page.ruling[k] != "form":
+        return 0 if forms_only else k
+    sentences = sum(len(_SENTENCE_END.findall(p.text)) for p in page.pieces if p.ruled == k)
+    return k if sentences > page.controls.get(k, 0) else 0
+
+
 def main_text(page: str) -> str:
     """The content pieces joined by a space.
 
-    A page on which words in classes rule out everything is read again by its elements alone.
+    A form around the page does not rule it out. A page on which words in classes rule out everything is read
+    again by its elements alone, and one that is still empty without the elements that hold most of its text.
     """
-    for by_words in (True, False):
-        parsed = parse(page, by_words)
+    lifted: frozenset[int] = frozenset()
+    for forms_only in (True, False):
+        parsed = parse(page, lifted=lifted)
+        while parsed.pieces and (k := _wrapper(parsed, forms_only)):
+            lifted |= {k}
+            parsed = parse(page, lifted=lifted)
         content = _content(parsed) if parsed.pieces else []
+        if not content and parsed.pieces:
+            content = _content(parse(page, False, lifted))
         if content or not parsed.pieces:
             break
     return " ".join(content)
