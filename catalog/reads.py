@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import partial, reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog.tables import DERIVED, TRACKED, halves
 from tidemark.functions.offset_column import OffsetColumn, offset_kind
@@ -140,30 +143,72 @@ def _offset_profile(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _trips(distinct: DataFrame, offset: OffsetColumn) -> DataFrame:
+    """``value`` (distinct offsets) as parsed back in tasks, where a text that is written again stays the same."""
+    kind = distinct.schema["value"].dataType
+    schema = T.StructType([T.StructField("value", kind), T.StructField("parsed", kind), T.StructField("text", T.StringType())])
+
+    def trip(carried):
+        try:
+            text = offset.from_carrier(carried)
+            parsed = offset.parse(text)
+            return (parsed, text) if offset.format(parsed) == text else (None, None)
+        except (ArithmeticError, TypeError, ValueError):
+            return None, None
+
+    def fitting(values: list, data_type: pa.DataType) -> pa.Array:
+        out = []
+        for v in values:
+            try:
+                out.append(pa.scalar(v, data_type))
+            except (pa.ArrowException, OverflowError):
+                out.append(pa.scalar(None, data_type))
+        return pa.array(out, data_type)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value, carried = batch.columns
+            parsed, text = zip(*map(trip, carried.to_pylist())) if len(value) else ((), ())
+            yield pa.RecordBatch.from_arrays([value, fitting(parsed, value.type), pa.array(text, pa.string())], schema.names)
+
+    made = distinct.select("value", offset.carrier(F.col("value")).alias("carried")).mapInArrow(run, schema)
+    value = F.col("value")
+    # A literal is the text in the column's own type.
+    return made.where((F.col("parsed") == value) & (F.col("text").cast(offset.data_type) == value)).select("parsed")
+
+
 def _offset_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Every stored offset finds the rows it came from: text, value and literal of each family.
 
-    All values are carried to a task as a probe carries them, written as text, parsed and written
-    again there; the texts of a sample of bounds then serve as literals that count their rows.
+    All distinct values are carried to a task as a probe carries them, written as text, parsed and
+    written again there; those that a join on the value does not find again are lost. The bounds that
+    a run meets then serve as literals that count their rows.
     """
 
     def one(kind: str) -> DataFrame:
         tracked = TRACKED[kind]
         df = tracked.frame(spark, sf)
         offset = OffsetColumn.of(df.schema, tracked.field)
-        whole = BatchRange(*fetch_bound(both_bounds(df, offset), offset), True)
         c = offset.column()
+        # NaN is no offset.
+        values = df.groupBy(offset.orderable().alias("value")).agg(F.count(c).alias("n"))
+        trips = _trips(values.select("value").where(F.col("value").isNotNull()), offset)
+        lost = F.col("value").isNotNull() & F.col("parsed").isNull()
+        whole = values.join(trips, F.col("value") == F.col("parsed"), "left").agg(
+            F.sum("n").alias("n_values"), F.count_if(lost).alias("n_changed")
+        )
         # What a run meets: the bounds, and the ends of batches in between.
-        texts = [whole.start, *batch_ends(lambda b: read_range(df, offset, b), offset, whole, max(df.count() // 20, 1))]
+        ends = BatchRange(*fetch_bound(both_bounds(df, offset), offset), True)
+        texts = [ends.start, *batch_ends(lambda b: read_range(df, offset, b), offset, ends, max(df.count() // 20, 1))]
         again = {offset.format(offset.parse(t)) for t in texts}
         equal = [F.count_if(c == offset.literal(t)).alias(f"n{i}") for i, t in enumerate(sorted(again))]
-        counts = df.agg(*equal, F.count(c).alias("n_values"))
-        lost = reduce(lambda a, b: a + b, (F.when(F.col(f"n{i}") == 0, 1).otherwise(0) for i in range(len(again))))
-        return counts.select(
+        unmet = reduce(lambda a, b: a + b, (F.when(F.col(f"n{i}") == 0, 1).otherwise(0) for i in range(len(again))))
+        n_lost = F.col("n_changed") + unmet + F.lit(len(again ^ set(texts)))
+        return whole.crossJoin(df.agg(*equal)).select(
             F.lit(offset.kind).alias("kind"),
             F.lit(offset.name).alias("field"),
-            "n_values",
-            (lost + F.lit(len(again ^ set(texts)))).cast("long").alias("n_lost"),
+            F.coalesce("n_values", F.lit(0)).alias("n_values"),
+            n_lost.cast("long").alias("n_lost"),
         )
 
     return reduce(DataFrame.unionAll, map(one, (*_FAMILIES, *DERIVED)))

@@ -6,6 +6,7 @@ from oracle import assert_same, connect
 
 import __spark_entry__ as contract
 from catalog import feeds, reads, streams
+from tidemark.functions.offset_column import OffsetColumn
 
 CATALOG = {**reads.QUERIES, **feeds.QUERIES, **streams.QUERIES}
 
@@ -26,3 +27,20 @@ def test_query_equals_sql(spark, con, key):
 
 def test_flagship(spark, con):
     assert assert_same(contract.entry(spark), con, contract.oracle_sql()["stream_daily"]) > 0
+
+
+def test_offset_roundtrip_meets_every_value(spark, monkeypatch):
+    """One price that is no end of a batch changes in text; one date cannot be parsed."""
+    (_, price, *_), (_, day, *_) = (
+        sorted({r[0] for r in reads.TRACKED[k].frame(spark, SMALL).select(reads.TRACKED[k].field).collect()}) for k in ("double", "date")
+    )
+
+    class Broken(OffsetColumn):
+        def format(self, value):
+            if value == day:
+                return "no day"
+            return super().format(value + 1e-9 if self.name == "p_retailprice" and value == price else value)
+
+    monkeypatch.setattr(reads, "OffsetColumn", Broken)
+    lost = {r.field: r.n_lost for r in contract.queries()["offset_roundtrip"](spark, SMALL).collect()}
+    assert {field: n for field, n in lost.items() if n} == {"p_retailprice": 1, "o_date": 1}
