@@ -105,3 +105,23 @@ def test_query(spark):
         failed = r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words
         assert r.base_failed == failed
         assert not (failed and r.kept)
+
+
+def test_a_repeated_document_counts_once(spark, docs_of):
+    texts_ = [f"The {i}th line tells of rivers, and of bridges.\nhome | news | {i}" for i in range(12)]
+    rows = [*enumerate(texts_)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    once = train(docs_of(rows), labels)
+    often = train(docs_of([*rows, *rows[3:4] * 400, *[(5, texts_[5])] * 50]), labels)
+    for a, b in zip(once, often):
+        assert np.array_equal(a, b)
+    # Other texts of that id do not add to it either: one of them is taken.
+    mixed = [train(docs_of([*rows[:3], *rows[4:], *((3, t) for t in more)]), labels) for more in (texts_[:9] * 30, texts_[8::-1])]
+    for a, b in zip(*mixed):
+        assert np.array_equal(a, b)
+    # An id of both classes counts in each.
+    both = labels.unionAll(labels.where("doc_id = 3").selectExpr("doc_id", "0 AS quality"))
+    assert any(not np.array_equal(a, b) for a, b in zip(once, train(docs_of(rows), both)))
+    # One text for it however often it stands there.
+    for a, b in zip(train(docs_of(rows), both), train(docs_of([*rows, *rows[3:4] * 40]), both)):
+        assert np.array_equal(a, b)

@@ -244,22 +244,36 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineField
     """A field from labelled documents: those of ``labels`` with quality 1 are content, with 0 boilerplate.
 
     ``sample`` bounds the documents of each class; those of the smallest hash of ``doc_id`` are taken,
-    so that reruns agree. None if one class is missing. Rows with a NULL in either table are skipped.
+    so that reruns agree. Of rows with one ``doc_id`` that whose text has the smallest hash counts, once.
+    None if one class is missing. Rows with a NULL in either table are skipped.
     """
     rank = F.xxhash64(F.col("doc_id").cast("string"))
     own = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("doc_id IS NOT NULL AND quality IN (0, 1)")
     picked = [own.where(F.col("quality") == c).dropDuplicates(["doc_id"]).orderBy(rank, "doc_id").limit(sample) for c in (0, 1)]
     chosen = picked[0].union(picked[1])
-    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("hash")).where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[tuple, tuple] = {}
         for batch in slices(batches, "text"):
-            found = describe(texts(batch.column(1)))
-            cuts = np.cumsum(found.per_doc)[:-1]
-            raw = [x.tobytes() for x in np.split(found.features, cuts)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(raw, pa.binary())], ["doc_id", "quality", "features"])
-
-    found = map_arrow(rows, run, "doc_id long, quality int, features binary").orderBy("doc_id", "features").toArrow().to_pydict()
+            keys, hashes = list(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist())), batch.column(2).to_pylist()
+            mine: dict[tuple, int] = {}
+            for i, (key, h) in enumerate(zip(keys, hashes)):
+                if (key not in least or h < least[key][2]) and (key not in mine or h < hashes[mine[key]]):
+                    mine[key] = i
+            if mine:
+                own = batch.take(pa.array(mine.values()))
+                found = describe(texts(own.column(1)))
+                cuts = np.cumsum(found.per_doc)[:-1]
+                raw = [x.tobytes() for x in np.split(found.features, cuts)]
+                least |= {key: (*key, h, x) for key, h, x in zip(mine, own.column(2).to_pylist(), raw)}
+        for row in least.values():
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], ["doc_id", "quality", "hash", "features"])
+
+    # Of rows with one doc_id that of the smallest hash, first in each task.
+    found = map_arrow(rows, run, "doc_id long, quality int, hash long, features binary")
+    found = found.groupBy("doc_id", "quality").agg(F.min_by("features", "hash").alias("features"))
+    found = found.orderBy("doc_id", "features").toArrow().to_pydict()
     if len(set(found["quality"])) < 2:
         return None
     arrays = [np.frombuffer(x).reshape(-1, len(FEATURES)) for x in found["features"]]
