@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, html_paths, license_scan, line_dedup, line_quality, mixing, multi_index, secret_scan, simhash, suffix_tree
+from tidemark.llm import byte_bpe, html_paths, license_scan, line_dedup, line_quality, mixing, multi_index, periodic_runs, secret_scan, simhash, suffix_tree
 from tidemark.llm.common import table
 
 #: Rank file and pattern of the tokenizer; a path that every node has.
@@ -92,6 +92,45 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_runs(doc_id: Column, text: Column) -> Column:
+    """The text of a tenth of the rows, by the hash of the key, repeated from some word on; other texts stay."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10).cast("long")
+    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+
+    def repeat(w: Column) -> Column:
+        n = F.size(w)
+        a = F.pmod(g, n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return F.array_join(F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, a + F.pmod(i - a, p)))), " ")
+
+    # One element, so that the words are found once for all uses.
+    whole = F.get(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeat(w)).otherwise(F.lit(""))), F.lit(0))
+    return F.when(h % 10 == 0, whole).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs.periodic_runs(docs.select("doc_id", planted_runs(F.col("doc_id"), F.col("text")).alias("text")))
+
+    def stronger(best: Column, run: Column) -> Column:
+        return F.when(best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run).otherwise(best)
+
+    # Runs come by start, then period, so the first of the strongest is the one asked for.
+    first = F.aggregate("runs", F.lit(None).cast("struct<start: long, length: long, period: long>"), stronger)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(F.lit(""))
+    return found.withColumn("best", first).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col("best")[c].alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -105,6 +144,7 @@ QUERIES = {
         op8_html_paths,
         op9_mix_sources,
         op10_secret_scan,
+        op13_periodic_runs,
     )
 }
 
