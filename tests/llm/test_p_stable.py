@@ -1,0 +1,147 @@
+"""Nearest neighbours against brute force."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from llm_tables import MIDDLE  # noqa: F401
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from tidemark.llm import p_stable
+
+INF, NAN = float("inf"), float("nan")
+
+
+def usable(v):
+    return bool(v) and all(c is not None and math.isfinite(c) for c in v) and any(c != 0 for c in v)
+
+
+def brute(rows, asks, k):
+    """{(query row number, rank, key, score)} over rows (key, vector)."""
+    rows = [r for r in rows if usable(r[1])]
+    out = []
+    for i, (key, v) in enumerate(rows):
+        if not asks(key):
+            continue
+        near = [(-float((np.array(v, float) * np.array(w, float)).sum()), other is None, other) for j, (other, w) in enumerate(rows) if j != i and len(v) == len(w)]
+        near.sort(key=lambda t: (t[0], t[1], t[2] if t[2] is not None else 0))
+        out += [(key, rank, other, -score) for rank, (score, _, other) in enumerate(near[:k], 1)]
+    return sorted(out, key=str)
+
+
+def answers(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def table_of(spark, rows, kind="array<double>", key="long"):
+    return spark.createDataFrame(rows, f"vec_id {key}, embedding {kind}, label int, node string, key string, low string").repartition(3)
+
+
+def full(rows):
+    return [(k, v, 1, "x", "y", "z") for k, v in rows]
+
+
+def test_small_tables_are_searched_whole(spark):
+    """With so few vectors every query is owed all candidates, so the result is exact."""
+    rows = [(20, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, 0.5]), (2, [0.5, 0.5]), (40, [0.5, 0.5]), (3, [-1.0, 2.0]), (None, [0.5, 0.5])]
+    rows += [(4, None), (5, []), (6, [0.0, 0.0]), (7, [1.0, None]), (8, [NAN, 1.0]), (9, [INF, 1.0]), (60, [-INF, 0.0]), (80, None)]
+    rows += [(100, [1.0, 2.0, 3.0]), (11, [3.0, 2.0, 1.0]), (120, [2.0]), (12, [-3.0]), (13, [4.0]), (140, [1.0] * 5)]
+    asks = lambda key: key is not None and key % 20 == 0
+    for k in (20, 3, 1):
+        got = answers(p_stable.nearest(table_of(spark, full(rows)), F.col("vec_id") % 20 == 0, k=k))
+        assert got == brute(rows, asks, k)
+    assert p_stable.nearest(table_of(spark, []), F.col("vec_id") % 20 == 0).count() == 0
+    assert p_stable.nearest(table_of(spark, full([(1, [1.0, 1.0])])), F.col("vec_id") % 20 == 0).columns == ["query_id", "rank", "vec_id", "score"]
+    assert p_stable.nearest(table_of(spark, full([(20, [1.0, 1.0])])), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_ties_text_keys_and_repeated_rows(spark):
+    rows = [(f"k{i:02d}", [float(i % 2), 1.0, 0.0]) for i in range(40)] + [("k03", [1.0, 1.0, 0.0])] * 3 + [("q", [0.0, 0.0, 1.0]), ("q", [0.0, 0.0, 1.0])]
+    df = table_of(spark, full(rows), key="string")
+    got = answers(p_stable.nearest(df, F.col("vec_id").isin("k03", "k10", "q"), k=25))
+    assert got == brute(rows, lambda key: key in ("k03", "k10", "q"), 25)
+
+
+def test_copies_of_one_vector(spark):
+    """A vector with thousands of copies, many of them queries."""
+    rng = np.random.default_rng(1)
+    rows = [(i, [1.0, 2.0, 2.0]) for i in range(3000)] + [(3000 + i, rng.normal(size=3).tolist()) for i in range(200)]
+    got = p_stable.nearest(table_of(spark, full(rows)), F.col("vec_id") % 20 == 0).collect()
+    of = {}
+    for r in got:
+        of.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert len(of) == 160 and all(sorted(x[0] for x in v) == list(range(1, 21)) for v in of.values())
+    longer = sorted((-float(np.dot(v, [1.0, 2.0, 2.0])), i) for i, v in rows[3000:] if np.dot(v, [1.0, 2.0, 2.0]) > 9)
+    firsts = [i for _, i in longer][:20]
+    for q in (0, 2000, 2980):
+        mine = [i for _, i, _ in sorted(of[q])]
+        rest = [i for i in range(30) if i != q][: 20 - len(firsts)]
+        assert mine == firsts + rest
+
+
+def clustered(n, d, seed):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, d))
+    x = centres[rng.integers(0, 12, n)] + 0.3 * rng.normal(size=(n, d))
+    return x * np.exp2(rng.integers(-3, 4, n))[:, None]
+
+
+@pytest.mark.parametrize("far", [1.0, 1e200])
+def test_recall_on_vectors_of_many_lengths(spark, far):
+    x = clustered(3000, 24, 5)
+    x[7] *= far  # one vector far longer than all others
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = p_stable.nearest(table_of(spark, full(rows)), F.col("vec_id") % 20 == 0).toPandas()
+    hit = 0
+    for q, mine in got.groupby("query_id"):
+        score = (x * x[q]).sum(1)
+        order = np.lexsort((np.arange(len(x)), -score))
+        hit += len(set(order[order != q][:20]) & set(mine.vec_id))
+        mine = mine.sort_values("rank")
+        assert mine["rank"].tolist() == list(range(1, 21))
+        assert np.allclose(score[mine.vec_id], mine.score, rtol=1e-12, atol=0) and mine.score.is_monotonic_decreasing
+    assert hit / (150 * 20) >= 0.9
+
+
+def test_query_on_the_given_table(spark):
+    got = contract.queries()["op12_nearest"](spark, MIDDLE).toPandas()
+    table = spark.read.parquet(f"{MIDDLE}/embeddings.parquet").toPandas().sort_values("vec_id")
+    x, ids = np.stack(table.embedding).astype(float), table.vec_id.to_numpy()
+    hit = 0
+    for q, mine in got.groupby("query_id"):
+        score = np.where(ids == q, -np.inf, (x * x[ids == q][0]).sum(1))
+        hit += len(set(ids[np.lexsort((ids, -score))[:20]]) & set(mine.vec_id))
+    asked = (ids % 20 == 0).sum()
+    assert len(got) == 20 * asked and hit / (20 * asked) >= 0.9
+
+
+def test_visits_come_in_order_and_leave_no_bucket_out():
+    """Every point within reach lies in a visited bucket, and the order is that of the squared gaps."""
+    rng = np.random.default_rng(2)
+    h = p_stable.Hashing(rng.normal(size=(2, 3, 6)), rng.random((2, 3)), 0.7, 1.3)
+    points = p_stable.lifted(rng.normal(size=(3000, 5)))
+    query = p_stable.pointed(rng.normal(size=(1, 5)))
+    cells, place = p_stable.homes(h, points), p_stable.places(h, query)[0]
+    slots = np.floor(p_stable.places(h, points) / h.width)
+    for t in range(2):
+        order = p_stable.visits(h, place[t], t).tolist()
+        away = np.maximum(np.maximum(slots[:, t] * h.width - place[t], place[t] - (slots[:, t] + 1) * h.width), 0) ** 2
+        away = away.sum(1)
+        assert set(cells[away <= h.reach, t].tolist()) == set(cells[:, t].tolist()) & set(order)
+        seen = [(order.index(c), a) for c, a in zip(cells[:, t].tolist(), away) if a <= h.reach]
+        by_visit = [a for _, a in sorted(seen)]
+        assert all(a <= b + 1e-9 for a, b in zip(by_visit, by_visit[1:]))
+        assert p_stable.visits(h, place[t], t, 3) is None
+
+
+def test_lifting_keeps_the_order_of_products():
+    random.seed(3)
+    x = np.array([[random.uniform(-1, 1) for _ in range(4)] for _ in range(50)])
+    x /= np.sqrt((x * x).sum(1, keepdims=True)) / np.linspace(0.51, 0.99, 50)[:, None]
+    q = p_stable.pointed(np.array([[3.0, -1.0, 2.0, 5.0]]))
+    up = p_stable.lifted(x * 2.0**600)
+    assert np.allclose((up * up).sum(1), 1)
+    gaps = ((up - q) ** 2).sum(1)
+    assert (np.argsort(gaps) == np.argsort(-(x @ q[0, :4]))).all()

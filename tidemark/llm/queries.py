@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, html_paths, license_scan, line_dedup, line_quality, mixing, multi_index, periodic_runs, secret_scan, simhash, suffix_tree
+from tidemark.llm import byte_bpe, html_paths, license_scan, line_dedup, line_quality, mixing, multi_index, p_stable, periodic_runs, secret_scan, simhash, suffix_tree
 from tidemark.llm.common import table
 
 #: Rank file and pattern of the tokenizer; a path that every node has.
@@ -92,6 +92,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p_stable.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def planted_runs(doc_id: Column, text: Column) -> Column:
     """The text of a tenth of the rows, by the hash of the key, repeated from some word on; other texts stay."""
     h = F.crc32(doc_id.cast("string"))
@@ -144,6 +148,7 @@ QUERIES = {
         op8_html_paths,
         op9_mix_sources,
         op10_secret_scan,
+        op12_nearest,
         op13_periodic_runs,
     )
 }
