@@ -1,0 +1,215 @@
+"""Conversation repair against a search over all edits."""
+
+import hashlib
+import random
+import re
+import zlib
+from functools import lru_cache
+
+import numpy as np
+import pytest
+from llm_tables import MIDDLE  # noqa: F401
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from tidemark.llm import conversation_repair
+from tidemark.llm.conversation_repair import join_pieces, repair
+
+SPACES = " \t\n\x0b\x0c\r"
+COLUMNS = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+#: A prefix of a legal row of initials, by how far it has come.
+NEXT = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+
+def damage(rows):
+    """Rows (conv_id, turn, role, text) as the query damages them."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        h = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if h == 0:
+            continue
+        text = "" if h == 1 else re.sub("[.!?]", "", text) if h == 2 else text
+        out += [(conv, turn, "user" if h == 4 else role, text)] * (2 if h == 3 else 1)
+    return out
+
+
+def faults(rows):
+    seen, out = set(), []
+    for role, text in rows:
+        visible = text.strip(SPACES)
+        out.append("blank" if not visible else "duplicate" if (role, text) in seen else "truncated" if visible[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return out
+
+
+def best(rows):
+    """(cost, audit, repaired rows) by looking at every edit from the front; ties go to the least audit."""
+    wrong = faults(rows)
+
+    @lru_cache(maxsize=None)
+    def go(i, state, inserted):
+        options = []
+        if i == len(rows):
+            if state in ("", "a"):
+                options.append((0, "", ()))
+        else:
+            role, text = rows[i]
+            more = 1 if wrong[i] == "truncated" else 0
+            c, a, r = go(i + 1, state, 0)
+            options.append((c + 3, "D" + a, r))
+            if wrong[i] not in ("blank", "duplicate"):
+                for cost, letter, new in ((0, "K", role), (2, "R", "user"), (2, "R", "assistant")):
+                    after = NEXT.get((state, new[:1]))
+                    if after:
+                        c, a, r = go(i + 1, after, 0)
+                        options.append((c + cost + more, letter + a, ((new, text), *r)))
+        if inserted < 2:
+            for new in ("user", "assistant"):
+                after = NEXT.get((state, new[0]))
+                if after:
+                    c, a, r = go(i, after, inserted + 1)
+                    options.append((c + 2, "I" + a, ((new, ""), *r)))
+        return min(options, key=lambda o: o[:2], default=(10**9, "", ()))
+
+    return go(0, "", 0)
+
+
+def expected(rows):
+    """The result for rows of one conversation, in order: (turn, role, text)."""
+    pairs = [(r[1], r[2]) for r in rows]
+    wrong = faults(pairs)
+    turns = [r[0] for r in rows if r[0] is not None]
+    initials = [r[:1] for r, _ in pairs]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    cost, audit, fixed = best(pairs) if pairs else (0, "", ())
+    lines = "\n".join(f"{r}:{t}" for r, t in fixed)
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    counts = [wrong.count(w) for w in ("blank", "duplicate", "truncated")]
+    return (gaps, *counts, illegal, cost, audit, hashlib.sha256(lines.encode()).hexdigest())
+
+
+def ordered(rows):
+    """By turn, NULL first; rows of one turn must be equal for the order to be told."""
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+
+
+def of_conversations(original, damaged):
+    out = {}
+    for conv in {r[0] for r in original}:
+        out[conv] = expected(ordered([r[1:] for r in damaged if r[0] == conv]))
+    return out
+
+
+def table_of(spark, rows, parts=3):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for name in ("id", "block", "there", "audit", "hash", "copy"):
+        df = df.withColumn(name, F.lit("x"))
+    return df.repartition(parts)
+
+
+def conversations(rng, n, longest, roles=("system", "user", "assistant", "user", "assistant", "tool", "", "u", None)):
+    texts = ["Yes.", "Yes", "No!", "What?", " \t\n", "", "Fine.  ", "é日本。", "x" * 30 + ".", None, "end\x1c", "a.b"]
+    rows = []
+    for conv in range(n):
+        turn = rng.randint(-3, 3)
+        for _ in range(rng.randint(1, longest)):
+            rows.append((conv, turn if rng.random() < 0.95 else None, rng.choice(roles), rng.choice(texts) if rng.random() < 0.6 else f"Text {rng.random()}."))
+            turn += rng.choice([1, 1, 1, 2, 5])
+    return [r for i, r in enumerate(rows) if r[1] is not None or not any(o[0] == r[0] and o[1] is None for o in rows[:i])]
+
+
+def answers(df):
+    return {r.conv_id: tuple(r)[1:] for r in df.select(*COLUMNS).collect()}
+
+
+@pytest.mark.parametrize("most", [None, 3])
+def test_query_on_random_conversations(spark, tmp_path, monkeypatch, most):
+    """Also with conversations cut into blocks of three rows."""
+    rng = random.Random(11)
+    rows = conversations(rng, 260, 14) + conversations(rng, 4, 60)[-1:]
+    rows += [(None, 1, "user", "Hi."), (None, 2, "assistant", "Yes."), (None, 3, "assistant", "Yes.")]
+    rows += [(900, None, None, None), (901, 5, "user", "Only."), (902, 7, "system", "Only.")]
+    gone = [k for k in range(5000, 5200) if zlib.crc32(f"{k}:0".encode()) % 20 == 0][:2]
+    rows += [(k, 0, "user", "Lost.") for k in gone]
+    if most:
+        _small_blocks(monkeypatch, most)
+    table_of(spark, rows).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = contract.queries()["op11_conversation_repair"](spark, str(tmp_path))
+    want = of_conversations(rows, damage(rows))
+    if most:
+        assert repair(table_of(spark, rows)).where(f"n_blocks > 2 AND size(repaired) <= {2 * most + 2}").count() > 200
+    assert answers(got) == want and got.count() == len(want)
+    assert {k: want[k] for k in gone} == {k: (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest()) for k in gone}
+
+
+def _small_blocks(monkeypatch, most):
+    """Have tasks cut after ``most`` rows: the value travels with the function."""
+    cut = conversation_repair._cut
+
+    def small(batches, schema):
+        usual, conversation_repair.BLOCK_ROWS = conversation_repair.BLOCK_ROWS, most
+        try:
+            yield from cut(batches, schema)
+        finally:
+            conversation_repair.BLOCK_ROWS = usual
+
+    monkeypatch.setattr(conversation_repair, "_cut_up", lambda dealt, schema: _cut_with(small, dealt, schema))
+
+
+def _cut_with(cut, dealt, schema):
+    shape = conversation_repair.to_arrow_schema(schema)
+    return conversation_repair.map_arrow(dealt, lambda batches: cut(batches, shape), schema)
+
+
+def test_one_conversation_over_all_tasks(spark):
+    """A third of all rows equal, all of one conversation, which is cut between tasks and into blocks."""
+    rng = random.Random(3)
+    rows = [(1, k, rng.choice(["user", "assistant"]), f"Text {k % 40}." if k % 3 else "Same again.") for k in range(30_000)]
+    rows += [(1, 30_000, "user", "Equal in all.")] * 20_000 + [(2, 1, "user", "Hi."), (2, 2, "assistant", "Yes."), (0, 1, "user", "Hi")]
+    pieces = repair(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7))
+    assert pieces.where("conv_id = 1").count() > 5
+    assert all(r.n <= conversation_repair.BLOCK_ROWS * 2 for r in pieces.select(F.size("repaired").alias("n")).collect())
+    got = {r.conv_id: r for r in join_pieces(pieces).collect()}
+    first = {}
+    for i, (_, _, role, text) in enumerate(rows[:30_001]):
+        first.setdefault((role, text), i)
+    kept = [rows[i][2:] for i in sorted(first.values())]
+    # What is left after the forced deletions is short enough for the search.
+    cost, audit, fixed = best(tuple(kept))
+    assert got[1].cost == cost + 3 * (50_000 - len(kept)) and got[1].duplicate == 50_000 - len(kept)
+    assert got[1].audit.replace("D", "") == audit.replace("D", "") and len(got[1].audit.replace("I", "")) == 50_000
+    assert got[1].repaired_sha256 == hashlib.sha256("\n".join(f"{r}:{t}" for r, t in fixed).encode()).hexdigest()
+    assert (got[2].audit, got[2].cost, got[0].audit, got[0].cost) == ("KK", 0, "D", 3)
+
+
+def test_crossings_agree_for_every_way_to_halve():
+    """Blocks of any sizes, joined, cost and say the same as the whole."""
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        kinds = np.append(rng.integers(0, 9, rng.integers(1, 25)), conversation_repair._END)
+        leaves = conversation_repair.Sums(conversation_repair._COST[kinds], conversation_repair._RANK[kinds])
+        entry, leave, whole = conversation_repair.crossings(leaves, np.array([len(kinds)]))
+        said = "".join(conversation_repair._STEP[k][s][t].audit for k, s, t in zip(kinds, entry, leave))
+        cuts = np.sort(rng.choice(np.arange(1, len(kinds)), min(3, len(kinds) - 1), replace=False))
+        sizes = np.diff(np.r_[0, cuts, len(kinds)])
+        _, _, blocks = conversation_repair.crossings(leaves, sizes)
+        e, t, both = conversation_repair.crossings(blocks, np.array([len(sizes)]))
+        e, t, _ = conversation_repair.crossings(leaves, sizes, np.stack([e, t], 1))
+        assert both.cost[0, 0, 0] == whole.cost[0, 0, 0]
+        assert "".join(conversation_repair._STEP[k][a][b].audit for k, a, b in zip(kinds, e, t)) == said
+
+
+def test_query_on_the_given_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{MIDDLE}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert answers(contract.queries()["op11_conversation_repair"](spark, MIDDLE)) == of_conversations(rows, damage(rows))
+
+
+def test_operator(spark):
+    rows = [(1, 2, "assistant", "Hello."), (1, 1, "user", "Hi."), (2, 1, "assistant", "Yes"), (2, None, "system", "Be brief.")]
+    out = {r.conv_id: r for r in repair(table_of(spark, rows)).collect()}
+    assert [(x.role, x.text) for x in out[1].repaired] == [("user", "Hi."), ("assistant", "Hello.")] and out[1].audit == "KK"
+    assert [(x.role, x.text) for x in out[2].repaired] == [("system", "Be brief."), ("user", ""), ("assistant", "Yes")]
+    assert (out[2].audit, out[2].cost, out[2].truncated) == ("KIK", 3, 1)
+    empty = table_of(spark, [])
+    assert repair(empty).count() == 0 and join_pieces(repair(empty)).count() == 0

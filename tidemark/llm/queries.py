@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, html_paths, license_scan, line_dedup, line_quality, mixing, multi_index, p_stable, periodic_runs, secret_scan, simhash, suffix_tree
+from tidemark.llm import byte_bpe, conversation_repair, html_paths, license_scan, line_dedup, line_quality, mixing, multi_index, p_stable, periodic_runs, secret_scan, simhash, suffix_tree
 from tidemark.llm.common import table
 
 #: Rank file and pattern of the tokenizer; a path that every node has.
@@ -92,6 +92,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversation rows with faults by a hash of their place; rows that are dropped have ``there`` false."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn"))) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(space("text"), "[.!?]", "")).otherwise(space("text"))
+    role = F.when(fault == 4, "user").otherwise(space("role"))
+    copies = F.explode(F.when(fault == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (fault != 0).alias("there"), copies.alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = conversation_repair.repair(damaged(table(spark, sf_dir, "conversations")), there=F.col("there"))
+    return conversation_repair.join_pieces(pieces)
+
+
 def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p_stable.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -148,6 +163,7 @@ QUERIES = {
         op8_html_paths,
         op9_mix_sources,
         op10_secret_scan,
+        op11_conversation_repair,
         op12_nearest,
         op13_periodic_runs,
     )
