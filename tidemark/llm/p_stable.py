@@ -31,7 +31,7 @@ TABLES, PROJECTIONS, WIDTHS = (2, 4), (2, 4, 6, 8), (0.75, 1.5)
 #: Buckets of a table that a query may visit in a fit that is chosen, and vectors that one visit costs as much as.
 MOST_VISITS, VISIT = 4000, 32
 #: Members of a unit, queries of a unit, and members that a task holds at once, on average.
-MEMBERS, QUERIES, REGION = 2048, 8192, 8192
+MEMBERS, QUERIES, REGION = 2048, 8192, 2048
 #: Queries that a task ranks at once, and candidates it holds before it ranks them.
 _CHUNK, _PENDING = 512, 1 << 20
 #: Copies of the results that one vector's query rows are dealt over.
