@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import partial, reduce
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from catalog.tables import DERIVED, TRACKED, halves
 from tidemark.functions.offset_column import OffsetColumn, offset_kind
@@ -22,6 +19,7 @@ from tidemark.operators.ranges import (
     split_range,
     start_predicate,
 )
+from tidemark.operators.round_trip import round_trips
 from tidemark.plans.progress import Span, batch_range, first_span, next_span
 from tidemark.streaming.datasource import TidemarkSource
 
@@ -143,40 +141,6 @@ def _offset_profile(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _trips(distinct: DataFrame, offset: OffsetColumn) -> DataFrame:
-    """``value`` (distinct offsets) as parsed back in tasks, where a text that is written again stays the same."""
-    kind = distinct.schema["value"].dataType
-    schema = T.StructType([T.StructField("value", kind), T.StructField("parsed", kind), T.StructField("text", T.StringType())])
-
-    def trip(carried):
-        try:
-            text = offset.from_carrier(carried)
-            parsed = offset.parse(text)
-            return (parsed, text) if offset.format(parsed) == text else (None, None)
-        except (ArithmeticError, TypeError, ValueError):
-            return None, None
-
-    def fitting(values: list, data_type: pa.DataType) -> pa.Array:
-        out = []
-        for v in values:
-            try:
-                out.append(pa.scalar(v, data_type))
-            except (pa.ArrowException, OverflowError):
-                out.append(pa.scalar(None, data_type))
-        return pa.array(out, data_type)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            value, carried = batch.columns
-            parsed, text = zip(*map(trip, carried.to_pylist())) if len(value) else ((), ())
-            yield pa.RecordBatch.from_arrays([value, fitting(parsed, value.type), pa.array(text, pa.string())], schema.names)
-
-    made = distinct.select("value", offset.carrier(F.col("value")).alias("carried")).mapInArrow(run, schema)
-    value = F.col("value")
-    # A literal is the text in the column's own type.
-    return made.where((F.col("parsed") == value) & (F.col("text").cast(offset.data_type) == value)).select("parsed")
-
-
 def _offset_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Every stored offset finds the rows it came from: text, value and literal of each family.
 
@@ -192,7 +156,7 @@ def _offset_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         c = offset.column()
         # NaN is no offset.
         values = df.groupBy(offset.orderable().alias("value")).agg(F.count(c).alias("n"))
-        trips = _trips(values.select("value").where(F.col("value").isNotNull()), offset)
+        trips = round_trips(values.select("value").where(F.col("value").isNotNull()), offset)
         lost = F.col("value").isNotNull() & F.col("parsed").isNull()
         whole = values.join(trips, F.col("value") == F.col("parsed"), "left").agg(
             F.sum("n").alias("n_values"), F.count_if(lost).alias("n_changed")
