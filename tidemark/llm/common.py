@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
-from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
@@ -14,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.plans.shipping import map_arrow, ship  # noqa: F401
 from tidemark.plans.workspace import shared_folder
 
 #: ``[^\x20\x09-\x0D]+`` as Spark's regular expressions write it.
@@ -28,30 +26,6 @@ _LOWER[65:91] += 32
 #: An odd multiplier and a value for each byte; fixed, so that hashes agree between tasks and runs.
 _BASE = 0x9E3779B97F4A7C15
 _VALUES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Hand the code of this package to the executors, once per application.
-
-    The archive is made where the driver runs; Spark's file server passes it on.
-    """
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp()) / "tidemark-code.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for file in sorted(package.rglob("*.py")):
-            out.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    _SHIPPED.add(context.applicationId)
-
-
-def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` by code of this package."""
-    ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
 
 
 def release_shuffles(spark: SparkSession) -> None:
