@@ -78,18 +78,18 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
-def _stages(df: DataFrame, offset: OffsetColumn) -> tuple[str, str]:
+def stages(df: DataFrame, offset: OffsetColumn) -> tuple[str, str]:
     """Offsets at three and seven tenths of the range."""
     whole = BatchRange(*fetch_bound(both_bounds(df, offset), offset), True)
     tenths = split_range(offset, whole, 10)
     return tenths[2].end, tenths[6].end
 
 
-_STAGES_SQL = (
+STAGES_SQL = (
     "WITH b AS (SELECT MIN(event_id) AS lo, MAX(event_id) AS hi FROM events), "
     "s AS (SELECT lo, hi, lo + (hi - lo) * 3 // 10 AS s3, lo + (hi - lo) * 7 // 10 AS s7 FROM b) "
 )
-_BATCH_SQL = (
+BATCH_SQL = (
     "CASE WHEN event_id <= (SELECT s3 FROM s) THEN 0 "
     "WHEN event_id <= (SELECT s7 FROM s) THEN 1 ELSE 2 END AS batch_id"
 )
@@ -98,7 +98,7 @@ _BATCH_SQL = (
 def _events(spark: SparkSession, sf: str) -> tuple[Growing, str, str]:
     df = TRACKED["number"].frame(spark, sf)
     growing = Growing(spark, df, "event_id")
-    return growing, *_stages(df, growing.offset)
+    return growing, *stages(df, growing.offset)
 
 
 def _in_three(spark: SparkSession, sf: str) -> Growing:
@@ -231,7 +231,7 @@ def _landed_polled(spark: SparkSession, sf: str) -> DataFrame:
     """A table pulled in the background on a trigger, while it grows twice; a stream of what landed."""
     df = TRACKED["number"].frame(spark, sf)
     offset = TRACKED["number"].offset(df)
-    s3, s7 = _stages(df, offset)
+    s3, s7 = stages(df, offset)
     shown: list[Column] = [F.lit(False)]
     table = FrameTable(lambda: df.where(shown[0]))
     folder = shared_folder(spark, "landed")
@@ -258,7 +258,7 @@ def _start_from_param(spark: SparkSession, sf: str) -> DataFrame:
     """A feed that starts at a given offset; on later runs only the log counts."""
     df = TRACKED["number"].frame(spark, sf)
     offset = TRACKED["number"].offset(df)
-    s3, s7 = _stages(df, offset)
+    s3, s7 = stages(df, offset)
     growing = Growing(spark, df, "event_id", **{"start.offset": s3})
     growing.run(growing.upto(s7))
     growing.run(F.lit(True))
@@ -332,7 +332,7 @@ def _landed_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Batches land as Parquet, a file stream counts them by day and type as they come."""
     df = TRACKED["ts"].frame(spark, sf)
     offset = TRACKED["ts"].offset(df)
-    _, s7 = _stages(df, offset)
+    _, s7 = stages(df, offset)
     folder = shared_folder(spark, "landed")
     shown = [offset.column() <= offset.literal(s7)]
     table = FrameTable(lambda: df.where(shown[0]))
@@ -389,8 +389,8 @@ _LOG_SQL = (
 )
 
 SQL = {
-    "drain_batches": f"{_STAGES_SQL} SELECT *, {_BATCH_SQL} FROM events",
-    "drain_counts": f"{_STAGES_SQL} SELECT {_BATCH_SQL}, COUNT(*) AS n_rows FROM events GROUP BY 1",
+    "drain_batches": f"{STAGES_SQL} SELECT *, {BATCH_SQL} FROM events",
+    "drain_counts": f"{STAGES_SQL} SELECT {BATCH_SQL}, COUNT(*) AS n_rows FROM events GROUP BY 1",
     "drain_parquet": "SELECT * FROM lineitem",
     **{
         name: (
@@ -423,28 +423,28 @@ SQL = {
     ),
     "landed_polled": "SELECT * FROM events",
     "start_from_param": (
-        f"{_STAGES_SQL} SELECT *, CASE WHEN event_id <= (SELECT s7 FROM s) THEN 0 ELSE 1 END "
+        f"{STAGES_SQL} SELECT *, CASE WHEN event_id <= (SELECT s7 FROM s) THEN 0 ELSE 1 END "
         "AS batch_id FROM events WHERE event_id >= (SELECT s3 FROM s)"
     ),
     "restart_resume": "SELECT * FROM events",
-    "replay_uncommitted": f"{_STAGES_SQL} SELECT *, {_BATCH_SQL} FROM events",
+    "replay_uncommitted": f"{STAGES_SQL} SELECT *, {BATCH_SQL} FROM events",
     "late_rows_skipped": (
-        f"{_STAGES_SQL} SELECT * FROM events WHERE event_type <> 'click' OR event_id > "
+        f"{STAGES_SQL} SELECT * FROM events WHERE event_type <> 'click' OR event_id > "
         "(SELECT MAX(event_id) FROM events, s WHERE event_id <= s7 AND event_type <> 'click')"
     ),
     "null_offsets_skipped": "SELECT *, event_id AS seq FROM events WHERE event_type <> 'error'",
     "shrunk_table": (
-        f"{_STAGES_SQL} SELECT *, CASE WHEN event_id <= (SELECT s7 FROM s) THEN 0 ELSE 1 END "
+        f"{STAGES_SQL} SELECT *, CASE WHEN event_id <= (SELECT s7 FROM s) THEN 0 ELSE 1 END "
         "AS batch_id FROM events"
     ),
     "no_new_data": (
-        f"{_STAGES_SQL} SELECT 0 AS run, CAST(1 AS BIGINT) AS n_batches, COUNT(*) AS n_rows FROM events "
+        f"{STAGES_SQL} SELECT 0 AS run, CAST(1 AS BIGINT) AS n_batches, COUNT(*) AS n_rows FROM events "
         "WHERE event_id <= (SELECT s3 FROM s) UNION ALL SELECT 1, 0, 0 UNION ALL "
         "SELECT 2, 1, COUNT(*) FROM events WHERE event_id > (SELECT s3 FROM s)"
     ),
-    "offset_log": f"{_STAGES_SQL} {_LOG_SQL}",
+    "offset_log": f"{STAGES_SQL} {_LOG_SQL}",
     "offset_log_json": (
-        f"{_STAGES_SQL} SELECT batch_id, "
+        f"{STAGES_SQL} SELECT batch_id, "
         """'{"fieldsOffsets":{"fieldName":"' || field || '","range":{"start":"' || start_offset"""
         """ || '","end":"' || end_offset || '"}}}' AS offset_json """
         f"FROM ({_LOG_SQL}) l"

@@ -5,10 +5,10 @@ from conftest import SMALL
 from oracle import assert_same, connect
 
 import __spark_entry__ as contract
-from catalog import feeds, reads, streams
+from catalog import feeds, indexed, reads, streams
 from tidemark.functions.offset_column import OffsetColumn
 
-CATALOG = {**reads.QUERIES, **feeds.QUERIES, **streams.QUERIES}
+CATALOG = {**reads.QUERIES, **feeds.QUERIES, **streams.QUERIES, **indexed.QUERIES}
 
 
 @pytest.fixture(scope="module")

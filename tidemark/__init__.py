@@ -1,6 +1,7 @@
 """Tidemark: growing tables read incrementally, as batches or as streams, on Spark."""
 
 from tidemark.operators.profile import offset_profile
+from tidemark.sources.bounds_index import BoundsIndex
 from tidemark.sources.jdbc import JdbcTable
 from tidemark.sources.tables import FrameTable, ParquetTable
 from tidemark.streaming.datasource import drain_stream, read_stream, register
@@ -9,6 +10,7 @@ from tidemark.streaming.landing import LandedStream
 from tidemark.streaming.offset_log import read_spans
 
 __all__ = [
+    "BoundsIndex",
     "FrameTable",
     "IncrementalFeed",
     "JdbcTable",

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from itertools import chain
 from typing import Any, NamedTuple
-from urllib.parse import unquote
+from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,7 +20,8 @@ import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import types as T
 
-from tidemark.functions.offset_column import STRING, OffsetColumn
+from tidemark.functions.offset_column import STRING, TIMESTAMP, OffsetColumn
+from tidemark.sources.bounds_index import column_folder, part_names
 
 # Logs that say which files of a folder belong to the table.
 _TABLE_LOGS = ("_spark_metadata", "_delta_log", ".hoodie")
@@ -45,10 +46,13 @@ _TASKS_PER_CORE = 2
 
 
 class RowGroup(NamedTuple):
-    """What planning needs of one row group; ``complete`` if its bounds speak for every row."""
+    """What planning needs of one row group; ``complete`` if its bounds speak for every row.
+
+    An index tells blocks instead of row groups: ``(start, length)`` in bytes of the file.
+    """
 
     path: str
-    index: int
+    index: int | tuple[int, int]
     least: Any
     most: Any
     rows: int
@@ -68,7 +72,7 @@ class Piece(NamedTuple):
     """Row groups of one file, read by one task; ``whole`` if every row is wanted."""
 
     path: str
-    groups: list[int]
+    groups: list[int | tuple[int, int]]
     whole: bool
 
 
@@ -308,6 +312,86 @@ class FooterIndex:
         return tasks
 
 
+class IndexedFiles(FooterIndex):
+    """The same from a ``BoundsIndex``: no file of the table is opened, and its bounds are exact for every type.
+
+    The index is opened as often as it has new parts; files that it does not know yet wait.
+    """
+
+    def __init__(self, uri: str, offset: OffsetColumn, folder: str) -> None:
+        super().__init__(uri, offset)
+        self._index_fs, self._folder = open_location(column_folder(folder, offset))
+        self._seen: list[str] = []
+        self._passed: Any = None
+
+    def refresh(self) -> None:
+        found = self._index_fs.get_file_info(fs.FileSelector(self._folder, allow_not_found=True))
+        names = [f.base_name for f in found if f.type == fs.FileType.Directory]
+        done = [n for n in names if self._index_fs.get_file_info(f"{self._folder}/{n}/_SUCCESS").type == fs.FileType.File]
+        parts = part_names(done)
+        if parts[: len(self._seen)] != self._seen:
+            self._groups_of, self._seen = {}, []  # written anew as one
+        for name in parts[len(self._seen) :]:
+            self._apply(name)
+        self._seen = parts
+        self.loaded = True
+
+    def _apply(self, name: str) -> None:
+        table = pq.read_table(
+            f"{self._folder}/{name}", filesystem=self._index_fs, partitioning=None, coerce_int96_timestamp_unit="us"
+        )
+        if self._offset.kind == TIMESTAMP:  # an old form of instants that Spark may write has no zone
+            for at in ("least", "most"):
+                table = table.set_column(table.schema.get_field_index(at), at, table[at].cast(pa.timestamp("us", "UTC")))
+        entries: dict[FileKey, dict[int, RowGroup]] = {}
+        for row in table.to_pylist():
+            key = FileKey(row["file"], row["size"], row["modified"])
+            if row["gone"]:
+                self._groups_of.pop(key, None)
+                continue
+            blocks = entries.setdefault(key, {})
+            if row["most"] is None:
+                continue
+            most = self._value(row["most"])
+            if self._passed is None or most > self._passed:
+                path = self._inner_path(row["file"])
+                blocks[row["start"]] = RowGroup(
+                    path, (row["start"], row["length"]), self._value(row["least"]), most,
+                    row["rows"], row["length"], row["nulls"] + row["nans"] == 0,
+                )
+        self._groups_of.update({key: list(blocks.values()) for key, blocks in entries.items()})
+
+    def _inner_path(self, uri: str) -> str:
+        """A file as its file system names it; object stores have the bucket in front."""
+        parts = urlsplit(uri)
+        path = unquote(parts.path)
+        return path if path.startswith(self._root) else f"{parts.netloc}{path}"
+
+    def forget(self, end: str) -> None:
+        super().forget(end)
+        self._passed = self._offset.parse(end)
+
+    def _read_extreme(self, group: RowGroup, largest: bool) -> str:
+        return group.most if largest else group.least
+
+
+def _row_groups(footer: pq.FileMetaData, wanted: list[int | tuple[int, int]]) -> list[int]:
+    """Row groups by number; those of a block are the ones whose middle lies in it, as Spark deals them."""
+    if not wanted or isinstance(wanted[0], int):
+        return wanted
+    out = []
+    for i in range(footer.num_row_groups):
+        group = footer.row_group(i)
+        first = group.column(0)
+        begin = first.data_page_offset
+        if first.has_dictionary_page and 0 < first.dictionary_page_offset < begin:
+            begin = first.dictionary_page_offset
+        middle = begin + sum(group.column(c).total_compressed_size for c in range(group.num_columns)) // 2
+        if any(start <= middle < start + length for start, length in wanted):
+            out.append(i)
+    return out
+
+
 def _task_size(total: int, cores: int) -> int:
     """A few tasks for each core, neither so small that they cost more than they read nor too large."""
     return min(_LARGEST_TASK, max(_SMALLEST_TASK, total // (cores * _TASKS_PER_CORE)))
@@ -334,6 +418,9 @@ def read_pieces(
         constants = _folder_values(root, path)
         with system.open_input_file(path) as source:
             file = pq.ParquetFile(source)
+            groups = _row_groups(file.metadata, groups)
+            if not groups:
+                continue
             names = [n for n in file.schema_arrow.names if n == offset or n in schema.names]
             step = _batch_rows(file.metadata, groups)
             for batch in file.iter_batches(step, groups, names, use_threads=False):

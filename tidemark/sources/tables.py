@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark.functions.offset_column import DATE, OffsetColumn
 from tidemark.operators.bounds import both_bounds, end_bound, fetch_bound
 from tidemark.operators.ranges import BatchRange, read_range
+from tidemark.sources.bounds_index import BoundsIndex, only_files
 
 # Fixed value: how Spark's message begins when a footer holds no bounds.
 _NO_STATISTICS = "No min/max found"
@@ -61,13 +62,20 @@ class ParquetTable(FrameTable):
     finding the end of a large table reads no column data. Other types (and files
     without statistics) scan the one column, where the ``>=`` filter skips every row
     group below the last end.
+
+    With ``index``, a shared folder, the bounds of every file are kept there (``BoundsIndex``): a probe
+    reads new files only, whatever their type, and a batch opens only files that can hold some of it. A read from the last
+    refresh on sees the files of that refresh, as a probe does.
     """
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
+    def __init__(self, spark: SparkSession, path: str, index: str | None = None) -> None:
         super().__init__(lambda: self._read(spark))
         self._path = path
         self._spark = spark
         self._footers_usable = True
+        self._index_folder = index
+        self._indexes: dict[OffsetColumn, BoundsIndex] = {}
+        self._probed = False
 
     @cached_property
     def schema(self) -> T.StructType:
@@ -85,9 +93,36 @@ class ParquetTable(FrameTable):
         session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
         return session
 
+    def index(self, offset: OffsetColumn) -> BoundsIndex | None:
+        """The index of ``offset``, if the table keeps one."""
+        if self._index_folder is None:
+            return None
+        if offset not in self._indexes:
+            self._indexes[offset] = BoundsIndex(self._spark, self._path, self._index_folder, offset, self.schema)
+        return self._indexes[offset]
+
+    def pinned(self) -> FrameTable:
+        frame = self.frame()
+        return _Pinned(frame, self)
+
+    def read(self, offset: OffsetColumn, batch: BatchRange) -> DataFrame:
+        return self._read_of(self.frame(), offset, batch)
+
+    def _read_of(self, frame: DataFrame, offset: OffsetColumn, batch: BatchRange) -> DataFrame:
+        index = self.index(offset)
+        # What a log left to be done may be older than the index.
+        if index is not None and self._probed:
+            frame = only_files(frame, index.files(batch))
+        return read_range(frame, offset, batch)
+
     def bounds(
         self, offset: OffsetColumn, at_least: str | None = None
     ) -> tuple[str | None, str | None]:
+        index = self.index(offset)
+        if index is not None:
+            index.refresh()
+            self._probed = True
+            return index.bounds(at_least)
         if self._footers_usable and (offset.integral or offset.kind == DATE):
             try:
                 return self._footer_bounds(offset, at_least)
@@ -106,3 +141,17 @@ class ParquetTable(FrameTable):
             return least, most
         reached = most is not None and offset.parse(most) >= offset.parse(at_least)
         return None, most if reached else None
+
+
+class _Pinned(FrameTable):
+    """A Parquet table whose files were listed once; its index still tells which of them to open."""
+
+    def __init__(self, frame: DataFrame, table: ParquetTable) -> None:
+        super().__init__(lambda: frame)
+        self._table = table
+
+    def pinned(self) -> FrameTable:
+        return self
+
+    def read(self, offset: OffsetColumn, batch: BatchRange) -> DataFrame:
+        return self._table._read_of(self.frame(), offset, batch)

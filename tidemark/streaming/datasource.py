@@ -22,11 +22,13 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from pyspark.sql.streaming import StreamingQuery
 
 import tidemark
+from tidemark.functions.offset_column import OffsetColumn
 from tidemark.functions.offset_json import offset_bounds, offset_dict
 from tidemark.plans.progress import Span, batch_range, first_span, next_span
 from tidemark.plans.settings import OFFSET_FIELD, TIME_ZONE, Settings
+from tidemark.sources.bounds_index import BoundsIndex
 from tidemark.sources.dbapi import DbApiTable, Slice
-from tidemark.sources.parquet_footers import FooterIndex, read_pieces, table_shape
+from tidemark.sources.parquet_footers import FooterIndex, IndexedFiles, read_pieces, table_shape
 
 #: Option that says a query runs on a trigger that comes again, so that steps add up.
 STEPPING = "stepping"
@@ -197,9 +199,12 @@ class ParquetStreamReader(OffsetStreamReader):
         self._size = int(given["taskbytes"]) if "taskbytes" in given else None
         self._cores = int(given.get("cores", os.cpu_count() or 1))
         self._rows_per_batch = int(given.get("rowsperbatch", "0"))
+        self._index_folder = given.get("index")
 
     @cached_property
     def _index(self) -> FooterIndex:
+        if self._index_folder:
+            return IndexedFiles(self._uri, self._settings.offset, self._index_folder)
         return FooterIndex(self._uri, self._settings.offset)
 
     def __getstate__(self) -> dict[str, Any]:
@@ -297,11 +302,16 @@ def read_stream(
     """A Parquet folder as a streaming DataFrame; ``path`` means what it means to Spark.
 
     The schema is that of Spark's own reader, folders included, a zoneless ``start.offset`` is
-    in the session's time zone, and tasks follow the session's cores.
+    in the session's time zone, and tasks follow the session's cores. ``index`` names a shared folder for the
+    bounds of the files (``BoundsIndex``): Spark jobs bring it up to date here, and while the stream
+    runs, ``BoundsIndex.following`` does; the planner then opens no file of the table.
     """
     register(spark)
     schema = spark.read.parquet(path).schema
     given = {k.lower(): v for k, v in options.items()}
+    if "index" in given:
+        offset = OffsetColumn.of(schema, offset_field)
+        BoundsIndex(spark, path, given["index"], offset, schema).refresh()
     wanted = [c.strip() for c in given.get("columns", "").split(",") if c.strip()]
     missing = sorted(set(wanted) - set(schema.names))
     if missing:
