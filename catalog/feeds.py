@@ -95,14 +95,14 @@ BATCH_SQL = (
 )
 
 
-def _events(spark: SparkSession, sf: str) -> tuple[Growing, str, str]:
+def events_growing(spark: SparkSession, sf: str) -> tuple[Growing, str, str]:
     df = TRACKED["number"].frame(spark, sf)
     growing = Growing(spark, df, "event_id")
     return growing, *stages(df, growing.offset)
 
 
 def _in_three(spark: SparkSession, sf: str) -> Growing:
-    growing, s3, s7 = _events(spark, sf)
+    growing, s3, s7 = events_growing(spark, sf)
     for visible in (growing.upto(s3), growing.upto(s7), F.lit(True)):
         growing.run(visible)
     return growing
@@ -114,7 +114,7 @@ def _drain_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 def _restart_resume(spark: SparkSession, sf: str) -> DataFrame:
     """A feed stops after the first stage; another one takes up the rest."""
-    growing, s3, _ = _events(spark, sf)
+    growing, s3, _ = events_growing(spark, sf)
     growing.run(growing.upto(s3))
     growing.run(F.lit(True))
     return growing.delivered().drop("batch_id")
@@ -267,7 +267,7 @@ def _start_from_param(spark: SparkSession, sf: str) -> DataFrame:
 
 def _replay_uncommitted(spark: SparkSession, sf: str) -> DataFrame:
     """The second batch is written but not committed; the table grows; it runs again as it was."""
-    growing, s3, s7 = _events(spark, sf)
+    growing, s3, s7 = events_growing(spark, sf)
     write = parquet_sink(f"{growing.folder}/out")
 
     def breaks(batch: DataFrame, batch_id: int) -> None:
@@ -285,7 +285,7 @@ def _replay_uncommitted(spark: SparkSession, sf: str) -> DataFrame:
 
 def _late_rows_skipped(spark: SparkSession, sf: str) -> DataFrame:
     """Clicks up to the second stage show up after it was delivered: too late."""
-    growing, _, s7 = _events(spark, sf)
+    growing, _, s7 = events_growing(spark, sf)
     growing.run(growing.upto(s7) & (F.col("event_type") != "click"))
     growing.run(F.lit(True))
     return growing.delivered().drop("batch_id")
@@ -301,7 +301,7 @@ def _null_offsets_skipped(spark: SparkSession, sf: str) -> DataFrame:
 
 def _shrunk_table(spark: SparkSession, sf: str) -> DataFrame:
     """The table loses rows and gets them back: nothing is delivered twice."""
-    growing, s3, s7 = _events(spark, sf)
+    growing, s3, s7 = events_growing(spark, sf)
     for visible in (growing.upto(s7), growing.upto(s3), growing.upto(s7), F.lit(True)):
         growing.run(visible)
     return growing.delivered()
@@ -309,7 +309,7 @@ def _shrunk_table(spark: SparkSession, sf: str) -> DataFrame:
 
 def _no_new_data(spark: SparkSession, sf: str) -> DataFrame:
     """Batches and rows of each of three runs; nothing is new to the second, something to the third."""
-    growing, s3, _ = _events(spark, sf)
+    growing, s3, _ = events_growing(spark, sf)
     runs: list[tuple[int, int, int]] = []
     for i, visible in enumerate((growing.upto(s3), growing.upto(s3), F.lit(True))):
         rows: list[int] = []

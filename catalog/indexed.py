@@ -1,4 +1,4 @@
-"""Tables that keep the bounds of their files, and backlogs that are cut in one pass."""
+"""Tables that keep the bounds of their files, backlogs cut in one pass, and commits that name their output."""
 
 from __future__ import annotations
 
@@ -8,14 +8,16 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.feeds import BATCH_SQL, STAGES_SQL, stages
+from catalog.feeds import BATCH_SQL, STAGES_SQL, events_growing, stages
 from catalog.tables import TRACKED
 from tidemark.functions.offset_column import OffsetColumn
+from tidemark.operators.ranges import BatchRange
 from tidemark.plans.workspace import shared_folder
 from tidemark.sources.bounds_index import BoundsIndex
-from tidemark.sources.tables import ParquetTable
+from tidemark.sources.tables import FrameTable, ParquetTable
 from tidemark.streaming.datasource import read_stream
-from tidemark.streaming.feed import IncrementalFeed, parquet_sink
+from tidemark.streaming.feed import IncrementalFeed
+from tidemark.streaming.sinks import committed_sink, late_rows, parquet_sink, read_committed
 
 #: ``events.value`` as a column with NULLs and NaNs.
 _MEASURED = "CASE event_type WHEN 'error' THEN double('NaN') WHEN 'click' THEN NULL ELSE value END"
@@ -100,10 +102,85 @@ def _stream_indexed(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{table.folder}/out")
 
 
+class _Counting(FrameTable):
+    """A table that counts how often a range of it is read."""
+
+    def __init__(self, load) -> None:
+        super().__init__(load)
+        self.n_reads = 0
+
+    def pinned(self) -> _Counting:
+        return self
+
+    def read(self, offset: OffsetColumn, batch: BatchRange) -> DataFrame:
+        self.n_reads += 1
+        return super().read(offset, batch)
+
+
+def _scattered(spark: SparkSession, sf: str, kind: str) -> tuple[Grown, IncrementalFeed, _Counting]:
+    """A copy whose every file spans the whole range, drained in some twenty batches and one pass."""
+    rows = TRACKED[kind].frame(spark, sf)
+    copy = _grown(spark, rows)
+    rows.repartition(8, F.xxhash64(*rows.columns)).write.parquet(copy.path)
+    table = _Counting(lambda: spark.read.schema(rows.schema).parquet(copy.path))
+    cap = max(rows.count() // 20, 1)
+    feed = IncrementalFeed(
+        spark, table, {"offset.field": TRACKED[kind].field}, f"{copy.folder}/log", rows_per_batch=cap, one_pass=True
+    )
+    feed.run_available(committed_sink(f"{copy.folder}/out"))
+    return copy, feed, table
+
+
+def _drain_unclustered(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    copy, feed, _ = _scattered(spark, sf, kind)
+    return read_committed(spark, f"{copy.folder}/out", feed.log, copy.rows.schema).drop("batch_id")
+
+
+def _drain_unclustered_cap(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and offsets that came, batches over the cap that hold several values, and reads of the table: one to
+    plan (more where values crowd), one to deliver."""
+    copy, feed, table = _scattered(spark, sf, "ties")
+    field = TRACKED["ties"].field
+    cap = max(copy.rows.count() // 20, 1)
+    out = read_committed(spark, f"{copy.folder}/out", feed.log, copy.rows.schema)
+    batches = out.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(field).alias("n_values"))
+    return batches.agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("n_values").alias("n_values"),
+        F.count_if((F.col("n_rows") > cap) & (F.col("n_values") > 1)).alias("n_split_over"),
+        F.lit(table.n_reads).cast("long").alias("n_reads"),
+    )
+
+
+def _drain_committed(spark: SparkSession, sf: str) -> DataFrame:
+    """Three growths; before the second is delivered, an attempt that never commits writes other rows for it."""
+    growing, s3, s7 = events_growing(spark, sf)
+    sink = committed_sink(f"{growing.folder}/committed")
+    rows = TRACKED["number"].frame(spark, sf)
+    for i, visible in enumerate((growing.upto(s3), growing.upto(s7), F.lit(True))):
+        if i == 1:
+            sink.write(rows, i, 0)
+        growing.run(visible, sink)
+    return read_committed(spark, f"{growing.folder}/committed", growing.feed().log, rows.schema)
+
+
+def _late_rows_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks up to the second stage show up after it was delivered: the span they belong to is told."""
+    growing, _, s7 = events_growing(spark, sf)
+    sink = committed_sink(f"{growing.folder}/committed")
+    growing.run(growing.upto(s7) & (F.col("event_type") != "click"), sink)
+    growing.run(F.lit(True), sink)
+    return late_rows(growing.table.frame(), growing.offset, growing.feed().log)
+
+
 QUERIES = {
     **{f"index_{kind}": partial(_indexed, kind=kind) for kind in ("number", "double", "string", "ts", "decimal", "measured")},
     "drain_indexed": _drain_indexed,
     "stream_indexed": _stream_indexed,
+    **{f"drain_unclustered_{kind}": partial(_drain_unclustered, kind=kind) for kind in ("number", "double", "ts", "ties")},
+    "drain_unclustered_cap": _drain_unclustered_cap,
+    "drain_committed": _drain_committed,
+    "late_rows_found": _late_rows_found,
 }
 
 
@@ -123,4 +200,17 @@ SQL = {
     ),
     "drain_indexed": f"{STAGES_SQL} SELECT *, {BATCH_SQL} FROM events",
     "stream_indexed": "SELECT * FROM lineitem",
+    **{f"drain_unclustered_{kind}": f"SELECT * FROM {TRACKED[kind].sql_table}" for kind in ("number", "double", "ts", "ties")},
+    "drain_unclustered_cap": (
+        "SELECT COUNT(*) AS n_rows, COUNT(DISTINCT l_orderkey) AS n_values, CAST(0 AS BIGINT) AS n_split_over, "
+        "CAST(2 AS BIGINT) AS n_reads FROM lineitem"
+    ),
+    "drain_committed": f"{STAGES_SQL} SELECT *, {BATCH_SQL} FROM events",
+    "late_rows_found": (
+        f"{STAGES_SQL}, d AS (SELECT MIN(event_id) AS lo, MAX(event_id) AS hi, COUNT(*) AS n FROM events "
+        "WHERE event_id <= (SELECT s7 FROM s) AND event_type <> 'click'), "
+        "n AS (SELECT COUNT(*) AS n FROM events, d WHERE event_id BETWEEN lo AND hi) "
+        "SELECT CAST(0 AS BIGINT) AS batch_id, CAST(lo AS VARCHAR) AS start_offset, CAST(hi AS VARCHAR) AS end_offset, "
+        "d.n AS rows_then, n.n AS rows_now FROM d, n WHERE d.n <> n.n"
+    ),
 }

@@ -1,0 +1,224 @@
+"""Backlogs cut in one scan, and sinks of which only committed attempts count."""
+
+import random
+import time
+from collections import Counter
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.offset_column import OffsetColumn
+from tidemark.operators.tagging import batch_number
+from tidemark.sources.tables import FrameTable, ParquetTable
+from tidemark.streaming.feed import IncrementalFeed
+from tidemark.streaming.lease import LeaseTaken
+from tidemark.streaming.offset_log import OffsetLog
+from tidemark.streaming.sinks import committed_sink, late_rows, parquet_sink, read_committed
+
+
+class Counting(FrameTable):
+    """A table that counts how often a range of it is read."""
+
+    def __init__(self, load):
+        super().__init__(load)
+        self.reads = []
+
+    def pinned(self):
+        return self
+
+    def read(self, offset, batch):
+        self.reads.append(batch)
+        return super().read(offset, batch)
+
+
+VALUES = {
+    "int": [random.Random(1).randrange(-500, 500) for _ in range(400)],
+    "double": [random.Random(2).uniform(-9, 9) for _ in range(300)] + [float("inf"), float("-inf")],
+    "decimal(18,3)": [Decimal(random.Random(3 + i).randrange(10**6)) / 1000 for i in range(300)],
+    "date": [date(2020, 1, 1) + timedelta(days=random.Random(4 + i).randrange(400)) for i in range(300)],
+    "timestamp_ntz": [datetime(2020, 1, 1) + timedelta(microseconds=random.Random(5 + i).randrange(10**9)) for i in range(300)],
+    "string": ["".join(random.Random(6 + i).choices("abé'z", k=i % 5)) for i in range(300)],
+}
+
+
+@pytest.mark.parametrize("kind", VALUES)
+@pytest.mark.parametrize("n", [1, 2, 7, 64])
+def test_a_row_gets_the_first_end_at_or_above_it(spark, kind, n):
+    df = spark.createDataFrame([(v,) for v in VALUES[kind]], f"v {kind}")
+    offset = OffsetColumn.of(df.schema, "v")
+    distinct = sorted(set(VALUES[kind]))
+    ends = sorted(random.Random(n).sample(distinct[:-1], min(n, len(distinct)) - 1)) + [distinct[-1]]
+    got = df.withColumn("n", batch_number(offset, [offset.format(e) for e in ends])).collect()
+    assert all(r.n == next(i for i, e in enumerate(ends) if r.v <= e) for r in got)
+
+
+def unclustered(spark, folder, n=3000):
+    """Every file spans the whole range; a third of the rows share one value."""
+    rows = spark.range(n).select(F.when(F.col("id") % 3 == 0, 77).otherwise(F.col("id") * 7919 % n).alias("o"), F.col("id").alias("x"))
+    rows.repartition(4).write.parquet(f"{folder}/t")
+    return Counter((r.o, r.x) for r in rows.collect())
+
+
+@pytest.mark.parametrize("kind", ["parquet", "committed", "function"])
+def test_one_scan_for_all_batches(spark, folder, kind):
+    rows = unclustered(spark, folder)
+    got = {}
+
+    def run(one_pass):
+        table = Counting(lambda: spark.read.parquet(f"{folder}/t"))
+        place = f"{folder}/{one_pass}"
+        feed = IncrementalFeed(spark, table, {"offset.field": "o"}, f"{place}/log", rows_per_batch=200, one_pass=one_pass)
+        sink = {"parquet": parquet_sink, "committed": committed_sink}.get(kind, lambda _: lambda b, i: got.setdefault(one_pass, {}).update({i: b.collect()}))(f"{place}/out")
+        done = feed.run_available(sink)
+        assert not Path(f"{place}/log/staged").exists() or not list(Path(f"{place}/log/staged").iterdir())
+        if kind == "function":
+            out = [(r.o, r.x, i) for i, b in got[one_pass].items() for r in b]
+        else:
+            df = spark.read.parquet(f"{place}/out") if kind == "parquet" else read_committed(spark, f"{place}/out", feed.log, table.schema)
+            out = [(r.o, r.x, r.batch_id) for r in df.collect()]
+        return done, Counter(out), len(table.reads)
+
+    done, out, reads = run(True)
+    apart, same, scans = run(False)
+    assert done == apart and out == same and Counter((o, x) for o, x, _ in out.elements()) == rows
+    # One read plans, one delivers; without it there is one for each batch.
+    assert len(done) > 10 and reads == 2 and scans == 1 + len(done)
+
+
+def test_an_index_tells_whether_one_pass_pays(spark, folder):
+    unclustered(spark, folder)
+    spark.read.parquet(f"{folder}/t").repartitionByRange(6, "o").write.parquet(f"{folder}/sorted")
+    for name, spread in (("t", True), ("sorted", False)):
+        table = ParquetTable(spark, f"{folder}/{name}", index=f"{folder}/index-{name}")
+        feed = IncrementalFeed(spark, table, {"offset.field": "o"}, f"{folder}/log-{name}", rows_per_batch=400)
+        done = feed.run_available(parquet_sink(f"{folder}/out-{name}"))
+        assert feed._wants_one_pass([d.batch.end for d in done]) is spread
+        assert spark.read.parquet(f"{folder}/out-{name}").count() == 3000
+
+
+def test_a_run_that_breaks_off_goes_on_with_its_spans(spark, folder):
+    rows = unclustered(spark, folder, 900)
+    sink = parquet_sink(f"{folder}/out")
+
+    class Breaks:
+        def __call__(self, batch, batch_id):
+            if batch_id == 3:
+                raise RuntimeError("sink is down")
+            sink(batch, batch_id)
+
+    def feed():
+        table = FrameTable(lambda: spark.read.parquet(f"{folder}/t"))
+        return IncrementalFeed(spark, table, {"offset.field": "o"}, f"{folder}/log", rows_per_batch=100, one_pass=True)
+
+    with pytest.raises(RuntimeError, match="sink is down"):
+        feed().run_available(Breaks())
+    before = feed().last_offset
+    done = feed().run_available(sink)
+    assert (done[0].batch_id, done[0].batch.end) == (3, before.end) and len(done) > 2
+    assert Counter((r.o, r.x) for r in spark.read.parquet(f"{folder}/out").collect()) == rows
+
+
+# -- commits ----------------------------------------------------------------------
+
+
+class Growing:
+    def __init__(self, spark, folder, **kwargs):
+        self.spark, self.folder, self.kwargs = spark, folder, kwargs
+        self.values = []
+        self.sink = committed_sink(f"{folder}/out")
+
+    @property
+    def frame(self):
+        return self.spark.createDataFrame([(v, f"t{v}") for v in self.values], "o long, s string")
+
+    def feed(self):
+        return IncrementalFeed(self.spark, FrameTable(lambda: self.frame), {"offset.field": "o"}, f"{self.folder}/log", **self.kwargs)
+
+    def run(self, values, sink=None):
+        self.values = list(values)
+        return self.feed().run_available(sink or self.sink)
+
+    @property
+    def log(self):
+        return OffsetLog(self.spark, f"{self.folder}/log", "o")
+
+    def seen(self):
+        df = read_committed(self.spark, f"{self.folder}/out", self.log, self.frame.schema)
+        return sorted((r.batch_id, r.o) for r in df.collect())
+
+    def late(self):
+        offset = OffsetColumn.of(self.frame.schema, "o")
+        return sorted(tuple(r) for r in late_rows(self.frame, offset, self.log).collect())
+
+
+def test_what_an_expired_holder_writes_late_is_never_seen(spark, folder):
+    growing = Growing(spark, folder, lease_seconds=1.0)
+    growing.run([1, 2])
+    sink = growing.sink
+
+    class Slow(type(sink)):
+        """Its runner loses the lease while it writes, and then writes on."""
+
+        def write(self, batch, batch_id, epoch):
+            stale._lease._stop.set()
+            time.sleep(1.5)
+            growing.values = [1, 2, 3, 4]
+            growing.feed().run_available(sink)
+            assert growing.seen() == [(0, 1), (0, 2), (1, 3), (1, 4)]
+            return super().write(batch.union(batch), batch_id, epoch)
+
+    growing.values = [1, 2, 3, 4]
+    stale = growing.feed()
+    with pytest.raises(LeaseTaken):
+        stale.run_available(Slow(f"{folder}/out"))
+    assert len(list(Path(f"{folder}/out/batch_id=1").glob("attempt=*"))) == 2
+    assert growing.seen() == [(0, 1), (0, 2), (1, 3), (1, 4)]
+    assert growing.sink.vacuum(growing.log, spark) == 1 and growing.sink.vacuum(growing.log, spark) == 0
+    growing.run([1, 2, 3, 4, 5])
+    assert growing.seen()[-1] == (2, 5)
+
+
+def test_a_batch_without_commit_does_not_count_yet(spark, folder):
+    growing = Growing(spark, folder)
+    growing.run([1, 2])
+
+    class Dies(type(growing.sink)):
+        def write(self, *args):
+            super().write(*args)
+            raise RuntimeError("died before the commit")
+
+    with pytest.raises(RuntimeError, match="died"):
+        growing.run([1, 2, 3], Dies(f"{folder}/out"))
+    assert growing.seen() == [(0, 1), (0, 2)]
+    growing.run([1, 2, 3, 4])
+    assert growing.seen() == [(0, 1), (0, 2), (1, 3), (2, 4)]
+
+
+def test_commits_outlive_the_gathering_of_the_log(spark, folder):
+    growing = Growing(spark, folder)
+    for last in range(1, 7):
+        growing.run(range(1, last + 1))
+        log = growing.log
+        log.leave = 1
+        if last in (3, 5):
+            log.gather()
+    assert growing.seen() == [(0, 1), *((i, i + 1) for i in range(1, 6))]
+    assert growing.late() == []
+    growing.values.append(2)
+    assert growing.late() == [(1, "1", "2", 1, 2)]
+
+
+def test_late_rows_are_told_by_span(spark, folder):
+    growing = Growing(spark, folder)
+    assert growing.late() == []
+    growing.run([10, 20, 20, 30])
+    growing.run([10, 20, 20, 30, 40, 50])
+    growing.run([10, 20, 20, 30, 40, 50, 60])
+    assert growing.late() == []
+    growing.values = [5, 10, 20, 20, 25, 30, 40, 40, 60, 70]  # 5 and 70 lie outside of all spans
+    assert growing.late() == [(0, "10", "30", 4, 5), (1, "30", "50", 2, 2)]
+    growing.values = [10, 20, 20, 30, 40, 50]
+    assert growing.late() == [(2, "50", "60", 1, 0)]

@@ -5,9 +5,10 @@ from tidemark.sources.bounds_index import BoundsIndex
 from tidemark.sources.jdbc import JdbcTable
 from tidemark.sources.tables import FrameTable, ParquetTable
 from tidemark.streaming.datasource import drain_stream, read_stream, register
-from tidemark.streaming.feed import IncrementalFeed, parquet_sink
+from tidemark.streaming.feed import IncrementalFeed
 from tidemark.streaming.landing import LandedStream
 from tidemark.streaming.offset_log import read_spans
+from tidemark.streaming.sinks import committed_sink, late_rows, parquet_sink, read_committed
 
 __all__ = [
     "BoundsIndex",
@@ -16,9 +17,12 @@ __all__ = [
     "JdbcTable",
     "LandedStream",
     "ParquetTable",
+    "committed_sink",
     "drain_stream",
+    "late_rows",
     "offset_profile",
     "parquet_sink",
+    "read_committed",
     "read_spans",
     "read_stream",
     "register",

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from tidemark.functions.offset_column import OffsetColumn
 from tidemark.operators.bounds import END_OFFSET, START_OFFSET, fetch_bound
 from tidemark.operators.ranges import BatchRange
+from tidemark.operators.tagging import batch_number
 
 #: Names of files that one job is given at most.
 PATHS = 5000
@@ -179,6 +180,14 @@ class BoundsIndex:
         above = F.col("most") >= low if batch.inclusive else F.col("most") > low
         return [r["file"] for r in self.live().where((F.col("least") <= high) & above).select("file").distinct().collect()]
 
+    def spread(self, ends: list[str]) -> float:
+        """How many of the batches that end at ``ends`` a block lies in, on average by bytes; 0 if none does."""
+        first, last = (batch_number(self._offset, ends, F.col(c)) for c in ("least", "most"))
+        low = self._offset.literal(ends[-1])
+        inside = self.live().where((F.col("least") <= low) & (F.col("length") > 0))
+        told = inside.agg((F.sum((last - first + 1) * F.col("length")) / F.sum("length")).alias("spread")).first()
+        return float(told["spread"] or 0.0)
+
     # -- in the background ---------------------------------------------------
 
     @contextmanager

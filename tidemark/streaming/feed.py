@@ -15,13 +15,22 @@ from pyspark.sql import types as T
 
 from tidemark.functions.offset_column import STRING, OffsetColumn
 from tidemark.operators.batch_cuts import batch_ends
-from tidemark.operators.ranges import BatchRange
+from tidemark.operators.ranges import BatchRange, read_nothing
+from tidemark.operators.tagging import dealt_by_batch
 from tidemark.plans.progress import Span, batch_range, first_span, next_span
 from tidemark.plans.settings import TIME_ZONE, Settings
 from tidemark.streaming.lease import Lease
 from tidemark.streaming.offset_log import OffsetLog
+from tidemark.streaming.sinks import CommittedSink, parquet_sink
 
-Sink = Callable[[DataFrame, int], None]
+__all__ = ["Delivered", "IncrementalFeed", "Sink", "Table", "parquet_sink"]
+
+#: A function ``(batch, batch_id)``, or a sink whose batches count by their commits.
+Sink = Callable[[DataFrame, int], None] | CommittedSink
+
+#: A table's files lie across batches if a block holds rows of more than this many, on average.
+SPREAD = 2.0
+_STAGED = "_batch"
 
 
 class Table(Protocol):
@@ -32,6 +41,8 @@ class Table(Protocol):
     @property
     def schema(self) -> T.StructType: ...
 
+    def frame(self) -> DataFrame: ...
+
     def bounds(
         self, offset: OffsetColumn, at_least: str | None = None
     ) -> tuple[str | None, str | None]: ...
@@ -57,7 +68,13 @@ class IncrementalFeed:
     with the same id and bounds, so a sink that overwrites by ``batch_id`` (such as
     ``parquet_sink``) ends up with every row exactly once. While a feed runs it holds
     the log's lease: a second one is refused, and one that lost its lease stops before
-    it delivers or commits.
+    it delivers or commits. Of a ``committed_sink`` only what has a commit counts, so that not even one that
+    writes on after it lost its lease is seen.
+
+    ``one_pass`` cuts a backlog of several batches in one scan: every row is written aside with the number of its
+    batch, and batches are delivered from there, in order. Without it each batch is a scan with the
+    range pushed down, which is cheaper where files are clustered by the offset. Unless told, a table with
+    an index decides by how many batches its blocks lie across; others scan for each batch.
     """
 
     def __init__(
@@ -69,7 +86,11 @@ class IncrementalFeed:
         rows_per_batch: int | None = None,
         retain: int | None = None,
         lease_seconds: float = 120.0,
+        one_pass: bool | None = None,
     ) -> None:
+        self._spark = spark
+        self._log_folder = log_folder.rstrip("/")
+        self._one_pass = one_pass
         zone = {TIME_ZONE: spark.conf.get("spark.sql.session.timeZone")}
         self._settings = Settings.of({**zone, **options}, table.schema)
         self._offset = self._settings.offset
@@ -113,14 +134,47 @@ class IncrementalFeed:
             return done
         # What the target covers is there already: one listing serves the plan and every batch.
         table = self._table.pinned()
-        for end in self._ends(table, current, target):
-            start = target.start if current is None else current.end
-            batch_id, current = batch_id + 1, Span(start, end)
-            self._lease.check()
-            self.log.plan(batch_id, current)
-            done.append(self._deliver(table, sink, batch_id, current))
+        ends = self._ends(table, current, target)
+        staged = self._staged(table, batch_range(current, target), ends)
+        try:
+            for i, end in enumerate(ends):
+                start = target.start if current is None else current.end
+                batch_id, current = batch_id + 1, Span(start, end)
+                self._lease.check()
+                self.log.plan(batch_id, current)
+                done.append(self._deliver(table, sink, batch_id, current, staged and f"{staged}/{_STAGED}={i}"))
+        finally:
+            if staged:
+                self._delete(staged)
         return done
 
+    def _staged(self, table: Table, whole: BatchRange, ends: list[str]) -> str | None:
+        """The folder where the rows of ``whole`` lie by batch, if one pass is to deal them."""
+        if len(ends) < 2 or not self._wants_one_pass(ends):
+            return None
+        # What a run that broke off has left; nobody else writes here while the lease holds.
+        self._delete(f"{self._log_folder}/staged")
+        folder = f"{self._log_folder}/staged/{self._lease.epoch}"
+        rows = table.read(self._offset, whole)
+        dealt_by_batch(rows, self._offset, ends, _STAGED).write.partitionBy(_STAGED).parquet(folder)
+        return folder
+
+    def _wants_one_pass(self, ends: list[str]) -> bool:
+        if self._one_pass is not None:
+            return self._one_pass
+        index = getattr(self._table, "index", lambda _: None)(self._offset)
+        return index is not None and index.spread(ends) > SPREAD
+
+    def _delete(self, folder: str) -> None:
+        place = self._spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(place, True)
+
+    def _read_staged(self, table: Table, folder: str) -> DataFrame:
+        place = self._spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if not place.getFileSystem(self._spark._jsc.hadoopConfiguration()).exists(place):
+            return read_nothing(table.frame())
+        return self._spark.read.schema(table.schema).parquet(folder)
+
     def _movement(self, current: Span | None) -> Span | None:
         if current is None:
             start = self._settings.start
@@ -135,20 +189,21 @@ class IncrementalFeed:
         read = partial(table.read, self._offset)
         return batch_ends(read, self._offset, whole, self._rows_per_batch)
 
-    def _deliver(self, table: Table, sink: Sink, batch_id: int, span: Span) -> Delivered:
+    def _deliver(self, table: Table, sink: Sink, batch_id: int, span: Span, staged: str | None = None) -> Delivered:
         # Every batch but the first continues where another one ended.
         batch = BatchRange(span.start, span.end, inclusive=batch_id == 0)
         self._lease.check()
-        sink(table.read(self._offset, batch), batch_id)
+        rows = table.read(self._offset, batch) if staged is None else self._read_staged(table, staged)
+        if isinstance(sink, CommittedSink):
+            output = sink.write(rows, batch_id, self._lease.epoch)._asdict()
+            self._lease.check()
+            if not self.log.committed(batch_id):  # by a runner that held the lease before, of the same rows
+                self.log.commit(batch_id, output)
+            return Delivered(batch_id, batch)
+        if staged is not None and hasattr(sink, "adopt"):
+            sink.adopt(self._spark, staged, batch_id)
+        else:
+            sink(rows, batch_id)
         self._lease.check()
         self.log.commit(batch_id)
         return Delivered(batch_id, batch)
-
-
-def parquet_sink(folder: str) -> Sink:
-    """A sink that replaces ``batch_id=<n>`` below ``folder``, so a repeated batch counts once."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
-
-    return write

@@ -33,6 +33,13 @@ class Lease:
         self._epoch: int | None = None
         self._stop = threading.Event()
 
+    @property
+    def epoch(self) -> int:
+        """The number of this holding; later holders have larger ones."""
+        if self._epoch is None:
+            raise LeaseTaken(f"{self._folder} is not held.")
+        return self._epoch
+
     def _path(self, name: str):
         return self._files.Path(f"{self._folder}/{name}" if name else self._folder)
 
