@@ -152,6 +152,27 @@ def _drain_unclustered_cap(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: Customers with a name that many share, in two spellings.
+_SPELLED = "(CASE WHEN c_custkey % 2 = 0 THEN 'Key-' ELSE 'kEY-' END) || CAST(c_custkey % 40 AS STRING)"
+
+
+def _drain_capped_collated(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches in the order of a collation: rows and values that came (one in two batches counts twice), and what broke the cap."""
+    rows = spark.read.parquet(f"{sf}/customer.parquet").withColumn("spelled", F.expr(f"collate({_SPELLED}, 'UTF8_LCASE')"))
+    cap = max(rows.count() // 9, 1)
+    folder = shared_folder(spark, "collated")
+    feed = IncrementalFeed(spark, FrameTable(lambda: rows), {"offset.field": "spelled"}, f"{folder}/log", rows_per_batch=cap)
+    feed.run_available(parquet_sink(f"{folder}/out"))
+    out = spark.read.schema("c_custkey long, spelled string, batch_id int").parquet(f"{folder}/out").withColumn("value", F.lower("spelled"))
+    batches = out.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("value").alias("n_values"))
+    return batches.agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("n_values").alias("n_values"),
+        F.count_if((F.col("n_rows") > cap) & (F.col("n_values") > 1)).alias("n_split_over"),
+        (F.count(F.lit(1)) >= F.least(F.sum("n_values"), F.lit(5))).alias("many_batches"),
+    )
+
+
 def _drain_committed(spark: SparkSession, sf: str) -> DataFrame:
     """Three growths; before the second is delivered, an attempt that never commits writes other rows for it."""
     growing, s3, s7 = events_growing(spark, sf)
@@ -179,6 +200,7 @@ QUERIES = {
     "stream_indexed": _stream_indexed,
     **{f"drain_unclustered_{kind}": partial(_drain_unclustered, kind=kind) for kind in ("number", "double", "ts", "ties")},
     "drain_unclustered_cap": _drain_unclustered_cap,
+    "drain_capped_collated": _drain_capped_collated,
     "drain_committed": _drain_committed,
     "late_rows_found": _late_rows_found,
 }
@@ -205,6 +227,10 @@ SQL = {
         "SELECT COUNT(*) AS n_rows, COUNT(DISTINCT l_orderkey) AS n_values, CAST(0 AS BIGINT) AS n_split_over, "
         "CAST(2 AS BIGINT) AS n_reads FROM lineitem"
     ),
+    "drain_capped_collated": (
+        f"SELECT COUNT(*) AS n_rows, COUNT(DISTINCT lower({_SPELLED})) AS n_values, CAST(0 AS BIGINT) AS n_split_over, "
+        "TRUE AS many_batches FROM customer"
+    ),
     "drain_committed": f"{STAGES_SQL} SELECT *, {BATCH_SQL} FROM events",
     "late_rows_found": (
         f"{STAGES_SQL}, d AS (SELECT MIN(event_id) AS lo, MAX(event_id) AS hi, COUNT(*) AS n FROM events "

@@ -222,3 +222,39 @@ def test_late_rows_are_told_by_span(spark, folder):
     assert growing.late() == [(0, "10", "30", 4, 5), (1, "30", "50", 2, 2)]
     growing.values = [10, 20, 20, 30, 40, 50]
     assert growing.late() == [(2, "50", "60", 1, 0)]
+
+
+# -- orders that only Spark knows ---------------------------------------------------
+
+
+@pytest.mark.parametrize("cap", [1, 6, 50, 400, 5000])
+def test_collated_strings_are_cut_without_splitting_ties(spark, folder, cap):
+    """Texts that differ in case are one value; a third of all rows hold it."""
+    rng = random.Random(cap)
+    texts = [rng.choice(["hot", "Hot", "HOT"]) if rng.random() < 0.33 else rng.choice([str.upper, str.lower])(f"v{rng.randrange(150)}é") for _ in range(1500)]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "name string collate UTF8_LCASE, x int").repartition(5)
+    got = {}
+    for _ in range(2):
+        feed = IncrementalFeed(spark, FrameTable(lambda: df), {"offset.field": "name"}, f"{folder}/log", rows_per_batch=cap)
+        feed.run_available(lambda batch, i: got.setdefault(i, [(r.name.lower(), r.x) for r in batch.collect()]))
+    assert sorted(x for v in got.values() for _, x in v) == list(range(1500))
+    names = [{n for n, _ in v} for _, v in sorted(got.items())]
+    assert all(len(v) <= cap or len(names[i]) == 1 for i, v in enumerate(got[k] for k in sorted(got)))
+    assert all(max(a) < min(b) for a, b in zip(names, names[1:]))
+    assert cap == 5000 or len(got) >= min(len(set().union(*names)), 1500 / cap / 3)
+
+
+def test_another_text_of_the_last_value_is_no_movement(spark, folder):
+    rows = [("a",), ("B",)]
+    table = FrameTable(lambda: spark.createDataFrame(rows, "name string collate UTF8_LCASE"))
+    got = []
+
+    def run():
+        feed = IncrementalFeed(spark, table, {"offset.field": "name"}, f"{folder}/log")
+        return feed.run_available(lambda batch, _: got.append(sorted(r.name for r in batch.collect())))
+
+    run()
+    rows[1:] = [("b",)]
+    assert run() == []
+    rows.append(("C",))
+    assert len(run()) == 1 and got == [["B", "a"], ["C"]]

@@ -6,9 +6,10 @@ import math
 import os
 from collections.abc import Callable
 from decimal import Decimal
+from itertools import accumulate
 from typing import Any, NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +21,7 @@ from tidemark.functions.offset_column import (
     OffsetColumn,
 )
 from tidemark.operators.ranges import BatchRange
+from tidemark.plans.workspace import shared_folder
 
 #: Buckets of the first count; and how many of a later one for each batch that a bucket holds.
 FIRST_BUCKETS = 1 << 14
@@ -82,6 +84,44 @@ def batch_ends(
     return _packed(line, batch.end, rows)
 
 
+def run_size(rows: int) -> int:
+    """Rows of a run of values, several of which make a batch of ``rows`` rows."""
+    if rows < 1:
+        raise ValueError("A batch needs at least one row.")
+    return max(1, rows // FINER)
+
+
+def pack_runs(runs: list[tuple[int, str]], end: str, rows: int) -> list[str]:
+    """Ends of batches of at most ``rows`` rows out of runs (rows, end) in order."""
+    return _packed([Bucket(n, most, most) for n, most in runs], end, rows)
+
+
+def ranked_ends(df: DataFrame, offset: OffsetColumn, rows: int, end: str) -> list[str]:
+    """``batch_ends`` in Spark's own order of the column, whatever it is: collated strings as well.
+
+    Values are counted, ordered over all tasks, and numbered by the rows up to each: a task's rows are
+    summed up, the totals of the tasks are added up on the driver, and each task goes on from the sum of those before
+    it. Runs of neighbouring values come to the driver, a few for each batch. Equal values stay together,
+    as the column's collation has them; a run is told by one of its values.
+    """
+    unit = run_size(rows)
+    spark, c = df.sparkSession, offset.column()
+    counted = df.groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    ordered = counted.repartitionByRange("v").sortWithinPartitions("v").withColumn("task", F.spark_partition_id())
+    path = shared_folder(spark, "ranks")
+    ordered.write.parquet(path)
+    told = spark.read.schema(ordered.schema).parquet(path)
+    sums = sorted(told.groupBy("task").agg(F.sum("n").alias("n")).collect(), key=lambda r: r["task"])
+    before = list(zip((r["task"] for r in sums), accumulate((r["n"] for r in sums), initial=0)))
+    within = Window.partitionBy("task").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = told.join(F.broadcast(spark.createDataFrame(before, "task int, before long")), "task")
+    upto = upto.withColumn("upto", F.col("before") + F.sum("n").over(within))
+    part, light = F.floor((F.col("upto") - 1) / unit), (F.col("n") < unit).cast("int")
+    runs = upto.groupBy(part.alias("part"), light.alias("light")).agg(F.sum("n").alias("n"), F.max("v").alias("most"), F.max("upto").alias("last"))
+    found = sorted(runs.collect(), key=lambda r: r["last"])
+    return pack_runs([(r["n"], r["most"]) for r in found], end, rows)
+
+
 def _replaced(line: list[Bucket], heavy: list[int], finer: list, rows: int):
     """``line`` with its heavy buckets divided; which of the new ones are heavy, and their keys."""
     out: list[Bucket] = []

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.functions.offset_column import DATE, OffsetColumn
+from tidemark.operators.batch_cuts import ranked_ends
 from tidemark.operators.bounds import both_bounds, end_bound, fetch_bound
 from tidemark.operators.ranges import BatchRange, read_range
 from tidemark.sources.bounds_index import BoundsIndex, only_files
@@ -54,6 +55,10 @@ class FrameTable:
     def read(self, offset: OffsetColumn, batch: BatchRange) -> DataFrame:
         return read_range(self.frame(), offset, batch)
 
+    def ranked_ends(self, offset: OffsetColumn, batch: BatchRange, rows: int) -> list[str]:
+        """End offsets of batches of at most ``rows`` rows, for columns whose order only Spark knows."""
+        return ranked_ends(self.read(offset, batch), offset, rows, batch.end)
+
 
 class ParquetTable(FrameTable):
     """A Parquet folder that grows.

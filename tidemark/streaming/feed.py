@@ -53,6 +53,10 @@ class Table(Protocol):
         """The same table for many reads, as it is now: what it lists it lists once."""
         ...
 
+    def ranked_ends(self, offset: OffsetColumn, batch: BatchRange, rows: int) -> list[str]:
+        """Where to end batches of at most ``rows`` rows, in an order that only the table knows."""
+        ...
+
 
 class Delivered(NamedTuple):
     """One batch handed to the sink."""
@@ -96,16 +100,11 @@ class IncrementalFeed:
         self._offset = self._settings.offset
         self._table = table
         self._rows_per_batch = rows_per_batch
-        if rows_per_batch and not self._cuttable:
-            raise ValueError(
-                f"'{self._offset.name}' cannot be cut into batches: its strings may not be in the "
-                "order of their bytes."
-            )
         self.log = OffsetLog(spark, log_folder, self._offset.name, retain)
         self._lease = Lease(spark, log_folder, lease_seconds)
 
     @property
-    def _cuttable(self) -> bool:
+    def _ordered_by_bytes(self) -> bool:
         if self._offset.kind != STRING:
             return True
         return self._table.strings_ordered_by_bytes and self._offset.ordered_by_bytes
@@ -180,12 +179,19 @@ class IncrementalFeed:
             start = self._settings.start
             return first_span(start, *self._table.bounds(self._offset, start))
         _, most = self._table.bounds(self._offset, current.end)
-        return next_span(self._offset, current, most)
+        moved = next_span(self._offset, current, most)
+        if moved is not None and not self._ordered_by_bytes:
+            # Another text can be the same string to a collation: only a row beyond the end is movement.
+            if not self._table.read(self._offset, BatchRange(*moved)).limit(1).count():
+                return None
+        return moved
 
     def _ends(self, table: Table, current: Span | None, target: Span) -> list[str]:
         if self._rows_per_batch is None:
             return [target.end]
         whole = batch_range(current, target)
+        if not self._ordered_by_bytes:
+            return table.ranked_ends(self._offset, whole, self._rows_per_batch)
         read = partial(table.read, self._offset)
         return batch_ends(read, self._offset, whole, self._rows_per_batch)
 
