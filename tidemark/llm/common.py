@@ -17,7 +17,7 @@ from tidemark.plans.workspace import shared_folder
 #: ``[^\x20\x09-\x0D]+`` as Spark's regular expressions write it.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that numpy works on at once; a longer single text is one slice of its own.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
