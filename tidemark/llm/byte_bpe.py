@@ -25,20 +25,21 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import map_arrow, slices
 
-#: Half the entries that a worker process remembers; the results do not depend on it.
-MEMO = 300_000
+#: Half the entries that a worker process remembers, and the longest piece among them, in characters; the results do
+#: not depend on either.
+MEMO, MEMO_PIECE = 100_000, 64
 
 
 class _Memo(dict):
     """Computes what it lacks with ``make``; holds up to twice ``limit`` entries, those used last."""
 
     def __init__(self, make, limit: int = MEMO):
-        self._make, self._limit, self._older = make, limit, {}
+        self.make, self._limit, self._older = make, limit, {}
 
     def __missing__(self, key):
         value = self._older.pop(key, None)
         if value is None:
-            value = self._make(key)
+            value = self.make(key)
         if len(self) >= self._limit:
             self._older = self.copy()
             self.clear()
@@ -153,7 +154,8 @@ class BytePairCodec:
 
     def encode_raw(self, text: str) -> bytes:
         """The ids as 32-bit integers, one after the other."""
-        return b"".join(map(self._known.__getitem__, self._findall(text)))
+        known = self._known
+        return b"".join(known[p] if len(p) <= MEMO_PIECE else known.make(p) for p in self._findall(text))
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_raw(text), np.int32).tolist()
