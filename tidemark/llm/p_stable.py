@@ -190,6 +190,7 @@ class _Members(NamedTuple):
     node: np.ndarray
     low: np.ndarray
     x: np.ndarray
+    keys: pa.Array
 
 
 def _best(k: int, q: np.ndarray, m: np.ndarray, asks: np.ndarray, held: _Members) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -239,7 +240,8 @@ def _ranked(k: int):
         keys = pa.chunked_array([r.column(5) for r in rows])
         low = pc.rank(keys, "ascending", null_placement="at_end", tiebreaker="dense").to_numpy()
         order = np.argsort(unit, kind="stable")
-        return _Members(unit[order], node[order], low[order], np.concatenate([as_matrix(r.column(6)) for r in rows])[order])
+        x = np.concatenate([as_matrix(r.column(6)) for r in rows])[order]
+        return _Members(unit[order], node[order], low[order], x, keys.combine_chunks().take(pa.array(order)))
 
     def answer(batch: pa.RecordBatch, held: _Members) -> pa.RecordBatch:
         lists = batch.column(3)
@@ -247,7 +249,8 @@ def _ranked(k: int):
         of = np.repeat(np.arange(batch.num_rows), sizes)
         q, m, score = _rank(k, as_matrix(batch.column(6)), of, lists.flatten().to_numpy(), held)
         return pa.RecordBatch.from_arrays(
-            [pa.array(batch.column(4).to_numpy()[q]), pa.array(held.node[m]), pa.array(score)], ["asked", "node", "score"]
+            [pa.array(batch.column(4).to_numpy()[q]), pa.array(held.node[m]), held.keys.take(pa.array(m)), pa.array(score)],
+            ["asked", "node", "low", "score"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +309,8 @@ def _meet(nodes: DataFrame, homes: DataFrame, visits: DataFrame, k: int, purpose
     as_member = held.join(vectors, "node").select(region, F.lit(False).alias("asks"), "unit", F.array().cast("array<long>").alias("units"), "node", "low", "v")
     as_query = asked.join(vectors, "node").select("region", F.lit(True).alias("asks"), F.lit(0).cast("long").alias("unit"), "units", "node", "low", "v")
     dealt = as_member.union(as_query).repartition("region").sortWithinPartitions("region", "asks")
-    return map_arrow(dealt, _ranked(k), "asked long, node long, score double")
+    kind = nodes.schema["low"].dataType.simpleString()
+    return map_arrow(dealt, _ranked(k), f"asked long, node long, low {kind}, score double")
 
 
 def nearest(
@@ -373,13 +377,13 @@ def _search(rows: DataFrame, k: int, target: float, probes: int, sample: int) ->
 
     home = materialize(map_arrow(nodes.select("node", "v"), _homes(hashing), "node long, cell long"), "homes")
     visit = materialize(map_arrow(asking, _visits(hashing), "node long, cell long"), "visits")
-    found = materialize(_listed(_meet(nodes, home, visit, k + 1, "search"), nodes, lows, k), "found")
+    found = materialize(_listed(_meet(nodes, home, visit, k + 1, "search"), lows, k), "found")
     # Too few in the visited buckets: these queries meet all vectors, in blocks.
     enough = found.where(F.size("near") >= min(k + 1, size["rows"])).select("node")
     short = materialize(asking.join(enough, "node", "left_anti").select("node", F.lit(0).cast("long").alias("cell")), "short-queries")
     if short.limit(1).count():
         everything = nodes.select("node", F.lit(0).cast("long").alias("cell"))
-        rest = _listed(_meet(nodes, everything, short, k + 1, "rest"), nodes, lows, k)
+        rest = _listed(_meet(nodes, everything, short, k + 1, "rest"), lows, k)
         found = found.join(short, "node", "left_anti").union(materialize(rest, "found-rest"))
 
     # The query rows of one vector can be very many; its results go to each share of them.
@@ -393,10 +397,9 @@ def _search(rows: DataFrame, k: int, target: float, probes: int, sample: int) ->
     return listed.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("hit.key").alias("key"), F.col("hit.score").alias("score"))
 
 
-def _listed(met: DataFrame, nodes: DataFrame, lows: DataFrame, k: int) -> DataFrame:
+def _listed(met: DataFrame, lows: DataFrame, k: int) -> DataFrame:
     """``node`` and ``near``, the ``k + 1`` first rows (node, key, score), of each query node."""
-    each = met.groupBy("asked", "node").agg(F.max("score").alias("score"))
-    each = each.join(nodes.select("node", "low"), "node")
+    each = met.groupBy("asked", "node", "low").agg(F.max("score").alias("score"))
     by_node = Window.partitionBy("asked").orderBy(F.desc("score"), F.col("low").asc_nulls_last())
     each = each.withColumn("place", F.row_number().over(by_node)).where(F.col("place") <= k + 1).drop("place")
     rows = each.join(lows.select("node", "key"), "node")
