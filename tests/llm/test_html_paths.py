@@ -161,3 +161,55 @@ def test_a_form_to_fill_in_is_no_content():
     fields = "<p>Your name, please. Your mail, too.</p><input name='x'><textarea>t</textarea><button>Send</button>"
     assert main_text(f"<body><form>{fields}</form></body>") == ""
     assert main_text(f"<body><p>One line here.</p><form>{fields * 9}</form></body>") == "One line here."
+
+
+INTRO = '<p class="intro">Welcome to our site, which we hope you like.</p>'
+NAMED = [
+    '<article class="post category-social tag-search">{}</article>',
+    '<main id="search-related">{}</main>',
+    '<div class="post tag-social related"><div class="x1">{}</div></div>',
+]
+
+
+@pytest.mark.parametrize("box", NAMED)
+def test_names_of_the_article_itself_do_not_rule_it_out(box):
+    story = f"<h1>A story of a river</h1>{PARAGRAPHS[: len(PARAGRAPHS) // 2]}"
+    page = f"<html><body>{CLUTTER['menu']}{INTRO}{box.format(story)}{CLUTTER['sidebar by class']}{CLUTTER['comments']}</body></html>"
+    got = main_text(page)
+    assert got.endswith(plain(story)) and got in (plain(story), plain(INTRO + story))
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        f'<p class="notice">{PROSE}</p>', f'<blockquote class="reply">{PROSE}</blockquote>', f'<p class="legal alert">{PROSE}</p>',
+        '<h2>References</h2><ol>' + '<li><a href="https://x.org/y">A paper on rivers, by someone</a></li>' * 6 + "</ol>",
+        '<h3>Sources</h3><ul>' + '<li><a href="/y">An archive of maps</a></li>' * 3 + f"</ul><p>{PROSE}</p>",
+    ],
+)
+@pytest.mark.parametrize("box", ["<article>{}</article>", "<main><div>{}</div></main>"])
+def test_prose_with_a_doubtful_name_and_named_references_stay(box, part):
+    for story in (PARAGRAPHS + part, PARAGRAPHS[: len(PARAGRAPHS) // 2] + part + PARAGRAPHS):
+        page = f"<html><body>{CLUTTER['menu']}{box.format(story)}{CLUTTER['footer']}</body></html>"
+        assert main_text(page) == plain(story)
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<div class="share">Share this story</div>', '<p class="social">Follow us</p>', '<div class="related"><p>Read this too, it is long. And good.</p></div>',
+        '<p class="advert">Buy now, it is cheap. Buy two, and save. Really, do buy it now, while there is some left of it.</p>',
+        '<h3>More stories</h3><ul>' + '<li><a href="/y">Another story of ours, to read</a></li>' * 5 + "</ul>",
+        f'<div class="newsletter-signup"><p>{PROSE}</p></div>', f'<section class="comments"><p>{PROSE}</p><p>{PROSE}</p></section>',
+    ],
+)
+def test_clutter_in_the_article_goes(part):
+    for story in (PARAGRAPHS + part, part + PARAGRAPHS):
+        assert main_text(f"<html><body>{CLUTTER['menu']}<article>{story}</article></body></html>") == plain(PARAGRAPHS)
+
+
+def test_long_comments_under_a_short_article_go():
+    comments = f'<div class="comments">{PARAGRAPHS}</div>'
+    story = "<p>The bridge is open again, after a year. It was shut for repairs, which took long.</p><p>Nobody minded, it seems.</p>"
+    assert main_text(f"<html><body><article>{story}</article>{comments}</body></html>") == plain(story)
+    assert main_text(f'<html><body><div class="x1">{story * 4}</div>{comments}</body></html>') == plain(story * 4)

@@ -1,12 +1,14 @@
 """Main text of web pages by tag-path ratios.
 
 Every piece of text hangs on the path of block elements from the root to it. Over all pieces of a path,
-text length and punctuation for each piece, and the share of linked text, tell prose from menus. These
+text length, punctuation for each piece, and the share of linked text tell prose from menus. These
 ratios are fused with what the names along the path say, smoothed over neighbouring pieces in page
 order, and averaged by path again. The scores choose the container, the part of the page that holds most
-of what scores: the whole article or main part, if it lies in one. In it every path is content unless its
-names or its elements mark it as clutter, or most of its text is links. Paths decide, so a linked paragraph
-stands or falls with its siblings.
+of what scores: the whole article or main part, if it lies in one. In it the paths whose score reaches a
+share of the best one are content. A path scores by its text as a whole, so that long lists and tables stand; a
+name that speaks of clutter shifts the score by a factor, so that its path falls below the threshold unless nothing
+better is there; and a path of links stands only where a heading introduces it. Paths decide, so a linked
+paragraph stands or falls with its siblings.
 """
 
 from __future__ import annotations
@@ -26,6 +28,12 @@ from tidemark.llm.common import map_arrow, slices
 
 #: Share of a content path's text that is no links, at least; share of the score that leads to its container.
 LEAST_FREE, MOST_OF = 0.5, 0.6
+#: Share of the best path's score that content has, at least.
+LEAST_SCORE = 0.04
+#: Factors of names that speak of clutter, and of those that may mean something else on a paragraph of prose.
+CLUTTER, DOUBT = 0.03, 0.5
+#: Characters of a piece of such prose, on average.
+PROSE = 80
 #: Weights of a piece and its neighbours in page order.
 KERNEL = (0.1, 0.2, 0.4, 0.2, 0.1)
 
@@ -76,6 +84,15 @@ _WORDS = _set(
 #: Beginnings of such words, for names written in one, and words that turn their sense.
 _STARTS = ("advert", "cookie", "sidebar", "sidenav", "footer", "navig", "newsletter", "sponsor", "subscri", "breadcrumb", "commentl", "commentb")
 _TURNS = _set("has with no without")
+#: Those of the words that are common in names of paragraphs and posts, too.
+_DOUBTFUL = _set(
+    "notice notices alert alerts reply replies respond discussion legal disclaimer side rail social search share related recommended "
+    "foot banner form login signup toolbar widget toc comment legal skip modal toast"
+)
+#: Elements of text rather than of layout.
+_TEXTUAL = _set("p blockquote pre li dd dt td th figure figcaption details summary address h1 h2 h3 h4 h5 h6")
+#: What a heading over links to other pages of the site says.
+_ELSEWHERE = _set("related more recommended popular latest trending next stories read")
 _HEADINGS = _set("h1 h2 h3 h4 h5 h6")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 #: Elements that hold blocks rather than text of their own; only these can be the container of the content.
@@ -89,7 +106,7 @@ class Element(NamedTuple):
     name: str
     #: Number of the path from the root to it.
     path: int
-    #: Of text in it: 0 if it is never content.
+    #: Factor of text in it: 0 if it is never content, less than 1 if names speak of clutter.
     prior: float
     #: Whether it lies in an article or the main part.
     inside: bool
@@ -138,8 +155,14 @@ class _Paths:
             told = words if self._by_words and not words & _TURNS else set()
             if name == "form":
                 told = told - {"form"}  # told by the element
-            if told & _WORDS or any(w.startswith(_STARTS) for w in told) or (told & _HEADER and not parent.inside):
-                prior = 0.0
+            if name not in _WHOLE:
+                prior *= self._shift(name, told, parent)
+                if prior < DOUBT <= parent.prior and told & _DOUBTFUL and self._doubtful(told):
+                    self.ruling.append("?")
+                    if len(self.ruling) - 1 in self._lifted:
+                        prior = parent.prior
+                    else:
+                        ruled = ruled or len(self.ruling) - 1
             if name in _NEVER or name in _HEADER and not parent.inside:
                 self.ruling.append(name)
                 if len(self.ruling) - 1 not in self._lifted:
@@ -151,6 +174,19 @@ class _Paths:
         return Element(name, number, prior, parent.inside or name in _WHOLE, ruled)
 
 
+    def _shift(self, name: str, told: set[str], parent: Element) -> float:
+        """The factor for the words in an element's names."""
+        if told & _HEADER and not parent.inside:
+            return CLUTTER
+        if not (told & _WORDS or any(w.startswith(_STARTS) for w in told)):
+            return 1.0
+        return DOUBT if name in _TEXTUAL and self._doubtful(told) else CLUTTER
+
+    @staticmethod
+    def _doubtful(told: set[str]) -> bool:
+        return not told & (_WORDS - _DOUBTFUL) and not any(w.startswith(_STARTS) for w in told)
+
+
 def parse(page: str, by_words: bool = True, lifted: frozenset[int] = frozenset()) -> Page:
     """The texts of a page with their paths. Markup may be broken anywhere.
 
@@ -243,6 +279,31 @@ def parse(page: str, by_words: bool = True, lifted: frozenset[int] = frozenset()
     return Page(out, paths.above, paths.names, paths.ruling, controls)
 
 
+def _introduced(found: list[Piece], heading: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Which pieces of runs of links follow a heading that does not speak of other pages."""
+    out, open_ = np.zeros(len(found), bool), False
+    for i, piece in enumerate(found):
+        if heading[i]:
+            open_ = not {w.lower() for w in _WORD.findall(piece.text)} & _ELSEWHERE
+        elif not listed[i]:
+            open_ = False
+        else:
+            out[i] = open_
+    return out
+
+
+def _forlorn(heading: np.ndarray, gone: np.ndarray, stays: np.ndarray) -> np.ndarray:
+    """Headings over nothing but links that go."""
+    out = np.zeros(len(heading), bool)
+    for i in np.flatnonzero(heading & stays).tolist():
+        k = i + 1
+        while k < len(gone) and gone[k]:
+            k += 1
+        rest = np.flatnonzero(stays[k:])
+        out[i] = k > i + 1 and (not len(rest) or heading[k + rest[0]])
+    return out
+
+
 def _content(page: Page) -> list[str]:
     found, n = page.pieces, len(page.names)
     which = np.array([p.path for p in found])
@@ -252,8 +313,11 @@ def _content(page: Page) -> list[str]:
     total = np.bincount(which, length, n)
     marks = np.bincount(which, [len(_PUNCTUATION.findall(p.text)) for p in found], n)
     free = 1 - np.bincount(which, [p.linked for p in found], n) / np.maximum(total, 1)
-    # Text and punctuation for each piece of a path, fused; linked text does not count.
-    fused = np.log1p(total / count) * (1 + np.log1p(marks / count)) * free**2
+    # A doubtful name counts as one of clutter where there is no prose.
+    prose = (total >= PROSE * count) & (marks >= count)
+    prior = np.where((prior < 1) & (prior >= CLUTTER) & ~prose[which], np.minimum(prior, CLUTTER), prior)
+    # The text of a path as a whole and the punctuation of its pieces, fused; linked text does not count.
+    fused = np.log1p(total) * (1 + np.log1p(marks / count)) * free**2
     smooth = np.convolve(np.pad(fused[which] * prior, len(KERNEL) // 2, mode="edge"), KERNEL, "valid")
     score = np.bincount(which, smooth * prior, n) / count * free
     # The container: from the root down as long as one child holds most of what scores.
@@ -284,8 +348,14 @@ def _content(page: Page) -> list[str]:
     within[box] = True
     for i in range(box + 1, n):
         within[i] = within[page.above[i]]
-    chosen = within & (free >= LEAST_FREE)
-    taken = np.flatnonzero(chosen[which] & (prior > 0))
+    heading = np.array([page.names[i] in _HEADINGS for i in which])
+    listed = within[which] & (free[which] < LEAST_FREE) & (prior == 1)
+    named = _introduced(found, heading, listed)
+    whole = np.bincount(which[named], minlength=n) == count
+    reached = score >= LEAST_SCORE * score[within].max(initial=0)
+    chosen = within & (((free >= LEAST_FREE) & reached) | whole)
+    stays = chosen[which] & (prior > 0)
+    taken = np.flatnonzero(stays & ~_forlorn(heading, listed & ~stays, stays))
     if not len(taken):
         return []
     # A heading right before the container belongs to it, if it hangs on the way to it.
@@ -307,9 +377,11 @@ def _wrapper(page: Page, forms_only: bool) -> int:
     if not sizes[1:].size or sizes[1:].max() < MOST_OF * sizes.sum():
         return 0
     k = int(sizes[1:].argmax()) + 1
+    sentences = sum(len(_SENTENCE_END.findall(p.text)) for p in page.pieces if p.ruled == k)
+    if page.ruling[k] == "?":  # a name that may be that of a post
+        return k if sentences > 2 else 0
     if page.ruling[k] != "form":
         return 0 if forms_only else k
-    sentences = sum(len(_SENTENCE_END.findall(p.text)) for p in page.pieces if p.ruled == k)
     return k if sentences > page.controls.get(k, 0) else 0
 
 
