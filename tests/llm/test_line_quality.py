@@ -14,7 +14,7 @@ from llm_tables import MIDDLE, SMALL, docs_of  # noqa: F401
 
 import __spark_entry__ as contract
 from tidemark.llm.common import texts
-from tidemark.llm.line_quality import COUNTS, LineField, describe, fit_field, judge, train
+from tidemark.llm.line_quality import COUNTS, LineField, _spread, describe, fit_field, judge, train
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -67,6 +67,67 @@ def test_fitting_tells_separable_lines_apart():
     assert (labels == truth).mean() > 0.97
 
 
+def mixed_docs(rng, n, share):
+    """Documents of two kinds of lines; ``share`` of the lines of each are of the other kind, at its end."""
+    docs, truth = [], []
+    for c in (0, 1):
+        for _ in range(n):
+            size = int(rng.integers(6, 30))
+            own = np.full(size, c)
+            own[size - int(share * size) :] = 1 - c
+            docs.append(rng.normal(loc=np.where(own, 2.5, -2.5)[:, None], size=(size, 2)))
+            truth.append(own)
+    return docs, np.concatenate(truth)
+
+
+def test_labels_change_within_a_document():
+    """The field only knows what documents are, and yet finds the lines of the other kind, and where they begin."""
+    docs, truth = mixed_docs(np.random.default_rng(6), 60, 0.3)
+    field = fit_field(docs, [False] * 60 + [True] * 60)
+    labels = field.viterbi(np.concatenate(docs), np.array([len(d) for d in docs]))
+    assert (labels == truth).mean() > 0.97
+    # Labels stay more often than they change, but they do change.
+    assert field.move[0, 0] > field.move[0, 1] and field.move[1, 1] > field.move[1, 0]
+
+
+def test_prose_with_boilerplate_lines_has_both_labels(spark, docs_of):
+    rng = random.Random(8)
+    words = "the river town bridge council road market winter story people and of with over".split()
+    line = lambda: f"{' '.join(rng.choice(words) for _ in range(rng.randint(9, 16))).capitalize()}, {rng.choice(words)}."
+    menu = lambda: " | ".join(rng.choice(["Home", "News", "Sport", "About", "#1", "Login", "$ Shop"]) for _ in range(4))
+    text = lambda lines: "\n".join(lines)
+    rows = [(i, text([line() for _ in range(8)] + [menu() for _ in range(i % 3)])) for i in range(60)]
+    rows += [(100 + i, text([menu() for _ in range(9)] + [line() for _ in range(i % 2)])) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in rows], "doc_id long, quality int")
+    field = train(docs_of(rows), labels)
+    both = [(1, text([line() for _ in range(6)] + [menu() for _ in range(4)])), (2, text([menu() for _ in range(12)] + [line(), line()])), (3, text([line() for _ in range(9)]))]
+    got = {r.doc_id: r for r in judge(docs_of(both), field).collect()}
+    assert 0.5 < got[1].content_share < 1 and got[1].kept
+    assert 0 < got[2].content_share < 0.5 and not got[2].kept
+    assert got[3].content_share == 1 and got[3].kept
+
+
+def test_lines_of_given_documents_differ(spark):
+    shares = [r.content_share for r in contract.queries()["op4_line_quality"](spark, MIDDLE).collect()]
+    assert sum(0 < s < 1 for s in shares) > 50
+
+
+def test_text_keys(spark, docs_of):
+    rows = [(i, f"The {i}th line tells of rivers, and of bridges.\n" * 3 if i % 2 else f"# {i} | $ {i} | home\n" * 4) for i in range(20)]
+    labels = spark.createDataFrame([(f"k{i}", i % 2) for i in range(20)], "doc_id string, quality int")
+    named = docs_of(rows).selectExpr("'k' || doc_id AS doc_id", "text")
+    field = train(named, labels)
+    kept = {r.doc_id: r.content_share for r in judge(named, field).collect()}
+    assert len(kept) == 20 and all(kept[f"k{i}"] == i % 2 for i in range(20))
+
+
+def test_long_documents_are_fitted_on_in_part():
+    lines = np.arange(40 * 70 * 2.0).reshape(-1, 2)
+    part = _spread(lines)
+    assert part.shape == (40 * 50, 2) and part[0, 0] == lines[0, 0] and part[-1, 0] == lines[-1, 0]
+    assert _spread(lines[:1999]) is not None and len(_spread(lines[:1999])) == 1999
+
+
 def test_held_out_labels(spark):
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
     labels = spark.read.parquet(f"{MIDDLE}/labels.parquet")

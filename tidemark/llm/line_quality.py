@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.llm.common import Texts, map_arrow, mix, per_row, slices, span_hashes, texts, words
 
@@ -21,6 +22,10 @@ from tidemark.llm.common import Texts, map_arrow, mix, per_row, slices, span_has
 SAMPLE = 1500
 #: Lines of a document that fitting takes at a time, and rounds of fitting.
 SEGMENT, ROUNDS = 40, 150
+#: How much a document's label says of each of its lines, in log odds.
+TRUST = 0.25
+#: Segments of a document that are fitted on at most, evenly spread over it.
+SEGMENTS = 50
 WINDOW = 8
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -191,10 +196,41 @@ def _logsum(a: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(a - top).sum(axis)) + top.squeeze(axis)
 
 
-def fit_field(docs: list[np.ndarray], content: list[bool], rounds: int = ROUNDS, rate: float = 0.1, decay: float = 1e-3) -> LineField:
-    """Maximum likelihood by forward-backward; every line of a document carries its document's label.
-
-    Documents are cut into segments of ``SEGMENT`` lines; both classes weigh the same.
+def _expected(score: np.ndarray, move: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Chance of each label of each line, and of each two labels of neighbours summed over lines, by forward-backward."""
+    fore, back = np.empty_like(score), np.zeros_like(score)
+    last = score.shape[1]
+    fore[:, 0] = score[:, 0]
+    for i in range(1, last):
+        step = _logsum(fore[:, i - 1, :, None] + move, 1) + score[:, i]
+        fore[:, i] = np.where(mask[:, i, None], step, fore[:, i - 1])
+    for i in range(last - 2, -1, -1):
+        step = _logsum(move + (score[:, i + 1] + back[:, i + 1])[:, None, :], 2)
+        back[:, i] = np.where(mask[:, i + 1, None], step, 0)
+    total = _logsum(fore[:, -1], 1)
+    chance = np.exp(np.minimum(fore + back - total[:, None, None], 0)) * mask[..., None]
+    pairs = fore[:, :-1, :, None] + move + (score + back)[:, 1:, None, :] - total[:, None, None, None]
+    return chance, (np.exp(np.minimum(pairs, 0)) * mask[:, 1:, None, None]).sum(1)
+
+
+def _observed(labels: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of given labels."""
+    truth = np.stack([labels == 0, labels == 1], 2) * mask[..., None]
+    pairs = np.einsum("nia,nib->nab", truth[:, :-1].astype(float), truth[:, 1:].astype(float))
+    return truth.astype(float), pairs
+
+
+def fit_field(
+    docs: list[np.ndarray], content: list[bool], rounds: int = ROUNDS, rate: float = 0.1, decay: float = 1e-3, trust: float = TRUST
+) -> LineField:
+    """Maximum likelihood by forward-backward, with line labels that are found first.
+
+    What is known is the label of a document; that of its lines is hidden. In the first third of the rounds lines are
+    fitted one by one, each with its document's label. A line that then looks more like the other label than
+    ``trust`` (log odds) takes that one, so that a footer in a good document and a sentence in a bad one count as what
+    they look like; a document all of whose lines would turn keeps its label for all. With these labels the chain is
+    fitted, and learns where labels change within a document. Documents are cut into segments of
+    ``SEGMENT`` lines; both classes weigh the same.
     """
     parts = [(d[i : i + SEGMENT], y) for d, y in zip(docs, content) for i in range(0, len(d), SEGMENT)]
     everything = np.concatenate([p for p, _ in parts])
@@ -211,27 +247,22 @@ def fit_field(docs: list[np.ndarray], content: list[bool], rounds: int = ROUNDS,
     weight = (1 / lines)[y] / 2
     emit, move = np.zeros((f + 1, 2)), np.zeros((2, 2))
     moments = [[np.zeros_like(w), np.zeros_like(w)] for w in (emit, move)]
-    truth = np.zeros((n, SEGMENT, 2))
-    truth[np.arange(n), :, y] = 1
+    owner = np.repeat(np.arange(len(docs)), [-(-len(d) // SEGMENT) for d in docs])
+    labels = np.repeat(y[:, None], SEGMENT, 1)
+    truth, seen = _observed(labels, mask)
     for k in range(1, rounds + 1):
         score = x @ emit
-        fore, back = np.empty_like(score), np.zeros_like(score)
-        fore[:, 0] = score[:, 0]
-        for i in range(1, SEGMENT):
-            step = _logsum(fore[:, i - 1, :, None] + move, 1) + score[:, i]
-            fore[:, i] = np.where(mask[:, i, None], step, fore[:, i - 1])
-        for i in range(SEGMENT - 2, -1, -1):
-            step = _logsum(move + (score[:, i + 1] + back[:, i + 1])[:, None, :], 2)
-            back[:, i] = np.where(mask[:, i + 1, None], step, 0)
-        total = _logsum(fore[:, -1], 1)
-        chance = np.exp(np.minimum(fore + back - total[:, None, None], 0)) * mask[..., None]
-        pairs = fore[:, :-1, :, None] + move + (score + back)[:, 1:, None, :] - total[:, None, None, None]
-        pairs = np.exp(np.minimum(pairs, 0)) * mask[:, 1:, None, None]
-        seen = np.zeros((n, 2, 2))
-        seen[np.arange(n), y, y] = length - 1
+        if 3 * (k - 1) <= rounds < 3 * k:  # from here on by lines
+            margin = score[..., 1] - score[..., 0]
+            turned = np.where(labels == 1, margin < -trust, margin > trust) & mask
+            turned &= (np.bincount(owner, turned.sum(1)) < np.bincount(owner, length))[owner][:, None]
+            labels = labels ^ turned
+            truth, seen = _observed(labels, mask)
+        chained = 3 * k > rounds
+        chance, pairs = _expected(score, move, mask)
         slopes = (
-            np.tensordot(x, (truth * mask[..., None] - chance) * weight[:, None, None], ([0, 1], [0, 1])) - decay * emit,
-            ((seen - pairs.sum(1)) * weight[:, None, None]).sum(0) - decay * move,
+            np.tensordot(x, (truth - chance) * weight[:, None, None], ([0, 1], [0, 1])) - decay * emit,
+            ((seen - pairs) * weight[:, None, None]).sum(0) * chained - decay * move,
         )
         for w, g, m in zip((emit, move), slopes, moments):
             m[0] = 0.9 * m[0] + 0.1 * g
@@ -240,11 +271,19 @@ def fit_field(docs: list[np.ndarray], content: list[bool], rounds: int = ROUNDS,
     return LineField(emit, move, mean, scale)
 
 
+def _spread(lines: np.ndarray) -> np.ndarray:
+    """The lines of at most ``SEGMENTS`` segments."""
+    n = -(-len(lines) // SEGMENT)
+    if n <= SEGMENTS:
+        return lines
+    return np.concatenate([lines[i * SEGMENT : (i + 1) * SEGMENT] for i in np.linspace(0, n - 1, SEGMENTS).astype(int)])
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineField | None:
     """A field from labelled documents: those of ``labels`` with quality 1 are content, with 0 boilerplate.
 
-    ``sample`` bounds the documents of each class; those of the smallest hash of ``doc_id`` are taken,
-    so that reruns agree. Of rows with one ``doc_id`` that whose text has the smallest hash counts, once.
+    ``sample`` bounds the documents of each class, ``SEGMENTS`` the parts of one; those of the smallest hash of ``doc_id``
+    are taken, so that reruns agree. ``doc_id`` may be of any type that can be joined. Of rows with one ``doc_id`` that whose text has the smallest hash counts, once.
     None if one class is missing. Rows with a NULL in either table are skipped.
     """
     rank = F.xxhash64(F.col("doc_id").cast("string"))
@@ -253,6 +292,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineField
     chosen = picked[0].union(picked[1])
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("hash")).where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
 
+    schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL("quality int, hash long, features binary")])
+    shape = to_arrow_schema(schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: dict[tuple, tuple] = {}
         for batch in slices(batches, "text"):
@@ -265,13 +307,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineField
                 own = batch.take(pa.array(mine.values()))
                 found = describe(texts(own.column(1)))
                 cuts = np.cumsum(found.per_doc)[:-1]
-                raw = [x.tobytes() for x in np.split(found.features, cuts)]
+                raw = [_spread(x).tobytes() for x in np.split(found.features, cuts)]
                 least |= {key: (*key, h, x) for key, h, x in zip(mine, own.column(2).to_pylist(), raw)}
         for row in least.values():
-            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], ["doc_id", "quality", "hash", "features"])
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, shape)], shape.names)
 
     # Of rows with one doc_id that of the smallest hash, first in each task.
-    found = map_arrow(rows, run, "doc_id long, quality int, hash long, features binary")
+    found = map_arrow(rows, run, schema)
     found = found.groupBy("doc_id", "quality").agg(F.min_by("features", "hash").alias("features"))
     found = found.orderBy("doc_id", "features").toArrow().to_pydict()
     if len(set(found["quality"])) < 2:
