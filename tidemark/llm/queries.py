@@ -215,12 +215,17 @@ WITH d AS (
 ), c AS (
     SELECT d.*, source_size, target, whole, target - whole * source_size AS budget,
         sum(size) OVER (PARTITION BY d.source ORDER BY hash RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
-        sum(size) OVER (PARTITION BY d.source, hash) AS own
+        sum(size) OVER (PARTITION BY d.source, hash) AS own,
+        count(*) OVER (PARTITION BY d.source, hash) AS alike,
+        row_number() OVER (PARTITION BY d.source, hash) AS nth
     FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+), k AS (
+    SELECT *, (budget - (upto - own)) * alike AS scaled FROM c
 )
 SELECT doc_id, source, size, source_size, target,
-    CAST(size * (whole + CASE WHEN budget > 0 AND (upto <= budget OR 2 * (budget - (upto - own)) > own) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM c
+    CAST(size * (whole + CASE WHEN budget > 0 AND (upto <= budget
+        OR nth <= floor(scaled / own) + CASE WHEN 2 * (scaled - floor(scaled / own) * own) > own THEN 1 ELSE 0 END) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM k
 """
 
 SQL = {"op1_license_scan": _LICENSES, "op9_mix_sources": _MIX}
