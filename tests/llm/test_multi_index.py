@@ -88,3 +88,23 @@ def test_query(spark, monkeypatch, members, queries):
     got = contract.queries()["op7_multi_index"](spark, SMALL).collect()
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == plain(rows)
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
+
+
+def test_every_length_is_an_index_of_its_own(spark):
+    """Pairs of vectors of two numbers among ones of three and five link; nothing links across lengths."""
+    rng = np.random.default_rng(17)
+    rows = [(k, rng.normal(size=3).tolist()) for k in range(40)] + [(100 + k, rng.normal(size=5).tolist()) for k in range(30)]
+    rows += [(200, [1.0, 0.01]), (201, [1.0, 0.02]), (202, [-1.0, 0.0]), (203, [1.0, 0.02, 0.0])]
+    rows += [(300, [2.0]), (301, [5.5]), (302, [-1e-300]), (303, [-7.0]), (304, [1e300]), (305, [0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(vectors(spark, rows)).collect()}
+    want = {}
+    for d in (1, 2, 3, 5):
+        want |= plain([r for r in rows if len(r[1]) == d and any(r[1])])
+    assert got == want | {305: (0, 305)}
+    assert got[200] == (1, 200) and got[201] == (1, 200) and got[304] == (2, 300) and got[303] == (1, 302)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_vectors_of_one_number_alone(spark, kind):
+    df = spark.createDataFrame([(2, [3.0]), (1, [0.5]), (4, [-2.0])], f"vec_id long, embedding array<{kind}>")
+    assert {tuple(r) for r in near_vectors(df).collect()} == {(1, 1, 1, True), (2, 1, 1, False), (4, 0, 4, True)}

@@ -222,8 +222,8 @@ def near_vectors(
     Rows link if the cosine of their vectors is at least ``threshold``. ``n_links`` counts the other rows
     linked directly, ``component_id`` is the smallest key that links lead to, the own one included;
     ``kept`` says that it is the own key. Vectors that are NULL, empty or zero, or hold NULL or values that are not
-    finite, link with nothing; so do those of another length than most (of the longer, if equally many).
-    Rows with equal vectors count as one vector with so many copies and link among themselves. A NULL key
+    finite, link with nothing; vectors of different lengths do not link, and each length has an index and a run of its
+    own. Vectors of one number link if their signs agree. Rows with equal vectors count as one vector with so many copies and link among themselves. A NULL key
     is nobody's smallest. Other columns are left out; an empty table gives no rows.
 
     The codebooks are fitted, and the reach is set for the recall ``target``, on at most ``sample``
@@ -234,18 +234,43 @@ def near_vectors(
     whole = df.select(F.col(key).alias("key"), F.col(vector).cast(f"array<{kind}>").alias("v"))
     finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")).cast(kind))) & F.exists("v", lambda c: c != 0)
     rows = whole.withColumn("fit", F.coalesce(finite, F.lit(False)))
-    sizes = rows.where("fit").groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    d = sizes["d"] if sizes else 0
-    rows = rows.withColumn("node", F.when(F.col("fit") & (F.size("v") == d), F.xxhash64("v")))
-    rows = materialize(rows.select("key", "v", "node"), "vectors")
-    nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"), F.min("key").alias("low"), F.first("v").alias("v"))
+    # Vectors of one number point one way or the other.
+    pointing = F.when(F.size("v") == 1, F.transform("v", lambda c: F.signum(c).cast(kind))).otherwise(F.col("v"))
+    rows = rows.withColumn("v", pointing).withColumn("node", F.when(F.col("fit"), F.xxhash64("v")))
+    rows = materialize(rows.select("key", "v", "node", F.size("v").alias("d")), "vectors")
+    nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"), F.min("key").alias("low"), F.first("v").alias("v"), F.first("d").alias("d"))
     nodes = materialize(nodes, "nodes")
     alone = rows.select("key", "node")
-    if d < 2:  # no halves: vectors of one number point one way or the other
-        if nodes.limit(1).count():
-            raise ValueError("Vectors need two numbers at least.")
-        return alone.select(F.col("key").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"), F.lit(True).alias("kept"))
+    sizes = sorted(r["d"] for r in nodes.select("d").distinct().collect())
+    found = [_found(nodes.where(F.col("d") == d).drop("d"), d, threshold, target, sample) for d in sizes if d > 1]
+
+    told = nodes.select("node", "copies", "low")
+    if found:
+        links = found[0]
+        for other in found[1:]:
+            links = links.union(other)
+        counts = links.where("n > 0").groupBy("src").agg(F.sum("n").alias("n"))
+        parts = connected_components(links.where("n = 0").select("src", "dst"))
+        told = told.join(counts, F.col("node") == F.col("src"), "left").drop("src")
+        told = told.join(parts.withColumnRenamed("node", "in"), F.col("node") == F.col("in"), "left").drop("in")
+        told = told.withColumn("component", F.coalesce("component", "node"))
+    else:
+        told = told.withColumns({"n": F.lit(0).cast("long"), "component": F.col("node")})
+    told = materialize(told, "vector-components")
+    lowest = told.groupBy("component").agg(F.min("low").alias("component_id"))
+    told = told.join(lowest, "component").select("node", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component_id")
+    joined = alone.join(told, "node", "left")
+    component = F.coalesce("component_id", "key")
+    return joined.select(
+        F.col("key").alias(key),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        component.alias("component_id"),
+        F.col("key").eqNullSafe(component).alias("kept"),
+    )
+
 
+def _found(nodes: DataFrame, d: int, threshold: float, target: float, sample: int) -> DataFrame:
+    """Rows (src, dst, n) of ``_links`` for the different vectors ``nodes(node, copies, low, v)`` of ``d`` numbers."""
     n = nodes.count()
     fitted = _matrix(nodes.select("v", "node").orderBy("node").limit(sample).toArrow().column(0).combine_chunks())
     codes = int(min(MOST_CODES, max(2, (n / CELL) ** 0.5), max(1, len(fitted))))
@@ -272,20 +297,4 @@ def near_vectors(
     )
     meeting = as_member.union(as_query).join(vectors, "node").select("unit", "node", "copies", "member", "home", "v")
     dealt = meeting.repartition("unit").sortWithinPartitions("unit")
-    found = materialize(map_arrow(dealt, _links(threshold, books, reach), "src long, dst long, n long"), "vector-links")
-
-    counts = found.where("n > 0").groupBy("src").agg(F.sum("n").alias("n"))
-    parts = connected_components(found.where("n = 0").select("src", "dst"))
-    told = nodes.select("node", "copies", "low").join(counts, F.col("node") == F.col("src"), "left").drop("src")
-    told = told.join(parts.withColumnRenamed("node", "in"), F.col("node") == F.col("in"), "left").drop("in")
-    told = materialize(told.withColumn("component", F.coalesce("component", "node")), "vector-components")
-    lowest = told.groupBy("component").agg(F.min("low").alias("component_id"))
-    told = told.join(lowest, "component").select("node", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component_id")
-    joined = alone.join(told, "node", "left")
-    component = F.coalesce("component_id", "key")
-    return joined.select(
-        F.col("key").alias(key),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        component.alias("component_id"),
-        F.col("key").eqNullSafe(component).alias("kept"),
-    )
+    return materialize(map_arrow(dealt, _links(threshold, books, reach), "src long, dst long, n long"), "vector-links")
