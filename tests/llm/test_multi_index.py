@@ -26,6 +26,7 @@ def plain(rows, threshold=0.95):
 
 
 def _cos(a, b):
+    a, b = a / np.abs(a).max(), b / np.abs(b).max()
     return a @ b / np.sqrt((a @ a) * (b @ b))
 
 
