@@ -108,3 +108,13 @@ def test_a_context_seen_twice_counts_at_any_size(docs_of):
     got = {r.doc_id: r for r in score(docs_of(rows), F.lit(False)).collect()}
     assert got[100].train_tokens > 5_000_000
     assert got[100].score > got[100].base_score + 15  # log10: each of the last two words and the end is nearly certain
+
+
+def test_equal_rows_are_dealt_to_several_groups(docs_of):
+    """A third of all rows equal: their chunk is cut, and every row scores as it does in one chunk."""
+    rows = [(i, f"the {i % 7} rivers and the {i % 5} roads of the town number {i}") for i in range(400)]
+    rows += [(1000, "the same text for many rows, again and again")] * 200
+    df = docs_of(rows)
+    whole = sorted((r.doc_id, r.n_tokens, r.n_known, round(r.score, 9)) for r in score(df, held_out()).collect())
+    cut = sorted((r.doc_id, r.n_tokens, r.n_known, round(r.score, 9)) for r in score(df, held_out(), chunk_bytes=1500, parts=2).collect())
+    assert len(cut) == 600 and cut == whole

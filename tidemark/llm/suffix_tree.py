@@ -331,12 +331,24 @@ def score(
 
     ship(docs.sparkSession)
     kind = df.schema[key].dataType.simpleString()
+    # Equal rows share a chunk; one that they make too large is dealt to several groups, which all get the nodes of the chunk.
+    sizes = dealt.groupBy("chunk").agg(F.ceil(F.sum(F.octet_length("text")) / chunk_bytes).cast("int").alias("groups"))
+    hot = materialize(sizes.where(F.col("groups") > 2), "hot-chunks")
+    split = hot.limit(1).count() > 0
+
+    def grouped(rows: DataFrame, group: Column) -> DataFrame:
+        if not split:
+            return rows.withColumn("group", F.lit(0))
+        return rows.join(hot, "chunk", "left").withColumn("groups", F.coalesce("groups", F.lit(1))).withColumn("group", group).drop("groups")
 
     def done(part: int) -> DataFrame:
-        mine = dealt.where(F.col("chunk") % parts == part)
-        asks = mine.groupBy("chunk").applyInArrow(asked, "chunk int, key long")
+        mine = grouped(dealt.where(F.col("chunk") % parts == part), F.floor(F.rand(5) * F.col("groups")).cast("int"))
+        asks = mine.groupBy("chunk", "group").applyInArrow(asked, "chunk int, key long")
+        if split:
+            asks = asks.distinct()
         known = asks.join(nodes, "key").select("chunk", "key", "size", "c", "backoff")
-        return mine.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
+        known = grouped(known, F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+        return mine.groupBy("chunk", "group").cogroup(known.groupBy("chunk", "group")).applyInArrow(
             scored, f"key {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
         )
 
