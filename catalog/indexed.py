@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from catalog.feeds import BATCH_SQL, STAGES_SQL, events_growing, stages
 from catalog.tables import TRACKED
 from tidemark.functions.offset_column import OffsetColumn
+from tidemark.operators.profile import offset_order_profile
 from tidemark.operators.ranges import BatchRange
 from tidemark.plans.workspace import shared_folder
 from tidemark.sources.bounds_index import BoundsIndex
@@ -23,6 +24,15 @@ from tidemark.streaming.sinks import committed_sink, late_rows, parquet_sink, re
 _MEASURED = "CASE event_type WHEN 'error' THEN double('NaN') WHEN 'click' THEN NULL ELSE value END"
 
 
+#: Offset, and when rows were published, in Spark and in SQL: by key, in lots of keys, by user.
+_ORDERS = {
+    "by_key": ("ts", "event_id", "event_id"),
+    "by_lots": ("ts", "event_id div 64", "(event_id // 64)"),
+    "by_user": ("event_id", "user_id", "user_id"),
+    "in_order": ("event_id", "event_id div 10", "(event_id // 10)"),
+}
+
+
 class Grown(NamedTuple):
     """A copy of a given table that grows by whole files."""
 
@@ -194,6 +204,23 @@ def _late_rows_found(spark: SparkSession, sf: str) -> DataFrame:
     return late_rows(growing.table.frame(), growing.offset, growing.feed().log)
 
 
+def _schema_evolved(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that lacks a column and has a narrower one at first; the log takes up what it becomes."""
+    rows = TRACKED["number"].frame(spark, sf)
+    offset = TRACKED["number"].offset(rows)
+    s3, _ = stages(rows, offset)
+    folder = shared_folder(spark, "evolved")
+    early = rows.where(offset.column() <= offset.literal(s3)).withColumn("user_id", F.col("user_id").cast("int")).drop("value")
+    for frame in (early, rows):
+        feed = IncrementalFeed(spark, FrameTable(lambda frame=frame: frame), {"offset.field": offset.name}, f"{folder}/log")
+        feed.run_available(committed_sink(f"{folder}/out"))
+    return read_committed(spark, f"{folder}/out", feed.log, rows.schema)
+
+
+def _offset_order(spark: SparkSession, sf: str, field: str, published: str) -> DataFrame:
+    return offset_order_profile(TRACKED["number"].frame(spark, sf), field, F.expr(published))
+
+
 QUERIES = {
     **{f"index_{kind}": partial(_indexed, kind=kind) for kind in ("number", "double", "string", "ts", "decimal", "measured")},
     "drain_indexed": _drain_indexed,
@@ -203,6 +230,8 @@ QUERIES = {
     "drain_capped_collated": _drain_capped_collated,
     "drain_committed": _drain_committed,
     "late_rows_found": _late_rows_found,
+    "schema_evolved": _schema_evolved,
+    **{f"offset_order_{name}": partial(_offset_order, field=field, published=by) for name, (field, by, _) in _ORDERS.items()},
 }
 
 
@@ -239,4 +268,19 @@ SQL = {
         "SELECT CAST(0 AS BIGINT) AS batch_id, CAST(lo AS VARCHAR) AS start_offset, CAST(hi AS VARCHAR) AS end_offset, "
         "d.n AS rows_then, n.n AS rows_now FROM d, n WHERE d.n <> n.n"
     ),
+    "schema_evolved": (
+        f"{STAGES_SQL} SELECT * REPLACE (CASE WHEN event_id > (SELECT s3 FROM s) THEN value END AS value), "
+        "CASE WHEN event_id <= (SELECT s3 FROM s) THEN 0 ELSE 1 END AS batch_id FROM events"
+    ),
+    **{
+        f"offset_order_{name}": (
+            f"WITH g AS (SELECT {by} AS pub, MAX({field}) AS most FROM events GROUP BY 1), "
+            "p AS (SELECT pub, MAX(most) OVER (ORDER BY pub ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS passed FROM g), "
+            f"l AS (SELECT pub, COUNT(*) AS n, COUNT(*) FILTER ({field} < passed) AS below FROM events JOIN p ON {by} = pub "
+            f"WHERE {field} <= passed GROUP BY pub) "
+            f"SELECT '{field}' AS field, (SELECT COUNT({field}) FROM events) AS n_rows, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS n_late, "
+            "CAST(COALESCE(SUM(below), 0) AS BIGINT) AS n_below, COUNT(*) AS n_publications FROM l"
+        )
+        for name, (field, _, by) in _ORDERS.items()
+    },
 }

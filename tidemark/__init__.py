@@ -1,6 +1,6 @@
 """Tidemark: growing tables read incrementally, as batches or as streams, on Spark."""
 
-from tidemark.operators.profile import offset_profile
+from tidemark.operators.profile import offset_order_profile, offset_profile
 from tidemark.sources.bounds_index import BoundsIndex
 from tidemark.sources.jdbc import JdbcTable
 from tidemark.sources.tables import FrameTable, ParquetTable
@@ -20,6 +20,7 @@ __all__ = [
     "committed_sink",
     "drain_stream",
     "late_rows",
+    "offset_order_profile",
     "offset_profile",
     "parquet_sink",
     "read_committed",

@@ -18,6 +18,7 @@ from tidemark.operators.batch_cuts import batch_ends
 from tidemark.operators.ranges import BatchRange, read_nothing
 from tidemark.operators.tagging import dealt_by_batch
 from tidemark.plans.progress import Span, batch_range, first_span, next_span
+from tidemark.plans.schema_history import check_evolution, conform
 from tidemark.plans.settings import TIME_ZONE, Settings
 from tidemark.streaming.lease import Lease
 from tidemark.streaming.offset_log import OffsetLog
@@ -79,6 +80,9 @@ class IncrementalFeed:
     batch, and batches are delivered from there, in order. Without it each batch is a scan with the
     range pushed down, which is cheaper where files are clustered by the offset. Unless told, a table with
     an index decides by how many batches its blocks lie across; others scan for each batch.
+
+    The log keeps the table's schema. A later run may find more columns, and types that hold more values: what it delivers
+    from then on has them, an unfinished batch does not. Columns that are gone or hold less are refused.
     """
 
     def __init__(
@@ -122,12 +126,16 @@ class IncrementalFeed:
 
     def _run(self, sink: Sink) -> list[Delivered]:
         done: list[Delivered] = []
+        known = self.log.schema()
+        if known is not None:
+            check_evolution(known, self._table.schema)
         latest = self.log.latest()
         batch_id, current = -1, None
         if latest:
             batch_id, current, finished = latest
             if not finished:
-                done.append(self._deliver(self._table, sink, batch_id, current))
+                # As it was planned, columns included.
+                done.append(self._deliver(self._table, sink, batch_id, current, schema=self.log.schema(batch_id)))
         target = self._movement(current)
         if target is None:
             return done
@@ -140,7 +148,7 @@ class IncrementalFeed:
                 start = target.start if current is None else current.end
                 batch_id, current = batch_id + 1, Span(start, end)
                 self._lease.check()
-                self.log.plan(batch_id, current)
+                self.log.plan(batch_id, current, self._table.schema)
                 done.append(self._deliver(table, sink, batch_id, current, staged and f"{staged}/{_STAGED}={i}"))
         finally:
             if staged:
@@ -195,11 +203,15 @@ class IncrementalFeed:
         read = partial(table.read, self._offset)
         return batch_ends(read, self._offset, whole, self._rows_per_batch)
 
-    def _deliver(self, table: Table, sink: Sink, batch_id: int, span: Span, staged: str | None = None) -> Delivered:
+    def _deliver(
+        self, table: Table, sink: Sink, batch_id: int, span: Span, staged: str | None = None, schema: T.StructType | None = None
+    ) -> Delivered:
         # Every batch but the first continues where another one ended.
         batch = BatchRange(span.start, span.end, inclusive=batch_id == 0)
         self._lease.check()
         rows = table.read(self._offset, batch) if staged is None else self._read_staged(table, staged)
+        if schema is not None:
+            rows = conform(rows, schema)
         if isinstance(sink, CommittedSink):
             output = sink.write(rows, batch_id, self._lease.epoch)._asdict()
             self._lease.check()
