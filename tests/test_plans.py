@@ -1,11 +1,14 @@
 """What Spark does with the reads: filters and columns reach the scan, probes the footers."""
 
+from pathlib import Path
+
 import pytest
 
 from tidemark.functions.offset_column import OffsetColumn
 from tidemark.operators.bounds import both_bounds, end_bound
 from tidemark.operators.profile import offset_profile
 from tidemark.operators.ranges import BatchRange
+from tidemark.plans.workspace import scratch, shared_folder
 from tidemark.sources.tables import ParquetTable
 
 SF = "/root/testdata/sf0.001"
@@ -64,3 +67,19 @@ def test_profile_combines_before_the_shuffle(spark):
     text = plan(offset_profile(df, "l_orderkey"))
     assert "Functions [1]: [partial_count(1)]" in text
     assert "Window" not in text and "Expand" not in text
+
+
+def test_scratch_folders_go_with_their_block(spark):
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(root.iterdir()) if root.exists() else set()
+    kept = shared_folder(spark, "kept")
+    with scratch(spark):
+        outer = shared_folder(spark, "outer")
+        with pytest.raises(ZeroDivisionError), scratch(spark):
+            spark.range(3).write.parquet(shared_folder(spark, "inner"))
+            1 / 0
+        spark.range(3).write.parquet(outer)
+        spark.read.parquet(outer).write.parquet(kept)
+        assert {p.name for p in set(root.iterdir()) - before} == {Path(outer).name, Path(kept).name}
+    assert {p.name for p in set(root.iterdir()) - before} == {Path(kept).name}
+    assert spark.read.parquet(kept).count() == 3

@@ -1,6 +1,7 @@
 """Tidemark: growing tables read incrementally, as batches or as streams, on Spark."""
 
 from tidemark.operators.profile import offset_order_profile, offset_profile
+from tidemark.plans.workspace import scratch
 from tidemark.sources.bounds_index import BoundsIndex
 from tidemark.sources.jdbc import JdbcTable
 from tidemark.sources.tables import FrameTable, ParquetTable
@@ -27,4 +28,5 @@ __all__ = [
     "read_spans",
     "read_stream",
     "register",
+    "scratch",
 ]

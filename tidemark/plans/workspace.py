@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -21,7 +23,31 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"Set '{CHECKPOINT_DIR}' to a folder all executors share.")
         root = _local_root()
-    return f"{root.rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex[:12]}"
+    folder = f"{root.rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(folder)
+    return folder
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders that are named within the block are deleted at its end.
+
+    Write or collect a result before that: until then it may read intermediate tables. Blocks may be nested; what is
+    to outlive one is named before it begins.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        for folder in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 _LOCAL_ROOT: list[str] = []
