@@ -37,10 +37,14 @@ def release_shuffles(spark: SparkSession) -> None:
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it again: a cut lineage that outlives executors.
 
-    What was shuffled for it is not needed any more and is released.
+    What was shuffled for it is not needed any more and is released. The table stays until the ``scratch`` block
+    it is made in ends.
     """
+    return write_table(df, shared_folder(df.sparkSession, purpose))
+
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    path = shared_folder(spark, purpose)
     df.write.parquet(path)
     release_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,6 +1,6 @@
 """Line deduplication by a deletion-neighbourhood join.
 
-Lines are compared as words: two are duplicates within ``max_edits`` (1) words inserted, deleted or
+Lines are compared as words: two are duplicates within one word inserted, deleted or
 changed. Each line emits the hash of itself and of itself without each of its words. Lines without the
 same word at the same place give equal variants, and so do a line and another without the word that
 only one has. Of all lines with one variant only the earliest matters, so groups are reduced to their
@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import WORD, Texts, lower_ascii, map_arrow, materialize, powers, slices, span_hashes, texts, words
 
@@ -149,8 +150,10 @@ def duplicate_lines(df: DataFrame, text: str = "text", key: str = "doc_id", leas
     both have ``words_per_edit`` words or more, if one is at most one word edit away (``near``); also if
     that one goes itself. Earlier: by key (NULL first), line number, then text. Shorter lines stay.
     Rows equal in key and text count as one document and get the same result. ``id`` is the key, or the
-    smallest long for NULL.
+    smallest long for NULL. Keys are whole numbers; others are refused.
     """
+    if not isinstance(df.schema[key].dataType, T.IntegralType):
+        raise TypeError(f"Lines are ordered by whole numbers; '{key}' is {df.schema[key].dataType.simpleString()}.")
     docs = df.select(F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("_text"))
     lines = materialize(
         map_arrow(docs.where("_text IS NOT NULL"), _lines(least_words, words_per_edit), "id long, text_hash long, line int, n int, h long, halves array<long>"),
