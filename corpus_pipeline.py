@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import byte_bpe, line_dedup, line_quality, mixing, simhash
-from tidemark.llm.common import materialize, table
+from tidemark.llm.common import table, write_table
 from tidemark.llm.queries import PATTERN, RANKS, bpe_digests
+from tidemark.plans.workspace import scratch, shared_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,5 +54,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = shared_folder(spark, name.replace(" ", "-"))
+        with scratch(spark):  # what a stage writes on its way goes once its result is there
+            docs = write_table(stage(spark, docs, sf_dir), path)
     return STAGES[-1][1](spark, docs, sf_dir)
