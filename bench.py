@@ -68,14 +68,21 @@ def cases(spark: SparkSession) -> dict[str, Callable[[], object]]:
     lineitem.frame().repartitionByRange(int(CPUS), "l_orderkey").write.parquet(parts)
     split = ParquetTable(spark, parts)
 
-    def feed(table: ParquetTable, field: str, rows_per_batch: int | None = None):
+    # And so that every file spans the whole range.
+    mixed = shared_folder(spark, "mixed")
+    lineitem.frame().repartition(int(CPUS)).write.parquet(mixed)
+    scattered = ParquetTable(spark, mixed)
+    price = OffsetColumn.of(lineitem.schema, "l_extendedprice")
+    indexed = ParquetTable(spark, mixed, index=shared_folder(spark, "index"))
+
+    def feed(table: ParquetTable, field: str, rows_per_batch: int | None = None, one_pass: bool | None = None):
         folder = shared_folder(spark, "feed")
         options = {"offset.field": field}
         log = f"{folder}/log"
-        return IncrementalFeed(spark, table, options, log, rows_per_batch), f"{folder}/out"
+        return IncrementalFeed(spark, table, options, log, rows_per_batch, one_pass=one_pass), f"{folder}/out"
 
-    def drain(table: ParquetTable, field: str, rows_per_batch: int | None = None) -> None:
-        runner, out = feed(table, field, rows_per_batch)
+    def drain(table: ParquetTable, field: str, rows_per_batch: int | None = None, one_pass: bool | None = None) -> None:
+        runner, out = feed(table, field, rows_per_batch, one_pass)
         runner.run_available(parquet_sink(out))
 
     idle, idle_out = feed(events, "event_id")
@@ -107,6 +114,10 @@ def cases(spark: SparkSession) -> dict[str, Callable[[], object]]:
         "drain_one_batch": lambda: drain(lineitem, "l_orderkey"),
         "drain_one_batch_split_files": lambda: drain(split, "l_orderkey"),
         "drain_ten_batches": lambda: drain(split, "l_orderkey", rows // 10),
+        "drain_thirty_scattered": lambda: drain(scattered, "l_orderkey", rows // 30, False),
+        "drain_thirty_scattered_one_pass": lambda: drain(scattered, "l_orderkey", rows // 30, True),
+        "probe_double": lambda: scattered.bounds(price),
+        "probe_double_indexed": lambda: indexed.bounds(price),
         "plan_ten_batches": lambda: batch_ends(partial(split.read, key), key, whole, rows // 10),
         "plan_thousand_batches": lambda: batch_ends(partial(split.read, key), key, whole, rows // 1000),
         "native_write_split_files": lambda: split.frame().write.parquet(shared_folder(spark, "native")),

@@ -117,9 +117,9 @@ def test_two_writers_at_once_count_once(spark, folder):
     write(spark, f"{folder}/t", [(1,), (2,)], "o long")
     index, other = index_of(spark, folder, "o"), index_of(spark, folder, "o")
     fresh = bounds_index._listed(spark, f"{folder}/t")
-    names = [r.file for r in fresh.collect()]
+    files = [tuple(r) for r in fresh.collect()]
     for one in (index, other):
-        one._write(one._measured(fresh, names), 0)
+        one._write(one._measured(files), 0)
     assert index.summary().first().n_rows == 2
     # A part that was not written to its end does not count.
     broken = Path(index._folder) / "0000000001-abc-part"

@@ -38,7 +38,7 @@ _FULL = "full"
 def entry_schema(offset: OffsetColumn) -> T.StructType:
     """One row for each block of a file: its place and its offsets. ``gone`` marks files that are no more."""
     fields = [
-        ("file", T.StringType()), ("size", T.LongType()), ("modified", T.TimestampType()),
+        ("file", T.StringType()), ("size", T.LongType()), ("modified", T.LongType()),
         ("start", T.LongType()), ("length", T.LongType()), ("rows", T.LongType()),
         ("least", offset.data_type), ("most", offset.data_type),
         ("nulls", T.LongType()), ("nans", T.LongType()), ("gone", T.BooleanType()),
@@ -68,29 +68,30 @@ class BoundsIndex:
         self._files = spark._jvm.org.apache.hadoop.fs
         self._fs = self._at("").getFileSystem(spark._jsc.hadoopConfiguration())
         self._fs.mkdirs(self._at(""))
+        # What was asked last, of which parts, and the answer.
+        self._told: tuple[tuple, tuple[str | None, str | None]] | None = None
 
     # -- upkeep --------------------------------------------------------------
 
     def refresh(self) -> int:
         """Bring the index up to the files that are there; how many were read for it."""
-        listed = _listed(self._spark, self._path)
-        known = self.live().select(*_KEY).distinct()
-        fresh = listed.join(known, _KEY, "left_anti")
-        lost = known.join(listed, _KEY, "left_anti")
-        names = [r["file"] for r in fresh.select("file").collect()]
-        lost_any = lost.limit(1).count() > 0
-        if not names and not lost_any:
+        listed = _listed(self._spark, self._path).withColumn("there", F.lit(True))
+        known = self.live().select(*_KEY).distinct().withColumn("known", F.lit(True))
+        changed = listed.join(known, _KEY, "full").where("there IS NULL OR known IS NULL").select(*_KEY, "there").collect()
+        fresh = [tuple(r[c] for c in _KEY) for r in changed if r["there"]]
+        lost = [tuple(r[c] for c in _KEY) for r in changed if not r["there"]]
+        if not changed:
             return 0
         # One column of the new files, whatever number of jobs their names are dealt over.
-        parts = [self._measured(fresh, names[i : i + PATHS]) for i in range(0, len(names), PATHS)]
-        if lost_any:
-            parts.append(self._written(lost.withColumn("gone", F.lit(True))))
+        parts = [self._measured(fresh[i : i + PATHS]) for i in range(0, len(fresh), PATHS)]
+        if lost:
+            parts.append(self._written(self._files_frame(lost).withColumn("gone", F.lit(True))))
         number = self._next()
         for i, part in enumerate(parts):
             self._write(part, number + i)
         if len(self._parts()) >= GATHER_AT:
             self.gather()
-        return len(names)
+        return len(fresh)
 
     def gather(self) -> None:
         """Write all that counts as one part; parts before an earlier such one are deleted."""
@@ -100,19 +101,23 @@ class BoundsIndex:
             if whole and name < max(whole):
                 self._fs.delete(self._at(name), True)
 
-    def _measured(self, fresh: DataFrame, names: list[str]) -> DataFrame:
+    def _files_frame(self, files: list[tuple]) -> DataFrame:
+        return self._spark.createDataFrame(files, "file string, size long, modified long")
+
+    def _measured(self, fresh: list[tuple]) -> DataFrame:
         """The entries of some new files; one without rows has an entry too, so that it is known."""
+        names = [file for file, _, _ in fresh]
         meta = F.col("_metadata")
         rows = self._spark.read.schema(self._schema).parquet(self._path).where(meta["file_path"].isin(names))
         raw, c = self._offset.column(), self._offset.orderable()
         blocks = rows.select(
-            meta["file_path"].alias("file"), meta["file_size"].alias("size"), meta["file_modification_time"].alias("modified"),
+            meta["file_path"].alias("file"), meta["file_size"].alias("size"), F.unix_micros(meta["file_modification_time"]).alias("modified"),
             meta["file_block_start"].alias("start"), meta["file_block_length"].alias("length"), raw.alias("_raw"), c.alias("_c"),
         ).groupBy(*_KEY, "start", "length").agg(
             F.count("*").alias("rows"), F.min("_c").alias("least"), F.max("_c").alias("most"),
             F.count_if(F.col("_raw").isNull()).alias("nulls"), F.count_if(F.col("_raw").isNotNull() & F.col("_c").isNull()).alias("nans"),
         )
-        return self._written(fresh.where(F.col("file").isin(names)).join(blocks, _KEY, "left"))
+        return self._written(self._files_frame(fresh).join(blocks, _KEY, "left"))
 
     def _written(self, df: DataFrame) -> DataFrame:
         """``df`` with the columns of an entry; what it lacks is zero, or NULL for bounds."""
@@ -169,6 +174,12 @@ class BoundsIndex:
 
     def bounds(self, at_least: str | None = None) -> tuple[str | None, str | None]:
         """``(MIN, MAX)`` of the table, or ``(None, MAX)`` of the rows from ``at_least`` on."""
+        asked = (*self._parts(), at_least)
+        if self._told is None or self._told[0] != asked:
+            self._told = asked, self._bounds(at_least)
+        return self._told[1]
+
+    def _bounds(self, at_least: str | None) -> tuple[str | None, str | None]:
         if at_least is None:
             return fetch_bound(self.summary().select(START_OFFSET, END_OFFSET), self._offset)
         ahead = self.live().where(F.col("most") >= self._offset.literal(at_least))
@@ -218,7 +229,7 @@ def _listed(spark: SparkSession, path: str) -> DataFrame:
     """The files of a folder as Spark lists them; none is opened."""
     meta = F.col("_metadata")
     return spark.read.format("binaryFile").load(path).select(
-        meta["file_path"].alias("file"), meta["file_size"].alias("size"), meta["file_modification_time"].alias("modified")
+        meta["file_path"].alias("file"), meta["file_size"].alias("size"), F.unix_micros(meta["file_modification_time"]).alias("modified")
     )
 
 
