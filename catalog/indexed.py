@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import partial
 from typing import NamedTuple
 
@@ -11,11 +12,13 @@ from pyspark.sql import functions as F
 from catalog.feeds import BATCH_SQL, STAGES_SQL, events_growing, stages
 from catalog.tables import TRACKED
 from tidemark.functions.offset_column import OffsetColumn
+from tidemark.functions.offset_json import offset_dict
 from tidemark.operators.profile import offset_order_profile
 from tidemark.operators.ranges import BatchRange
 from tidemark.plans.workspace import shared_folder
 from tidemark.sources.bounds_index import BoundsIndex
 from tidemark.sources.tables import FrameTable, ParquetTable
+from tidemark.streaming.agreement import HadoopStore
 from tidemark.streaming.datasource import read_stream
 from tidemark.streaming.feed import IncrementalFeed
 from tidemark.streaming.sinks import committed_sink, late_rows, parquet_sink, read_committed
@@ -195,6 +198,31 @@ def _drain_committed(spark: SparkSession, sf: str) -> DataFrame:
     return read_committed(spark, f"{growing.folder}/committed", growing.feed().log, rows.schema)
 
 
+def _drain_agreed(spark: SparkSession, sf: str) -> DataFrame:
+    """Three growths by a log that renames nothing; between them a runner dies with a span begun but not decided, and with
+    one that is decided but not written down."""
+    growing, s3, s7 = events_growing(spark, sf)
+    rows, folder = TRACKED["number"].frame(spark, sf), growing.folder
+    sink = committed_sink(f"{folder}/agreed")
+
+    def feed(visible) -> IncrementalFeed:
+        table = FrameTable(lambda: rows.where(visible))
+        return IncrementalFeed(spark, table, {"offset.field": growing.offset.name}, f"{folder}/agreed-log", agreed=True)
+
+    for i, visible in enumerate((growing.upto(s3), growing.upto(s7), F.lit(True))):
+        runner = feed(visible)
+        runner.run_available(sink)
+        store = HadoopStore(spark, f"{folder}/agreed-log")
+        if i == 0:
+            store.put(f"claims/offsets/{i + 1}/00000007.dead.1", "")
+        elif i == 1:
+            top = rows.agg(F.max(growing.offset.name)).first()[0]
+            span = offset_dict(growing.offset.name, runner.last_offset.end, growing.offset.format(top))
+            value = {"writer": "dead", "files": {"offsets": json.dumps(span)}}
+            store.put(f"claims/offsets/{i + 1}/00000003.dead.2", json.dumps(value))
+    return read_committed(spark, f"{folder}/agreed", runner.log, rows.schema)
+
+
 def _late_rows_found(spark: SparkSession, sf: str) -> DataFrame:
     """Clicks up to the second stage show up after it was delivered: the span they belong to is told."""
     growing, _, s7 = events_growing(spark, sf)
@@ -229,6 +257,7 @@ QUERIES = {
     "drain_unclustered_cap": _drain_unclustered_cap,
     "drain_capped_collated": _drain_capped_collated,
     "drain_committed": _drain_committed,
+    "drain_agreed": _drain_agreed,
     "late_rows_found": _late_rows_found,
     "schema_evolved": _schema_evolved,
     **{f"offset_order_{name}": partial(_offset_order, field=field, published=by) for name, (field, by, _) in _ORDERS.items()},
@@ -261,6 +290,7 @@ SQL = {
         "TRUE AS many_batches FROM customer"
     ),
     "drain_committed": f"{STAGES_SQL} SELECT *, {BATCH_SQL} FROM events",
+    "drain_agreed": f"{STAGES_SQL} SELECT *, {BATCH_SQL} FROM events",
     "late_rows_found": (
         f"{STAGES_SQL}, d AS (SELECT MIN(event_id) AS lo, MAX(event_id) AS hi, COUNT(*) AS n FROM events "
         "WHERE event_id <= (SELECT s7 FROM s) AND event_type <> 'click'), "

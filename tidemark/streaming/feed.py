@@ -83,6 +83,9 @@ class IncrementalFeed:
 
     The log keeps the table's schema. A later run may find more columns, and types that hold more values: what it delivers
     from then on has them, an unfinished batch does not. Columns that are gone or hold less are refused.
+
+    ``agreed``: lease and log rest on puts and listings alone, not on renames or exclusive creation; unless told, for logs on
+    object stores. Use a ``committed_sink`` there: other sinks replace a batch's folder, which is no single step.
     """
 
     def __init__(
@@ -95,6 +98,7 @@ class IncrementalFeed:
         retain: int | None = None,
         lease_seconds: float = 120.0,
         one_pass: bool | None = None,
+        agreed: bool | None = None,
     ) -> None:
         self._spark = spark
         self._log_folder = log_folder.rstrip("/")
@@ -104,8 +108,8 @@ class IncrementalFeed:
         self._offset = self._settings.offset
         self._table = table
         self._rows_per_batch = rows_per_batch
-        self.log = OffsetLog(spark, log_folder, self._offset.name, retain)
-        self._lease = Lease(spark, log_folder, lease_seconds)
+        self.log = OffsetLog(spark, log_folder, self._offset.name, retain, agreed)
+        self._lease = Lease(spark, log_folder, lease_seconds, agreed)
 
     @property
     def _ordered_by_bytes(self) -> bool:
@@ -218,7 +222,7 @@ class IncrementalFeed:
             if not self.log.committed(batch_id):  # by a runner that held the lease before, of the same rows
                 self.log.commit(batch_id, output)
             return Delivered(batch_id, batch)
-        if staged is not None and hasattr(sink, "adopt"):
+        if staged is not None and hasattr(sink, "adopt") and not self.log.agreed:
             sink.adopt(self._spark, staged, batch_id)
         else:
             sink(rows, batch_id)
