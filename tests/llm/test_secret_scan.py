@@ -9,7 +9,7 @@ import pytest
 from llm_tables import SMALL, docs_of  # noqa: F401
 
 import __spark_entry__ as contract
-from tidemark.llm.secret_scan import RULES, Rule, _automaton, compiled, find_secrets, scanner
+from tidemark.llm.secret_scan import RULES, Rule, Scanner, _automaton, compiled, find_secrets, scanner
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 BASE = [("assign", ASSIGN, 2, 12), ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile(r"[0-9a-f]+"), 0, 16)]
@@ -54,6 +54,38 @@ def test_added_rules():
     assert [(RULES[k].kind, a, b) for k, a, b in found] == [("private_key", 0, 31), ("slack", 32, 49), ("private_key", 58, 85)]
 
 
+def test_each_added_rule_against_its_expression():
+    rng, automata = random.Random(14), compiled(RULES)
+    scan = scanner(RULES, automata)
+    heads = ["AKIA", "ASIA", "ghp_", "ghx_", "github_pat_", "glpat-", "AIza", "sk_live_", "rk_test_", "npm_", "SG.", "eyJ", ".eyJ", "Bearer ", "bearer  ", "http://u:", "ftp://x.y:"]
+    rest = ["a1B2" * 9, "ABCD" * 5, "0f" * 18, ".", "@", "_", "-", " ", "/", ":", "=", "é", "\n", "<", "p@ss", "x" * 20, "tail"]
+    found = set()
+    for _ in range(4000):
+        text = "".join(rng.choice(heads if rng.random() < 0.4 else rest) for _ in range(rng.randint(1, 9)))
+        data = text.encode()
+        expected = []
+        for k, r in enumerate(RULES):
+            whole = re.compile(f"(?:{r.head})({r.value})".encode(), re.I if r.any_case else 0)
+            for m in whole.finditer(data):
+                head = re.compile(r.head.encode(), re.I if r.any_case else 0).match(data, m.start())
+                if m.end() - head.end() >= r.least_value:
+                    expected.append((m.start(), k, m.end()))
+        got = scan.spans(data)
+        assert [(k, a, b) for a, k, b in sorted(expected)] == got, text
+        found |= {k for k, _, _ in got}
+    assert {RULES[k].kind for k in found} >= {r.kind for r in RULES} - {"assign", "private_key", "slack"}
+
+
+def test_many_rules_and_many_sets_of_them():
+    # Each of nine letters is a rule that ends wherever it stood among the last ten bytes: 512 sets of rules.
+    rules = tuple(Rule(c, c, "[a-j]*", 0) for c in "abcdefghi")
+    automata = compiled(rules)
+    assert len(automata.scan.sets) == 512
+    got = Scanner(rules, automata).spans(b"jcab-i")
+    assert [(rules[k].kind, a, b) for k, a, b in got] == [("c", 1, 4), ("a", 2, 4), ("b", 3, 4), ("i", 5, 6)]
+    assert len(compiled(tuple(Rule(f"r{i}", f"x{i}y", "z+") for i in range(70))).scan.sets) == 71
+
+
 def test_rules_are_checked():
     with pytest.raises(ValueError):
         compiled((Rule("x", "", "é"),))

@@ -46,6 +46,17 @@ RULES = (
     Rule("hex", r"", r"[0-9a-f]{16,}"),
     Rule("private_key", r"-----BEGIN\x20", r"([A-Z]+\x20)?PRIVATE\x20KEY-----"),
     Rule("slack", r"xox[abprs]-", r"[0-9A-Za-z-]+", 10),
+    Rule("temporary_access", r"ASIA", r"[A-Z0-9]+", 16),
+    Rule("github", r"gh[opsru]_", r"[0-9A-Za-z]+", 36),
+    Rule("github_fine", r"github_pat_", r"[0-9A-Za-z_]+", 60),
+    Rule("gitlab", r"glpat-", r"[0-9A-Za-z_-]+", 20),
+    Rule("google", r"AIza", r"[0-9A-Za-z_-]+", 35),
+    Rule("stripe", r"(sk|rk)_(live|test)_", r"[0-9A-Za-z]+", 24),
+    Rule("npm", r"npm_", r"[0-9A-Za-z]+", 36),
+    Rule("sendgrid", r"SG\.", r"[0-9A-Za-z_-]+\.[0-9A-Za-z_-]+", 60),
+    Rule("web_token", r"eyJ[0-9A-Za-z_-]+\.eyJ", r"[0-9A-Za-z_-]+\.[0-9A-Za-z_-]+", 20),
+    Rule("bearer", r"bearer\x20+", r"[0-9a-z._~+/-]+=*", 20, True),
+    Rule("login_in_url", r"[a-z]+://[0-9A-Za-z._~%-]+:", r"[^\x00-\x20\"'/:<>@]+@", 2),
 )
 
 
@@ -128,14 +139,15 @@ def _mask(items, any_case: bool) -> int:
 
 
 class Automaton(NamedTuple):
-    """``rows[state, class_of[byte]]`` is the next state, ``accepts[state]`` the bits of the rules that end there.
+    """``rows[state, class_of[byte]]`` is the next state; ``sets[accepts[state]]`` are the rules that end there.
 
-    State 0 starts.
+    State 0 starts. ``sets[0]`` is empty.
     """
 
     rows: np.ndarray
     accepts: np.ndarray
     class_of: np.ndarray
+    sets: list[frozenset[int]]
 
     @property
     def table(self) -> np.ndarray:
@@ -176,11 +188,12 @@ def _determine(nfa: _Nfa, starts: list[int], ends: dict[int, int], anywhere: boo
                 queue.append(target)
             row.append(known[target])
         rows.append(row)
-    accepts = np.array([sum({1 << k for s, k in ends.items() if subset >> s & 1}) for subset in queue])
-    return _minimal(np.array(rows), accepts, class_of.ravel())
+    sets = {frozenset(): 0}
+    accepts = [sets.setdefault(frozenset(k for s, k in ends.items() if subset >> s & 1), len(sets)) for subset in queue]
+    return _minimal(np.array(rows), np.array(accepts), class_of.ravel(), list(sets))
 
 
-def _minimal(rows: np.ndarray, accepts: np.ndarray, class_of: np.ndarray) -> Automaton:
+def _minimal(rows: np.ndarray, accepts: np.ndarray, class_of: np.ndarray, sets: list[frozenset[int]]) -> Automaton:
     """Merge states that no input tells apart, by refining the partition by accepted rules."""
     block = np.unique(accepts, return_inverse=True)[1]
     while True:
@@ -195,7 +208,7 @@ def _minimal(rows: np.ndarray, accepts: np.ndarray, class_of: np.ndarray) -> Aut
     block = order[block]
     some = np.zeros(len(order), int)
     some[block] = np.arange(len(block))
-    return Automaton(block[rows[some]].astype(np.int32), accepts[some], class_of)
+    return Automaton(block[rows[some]].astype(np.int32), accepts[some], class_of, sets)
 
 
 def _automaton(expressions: list[tuple[str, bool]], anywhere: bool = False, backwards: bool = False) -> Automaton:
@@ -217,8 +230,8 @@ class Compiled(NamedTuple):
 
 @lru_cache(maxsize=4)
 def compiled(rules: tuple[Rule, ...]) -> Compiled:
-    if not 0 < len(rules) < 9:
-        raise ValueError("A scan takes one to eight rules.")
+    if not rules:
+        raise ValueError("A scan takes at least one rule.")
     whole = [(r.head + r.value, r.any_case) for r in rules]
     return Compiled(
         _automaton(whole, anywhere=True),
@@ -233,12 +246,14 @@ class Scanner:
 
     def __init__(self, rules: tuple[Rule, ...], automata: Compiled):
         self.rules = rules
-        # Each state is a list of the states that follow, and at 256 the rules that end in it.
+        # Each state is a list of the states that follow, and at 256 the number of the set of rules that end in it.
         states: list[list] = [[] for _ in automata.scan.accepts]
         for state, row, accepted in zip(states, automata.scan.table, automata.scan.accepts.tolist()):
             state.extend([states[t] for t in row.tolist()])
             state.append(accepted)
         self._first = states[0]
+        # Of each rule, which of the sets hold it.
+        self._holds = [np.array([k in held for held in automata.scan.sets]) for k in range(len(rules))]
         self._plain, self._back, self._head = ([self._walk(a) for a in x] for x in automata[1:])
 
     @staticmethod
@@ -263,12 +278,14 @@ class Scanner:
 
     def spans(self, data: bytes) -> list[tuple[int, int, int]]:
         """(rule, start, end) in bytes, by start, then rule."""
-        codes = np.frombuffer(bytes(map(itemgetter(256), accumulate(data, getitem, initial=self._first))), np.uint8)
+        ended = map(itemgetter(256), accumulate(data, getitem, initial=self._first))
+        few = len(self._holds[0]) <= 256
+        codes = np.frombuffer(bytes(ended), np.uint8) if few else np.fromiter(ended, np.int32, len(data) + 1)
         hits = np.flatnonzero(codes)
         out = []
         for k, rule in enumerate(self.rules if len(hits) else ()):
             free = 0
-            own = hits[codes[hits] >> k & 1 == 1]
+            own = hits[self._holds[k][codes[hits]]]
             i = 0
             while i < len(own):
                 start = self._back[k](data, int(own[i]), free, -1)
