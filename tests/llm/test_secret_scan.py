@@ -9,6 +9,7 @@ import pytest
 from llm_tables import SMALL, docs_of  # noqa: F401
 
 import __spark_entry__ as contract
+from tidemark.llm import secret_scan
 from tidemark.llm.secret_scan import RULES, Rule, Scanner, _automaton, compiled, find_secrets, scanner
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -86,6 +87,47 @@ def test_many_rules_and_many_sets_of_them():
     assert len(compiled(tuple(Rule(f"r{i}", f"x{i}y", "z+") for i in range(70))).scan.sets) == 71
 
 
+def spans_by_expressions(rules, data):
+    found = []
+    for k, r in enumerate(rules):
+        flags = re.I if r.any_case else 0
+        for m in re.finditer(f"(?:{r.head})({r.value})".encode(), data, flags):
+            head = re.compile(r.head.encode(), flags).match(data, m.start())
+            if m.end() > m.start() and m.end() - head.end() >= r.least_value:
+                found.append((m.start(), k, m.end()))
+    return [(k, a, b) for a, k, b in sorted(found)]
+
+
+def test_all_rules_share_one_small_automaton_and_find_what_they_say():
+    automata = compiled(RULES)
+    assert len(automata.scan.accepts) <= secret_scan.MOST_STATES
+    scan, rng, found = Scanner(RULES, automata), random.Random(15), set()
+    heads = [
+        "AKIA", "ASIA", "ghp_", "github_pat_", "glpat-", "AIza", "sk_live_", "npm_", "SG.", "eyJ", ".eyJ", "Bearer ", "http://u:", "token=",
+        "xoxb-", "-----BEGIN ", "RSA ", "PRIVATE KEY-----", "SG." + "a1" * 12 + "." + "b2" * 22, "eyJab.eyJcd." + "x_" * 9,
+    ]
+    rest = ["a1B2" * 9, "ABCD" * 5, "0f" * 9, ".", "@", "_", "-", " ", "/", ":", "=", "é", "\n", "p@ss", "x" * 20, "a"]
+    for _ in range(4000):
+        data = "".join(rng.choice(heads if rng.random() < 0.5 else rest) for _ in range(rng.randint(1, 12))).encode()
+        got = scan.spans(data)
+        assert got == spans_by_expressions(RULES, data), data
+        found |= {k for k, _, _ in got}
+    assert found == set(range(len(RULES)))
+
+
+@pytest.mark.parametrize("few, most, scans", [(1 << 10, 1 << 14, 1), (1, 1 << 14, 1), (1, 20, 2), (1, 6, 5)])
+def test_ends_first_ends_and_several_automata_agree(monkeypatch, few, most, scans):
+    rules = (Rule("p", "p[ab]+:", "[ab]+"), Rule("q", "q[ab]*", "[ab]{2}"), Rule("r", "", "[abr]*", 0), Rule("s", "s", "(a|b)*s", 2), Rule("t", "t[^s]", "a+", 3))
+    monkeypatch.setattr(secret_scan, "FEW_STATES", few)
+    monkeypatch.setattr(secret_scan, "MOST_STATES", most)
+    automata, rng = compiled.__wrapped__(rules), random.Random(16)
+    assert len(automata.scans) == scans
+    scan = Scanner(rules, automata)
+    for _ in range(3000):
+        data = "".join(rng.choice("aabbpqrst:") for _ in range(rng.randint(0, 16))).encode()
+        assert scan.spans(data) == spans_by_expressions(rules, data), data
+
+
 def test_rules_are_checked():
     with pytest.raises(ValueError):
         compiled((Rule("x", "", "é"),))

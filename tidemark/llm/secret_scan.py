@@ -1,9 +1,13 @@
 """Secret scans: one deterministic automaton over bytes finds the matches of all rules in one pass.
 
-The rules' expressions become one nondeterministic automaton, subset construction makes it deterministic
-and partition refinement minimal. Its table tells after each byte which rules have a match that ends
-there. Only at such ends a rule's own two automata run: the reversed one back to the leftmost start,
-the plain one on to the longest end.
+Each rule's expression becomes a nondeterministic automaton, subset construction makes it deterministic
+and partition refinement minimal. In the same way all of these become one, whose table tells after each
+byte which rules have a match that ends there. Only at such ends a rule's own two automata run: the
+reversed one back to the leftmost start, the plain one on to the longest end.
+
+Many rules whose values overlap would need a state for each set of values that may be open. Their common
+automaton forgets a match at the first place where it can end: that place tells all that is asked of it.
+Rules that need too many states even so are dealt to several automata, each with a pass of its own.
 """
 
 from __future__ import annotations
@@ -59,6 +63,9 @@ RULES = (
     Rule("login_in_url", r"[a-z]+://[0-9A-Za-z._~%-]+:", r"[^\x00-\x20\"'/:<>@]+@", 2),
 )
 
+#: States of a common automaton that knows every end of a match, and of one that knows first ends.
+FEW_STATES, MOST_STATES = 1 << 10, 1 << 14
+
 
 class _Nfa:
     """Edges on sets of bytes (256-bit masks) and edges on nothing."""
@@ -154,7 +161,11 @@ class Automaton(NamedTuple):
         return self.rows[:, self.class_of]
 
 
-def _determine(nfa: _Nfa, starts: list[int], ends: dict[int, int], anywhere: bool) -> Automaton:
+class TooManyStates(Exception):
+    """A common automaton would have more states than it may."""
+
+
+def _determine(nfa: _Nfa, starts: list[int], ends: dict[int, int], anywhere: bool, most: int | None = None) -> Automaton:
     """Subset construction over classes of bytes, then minimisation. Sets of states are bit masks."""
     masks = sorted({m for edges in nfa.edges for m, _ in edges})
     member = np.array([[m >> b & 1 for m in masks] for b in range(256)])
@@ -176,6 +187,8 @@ def _determine(nfa: _Nfa, starts: list[int], ends: dict[int, int], anywhere: boo
     begin &= live
     known, queue, rows = {begin: 0}, [begin], []
     for subset in queue:
+        if most and len(queue) > most:
+            raise TooManyStates
         members = [i for i in range(subset.bit_length()) if subset >> i & 1]
         row = []
         for step in steps:
@@ -211,31 +224,68 @@ def _minimal(rows: np.ndarray, accepts: np.ndarray, class_of: np.ndarray, sets:
     return Automaton(block[rows[some]].astype(np.int32), accepts[some], class_of, sets)
 
 
-def _automaton(expressions: list[tuple[str, bool]], anywhere: bool = False, backwards: bool = False) -> Automaton:
+def _automaton(expressions: list[tuple[str, bool]], backwards: bool = False) -> Automaton:
     nfa, starts, ends = _Nfa(), [], {}
     for i, (expression, any_case) in enumerate(expressions):
         starts.append(nfa.state())
         ends[nfa.add(_parser.parse(expression), starts[-1], any_case, backwards)] = i
-    return _determine(nfa, starts, ends, anywhere)
+    return _determine(nfa, starts, ends, False)
+
+
+def _common(plain: dict[int, Automaton], first: bool, most: int | None) -> Automaton:
+    """One automaton for matches of any of these rules anywhere: where they end, or where each could ``first`` end."""
+    nfa, starts, ends = _Nfa(), [], {}
+    for k, a in plain.items():
+        table, states = a.table, [nfa.state() for _ in a.accepts]
+        # A start of its own, which is no end: empty matches do not count.
+        starts.append(nfa.state())
+        ends |= {states[s]: k for s in np.flatnonzero(a.accepts).tolist()}
+        alive, size = a.accepts > 0, -1
+        while size < (size := int(alive.sum())):
+            alive = alive | alive[a.rows].any(1)
+        on = np.flatnonzero(alive & ~(first & (a.accepts > 0))).tolist()
+        for state, s in [(starts[-1], 0), *((states[s], s) for s in on)]:
+            for t in set(table[s].tolist()):
+                if alive[t]:
+                    nfa.edges[state].append((sum(1 << b for b in np.flatnonzero(table[s] == t).tolist()), states[t]))
+    return _determine(nfa, starts, ends, True, most)
+
+
+def _scans(plain: dict[int, Automaton]) -> list[Automaton]:
+    for first, most in ((False, FEW_STATES), (True, MOST_STATES if len(plain) > 1 else None)):
+        try:
+            return [_common(plain, first, most)]
+        except TooManyStates:
+            pass
+    half = len(plain) // 2
+    items = list(plain.items())
+    return _scans(dict(items[:half])) + _scans(dict(items[half:]))
 
 
 class Compiled(NamedTuple):
-    """The automata of some rules: all of them anywhere, and of each the whole, the whole backwards, and the head."""
+    """The automata of some rules: common ones, anywhere, and of each the whole, the whole backwards, and the head."""
 
-    scan: Automaton
+    scans: list[Automaton]
     plain: list[Automaton]
     back: list[Automaton]
     head: list[Automaton]
 
+    @property
+    def scan(self) -> Automaton:
+        """The common automaton of all rules, if one is enough."""
+        (only,) = self.scans
+        return only
+
 
 @lru_cache(maxsize=4)
 def compiled(rules: tuple[Rule, ...]) -> Compiled:
     if not rules:
         raise ValueError("A scan takes at least one rule.")
     whole = [(r.head + r.value, r.any_case) for r in rules]
+    plain = [_automaton([w]) for w in whole]
     return Compiled(
-        _automaton(whole, anywhere=True),
-        [_automaton([w]) for w in whole],
+        _scans(dict(enumerate(plain))),
+        plain,
         [_automaton([w], backwards=True) for w in whole],
         [_automaton([(r.head, r.any_case)]) for r in rules],
     )
@@ -246,15 +296,18 @@ class Scanner:
 
     def __init__(self, rules: tuple[Rule, ...], automata: Compiled):
         self.rules = rules
-        # Each state is a list of the states that follow, and at 256 the number of the set of rules that end in it.
-        states: list[list] = [[] for _ in automata.scan.accepts]
-        for state, row, accepted in zip(states, automata.scan.table, automata.scan.accepts.tolist()):
+        # The first state of each common automaton, and of each of its rules, which of the sets hold it.
+        self._scans = [(self._linked(a), {k: np.array([k in held for held in a.sets]) for k in sorted(set().union(*a.sets))}) for a in automata.scans]
+        self._plain, self._back, self._head = ([self._walk(a) for a in x] for x in automata[1:])
+
+    @staticmethod
+    def _linked(a: Automaton) -> list:
+        """Each state is a list of the states that follow, and at 256 the number of the set of rules that end in it."""
+        states: list[list] = [[] for _ in a.accepts]
+        for state, row, accepted in zip(states, a.table, a.accepts.tolist()):
             state.extend([states[t] for t in row.tolist()])
             state.append(accepted)
-        self._first = states[0]
-        # Of each rule, which of the sets hold it.
-        self._holds = [np.array([k in held for held in automata.scan.sets]) for k in range(len(rules))]
-        self._plain, self._back, self._head = ([self._walk(a) for a in x] for x in automata[1:])
+        return states[0]
 
     @staticmethod
     def _walk(a: Automaton):
@@ -278,26 +331,29 @@ class Scanner:
 
     def spans(self, data: bytes) -> list[tuple[int, int, int]]:
         """(rule, start, end) in bytes, by start, then rule."""
-        ended = map(itemgetter(256), accumulate(data, getitem, initial=self._first))
-        few = len(self._holds[0]) <= 256
-        codes = np.frombuffer(bytes(ended), np.uint8) if few else np.fromiter(ended, np.int32, len(data) + 1)
-        hits = np.flatnonzero(codes)
         out = []
-        for k, rule in enumerate(self.rules if len(hits) else ()):
-            free = 0
-            own = hits[self._holds[k][codes[hits]]]
-            i = 0
-            while i < len(own):
-                start = self._back[k](data, int(own[i]), free, -1)
-                if start is None or start == own[i]:
-                    i += 1
-                    continue
-                free = self._plain[k](data, start, len(data), 1)
-                if free - self._head[k](data, start, free, 1) >= rule.least_value:
-                    out.append((k, start, free))
-                i = int(np.searchsorted(own, free, "right"))
+        for begin, holds in self._scans:
+            ended = map(itemgetter(256), accumulate(data, getitem, initial=begin))
+            few = all(len(held) <= 256 for held in holds.values())
+            codes = np.frombuffer(bytes(ended), np.uint8) if few else np.fromiter(ended, np.int32, len(data) + 1)
+            hits = np.flatnonzero(codes)
+            for k, held in holds.items() if len(hits) else ():
+                out += self._matches(k, data, hits[held[codes[hits]]])
         return sorted(out, key=lambda x: (x[1], x[0]))
 
+    def _matches(self, k: int, data: bytes, ends: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Of rule ``k``, given the places where its matches end, or could first end."""
+        free = i = 0
+        while i < len(ends):
+            start = self._back[k](data, int(ends[i]), free, -1)
+            if start is None or start == ends[i]:
+                i += 1
+                continue
+            free = self._plain[k](data, start, len(data), 1)
+            if free - self._head[k](data, start, free, 1) >= self.rules[k].least_value:
+                yield k, start, free
+            i = int(np.searchsorted(ends, free, "right"))
+
 
 _SCANNERS: dict[tuple[Rule, ...], Scanner] = {}
 
