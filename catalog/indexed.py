@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.feeds import BATCH_SQL, STAGES_SQL, events_growing, stages
-from catalog.tables import TRACKED
+from catalog.tables import TRACKED, n_files
 from tidemark.functions.offset_column import OffsetColumn
 from tidemark.functions.offset_json import offset_dict
 from tidemark.operators.profile import offset_order_profile
@@ -134,9 +134,10 @@ def _scattered(spark: SparkSession, sf: str, kind: str) -> tuple[Grown, Incremen
     """A copy whose every file spans the whole range, drained in some twenty batches and one pass."""
     rows = TRACKED[kind].frame(spark, sf)
     copy = _grown(spark, rows)
-    rows.repartition(8, F.xxhash64(*rows.columns)).write.parquet(copy.path)
+    n = rows.count()
+    rows.repartition(n_files(n, 8), F.xxhash64(*rows.columns)).write.parquet(copy.path)
     table = _Counting(lambda: spark.read.schema(rows.schema).parquet(copy.path))
-    cap = max(rows.count() // 20, 1)
+    cap = max(n // 20, 1)
     feed = IncrementalFeed(
         spark, table, {"offset.field": TRACKED[kind].field}, f"{copy.folder}/log", rows_per_batch=cap, one_pass=True
     )

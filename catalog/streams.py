@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from catalog.feeds import clocks_of, zoned_events, zoneless
-from catalog.tables import TRACKED, halves
+from catalog.tables import TRACKED, halves, n_files
 from tidemark.plans.workspace import shared_folder
 from tidemark.streaming.datasource import drain_stream, read_stream
 from tidemark.streaming.offset_log import read_spans
@@ -73,8 +73,9 @@ def _stepped(spark: SparkSession, sf: str) -> DataFrame:
     """A backlog of several files in steps, by runs that each end after one; all rows, each once."""
     df = TRACKED["ties"].frame(spark, sf)
     folder = shared_folder(spark, "stepped")
-    df.repartitionByRange(6, "l_orderkey").write.option("parquet.block.size", 1 << 18).parquet(f"{folder}/table")
-    rows = str(max(df.count() // 4, 1))
+    n = df.count()
+    df.repartitionByRange(n_files(n, 6), "l_orderkey").write.option("parquet.block.size", 1 << 18).parquet(f"{folder}/table")
+    rows = str(max(n // 4, 1))
 
     def start() -> StreamingQuery:
         stream = read_stream(spark, f"{folder}/table", "l_orderkey", rowsPerBatch=rows, stepping="true")

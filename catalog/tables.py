@@ -12,6 +12,14 @@ from tidemark.operators.bounds import both_bounds, fetch_bound
 from tidemark.operators.ranges import BatchRange, split_range
 from tidemark.sources.tables import FrameTable, ParquetTable
 
+#: Rows of a file of a copy that is dealt out for a query.
+ROWS_A_FILE = 1_000_000
+
+
+def n_files(n_rows: int, least: int) -> int:
+    """How many files such a copy has: more for more rows, so that no task grows with the table."""
+    return max(least, -(-n_rows // ROWS_A_FILE))
+
 
 class Tracked(NamedTuple):
     """A table tracked by ``field``; ``derived`` adds the field where files lack it."""

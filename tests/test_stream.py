@@ -9,9 +9,12 @@ import pyarrow.parquet as pq
 import pytest
 from conftest import days
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import __spark_entry__ as contract
+from catalog import tables
 from tidemark.functions.offset_column import OffsetColumn
 from tidemark.functions.offset_json import offset_dict
 from tidemark.sources.parquet_footers import FooterIndex
@@ -284,6 +287,23 @@ def test_partition_folders_become_columns(tmp_path):
     ]
 
 
+@pytest.mark.parametrize("query", ["stream_stepped", "drain_unclustered_ties"])
+def test_more_rows_are_dealt_to_more_tasks(spark, monkeypatch, query):
+    writes, parquet = [], DataFrameWriter.parquet
+
+    def recorded(self, path, *args, **kwargs):
+        parquet(self, path, *args, **kwargs)
+        writes.append(path)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", recorded)
+    monkeypatch.setattr(tables, "ROWS_A_FILE", 400)
+    df = contract.queries()[query](spark, "/root/testdata/sf0.001")
+    whole = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    sizes = [r["count"] for r in spark.read.parquet(writes[0]).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == whole.count() == df.count() and max(sizes) < 2 * 400
+    assert df.exceptAll(whole).isEmpty()
+
+
 def test_steps_are_refused_where_a_run_would_end_after_one(tmp_path):
     longs(str(tmp_path), "a", [1])
     with pytest.raises(ValueError, match="drain_stream"):
