@@ -4,6 +4,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from llm_tables import MIDDLE, docs_of  # noqa: F401
 
 import __spark_entry__ as contract
-from tidemark.llm.suffix_tree import score, tokens, train, word_counts
+from tidemark.llm.suffix_tree import _dealt, _flat, score, tokens, train, word_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -118,3 +119,21 @@ def test_equal_rows_are_dealt_to_several_groups(docs_of):
     whole = sorted((r.doc_id, r.n_tokens, r.n_known, round(r.score, 9)) for r in score(df, held_out()).collect())
     cut = sorted((r.doc_id, r.n_tokens, r.n_known, round(r.score, 9)) for r in score(df, held_out(), chunk_bytes=1500, parts=2).collect())
     assert len(cut) == 600 and cut == whole
+
+
+def test_the_tables_of_the_tree_go_before_texts_are_scored(spark, docs_of):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    got = score(docs_of([(i, f"one two three {i % 3}") for i in range(50)]), held_out())
+    left = {re.sub(r"^tidemark-|-[0-9a-f]{12}$", "", x.name) for x in set(folder.iterdir()) - before}
+    assert got.count() == 50 and left <= {"node-buckets", "hot-chunks", "scores"}
+
+
+def test_buckets_hold_all_keys_in_order():
+    keys = np.sort(np.random.default_rng(3).integers(0, 1 << 64, 500, dtype=np.uint64))
+    for bits in (0, 1, 5, 12):
+        dealt = _dealt(keys, bits, key=keys, twice=np.arange(500) * 2)
+        assert dealt["bucket"].to_pylist() == sorted({int(k) >> (64 - bits) for k in keys})
+        assert [int(k) >> (64 - bits) for k in keys] == [b for b, x in zip(dealt["bucket"].to_pylist(), dealt["key"].to_pylist()) for _ in x]
+        assert (_flat(pa.chunked_array([dealt["key"]])) == keys).all()
+    assert len(_dealt(keys[:0], 4, key=keys[:0])["bucket"]) == 0

@@ -10,7 +10,8 @@ Counts cover the whole corpus, and ``LEAST`` is the same at every size, so the t
 corpus: it is a written table of nodes, of which chunks of documents fetch their own by a join. A node
 is a run of words by its key, which joins the keys of the runs without its last and without its first
 word; it has a count and, if it is a state, the share that goes to its suffix. Texts are counted and
-scored in ``PARTS`` turns, so that only a part of what is shuffled lies on disk at a time.
+scored in turns, so that only a part of what is shuffled lies on disk at a time. Keys are dealt to buckets by
+their highest bits; what a task has for a bucket is one row of arrays.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Texts, lower_ascii, map_arrow, materialize, mix, ship, slices, span_hashes, texts, words
+from tidemark.llm.common import Texts, lower_ascii, map_arrow, materialize, mix, release_shuffles, ship, slices, span_hashes, texts, words, write_table
+from tidemark.plans.workspace import scratch, shared_folder
 
 #: Least occurrences of a listed transition, at every size.
 LEAST = 2
@@ -32,8 +34,10 @@ LEAST = 2
 DISCOUNT = 0.75
 #: Tokens counted at once, and bytes of text whose nodes are looked up together.
 TOKENS_AT_ONCE, CHUNK_BYTES = 1 << 21, 8 << 20
-#: Turns in which runs are counted and texts are scored.
-PARTS = 4
+#: Turns in which runs are counted, and in which texts are scored.
+COUNT_PARTS, PARTS = 3, 4
+#: Keys of a bucket, about.
+KEYS_A_BUCKET = 1 << 20
 _END, _START = 1, 2
 
 
@@ -87,6 +91,30 @@ def _batch(**columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns.values()], list(columns))
 
 
+def _bits(n_keys: int) -> int:
+    """Highest bits of a key that number its bucket."""
+    return max(0, int(np.ceil(np.log2(max(n_keys, 1) / KEYS_A_BUCKET))))
+
+
+def _bucket(key: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(F.shiftrightunsigned(key, 63 - bits), 1).cast("int")
+
+
+def _dealt(keys: np.ndarray, bits: int, **columns: np.ndarray) -> dict[str, pa.Array]:
+    """A row for each bucket that some of the sorted ``keys`` are in: its number, and its part of each column as a list."""
+    number = keys >> np.uint64(63 - bits) >> np.uint64(1)
+    first = np.flatnonzero(np.diff(number, prepend=number[:1] + np.uint64(1)))
+    bounds = pa.array(np.append(first, len(keys)).astype(np.int32))
+    values = {k: pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for k, c in columns.items()}
+    return {"bucket": pa.array(number[first].astype(np.int32)), **{k: pa.ListArray.from_arrays(bounds, v) for k, v in values.items()}}
+
+
+def _flat(lists: pa.ChunkedArray) -> np.ndarray:
+    """The values of all lists; keys are unsigned."""
+    values = lists.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return values.view(np.uint64) if values.dtype == np.int64 else values
+
+
 def _in_runs(of_batch, summed):
     """What ``of_batch`` finds in many batches, summed within each run of ``TOKENS_AT_ONCE``."""
 
@@ -115,13 +143,33 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select("text"), run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
 
-def _counted_runs(found: np.ndarray) -> pa.RecordBatch:
-    _, at, c = np.unique(found[0], return_index=True, return_counts=True)
-    return _batch(size=found[3, at].astype(np.int32), head=found[1, at], tail=found[2, at], c=c)
+def _in_turns(of_part, parts: int, purpose: str) -> DataFrame:
+    """All parts, written one after the other. What a part shuffled goes before the next one starts, which takes that
+    nothing refers to its plan any more."""
+    written = []
+    for part in range(parts):
+        written.append(materialize(of_part(part), purpose))
+        release_shuffles(written[-1].sparkSession)
+    return reduce(DataFrame.unionAll, written)
 
 
-def _run_counts(docs: DataFrame, depth: int, least: int, parts: int) -> DataFrame:
+def _run_counts(docs: DataFrame, n_tokens: int, depth: int, least: int, parts: int) -> DataFrame:
     """``(size, key, head, tail, c)`` of every run of 2 to ``depth + 1`` tokens seen at least ``least`` times."""
+    bits = _bits(depth * n_tokens // parts)
+
+    def counted(found: np.ndarray) -> pa.RecordBatch:
+        keys, at, c = np.unique(found[0], return_index=True, return_counts=True)
+        return pa.RecordBatch.from_pydict(_dealt(keys, bits, size=found[3, at].astype(np.int8), head=found[1, at], tail=found[2, at], c=c.astype(np.int32)))
+
+    def merged(group: pa.Table) -> pa.Table:
+        size, head, tail, c = (_flat(group.column(x)) for x in ("size", "head", "tail", "c"))
+        keys = _joined(head, tail)
+        order = np.argsort(keys)
+        first = np.flatnonzero(np.diff(keys[order], prepend=keys[order[:1]] + np.uint64(1)))
+        total = np.add.reduceat(c[order].astype(np.int64), first)
+        at = order[first][total >= least]
+        batch = _batch(size=size[at].astype(np.int32), key=keys[at], head=head[at], tail=tail[at], c=total[total >= least])
+        return pa.Table.from_batches([batch])
 
     def counts(part: int) -> DataFrame:
         def of_batch(batch: pa.RecordBatch) -> np.ndarray:
@@ -132,17 +180,11 @@ def _run_counts(docs: DataFrame, depth: int, least: int, parts: int) -> DataFram
                 out.append(np.stack([r.keys[m][at], r.keys[m - 1][at - 1], r.keys[m - 1][at], np.full(len(at), m + 1, np.uint64)]))
             return np.concatenate(out, -1)
 
-        def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                head, tail = (b.column(i).to_numpy().view(np.uint64) for i in (1, 2))
-                key = pa.array(_joined(head, tail).view(np.int64))
-                yield pa.RecordBatch.from_arrays([b.column(0), key, *b.columns[1:]], ["size", "key", "head", "tail", "c"])
-
-        seen = map_arrow(docs.select("text"), _in_runs(of_batch, _counted_runs), "size int, head long, tail long, c long")
-        seen = seen.groupBy("size", "head", "tail").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
-        return map_arrow(seen, keyed, "size int, key long, head long, tail long, c long")
+        kind = "bucket int, size array<tinyint>, head array<long>, tail array<long>, c array<int>"
+        seen = map_arrow(docs.select("text"), _in_runs(of_batch, counted), kind)
+        return seen.groupBy("bucket").applyInArrow(merged, "size int, key long, head long, tail long, c long")
 
-    return reduce(DataFrame.unionAll, [materialize(counts(p), "run-counts") for p in range(parts)])
+    return _in_turns(counts, parts, "run-counts")
 
 
 def _states(listed: DataFrame, contexts: DataFrame) -> DataFrame:
@@ -168,7 +210,7 @@ def _states(listed: DataFrame, contexts: DataFrame) -> DataFrame:
 
 
 def grow(
-    docs: DataFrame, counts: DataFrame, n_tokens: int, n_words: int, depth: int = 2, least_share: float = 0.0, parts: int = PARTS
+    docs: DataFrame, counts: DataFrame, n_tokens: int, n_words: int, depth: int = 2, least_share: float = 0.0, parts: int = COUNT_PARTS
 ) -> DataFrame:
     """The nodes ``(size, key, c, backoff)`` of the tree of the texts of ``docs``, as a written table, given the
     counts of their tokens. ``backoff`` is the log of the factor on what the suffix says of unlisted symbols;
@@ -176,7 +218,7 @@ def grow(
     """
     least = max(LEAST, int(np.ceil(least_share * n_tokens)))
     scale = float(np.log(n_tokens + 0.5 * (n_words + 1)))
-    found = _run_counts(docs, depth, least, parts)
+    found = _run_counts(docs, n_tokens, depth, least, parts)
     no_state = F.lit(None).cast("double").alias("backoff")
     # A text starts as often as one ends.
     start = counts.where(F.col("key") == _END).select(F.lit(_START).cast("long").alias("key"), "c")
@@ -187,6 +229,7 @@ def grow(
     for size in range(1, depth + 1):
         # A frequent run's tail is frequent, so every one finds the chance its suffix gives.
         listed = materialize(found.where(F.col("size") == size + 1).join(chance, "tail").drop("size"), "transitions")
+        release_shuffles(docs.sparkSession)
         states = materialize(_states(listed, contexts), "states")
         of_context = states.select(F.col("head").alias("key"), "backoff")
         nodes.append(contexts.join(of_context, "key", "left").select(F.lit(size).alias("size"), "key", "c", "backoff"))
@@ -198,6 +241,19 @@ def grow(
     return materialize(reduce(DataFrame.unionAll, nodes), "nodes")
 
 
+def _by_bucket(nodes: DataFrame, bits: int) -> DataFrame:
+    """``(bucket, key, c, backoff)``: the nodes of each bucket as arrays, by key; ``backoff`` is NaN if a node is no state."""
+
+    def packed(group: pa.Table) -> pa.Table:
+        keys = group.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        c, backoff = (group.column(x).to_numpy()[order] for x in ("c", "backoff"))
+        return pa.table(_dealt(keys[order], bits, key=keys[order], c=c, backoff=backoff.astype(float)))
+
+    keyed = nodes.select(_bucket(F.col("key"), bits).alias("bucket"), "key", "c", "backoff")
+    return keyed.groupBy("bucket").applyInArrow(packed, "bucket int, key array<long>, c array<long>, backoff array<double>")
+
+
 class Level(NamedTuple):
     """States of one length: their keys."""
 
@@ -286,28 +342,57 @@ def score(
     """
     docs = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     learn = docs.where(~F.col("held_out"))
-    counts = materialize(word_counts(learn), "word-counts")
-    n_tokens, n_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    spark = df.sparkSession
+    ship(spark)
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     chunks = int(total // chunk_bytes) + 1
     parts = min(parts, chunks)
-    nodes = grow(learn, counts, n_tokens, n_words, depth, least_share, parts)
+    # Tokens take some six bytes.
+    bits = _bits((depth + 1) * total // 6 // parts)
+    folder = shared_folder(spark, "node-buckets")
+    with scratch(spark):
+        counts = materialize(word_counts(learn), "word-counts")
+        n_tokens, n_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+        nodes = grow(learn, counts, n_tokens, n_words, depth, least_share, min(COUNT_PARTS, parts))
+        nodes = write_table(_by_bucket(nodes, bits), folder)
+    release_shuffles(spark)
     scale, base_scale = (float(log(n_tokens + 0.5 * (n_words + 1))) for log in (np.log, np.log10))
 
     # Each chunk of documents asks for the nodes of its own runs of words.
     dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(chunks)).cast("int"))
 
     def asked(chunk: pa.Table) -> pa.Table:
-        found = [np.zeros(0, np.uint64)]
+        found = []
         for b in slices(iter(chunk.select(["text"]).to_batches()), "text"):
             r = runs(tokens(b.column(0)), depth)
             found.append(np.unique(np.concatenate([keys[r.place >= m] for m, keys in enumerate(r.keys)])))
         keys = np.unique(np.concatenate(found))
+        dealt = _dealt(keys, bits, key=keys)
         number = chunk.column("chunk")[0].as_py()
-        return pa.table({"chunk": pa.array(np.full(len(keys), number, np.int32)), "key": pa.array(keys.view(np.int64))})
+        return pa.table({"chunk": pa.array(np.full(len(dealt["bucket"]), number, np.int32)), **dealt})
+
+    def answered(asks: pa.Table, nodes: pa.Table) -> pa.Table:
+        asks = asks.select(["chunk", "key"]).combine_chunks()
+        lists = asks.column("key").combine_chunks()
+        chunk, keys = np.repeat(asks.column("chunk").to_numpy(), lists.value_lengths().to_numpy()), _flat(asks.column("key"))
+        known, c, backoff = (_flat(nodes.column(x)) for x in ("key", "c", "backoff"))
+        at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
+        hit = np.flatnonzero(known[at] == keys) if len(known) else np.zeros(0, int)
+        # A chunk in several groups asks several times.
+        hit = hit[np.lexsort((keys[hit], chunk[hit]))]
+        chunk, keys, at = chunk[hit], keys[hit], at[hit]
+        new = np.ones(len(hit), bool)
+        new[1:] = (chunk[1:] != chunk[:-1]) | (keys[1:] != keys[:-1])
+        chunk, at = chunk[new], at[new]
+        first = np.flatnonzero(np.diff(chunk, prepend=-1))
+        bounds = pa.array(np.append(first, len(chunk)).astype(np.int32))
+        lists = (pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (known[at].view(np.int64), c[at].view(np.int64), backoff[at]))
+        return pa.table([pa.array(chunk[first].astype(np.int32)), *lists], ["chunk", "key", "c", "backoff"])
 
     def scored(chunk: pa.Table, known: pa.Table) -> pa.Table:
-        tree = SuffixTree.of(known, depth, scale)
+        keys, c, backoff = (_flat(known.column(x)) for x in ("key", "c", "backoff"))
+        order = np.argsort(keys)
+        tree = SuffixTree(keys[order], np.zeros(0, np.int32), c[order].view(np.int64), backoff[order], depth, scale)
         out: list[list] = [[], [], [], []]
         for batch in slices(iter(chunk.select(["text"]).to_batches()), "text"):
             t = tokens(batch.column(0))
@@ -329,7 +414,6 @@ def score(
             }
         )
 
-    ship(docs.sparkSession)
     kind = df.schema[key].dataType.simpleString()
     # Equal rows share a chunk; one that they make too large is dealt to several groups, which all get the nodes of the chunk.
     sizes = dealt.groupBy("chunk").agg(F.ceil(F.sum(F.octet_length("text")) / chunk_bytes).cast("int").alias("groups"))
@@ -343,16 +427,16 @@ def score(
 
     def done(part: int) -> DataFrame:
         mine = grouped(dealt.where(F.col("chunk") % parts == part), F.floor(F.rand(5) * F.col("groups")).cast("int"))
-        asks = mine.groupBy("chunk", "group").applyInArrow(asked, "chunk int, key long")
-        if split:
-            asks = asks.distinct()
-        known = asks.join(nodes, "key").select("chunk", "key", "size", "c", "backoff")
+        asks = mine.groupBy("chunk", "group").applyInArrow(asked, "chunk int, bucket int, key array<long>")
+        known = asks.groupBy("bucket").cogroup(nodes.groupBy("bucket")).applyInArrow(
+            answered, "chunk int, key array<long>, c array<long>, backoff array<double>"
+        )
         known = grouped(known, F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
         return mine.groupBy("chunk", "group").cogroup(known.groupBy("chunk", "group")).applyInArrow(
             scored, f"key {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
         )
 
-    whole = reduce(DataFrame.unionAll, [materialize(done(p), "scores") for p in range(parts)])
+    whole = _in_turns(done, parts, "scores")
     return whole.select(
         F.col("key").alias(key), "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
