@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from llm_tables import MIDDLE, docs_of  # noqa: F401
 
 import __spark_entry__ as contract
-from tidemark.llm.suffix_tree import _dealt, _flat, score, tokens, train, word_counts
+from tidemark.llm.common import write_table
+from tidemark.llm.suffix_tree import _dealt, _flat, _order, score, tokens, train, word_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -137,3 +138,40 @@ def test_buckets_hold_all_keys_in_order():
         assert [int(k) >> (64 - bits) for k in keys] == [b for b, x in zip(dealt["bucket"].to_pylist(), dealt["key"].to_pylist()) for _ in x]
         assert (_flat(pa.chunked_array([dealt["key"]])) == keys).all()
     assert len(_dealt(keys[:0], 4, key=keys[:0])["bucket"]) == 0
+
+
+def test_counted_runs_go_before_the_last_states(spark, docs_of, monkeypatch):
+    """What is counted is read once for each size; neither it nor the transitions lie on disk while weights are written."""
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    there = {}
+
+    def watched(df, path, **options):
+        kind = [re.sub(r"^tidemark-|-[0-9a-f]{12}$", "", x.name) for x in set(folder.iterdir()) - before]
+        there.setdefault(re.sub(r".*tidemark-|-[0-9a-f]{12}$", "", path), []).append(Counter(kind))
+        return write_table(df, path, **options)
+
+    monkeypatch.setattr("tidemark.llm.suffix_tree.write_table", watched)
+    assert score(docs_of([(i, f"one two three {i % 3}") for i in range(50)]), held_out()).count() == 50
+    assert set(there["node-buckets"][0]) == {"nodes"}
+    assert set(there["nodes"][-1]) <= {"nodes", "contexts", "transitions"} and there["nodes"][-1]["transitions"] == 1
+
+
+def test_order_of_keys_alike_but_for_their_lowest_bits():
+    rng = np.random.default_rng(4)
+    alike = np.uint64(1 << 60) + rng.integers(0, 8, 5000, dtype=np.uint64)
+    for keys in (alike, np.concatenate([alike, rng.integers(0, 1 << 64, 5000, dtype=np.uint64)]), alike[:1], alike[:0]):
+        order = _order(keys)
+        assert sorted(order.tolist()) == list(range(len(keys))) and (keys[order] == np.sort(keys)).all()
+
+
+def test_scores_are_those_of_the_whole_tree(docs_of):
+    """The sum of weights fetched by chunk is what the tree in the driver says token by token."""
+    texts = ["a b c a b d a b c", "b c a c b a a b c c", "a b c", "d d a b c d", "", "x a b unseen c"] * 6
+    docs = docs_of(enumerate(texts))
+    counts = word_counts(docs)
+    tree = train(docs, counts, *counts.agg(F.sum("c"), F.count("*")).first())
+    assert any(len(level.contexts) for level in tree.levels)
+    for r in score(docs, F.lit(False), chunk_bytes=100, parts=2).collect():
+        gain = tree.gain(tokens(pa.array([texts[r.doc_id]]))).sum() / math.log(10)
+        assert r.score - r.base_score == pytest.approx(gain, abs=1e-9)

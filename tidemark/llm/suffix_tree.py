@@ -24,7 +24,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Texts, lower_ascii, map_arrow, materialize, mix, release_shuffles, ship, slices, span_hashes, texts, words, write_table
@@ -40,8 +40,8 @@ TOKENS_AT_ONCE, CHUNK_BYTES = 1 << 21, 8 << 20
 COUNT_PARTS, PARTS = 3, 4
 #: Keys of a bucket, about.
 KEYS_A_BUCKET = 1 << 20
-#: Columns of hashes, which hold hardly a value twice: Parquet is spared the search for any.
-HASHED = ("key", "head", "tail")
+#: Columns that hold hardly a value twice: Parquet is spared the search for any.
+HASHED = ("key", "head", "tail", "weight")
 _END, _START = 1, 2
 
 
@@ -258,15 +258,12 @@ def _cogrouped(left: DataFrame, right: DataFrame, of_both, kind: str, by: str =
     return left.groupBy("bucket").cogroup(right.groupBy(by)).applyInArrow(of_both, kind)
 
 
-def _level(contexts: DataFrame, runs_of: DataFrame, size: int, bits: int, nodes_at: str, contexts_at: str) -> tuple[DataFrame, DataFrame]:
-    """The nodes of the ``contexts``, which have ``size`` tokens, and the runs of one more token as contexts; both as
-    written tables.
+def _transitions(contexts: DataFrame, runs_of: DataFrame, bits: int, path: str) -> DataFrame:
+    """``(bucket, key, head, c, parent)`` of runs, as a written table: ``parent`` is the log of the chance of their last
+    token by the longest suffix of the others that is a state. Each bucket asks for each tail once.
 
-    ``contexts``: ``(bucket, key, c, gained, chance)``, ``chance`` the log of the chance of their last token by the
-    longest suffix of the others that is a state, or by themselves if the others are one. A context is a state if its
-    divergence from its suffix, times its occurrences, exceeds what its listed transitions cost to describe: half
-    the log of the occurrences each. Sums by context are all it takes, so each bucket of transitions sums up its
-    own first, and asks for the state of each context once.
+    ``contexts``: ``(bucket, key, c, gained, chance)`` of the runs of one token less, ``chance`` the log of the chance
+    of their last token by the longest suffix of the others that is a state, or by all others if they are one.
     """
 
     def tails(row: pa.RecordBatch) -> dict[str, pa.Array]:
@@ -286,6 +283,21 @@ def _level(contexts: DataFrame, runs_of: DataFrame, size: int, bits: int, nodes_
         parent = chance[np.searchsorted(_distinct(tail), tail)]
         return _row({"bucket": rows.column("bucket")[0].as_py()}, key=key, head=head, c=c, parent=parent)
 
+    asked = _asks(runs_of.select("bucket", "tail"), tails)
+    answers = _cogrouped(asked, contexts.select("bucket", "key", "chance"), chances, "origin int, bucket int, chance array<double>")
+    kind = "bucket int, key array<long>, head array<long>, c array<long>, parent array<double>"
+    return _written(_cogrouped(runs_of.select("bucket", "key", "head", "tail", "c"), answers, with_parent, kind, "origin"), path)
+
+
+def _states(contexts: DataFrame, listed: DataFrame, size: int, bits: int, nodes_at: str, contexts_at: str) -> tuple[DataFrame, DataFrame]:
+    """The nodes of the ``contexts``, which have ``size`` tokens, and their ``listed`` transitions as contexts; both as
+    written tables.
+
+    A context is a state if its divergence from its suffix, times its occurrences, exceeds what its listed transitions
+    cost to describe: half the log of the occurrences each. Sums by context are all it takes, so each bucket of
+    transitions sums up its own first, and asks for the state of each context once.
+    """
+
     def sums(row: pa.RecordBatch) -> dict[str, pa.Array]:
         head, c, parent = (_flat(row.column(x)) for x in ("head", "c", "parent"))
         order = _order(head)
@@ -331,30 +343,22 @@ def _level(contexts: DataFrame, runs_of: DataFrame, size: int, bits: int, nodes_
         gained = np.where(state, own - parent - backoff[at], 0.0)
         return _row({"bucket": rows.column("bucket")[0].as_py()}, key=key, c=c, gained=gained, chance=np.where(state, own, parent))
 
-    chance = contexts.select("bucket", "key", "chance")
-    asked = _asks(runs_of.select("bucket", "tail"), tails)
-    answers = _cogrouped(asked, chance, chances, "origin int, bucket int, chance array<double>")
-    with scratch(contexts.sparkSession):
-        kind = "bucket int, key array<long>, head array<long>, c array<long>, parent array<double>"
-        listed = _cogrouped(runs_of.select("bucket", "key", "head", "tail", "c"), answers, with_parent, kind, "origin")
-        listed = _written(listed, shared_folder(contexts.sparkSession, "transitions"))
-        asked = _asks(listed.select("bucket", "head", "c", "parent"), sums, ", k array<long>, seen array<long>, gained array<double>, covered array<double>")
-        kind = "origin int, bucket int, key array<long>, c array<long>, gained array<double>, backoff array<double>"
-        answers = _written(_cogrouped(asked, contexts.select("bucket", "key", "c", "gained"), states, kind), nodes_at)
-        nodes = answers.where("origin = -1").select(F.lit(size).alias("size"), "bucket", "key", "c", "gained", "backoff")
-        answers = answers.where("origin >= 0").select("origin", "bucket", "c", "backoff")
-        kind = "bucket int, key array<long>, c array<long>, gained array<double>, chance array<double>"
-        return nodes, _written(_cogrouped(listed, answers, as_contexts, kind, "origin"), contexts_at)
-
-
-def grow(found: DataFrame, n_tokens: int, n_words: int, depth: int, bits: int, places: list[str]) -> DataFrame:
-    """The nodes ``(size, bucket, key, c, gained, backoff)`` of the tree, a row of arrays for each size and bucket, given
-    the counts of its runs. ``gained``: the log of a listed transition's chance over what its context says of it unlisted,
+    asked = _asks(listed.select("bucket", "head", "c", "parent"), sums, ", k array<long>, seen array<long>, gained array<double>, covered array<double>")
+    kind = "origin int, bucket int, key array<long>, c array<long>, gained array<double>, backoff array<double>"
+    answers = _written(_cogrouped(asked, contexts.select("bucket", "key", "c", "gained"), states, kind), nodes_at)
+    nodes = answers.where("origin = -1").select(F.lit(size).alias("size"), "bucket", "key", "c", "gained", "backoff")
+    answers = answers.where("origin >= 0").select("origin", "bucket", "c", "backoff")
+    kind = "bucket int, key array<long>, c array<long>, gained array<double>, chance array<double>"
+    return nodes, _written(_cogrouped(listed, answers, as_contexts, kind, "origin"), contexts_at)
+
+
+def grow(spark: SparkSession, counted, depth: int, bits: int, places: list[str]) -> tuple[DataFrame, int, int]:
+    """The nodes ``(size, bucket, key, c, gained, backoff)`` of the tree, a row of arrays for each size and bucket; how many
+    tokens it learnt from, and how many words. ``counted`` gives the counts of its runs and these two numbers; what it
+    writes goes as soon as all is read. ``gained``: the log of a listed transition's chance over what its context says of it unlisted,
     0 if its context is no state. ``backoff``: the log of the factor on what the suffix says of unlisted symbols; NaN
     if the node is no state. They are written to ``places``, a folder for each size; nothing else is read for them.
     """
-    scale = float(np.log(n_tokens + 0.5 * (n_words + 1)))
-
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -365,16 +369,28 @@ def grow(found: DataFrame, n_tokens: int, n_words: int, depth: int, bits: int, p
                 row = _row({"bucket": batch.column("bucket")[i].as_py()}, key=key, c=c, gained=np.zeros(len(key)), chance=np.log(c.astype(float) + 0.5) - scale)
                 yield from row.to_batches()
 
-    kind = "bucket int, key array<long>, c array<long>, gained array<double>, chance array<double>"
-    contexts = map_arrow(found.where("size = 1").select("bucket", "key", "c"), roots, kind)
     nodes = []
-    for size in range(1, depth + 1):
-        contexts_at = places[depth] if size == depth else shared_folder(found.sparkSession, "contexts")
-        of_size, contexts = _level(contexts, found.where(F.col("size") == size + 1), size, bits, places[size - 1], contexts_at)
-        nodes.append(of_size)
+    with scratch(spark):
+        last = shared_folder(spark, "transitions")
+        contexts_at = [shared_folder(spark, "contexts") for _ in range(depth)]
+        with scratch(spark):
+            found, n_tokens, n_words = counted()
+            scale = float(np.log(n_tokens + 0.5 * (n_words + 1)))
+            kind = "bucket int, key array<long>, c array<long>, gained array<double>, chance array<double>"
+            contexts = map_arrow(found.where("size = 1").select("bucket", "key", "c"), roots, kind)
+            if depth == 1:
+                contexts = _written(contexts, contexts_at[0])
+            for size in range(1, depth):
+                with scratch(spark):
+                    listed = _transitions(contexts, found.where(F.col("size") == size + 1), bits, shared_folder(spark, "transitions"))
+                    of_size, contexts = _states(contexts, listed, size, bits, places[size - 1], contexts_at[size])
+                nodes.append(of_size)
+            listed = _transitions(contexts, found.where(F.col("size") == depth + 1), bits, last)
+        of_size, contexts = _states(contexts, listed, depth, bits, places[depth - 1], places[depth])
+    nodes.append(of_size)
     no_state = F.transform("gained", lambda x: F.lit(float("nan"))).alias("backoff")
     nodes.append(contexts.select(F.lit(depth + 1).alias("size"), "bucket", "key", "c", "gained", no_state))
-    return reduce(DataFrame.unionAll, nodes)
+    return reduce(DataFrame.unionAll, nodes), n_tokens, n_words
 
 
 def _weights(nodes: DataFrame) -> DataFrame:
@@ -446,10 +462,13 @@ def train(docs: DataFrame, counts: DataFrame, n_tokens: int, n_words: int, depth
     kind = "size int, bucket int, key array<long>, head array<long>, tail array<long>, c array<long>"
     least = max(LEAST, int(np.ceil(least_share * n_tokens)))
     single = counts.groupBy(F.lit(0).alias("bucket")).applyInArrow(packed, kind)
+
+    def counted() -> tuple[DataFrame, int, int]:
+        return single.unionAll(_counts(docs, 0, range(2, depth + 2), least)), n_tokens, n_words
+
     with scratch(docs.sparkSession):
-        found = single.unionAll(_counts(docs, 0, range(2, depth + 2), least))
         places = [shared_folder(docs.sparkSession, "nodes") for _ in range(depth + 1)]
-        return SuffixTree.of(grow(found, n_tokens, n_words, depth, 0, places).toArrow(), depth)
+        return SuffixTree.of(grow(docs.sparkSession, counted, depth, 0, places)[0].toArrow(), depth)
 
 
 def score(
@@ -481,17 +500,19 @@ def score(
     # Tokens take some six bytes.
     bits = max(_bits(total // 6), (count_parts - 1).bit_length())
     folder = shared_folder(spark, "node-buckets")
+
+    def counted() -> tuple[DataFrame, int, int]:
+        least = LEAST
+        if least_share:
+            least = max(LEAST, int(np.ceil(least_share * (word_counts(learn).agg(F.sum("c")).first()[0] or 0))))
+        found = _counts(learn, bits, range(1, depth + 2), least, count_parts)
+        occurrences = F.aggregate("c", F.lit(0).cast("long"), lambda a, x: a + x)
+        sums = found.where("size = 1").agg(F.sum(occurrences), F.sum(F.size("key"))).first()
+        return found, *(x or 0 for x in sums)
+
     with scratch(spark):
         places = [shared_folder(spark, "nodes") for _ in range(depth + 1)]
-        with scratch(spark):
-            least = LEAST
-            if least_share:
-                least = max(LEAST, int(np.ceil(least_share * (word_counts(learn).agg(F.sum("c")).first()[0] or 0))))
-            found = _counts(learn, bits, range(1, depth + 2), least, count_parts)
-            occurrences = F.aggregate("c", F.lit(0).cast("long"), lambda a, x: a + x)
-            sums = found.where("size = 1").agg(F.sum(occurrences), F.sum(F.size("key"))).first()
-            n_tokens, n_words = (x or 0 for x in sums)
-            nodes = grow(found, n_tokens, n_words, depth, bits, places)
+        nodes, n_tokens, n_words = grow(spark, counted, depth, bits, places)
         nodes = _written(_weights(nodes), folder)
     release_shuffles(spark)
     base_scale = float(np.log10(n_tokens + 0.5 * (n_words + 1)))
