@@ -83,13 +83,14 @@ def runs(t: Tokens, depth: int) -> Runs:
     first = np.flatnonzero(np.diff(t.rows, prepend=-1))
     hashes = np.insert(t.hashes, first, np.uint64(_START))
     starts = first + np.arange(len(first))
-    place = np.arange(len(hashes)) - np.repeat(starts, np.diff(np.append(starts, len(hashes))))
+    lengths = np.diff(np.append(starts, len(hashes)))
+    place = np.arange(len(hashes)) - np.repeat(starts, lengths)
     keys = [hashes]
     for _ in range(depth):
         key = np.zeros(len(hashes), np.uint64)
         key[1:] = _joined(keys[-1][:-1], keys[-1][1:])
         keys.append(key)
-    return Runs(keys, place, np.insert(t.rows, first, t.rows[first]))
+    return Runs(keys, place, np.repeat(t.rows[first], lengths))
 
 
 def _order(keys: np.ndarray) -> np.ndarray:
@@ -219,7 +220,7 @@ def _counts(docs: DataFrame, bits: int, sizes: range, least: int = 1, parts: int
                     m = size - 1
                     mine = r.place >= max(m, 1)
                     if parts > 1:
-                        mine &= _number(r.keys[m], bits) % np.uint64(parts) == part
+                        mine &= _number(r.keys[m], bits) * np.uint64(parts) >> np.uint64(bits) == part
                     at = np.flatnonzero(mine)
                     found.append([r.keys[m][at]] if m == 0 else [r.keys[m][at], r.keys[m - 1][at - 1], r.keys[m - 1][at]])
                     n += len(at)
